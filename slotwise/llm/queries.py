@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +21,29 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", gone.alias("n_removed"), F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from slotwise.llm import common, token_files
+
+    files = token_files.write(table(spark, sf_dir, "documents"), common.fresh_dir(spark, "ids"), end_id=1)
+    return token_files.read(files).select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+def _digests(batch: pa.RecordBatch) -> pa.RecordBatch:
+    sizes, ids, texts = [], [], []
+    for own, text in zip(batch.column(1), batch.column(2).cast(pa.binary()).to_pylist(), strict=True):
+        numbers = own.values.to_numpy().tolist()
+        sizes.append(len(numbers))
+        ids.append(hashlib.sha256(" ".join(map(str, numbers)).encode()).hexdigest())
+        texts.append(hashlib.sha256(text).hexdigest())
+    return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from slotwise.llm import bpe
+
+    return bpe.round_trip(table(spark, sf_dir, "documents"), _digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from slotwise.llm import simhash
 
@@ -33,5 +59,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op9_simhash, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op2_substring_dedup, op7_token_files, op8_bpe, op9_simhash, op10_decontaminate)}
 ORACLES: dict[str, str] = {}
