@@ -13,6 +13,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from slotwise.llm import kneser_ney
+
+    return kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from slotwise.llm import substring_dedup
 
@@ -21,6 +27,14 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", gone.alias("n_removed"), F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from slotwise.llm import langid
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(langid.held_out(F.col("doc_id")), F.lit(False))
+    return langid.identify(docs, langid.learn(docs)).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from slotwise.llm import common, token_files
 
@@ -59,5 +73,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op7_token_files, op8_bpe, op9_simhash, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_substring_dedup, op3_language_id, op7_token_files, op8_bpe, op9_simhash, op10_decontaminate)}
 ORACLES: dict[str, str] = {}
