@@ -35,6 +35,13 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.learn(docs)).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from slotwise.llm import vptree
+
+    rows = table(spark, sf_dir, "embeddings")
+    return vptree.search(rows, rows.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from slotwise.llm import common, token_files
 
@@ -73,5 +80,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_substring_dedup, op3_language_id, op7_token_files, op8_bpe, op9_simhash, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_substring_dedup, op3_language_id, op4_nearest, op7_token_files, op8_bpe, op9_simhash, op10_decontaminate)}
 ORACLES: dict[str, str] = {}
