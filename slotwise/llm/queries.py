@@ -42,6 +42,21 @@ def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.search(rows, rows.where(F.col("vec_id") % 20 == 0), k=20)
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from slotwise.llm import pii
+
+    docs = table(spark, sf_dir, "documents")
+    out = pii.find(docs, pii.learn(docs))
+
+    def joined(name: str):
+        return F.array_join(F.transform(name, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return out.select("doc_id", *map(count, pii.KINDS), F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from slotwise.llm import common, token_files
 
@@ -80,5 +95,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_substring_dedup, op3_language_id, op4_nearest, op7_token_files, op8_bpe, op9_simhash, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_substring_dedup, op3_language_id, op4_nearest, op5_pii, op7_token_files, op8_bpe, op9_simhash, op10_decontaminate)}
 ORACLES: dict[str, str] = {}
