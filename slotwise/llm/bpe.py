@@ -24,7 +24,9 @@ from __future__ import annotations
 
 import codecs
 import json
+import string
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -52,15 +54,15 @@ def byte_alphabet() -> list[str]:
 
 
 class Recent:
-    """A map that keeps about the `limit` to 2 `limit` entries used last."""
+    """A map that keeps the entries of the last `limit` to 2 `limit` puts, give or take a batch."""
 
     def __init__(self, limit: int):
         self.limit, self.new, self.old = limit, {}, {}
 
-    def put(self, key, value) -> None:
+    def turn(self) -> None:
+        """To be called between batches."""
         if len(self.new) >= self.limit:
             self.old, self.new = self.new, {}
-        self.new[key] = value
 
 
 class Transducer:
@@ -174,11 +176,95 @@ class Transducer:
         return cut, out[::-1]
 
 
+#: What is cut off a word's end at once; the splitter keeps a run of these as one word.
+MARKS = string.punctuation
+#: White space to Python that the splitter takes for marks.
+_CONTROLS = regex.compile("[\x1c-\x1f]")
+
+
+class Words:
+    """Texts -> ids through two bounded memos: of pieces between white space, and of the splitter's words.
+
+    Splitting at white space first changes nothing, as it is never part of a word.
+    """
+
+    PIECES, WORDS = 350_000, 200_000
+
+    def __init__(self, added: dict[str, int], encode_words, whole, again: bool):
+        """encode_words: a list of normalized words -> the bytes of their ids; whole: a text that can't be split
+        like that (with an added token, or the like) -> its ids; again: encode_words normalizes once more."""
+        self.encode_words, self.whole, self.again, self.added = encode_words, whole, again, list(added)
+        self.pieces, self.words = Recent(self.PIECES), Recent(self.WORDS)
+
+    @staticmethod
+    def normal(text: str) -> str:
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text)
+            if "Σ" in text:
+                text = text.replace("Σ", "σ")  # lower-cased by itself, wherever it stands
+        return text.lower()
+
+    def _learn(self, missing: set[str]) -> None:
+        """Puts the normalized pieces into the memo."""
+        pieces, old, words, old_words = self.pieces.new, self.pieces.old, self.words.new, self.words.old
+        parts, fresh = [], {}
+        for piece in missing:
+            ids = old.get(piece)
+            if ids is not None:
+                pieces[piece] = ids
+                continue
+            word = piece.rstrip(MARKS)
+            if word.isalpha():
+                own = (word,) if len(word) == len(piece) else (word, piece[len(word) :])
+            else:
+                own = SPLIT.findall(piece)
+            for word in own:
+                if word not in words:
+                    ids = old_words.get(word)
+                    if ids is None:
+                        fresh[word] = None
+                    else:
+                        words[word] = ids
+            parts.append((piece, own))
+        if fresh:
+            new = list(fresh)
+            words.update(zip(new, self.encode_words(new), strict=True))
+        for piece, own in parts:
+            pieces[piece] = words[own[0]] if len(own) == 1 else b"".join([words[w] for w in own])
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        self.pieces.turn()
+        self.words.turn()
+        get, split, missing = self.pieces.new.get, [], set()
+        for text in texts:
+            plain = self.normal(text)
+            odd = "<" in text and any(x in text for x in self.added) or _CONTROLS.search(text)
+            if odd or self.again and not plain.isascii() and not unicodedata.is_normalized("NFC", plain):
+                split.append(text)
+                continue
+            words = plain.split()
+            found = list(map(get, words))
+            gaps = [i for i, x in enumerate(found) if x is None] if None in found else ()
+            new = [words[i] for i in gaps]
+            missing.update(new)
+            split.append((found, gaps, new))
+        if missing:
+            self._learn(missing)
+        out = []
+        for x in split:
+            if isinstance(x, str):
+                out.append(self.whole(x))
+                continue
+            found, gaps, new = x
+            for i, w in zip(gaps, new, strict=True):
+                found[i] = get(w)
+            out.append(b"".join(found))
+        return out
+
+
 class Codec:
     """A byte-level BPE vocabulary with word ends and added tokens: text -> ids -> text."""
 
-    RECENT = 250_000
-
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -193,48 +279,28 @@ class Codec:
             self.names[i] = name
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.alphabet = byte_alphabet()
-        self.recent = Recent(self.RECENT)
         self.byte_level = (spec.get("decoder") or {}).get("type") == "ByteLevel"
-
-    @staticmethod
-    def normal(text: str) -> str:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
-            if "Σ" in text:
-                text = text.replace("Σ", "σ")  # lower-cased by itself, wherever it stands
-        return text.lower()
+        self.words = Words(self.added, lambda words: list(map(self.word, words)), self.mixed, again=False)
 
     def word(self, word: str) -> bytes:
         """The ids of a word of the splitter, as little-endian 32-bit numbers."""
         if not (symbols := word).isascii() or not word.isprintable():
             table = self.alphabet
             symbols = "".join([table[b] for b in word.encode()])
-        out = np.array(list(self.transducer.stream(symbols)), np.uint32).tobytes()
-        self.recent.put(word, out)
-        return out
+        return array("I", self.transducer.stream(symbols)).tobytes()
 
-    def _piece(self, text: str) -> bytes:
-        words = SPLIT.findall(self.normal(text))
-        out = list(map(self.recent.new.get, words))
-        if None in out:
-            for i, x in enumerate(out):
-                if x is None:
-                    word = words[i]
-                    x = self.recent.new.get(word)
-                    if x is None:
-                        x = self.recent.old.get(word)
-                        if x is None:
-                            x = self.word(word)
-                        else:
-                            self.recent.put(word, x)
-                    out[i] = x
+    def mixed(self, text: str) -> bytes:
+        """The ids of a text with added tokens, or with controls."""
+        out = []
+        for part in self.special.split(text) if self.special else [text]:
+            if part in self.added:
+                out.append(np.array([self.added[part]], np.uint32).tobytes())
+            else:
+                out += map(self.word, SPLIT.findall(self.words.normal(part)))
         return b"".join(out)
 
-    def encode(self, text: str) -> np.ndarray:
-        if self.special is None or not self.special.search(text):
-            return np.frombuffer(self._piece(text), np.uint32)
-        parts = [np.array([self.added[x]], np.uint32).tobytes() if x in self.added else self._piece(x) for x in self.special.split(text) if x]
-        return np.frombuffer(b"".join(parts), np.uint32)
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.frombuffer(x, np.uint32) for x in self.words.ids(texts)]
 
     def decoder(self) -> "Decoder":
         return Decoder(self)
@@ -268,7 +334,7 @@ class Decoder:
 def encoded(batches: Iterable[pa.RecordBatch], codec: Codec) -> Iterator[pa.RecordBatch]:
     """Batches of doc_id, text -> batches of doc_id, ids."""
     for part in C.chunks(batches, limit=1 << 20):
-        ids = [codec.encode(x or "") for x in part.column(1).to_pylist()]
+        ids = codec.encode([x or "" for x in part.column(1).to_pylist()])
         offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
         flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
         yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(offsets, pa.array(flat.view(np.int32)))], ["doc_id", "ids"])

@@ -24,8 +24,8 @@ from __future__ import annotations
 
 import os
 import struct
-import unicodedata
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,12 +53,10 @@ def write_code(values: np.ndarray) -> tuple[bytes, bytes]:
     more = (v >= 1 << 8).astype(np.uint8) + (v >= 1 << 16) + (v >= 1 << 24)
     padded = np.zeros(-(-len(v) // 4) * 4, np.uint8)
     padded[: len(v)] = more
-    control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1, dtype=np.uint8)
-    at = np.cumsum(more, dtype=np.int64) - more + np.arange(len(v))
-    data = np.zeros(int(at[-1]) + 1 + int(more[-1]) if len(v) else 0, np.uint8)
-    for j in range(4):
-        has = more >= j
-        data[at[has] + j] = (v[has] >> np.uint32(8 * j)).astype(np.uint8)
+    four = padded.reshape(-1, 4)
+    control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
+    width = int(more.max()) + 1 if len(v) else 1
+    data = v.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width][more[:, None] >= np.arange(width, dtype=np.uint8)]
     return control.tobytes(), data.tobytes()
 
 
@@ -77,11 +75,22 @@ def read_code(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
 
 def to_file(doc_ids: list[int | None], ids: list[np.ndarray], before: int) -> bytes:
     flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
-    used, place, count = np.unique(flat, return_inverse=True, return_counts=True)
+    if len(flat) and int(flat.max()) < 1 << 22:
+        count = np.bincount(flat)
+        used = np.flatnonzero(count)
+        count, place = count[used], None
+    else:
+        used, place, count = np.unique(flat, return_inverse=True, return_counts=True)
     order = np.lexsort((used, -count))
     rank = np.empty(len(order), np.uint32)
     rank[order] = np.arange(len(order), dtype=np.uint32)
-    control, data = write_code(rank[place])
+    if place is None:
+        of = np.zeros(int(used[-1]) + 1 if len(used) else 0, np.uint32)
+        of[used] = rank
+        ranks = of[flat]
+    else:
+        ranks = rank[place]
+    control, data = write_code(ranks)
     head = struct.pack(HEAD, MAGIC, len(ids), len(flat), len(used), len(data), before)
     return b"".join([head, np.array([x or 0 for x in doc_ids], "<i8").tobytes(), np.array([x is None for x in doc_ids], np.uint8).tobytes(), np.array([len(x) for x in ids], "<i8").tobytes(), used[order].astype("<u4").tobytes(), control, data])
 
@@ -105,9 +114,7 @@ def from_file(raw: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray, int
 
 
 class Library:
-    """The tokenizers library with a bounded memo of words; a text that the split doesn't suit goes to it whole."""
-
-    RECENT = 250_000
+    """The tokenizers library, asked once for words that come again soon."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -116,41 +123,20 @@ class Library:
         self.lib = Tokenizer.from_file(path)
         self.lib.no_truncation()
         self.lib.no_padding()
-        self.codec = bpe.Codec(path)
-        self.special, self.recent = self.codec.special, bpe.Recent(self.RECENT)
+        added = {x.content: i for i, x in self.lib.get_added_tokens_decoder().items()}
+        self.model, self.alphabet = self.lib.model, bpe.byte_alphabet()
+        self.encode = bpe.Words(added, self._words, self._whole, again=False).ids
 
-    def whole(self, text: str) -> bytes:
+    def _whole(self, text: str) -> bytes:
         return np.array(self.lib.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as unsigned 32-bit numbers."""
-        split: list[list[str] | None] = []
-        for text in texts:
-            plain = self.codec.normal(text)
-            # words are normalized again by the library, which must leave them as they are
-            fit = (plain.isascii() or unicodedata.is_normalized("NFC", plain)) and not (self.special and self.special.search(text))
-            split.append(bpe.SPLIT.findall(plain) if fit else None)
-        recent = self.recent
-        missing = list({w for words in split if words for w in set(words) if w not in recent.new and w not in recent.old})
-        fresh = {w: np.array(e.ids, np.uint32).tobytes() for w, e in zip(missing, self.lib.encode_batch_fast(missing, add_special_tokens=False), strict=True)} if missing else {}
-        out = []
-        for text, words in zip(texts, split, strict=True):
-            if words is None:
-                out.append(self.whole(text))
-                continue
-            got = list(map(recent.new.get, words))
-            if None in got:
-                for i, x in enumerate(got):
-                    if x is None:
-                        w = words[i]
-                        x = recent.new.get(w)
-                        if x is None:
-                            x = fresh.get(w) or recent.old.get(w)
-                            if x is None:  # forgotten meanwhile
-                                x = self.whole(w)
-                            recent.put(w, x)
-                        got[i] = x
-            out.append(b"".join(got))
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The library's model gets normalized and split words, in the byte-level alphabet."""
+        tokenize, table, out = self.model.tokenize, self.alphabet, []
+        for word in words:
+            if not word.isascii() or not word.isprintable():
+                word = "".join([table[b] for b in word.encode()])
+            out.append(array("I", [t.id for t in tokenize(word)]).tobytes())
         return out
 
 
