@@ -6,6 +6,8 @@ is an exact integer. Counting and scoring are sharded count joins by packed shuf
 1. Documents are dealt to blocks of about BLOCK_BYTES by a hash. A block counts the n-grams of
    its trusted documents and lists the distinct n-grams of all its documents, each sent to the
    shard of the n-gram's two bytes before the last, sorted and compressed.
+   Blocks of even and odd number have a model each, of the other blocks' trusted documents, so no
+   document is scored by a model that has seen it, and trusted documents are like any others.
 2. A shard adds up the counts. All n-grams of orders 3 to ORDER that end in the same context of
    two bytes are in one shard, so continuation counts are exact there; those of orders 1 and 2
    are at most 65,536 numbers, added up over the shards, as are the counts of counts.
@@ -36,8 +38,9 @@ from slotwise.llm import common as C
 
 U64 = np.uint64
 ORDER, BLOCK_BYTES, PACK_BYTES = 5, 2 << 20, 32 << 20
-LOW, HIGH, MARGIN = 0.002, 0.998, 0.5
-_COUNTS, _LIST, _STATS = 0, 1, -1
+LOW, HIGH, MARGIN = 0.005, 0.995, 0.5
+#: Kinds of rows: counts for model 0 and 1, a block's list of n-grams, the stats.
+_COUNTS, _LIST, _STATS = (0, 1), 2, -1
 
 
 def ngrams(raw: list[bytes], order: int = ORDER) -> np.ndarray:
@@ -206,7 +209,7 @@ def _count(n: int):
             told = [x for x, doc in zip(raw, docs.column("doc_id").to_pylist(), strict=True) if doc is not None and doc in trusted]
             block = key[0].as_py()
             keys, counts = distinct(ngrams(told))
-            rows += [(s, _COUNTS, block, C.pack([np.diff(keys[at], prepend=U64(0)), counts[at]])) for s, at in _lists(keys, n)]
+            rows += [(s, _COUNTS[1 - block % 2], block, C.pack([np.diff(keys[at], prepend=U64(0)), counts[at]])) for s, at in _lists(keys, n)]
             keys, _ = distinct(ngrams(raw))
             rows += [(s, _LIST, block, C.pack([np.diff(keys[at], prepend=U64(0))])) for s, at in _lists(keys, n)]
         return pa.Table.from_arrays(_told(rows), schema=_TOLD)
@@ -222,36 +225,41 @@ def _summed(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """key, value: order 2's continuation counts by n-gram, and for each higher order k, at -(10 k + r), how many n-grams have count r."""
-    blobs = [x for batch in batches for kind, x in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist(), strict=True) if kind == _COUNTS]
-    if not blobs:
-        return
-    found = levels(*_summed(blobs), ORDER)
-    keys, values = [found[2][0].astype(np.int64)], [found[2][1]]
-    for k in range(3, ORDER + 1):
-        keys.append(np.array([-(10 * k + r) for r in (1, 2, 3, 4)]))
-        values.append(np.array([(found[k][1] == r).sum() for r in (1, 2, 3, 4)]))
-    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(values))], ["key", "value"])
+    """key, value: for model m, order 2's continuation counts by n-gram + 65,536 m, and for each higher order k, at
+    -(1000 m + 10 k + r), how many n-grams have count r."""
+    blobs: dict[int, list[bytes]] = {}
+    for batch in batches:
+        for kind, x in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            if kind in _COUNTS:
+                blobs.setdefault(kind, []).append(x)
+    for m, own in blobs.items():
+        found = levels(*_summed(own), ORDER)
+        keys, values = [found[2][0].astype(np.int64) + 65536 * m], [found[2][1]]
+        for k in range(3, ORDER + 1):
+            keys.append(np.array([-(1000 * m + 10 * k + r) for r in (1, 2, 3, 4)]))
+            values.append(np.array([(found[k][1] == r).sum() for r in (1, 2, 3, 4)]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(values))], ["key", "value"])
 
 
 def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The stats, a shard's counts and then the blocks' lists -> log-probabilities for each list."""
-    stats, blobs, tables, pairs = {}, [], None, None
+    stats, blobs, models = {}, {m: [] for m in _COUNTS}, {}
     for batch in batches:
         rows = []
         for shard, kind, block, blob in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
             if kind == _STATS:
                 stats = dict(zip(*(x.tolist() for x in C.unpack(blob)), strict=True))
-            elif kind == _COUNTS:
-                blobs.append(blob)
-            else:
-                if tables is None:
-                    found = levels(*_summed(blobs), ORDER)
-                    blobs.clear()
-                    tables = {k: Level(*found[k], discounts(np.array([stats.get(-(10 * k + r), 0) for r in (1, 2, 3, 4)]))) for k in range(3, ORDER + 1)}
-                    pairs, _ = base({k: v for k, v in stats.items() if k >= 0})
-                keys = np.cumsum(C.unpack(blob)[0], dtype=U64)
-                rows.append((shard, _LIST, block, C.pack([score(keys, tables, pairs, ORDER)])))
+                continue
+            if kind in _COUNTS:
+                blobs[kind].append(blob)
+                continue
+            m = block % 2
+            if m not in models:
+                found = levels(*_summed(blobs.pop(m)), ORDER)
+                tables = {k: Level(*found[k], discounts(np.array([stats.get(-(1000 * m + 10 * k + r), 0) for r in (1, 2, 3, 4)]))) for k in range(3, ORDER + 1)}
+                models[m] = tables, base({k - 65536 * m: v for k, v in stats.items() if 65536 * m <= k < 65536 * (m + 1)})[0]
+            keys = np.cumsum(C.unpack(blob)[0], dtype=U64)
+            rows.append((shard, _LIST, block, C.pack([score(keys, *models[m], ORDER)])))
         yield pa.RecordBatch.from_arrays(_told(rows), schema=_TOLD)
 
 
@@ -287,7 +295,7 @@ def scored(docs: DataFrame, trusted: DataFrame, names: tuple[str, str] = ("n_byt
     spark = docs.sparkSession
     n = C.n_shards(spark)
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    blocks = max(n, -(-total // BLOCK_BYTES))
+    blocks = 2 * max(-(-n // 2), -(-total // (2 * BLOCK_BYTES)))
 
     def block(*of):
         return F.pmod(F.xxhash64(*of), F.lit(blocks)).alias("_block")
@@ -305,7 +313,7 @@ def scored(docs: DataFrame, trusted: DataFrame, names: tuple[str, str] = ("n_byt
                 blob = C.pack([np.array([r["key"] for r in rows], np.int64), np.array([r["value"] for r in rows], np.int64)])
                 yield pa.RecordBatch.from_arrays(_told([(s, _STATS, None, blob) for s in range(n)]), schema=_TOLD)
 
-    # at most 65,536 + 4 * ORDER rows, gathered to one and sent to every shard
+    # at most 2 * (65,536 + 4 * ORDER) rows, gathered to one and sent to every shard
     gathered = stats.agg(F.collect_list(F.struct("key", "value")).alias("rows")).mapInArrow(spread, TOLD)
     answers = counted.union(gathered).repartitionById(n, F.col("shard")).sortWithinPartitions("shard", "kind").mapInArrow(_answer, TOLD)
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -347,3 +355,14 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     trusted = C.written(trusted_ids(labels), "trusted")
     scores = C.written(scored(docs.select(F.col("doc_id").cast("long"), "lang", "text"), trusted).drop("text"), "scores")
     return judged(scores, trusted)
+
+
+def trustworthy(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of docs, all columns, that classify() would keep."""
+    names = ["n_bytes", "perplexity"]
+    while set(names) & set(docs.columns):
+        names = [f"_{x}" for x in names]
+    trusted = C.written(trusted_ids(labels), "trusted")
+    scores = scored(docs, trusted, (names[0], names[1]))
+    rows = C.written(scores.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "lang", F.col(names[1]).alias("perplexity")), "scores")
+    return judged(rows, trusted).where("keep").select("row.*")

@@ -57,6 +57,12 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *map(count, pii.KINDS), F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from slotwise.llm import html_text
+
+    return html_text.texts(table(spark, sf_dir, "pages")).withColumn("n_lines", F.when(F.col("text") == "", 0).otherwise(F.size(F.split("text", "\n"))).cast("long"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from slotwise.llm import common, token_files
 
@@ -95,5 +101,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_substring_dedup, op3_language_id, op4_nearest, op5_pii, op7_token_files, op8_bpe, op9_simhash, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_substring_dedup, op3_language_id, op4_nearest, op5_pii, op6_html_text, op7_token_files, op8_bpe, op9_simhash, op10_decontaminate)}
 ORACLES: dict[str, str] = {}

@@ -207,7 +207,7 @@ def components(edges: DataFrame) -> DataFrame:
     shuffle and joined back, so a vertex with very many neighbours is never one task's group.
     """
     spark = edges.sparkSession
-    path, now = None, edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    path, now = None, C.written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     state = None
     while True:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -233,3 +233,18 @@ def near_duplicates(docs: DataFrame, k: int = 4, budget: int = 4, seed: int = 42
     roots = components(near_edges(nodes, budget))
     named = nodes.join(roots, nodes.rep == roots.v, "left").select(F.col("fp"), F.coalesce("root", "rep").alias("component_id"))
     return fps.join(named, "fp", "left").select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+
+
+def deduplicated(docs: DataFrame, k: int = 4, budget: int = 4, seed: int = 42) -> DataFrame:
+    """The rows of docs, all columns, with one document of each class, that of the least doc_id; rows that share a
+    doc_id are one document, of which the row with the least text stays; rows without doc_id all stay."""
+    classes = C.written(near_duplicates(docs, k, budget, seed).select("doc_id", "component_id").where("doc_id is not null"), "classes")
+    gone = classes.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    out = docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+    several = classes.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("_several"))
+    if several.isEmpty():
+        return out
+    one = out.join(several, out["doc_id"].cast("long") == several["_several"], "left_semi")
+    rest = out.join(several, out["doc_id"].cast("long") == several["_several"], "left_anti")
+    rows = one.select(F.struct(*docs.columns).alias("row"), F.struct(F.coalesce("text", F.lit("")), F.xxhash64(*docs.columns)).alias("key"))
+    return rest.unionByName(rows.groupBy("row.doc_id").agg(F.min_by("row", "key").alias("row")).select("row.*"))
