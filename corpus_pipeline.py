@@ -9,14 +9,21 @@ masked in the text. The last stage encodes the texts and checks that decoding th
 from __future__ import annotations
 
 import hashlib
+import sys
 
 import pyarrow as pa
 import pyarrow.compute
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import slotwise
 from slotwise.llm import bpe, common, decontaminate, kneser_ney, pii, simhash
 
+# executors need no copy of the package: its functions travel by value
+cloudpickle.register_pickle_by_value(slotwise)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: documents that the classifier keeps."""

@@ -39,6 +39,8 @@ from slotwise.llm import common as C
 U64 = np.uint64
 ORDER, BLOCK_BYTES, PACK_BYTES = 5, 2 << 20, 32 << 20
 LOW, HIGH, MARGIN = 0.005, 0.995, 0.5
+#: Log-probabilities travel as multiples of 1 / STEP bits; none is below -100 bits.
+STEP = 256
 #: Kinds of rows: counts for model 0 and 1, a block's list of n-grams, the stats.
 _COUNTS, _LIST, _STATS = (0, 1), 2, -1
 
@@ -161,7 +163,7 @@ def _told(rows: list[tuple]) -> list[pa.Array]:
 
 def _packed(batch: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=5))) as out:
         out.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
@@ -202,21 +204,26 @@ def _lists(keys: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
 
 def _count(n: int):
     def run(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
-        rows = []
-        if left.num_rows:
+        rows, block = [], key[0].as_py()
+        trusted = set(right.column("doc_id").to_pylist())
+        if left.num_rows and trusted:
             docs = _documents(left.column("payload").to_pylist())
-            raw, trusted = _block_texts(docs), set(right.column("doc_id").to_pylist())
-            told = [x for x, doc in zip(raw, docs.column("doc_id").to_pylist(), strict=True) if doc is not None and doc in trusted]
-            block = key[0].as_py()
+            told = [x for x, doc in zip(_block_texts(docs), docs.column("doc_id").to_pylist(), strict=True) if doc is not None and doc in trusted]
             keys, counts = distinct(ngrams(told))
-            rows += [(s, _COUNTS[1 - block % 2], block, C.pack([np.diff(keys[at], prepend=U64(0)), counts[at]])) for s, at in _lists(keys, n)]
-            keys, _ = distinct(ngrams(raw))
-            rows += [(s, _LIST, block, C.pack([np.diff(keys[at], prepend=U64(0))])) for s, at in _lists(keys, n)]
+            rows = [(s, _COUNTS[1 - block % 2], block, C.pack([np.diff(keys[at], prepend=U64(0)), counts[at]])) for s, at in _lists(keys, n)]
         return pa.Table.from_arrays(_told(rows), schema=_TOLD)
 
     return run
 
 
+def _list(n: int):
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        keys, _ = distinct(ngrams(_block_texts(_documents(rows.column("payload").to_pylist()))))
+        return pa.Table.from_arrays(_told([(s, _LIST, key[0].as_py(), C.pack([np.diff(keys[at], prepend=U64(0))])) for s, at in _lists(keys, n)]), schema=_TOLD)
+
+    return run
+
+
 def _summed(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     parts = [C.unpack(x) for x in blobs]
     if not parts:
@@ -259,7 +266,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 tables = {k: Level(*found[k], discounts(np.array([stats.get(-(1000 * m + 10 * k + r), 0) for r in (1, 2, 3, 4)]))) for k in range(3, ORDER + 1)}
                 models[m] = tables, base({k - 65536 * m: v for k, v in stats.items() if 65536 * m <= k < 65536 * (m + 1)})[0]
             keys = np.cumsum(C.unpack(blob)[0], dtype=U64)
-            rows.append((shard, _LIST, block, C.pack([score(keys, *models[m], ORDER)])))
+            rows.append((shard, _LIST, block, C.pack([np.round(score(keys, *models[m], ORDER) * STEP).astype(np.int16)])))
         yield pa.RecordBatch.from_arrays(_told(rows), schema=_TOLD)
 
 
@@ -276,7 +283,7 @@ def _score(n: int, schema: pa.Schema):
         lead = np.concatenate([[True], np.diff(g[order]) != 0]) if len(g) else np.zeros(0, bool)
         keys, log = g[order][lead], np.zeros(int(lead.sum()), np.float32)
         for s, at in _lists(keys, n):
-            log[at] = C.unpack(told[s])[0]
+            log[at] = C.unpack(told[s])[0] / STEP
         each = np.empty(len(g), np.float64)
         each[order] = log[np.cumsum(lead) - 1]
         bits = np.zeros(len(raw))
@@ -315,7 +322,8 @@ def scored(docs: DataFrame, trusted: DataFrame, names: tuple[str, str] = ("n_byt
 
     # at most 2 * (65,536 + 4 * ORDER) rows, gathered to one and sent to every shard
     gathered = stats.agg(F.collect_list(F.struct("key", "value")).alias("rows")).mapInArrow(spread, TOLD)
-    answers = counted.union(gathered).repartitionById(n, F.col("shard")).sortWithinPartitions("shard", "kind").mapInArrow(_answer, TOLD)
+    lists = dealt.groupBy("block").applyInArrow(_list(n), TOLD)
+    answers = counted.union(lists).union(gathered).repartitionById(n, F.col("shard")).sortWithinPartitions("shard", "kind").mapInArrow(_answer, TOLD)
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
