@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from slotwise.plans import aggregates, coverage, entities, ingest, merges, rulepacks, scalar_queries, selection
+from slotwise.plans.base import Query
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+for _part in (coverage, selection, aggregates, entities, merges, rulepacks, scalar_queries, ingest):
+    QUERIES |= _part.family.queries
+    ORACLES |= _part.family.oracles
