@@ -160,41 +160,40 @@ def block_cuts(budget: int) -> list[tuple[int, int]]:
 
 
 def near_edges(nodes: DataFrame, budget: int) -> DataFrame:
-    """u, v: a spanning forest, within each block group, of the nodes (fp, rep) at most budget bits apart; u > v are reps."""
+    """u, v: a spanning forest, within each block group, of the nodes (fp) at most budget bits apart."""
     n, cuts = C.n_shards(nodes.sparkSession), block_cuts(budget)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = batch.column(0).to_numpy().view(U64)
-            rep = batch.column(1).to_numpy()
             rows = []
             for b, (first, bits) in enumerate(cuts):
                 value = _rotate(fp, first) >> U64(64 - bits)
                 shard = (C.mix(value * U64(len(cuts)) + U64(b)) % U64(n)).astype(np.int32)
-                rows += [(s, C.pack([np.array([b], np.uint8), fp[at], rep[at]])) for s, at in C.split_by(shard)]
+                rows += [(s, C.pack([np.array([b], np.uint8), fp[at]])) for s, at in C.split_by(shard)]
             yield C.packed_rows(rows)
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got: dict[int, list] = {}
         for batch in batches:
             for blob in batch.column(1).to_pylist():
-                b, fp, rep = C.unpack(blob)
-                got.setdefault(int(b[0]), []).append((fp, rep))
+                b, fp = C.unpack(blob)
+                got.setdefault(int(b[0]), []).append(fp)
         for b, parts in got.items():
             first, bits = cuts[b]
-            keys, rep = _rotate(np.concatenate([p[0] for p in parts]), first), np.concatenate([p[1] for p in parts])
+            fp = np.concatenate(parts)
+            keys = _rotate(fp, first)
             order = np.argsort(keys)
-            keys, rep = keys[order], rep[order]
+            keys, fp = keys[order], fp[order].view(np.int64)
             value = keys >> U64(64 - bits)
             lo = np.concatenate([[0], np.flatnonzero(np.diff(value)) + 1])
             hi = np.append(lo[1:], len(keys))
             some = hi - lo > 1
             parent = forest(len(keys), trie_pairs(keys, lo[some], hi[some], bits, budget))
             linked = np.flatnonzero(parent != np.arange(len(keys)))
-            a, b2 = rep[linked], rep[parent[linked]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b2)), pa.array(np.minimum(a, b2))], ["u", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array(fp[linked]), pa.array(fp[parent[linked]])], ["u", "v"])
 
-    return C.dealt(nodes.select("fp", "rep").mapInArrow(deal, C.PACKED), n).mapInArrow(join, "u long, v long")
+    return C.dealt(nodes.select("fp").mapInArrow(deal, C.PACKED), n).mapInArrow(join, "u long, v long")
 
 
 # ---------------------------------------------------------------- components
@@ -231,7 +230,10 @@ def near_duplicates(docs: DataFrame, k: int = 4, budget: int = 4, seed: int = 42
     fps = C.written(fingerprints(docs, k, seed), "fingerprints")
     nodes = C.written(fps.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")), "nodes")
     roots = components(near_edges(nodes, budget))
-    named = nodes.join(roots, nodes.rep == roots.v, "left").select(F.col("fp"), F.coalesce("root", "rep").alias("component_id"))
+    members = C.written(roots.union(roots.select(F.col("root").alias("v"), "root").distinct()), "members")
+    least = members.join(nodes, members.v == nodes.fp).groupBy("root").agg(F.min("rep").alias("component_id"))
+    linked = members.join(least, "root").select(F.col("v").alias("fp"), "component_id")
+    named = nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "rep").alias("component_id"))
     return fps.join(named, "fp", "left").select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
