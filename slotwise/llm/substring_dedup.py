@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from slotwise.llm import common as C
 
 U64 = np.uint64
+#: Spans that a shard compares at a time, about.
+GROUP = 400_000
 SCHEMA = "doc_id long, n_words long, removed array<struct<start:int,end:int>>, kept_text string"
 
 
@@ -128,12 +130,16 @@ def dedup(docs: DataFrame, min_words: int = 13, k: int = 5) -> DataFrame:
             return
         ids, sums, start, count, seed, prints = (np.concatenate(x) for x in zip(*got, strict=True))
         got.clear()
-        count = count.astype(np.int64)
-        own = np.repeat(np.arange(len(ids)), count)
-        nth = np.arange(len(prints)) - np.repeat(np.cumsum(count) - count, count)
-        away = np.flatnonzero(_repeats(C.mix(seed[own] * C.MULT + prints), ids[own]))
-        if len(away):
-            yield C.packed_rows(ranges(ids, sums, own[away], (start[own] + nth)[away], n))
+        first = np.cumsum(count, dtype=np.int64) - count
+        groups = -(-len(prints) // GROUP)
+        for g in range(groups):  # equal seeds are in one group
+            at = np.flatnonzero(seed % U64(groups) == g)
+            size = count[at].astype(np.int64)
+            own = np.repeat(at, size)
+            nth = np.arange(len(own)) - np.repeat(np.cumsum(size) - size, size)
+            away = np.flatnonzero(_repeats(C.mix(seed[own] * C.MULT + prints[first[own] + nth]), ids[own]))
+            if len(away):
+                yield C.packed_rows(ranges(ids, sums, own[away], (start[own] + nth)[away], n))
 
     # rows that the map tasks settled pass the seeds' shuffle by: they are dealt among all shards, not held
     planted = rows.mapInArrow(plant, C.PACKED)
