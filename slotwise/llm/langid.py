@@ -160,11 +160,14 @@ def learn(docs: DataFrame) -> Model:
     """The automata of the languages of labelled documents that aren't held out."""
     rows = docs.select(F.col("doc_id").cast("long"), "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     rows = rows.where(~held_out(F.col("doc_id")))
-    langs = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    # the least hashes within each of 64 parts of a language first, then among those
-    keyed = rows.where(F.col("lang").isin(langs)).select("lang", "doc_id", F.xxhash64("doc_id").alias("h"), F.substring("text", 1, DOC_CHARS).alias("text"))
-    some = keyed.withColumn("n", F.row_number().over(W.partitionBy("lang", F.pmod("h", F.lit(64))).orderBy("h", "doc_id", "text"))).where(F.col("n") <= SAMPLE_DOCS).drop("n")
-    some = some.withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy("h", "doc_id", "text"))).where(F.col("n") <= SAMPLE_DOCS)
+    sizes = [tuple(r) for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
+    if not sizes:
+        return Model({})
+    # of each language about four times the documents wanted, by a bound on the hash, and of those the least
+    bound = F.create_map(*[F.lit(x) for lang, n in sizes for x in (lang, min(1 << 40, (SAMPLE_DOCS << 42) // n + 1))])
+    keyed = rows.withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))).where(F.col("h") < F.try_element_at(bound, F.col("lang")))
+    keyed = keyed.select("lang", "doc_id", "h", F.substring("text", 1, DOC_CHARS).alias("text"))
+    some = keyed.withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy("h", "doc_id", "text"))).where(F.col("n") <= SAMPLE_DOCS)
     samples: dict[str, str] = {}
     for lang, text in some.orderBy("lang", "n").select("lang", "text").collect():
         own = samples.get(lang, "")
