@@ -28,13 +28,14 @@ from pyspark.sql import functions as F
 from slotwise.llm import common as C
 
 U64 = np.uint64
-FINGERPRINTS = "doc_id long, fp long"
-#: Pairs of trie nodes that the traversal holds at once, and leaves' products below which a pair is compared outright.
-WIDTH, LEAF = 200_000, 256
+FINGERPRINTS = "doc_id long, fp long, text_hash long"
+#: Pairs of trie nodes that the traversal holds at once; sizes of pairs of nodes that are compared outright, many at
+#: once up to LEAF keys times keys, one by one up to DENSE keys each; comparisons at once.
+WIDTH, LEAF, DENSE, AT_ONCE = 100_000, 512, 1024, 1 << 20
 
 
-def fingerprint_chunk(raw: list[bytes], k: int, seed: int) -> np.ndarray:
-    """The fingerprints of some texts, as unsigned 64-bit numbers."""
+def fingerprint_chunk(raw: list[bytes], k: int, seed: int, once: bool = False) -> np.ndarray:
+    """The fingerprints of some texts, as unsigned 64-bit numbers; once: of their different shingles."""
     hashes, sizes, digest = [], [], xxhash.xxh64_intdigest
     for text in raw:
         words = text.lower().split()
@@ -47,8 +48,9 @@ def fingerprint_chunk(raw: list[bytes], k: int, seed: int) -> np.ndarray:
             joined = b" ".join(words)
             ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
             starts = [0, *ends[: len(words) - k].tolist()]
-            hashes.extend([digest(joined[s:e], seed) for s, e in zip(starts, (ends[k - 1 :] - 1).tolist(), strict=True)])
-            sizes.append(len(starts))
+            own = [digest(joined[s:e], seed) for s, e in zip(starts, (ends[k - 1 :] - 1).tolist(), strict=True)]
+            hashes.extend(own := list(set(own)) if once else own)
+            sizes.append(len(own))
     out = np.zeros(len(raw), U64)
     if not hashes:
         return out
@@ -65,13 +67,14 @@ def fingerprint_chunk(raw: list[bytes], k: int, seed: int) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, k: int = 4, seed: int = 42) -> DataFrame:
-    """doc_id, fp (the fingerprint's bits as a signed long) of every row."""
+def fingerprints(docs: DataFrame, k: int = 4, seed: int = 42, once: bool = False) -> DataFrame:
+    """doc_id, fp (the fingerprint's bits as a signed long), text_hash (Spark's xxhash64 of the text) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in C.chunks(batches):
-            fp = fingerprint_chunk(C.texts(part), k, seed)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            raw = C.texts(part)
+            fp, own = fingerprint_chunk(raw, k, seed, once), np.array([xxhash.xxh64_intdigest(x, 42) for x in raw], U64)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp.view(np.int64)), pa.array(own.view(np.int64))], ["doc_id", "fp", "text_hash"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, FINGERPRINTS)
 
@@ -90,6 +93,20 @@ def _split(keys: np.ndarray, lo: np.ndarray, hi: np.ndarray, depth: int) -> np.n
     return np.clip(np.searchsorted(keys, prefix | bit), lo, hi)
 
 
+def _compared(keys: np.ndarray, alo: np.ndarray, ahi: np.ndarray, blo: np.ndarray, bhi: np.ndarray, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The near pairs of many pairs of small ranges, some millions of comparisons at a time."""
+    na, nb = ahi - alo, bhi - blo
+    total = na * nb
+    for part in np.split(np.arange(len(na)), np.flatnonzero(np.diff(np.cumsum(total) // AT_ONCE)) + 1) if len(na) else ():
+        own = total[part]
+        at = np.repeat(part, own)
+        r = np.arange(len(at)) - np.repeat(np.cumsum(own) - own, own)
+        i, j = alo[at] + r // nb[at], blo[at] + r % nb[at]
+        near = (i < j) & (popcount(keys[i] ^ keys[j]) <= budget)
+        if near.any():
+            yield i[near], j[near]
+
+
 def trie_pairs(keys: np.ndarray, lo: np.ndarray, hi: np.ndarray, depth: int, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Positions (i, j) of all pairs of the sorted distinct keys, within each range [lo, hi) that shares its first
     depth bits, that differ in at most budget bits. Each range is a trie node; it is joined with itself."""
@@ -100,18 +117,16 @@ def trie_pairs(keys: np.ndarray, lo: np.ndarray, hi: np.ndarray, depth: int, bud
             for s in range(0, len(alo), WIDTH):
                 todo.append((*(x[s : s + WIDTH] for x in (alo, ahi, blo, bhi, diff)), d))
             continue
-        small = ((ahi - alo) * (bhi - blo) <= LEAF) | (d >= 64)
-        if small.any():
-            na, nb = (ahi - alo)[small], (bhi - blo)[small]
-            total = na * nb
-            at = np.repeat(np.arange(len(na)), total)
-            r = np.arange(len(at)) - np.repeat(np.cumsum(total) - total, total)
-            i, j = alo[small][at] + r // nb[at], blo[small][at] + r % nb[at]
-            keep = i < j
-            i, j = i[keep], j[keep]
-            near = popcount(keys[i] ^ keys[j]) <= budget
-            if near.any():
-                yield i[near], j[near]
+        product = (ahi - alo) * (bhi - blo)
+        small = (product <= LEAF) | (d >= 64)
+        yield from _compared(keys, alo[small], ahi[small], blo[small], bhi[small], budget)
+        dense = ~small & (np.maximum(ahi - alo, bhi - blo) <= DENSE)
+        for x, y, z, w in zip(*(v[dense].tolist() for v in (alo, ahi, blo, bhi)), strict=True):
+            near = popcount(keys[x:y, None] ^ keys[None, z:w]) <= budget
+            i, j = np.nonzero(np.triu(near, 1) if x == z else near)
+            if len(i):
+                yield i + x, j + z
+        small |= dense
         big = ~small
         if not big.any():
             continue
@@ -225,28 +240,99 @@ def components(edges: DataFrame) -> DataFrame:
         path, state = new, tuple(sums)
 
 
-def near_duplicates(docs: DataFrame, k: int = 4, budget: int = 4, seed: int = 42) -> DataFrame:
-    """doc_id, fp, component_id of every row: the least doc_id reachable over links of at most budget differing bits."""
-    fps = C.written(fingerprints(docs, k, seed), "fingerprints")
+def near_duplicates(docs: DataFrame, k: int = 4, budget: int = 4, seed: int = 42, once: bool = False) -> DataFrame:
+    """doc_id, fp, text_hash, component_id of every row: the least doc_id reachable over links of at most budget
+    differing bits."""
+    fps = C.written(fingerprints(docs, k, seed, once), "fingerprints")
     nodes = C.written(fps.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")), "nodes")
     roots = components(near_edges(nodes, budget))
     members = C.written(roots.union(roots.select(F.col("root").alias("v"), "root").distinct()), "members")
     least = members.join(nodes, members.v == nodes.fp).groupBy("root").agg(F.min("rep").alias("component_id"))
     linked = members.join(least, "root").select(F.col("v").alias("fp"), "component_id")
     named = nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "rep").alias("component_id"))
-    return fps.join(named, "fp", "left").select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    return fps.join(named, "fp", "left").select("doc_id", "fp", "text_hash", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-def deduplicated(docs: DataFrame, k: int = 4, budget: int = 4, seed: int = 42) -> DataFrame:
-    """The rows of docs, all columns, with one document of each class, that of the least doc_id; rows that share a
-    doc_id are one document, of which the row with the least text stays; rows without doc_id all stay."""
-    classes = C.written(near_duplicates(docs, k, budget, seed).select("doc_id", "component_id").where("doc_id is not null"), "classes")
-    gone = classes.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    out = docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
-    several = classes.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("_several"))
-    if several.isEmpty():
-        return out
-    one = out.join(several, out["doc_id"].cast("long") == several["_several"], "left_semi")
-    rest = out.join(several, out["doc_id"].cast("long") == several["_several"], "left_anti")
-    rows = one.select(F.struct(*docs.columns).alias("row"), F.struct(F.coalesce("text", F.lit("")), F.xxhash64(*docs.columns)).alias("key"))
-    return rest.unionByName(rows.groupBy("row.doc_id").agg(F.min_by("row", "key").alias("row")).select("row.*"))
+# ---------------------------------------------------------------- keeping one of each class
+
+#: Documents of a class that a task compares with as many others.
+CLASS_CHUNK = 512
+COLUMNS = 4096
+
+
+def shingle_set(text: bytes, words: int) -> np.ndarray:
+    """The hashes of a text's different shingles; all its words, if it has fewer."""
+    own = text.lower().split()
+    size = min(words, len(own))
+    return np.array(sorted({xxhash.xxh64_intdigest(b" ".join(own[i : i + size])) for i in range(len(own) - size + 1)}) if own else [], U64)
+
+
+def similar_pairs(sets: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (i < j) of the sets with a Jaccard similarity of at least `least`; two empty ones are equal."""
+    size = np.array([len(x) for x in sets], np.int64)
+    _, which = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), size)
+    shared = np.zeros((len(sets), len(sets)), np.float32)
+    order = np.argsort(which, kind="stable")
+    which, row = which[order], row[order]
+    for start in range(0, int(which[-1]) + 1 if len(which) else 0, COLUMNS):
+        lo, hi = np.searchsorted(which, [start, start + COLUMNS])
+        part = np.zeros((len(sets), COLUMNS), np.float32)
+        part[row[lo:hi], which[lo:hi] - start] = 1
+        shared += part @ part.T
+    either = size[:, None] + size[None, :] - shared
+    return np.nonzero(np.triu(shared >= least * either - 1e-4, 1))
+
+
+def similar_edges(members: DataFrame, words: int, least: float) -> DataFrame:
+    """u, v: a forest, for each pair of chunks of a class, of its documents (class, doc_id, text) that are similar.
+    Every two documents of a class meet in a task, but no task gets more than two chunks, and none emits its pairs."""
+    n = C.n_shards(members.sparkSession)
+    sizes = members.groupBy("class").agg(F.ceil(F.count("*") / CLASS_CHUNK).cast("int").alias("chunks"))
+    rows = members.join(sizes, "class").withColumn("c", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int"))
+    rows = rows.withColumn("d", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    rows = rows.select("class", F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b"), "doc_id", "text").repartition(n, "class", "a", "b").sortWithinPartitions("class", "a", "b", "doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, ids, sets = None, [], []
+
+        def close() -> Iterator[pa.RecordBatch]:
+            if len(ids) > 1:
+                parent = forest(len(ids), iter([similar_pairs(sets, least)]))
+                linked = np.flatnonzero(parent != np.arange(len(ids)))
+                own = np.array(ids, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(own[linked]), pa.array(own[parent[linked]])], ["u", "v"])
+
+        for part in C.chunks(batches):
+            for key, doc, text in zip(zip(*(part.column(i).to_pylist() for i in range(3)), strict=True), part.column(3).to_pylist(), C.texts(part), strict=True):
+                if key != now:
+                    yield from close()
+                    now, ids, sets = key, [], []
+                ids.append(doc)
+                sets.append(shingle_set(text, words))
+        yield from close()
+
+    return rows.mapInArrow(run, "u long, v long")
+
+
+def deduplicated(docs: DataFrame, words: int = 5, least: float = 0.8, k: int = 2, budget: int = 8, seed: int = 42) -> DataFrame:
+    """The rows of docs, all columns, with one document of each class, that of the least doc_id.
+
+    Candidates are the SimHash classes over different shingles of k words at `budget` bits; within a candidate class
+    documents are linked if their shingles of `words` words have a Jaccard similarity of at least `least`, exactly.
+    Rows with equal doc_id and text are one document, of which one row stays; rows with equal doc_id and other texts
+    are different ones; null text is empty; rows without doc_id all stay.
+    """
+    names = docs.columns
+    key = [F.col("doc_id").cast("long").alias("_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text")]
+    found = C.written(near_duplicates(docs, k, budget, seed, once=True).where("doc_id is not null"), "classes")
+    several = found.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").select("component_id")
+    members = found.join(several, "component_id").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text"), F.col("component_id").alias("_class")).distinct()
+    # one plan at every size: the members grow with the documents, so they are never broadcast
+    tagged = C.written(docs.select(F.struct(*names).alias("_row"), "text", *key).join(members.hint("merge"), ["_id", "_text"], "left"), "tagged")
+    some = tagged.where("_class IS NOT NULL")
+    firsts = C.written(some.groupBy("_class", F.coalesce("text", F.lit("")).alias("text")).agg(F.min("_id").alias("doc_id")).select(F.col("_class").alias("class"), "doc_id", "text"), "firsts")
+    gone = components(similar_edges(firsts, words, least)).select(F.col("v").alias("doc_id"))
+    stay = firsts.join(gone, "doc_id", "left_anti").select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_text"))
+    rows = some.join(stay, ["_id", "_text"], "left_semi").groupBy("_id", "_text").agg(F.min_by("_row", F.xxhash64("_row")).alias("_row"))
+    return tagged.where("_class IS NULL").select("_row.*").unionByName(rows.select("_row.*"))

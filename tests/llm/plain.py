@@ -34,9 +34,15 @@ def substring_dedup(docs, n=13):
     return out
 
 
-def simhash(text, k=4):
+def shingles_of(text, k):
     w = (text or "").encode().lower().split()
-    shingles = [b" ".join(w[i : i + k]) for i in range(max(1, len(w) - k + 1))] if w else []
+    return [b" ".join(w[i : i + k]) for i in range(max(1, len(w) - k + 1))] if w else []
+
+
+def simhash(text, k=4, once=False):
+    shingles = shingles_of(text, k)
+    if once:
+        shingles = set(shingles)
     count = [0] * 64
     for s in shingles:
         h = xxhash.xxh64_intdigest(s, 42)
@@ -67,6 +73,39 @@ def near_duplicates(docs, budget=4):
     return [(d, f"{f:016x}", None if d is None else least[find(f)]) for d, f in fps]
 
 
+def classes(values, linked):
+    """The least value that each is connected to."""
+    root = {}
+    for v in sorted(values):
+        if v in root:
+            continue
+        todo = [v]
+        while todo:
+            x = todo.pop()
+            if x not in root:
+                root[x] = v
+                todo += [y for y in values if y not in root and linked(x, y)]
+    return root
+
+
+def deduplicated(docs, words=5, least=0.8, k=2, budget=8):
+    """(doc_id, text) that stay: one of each class of similar documents within a SimHash class."""
+    docs = [(d, t or "") for d, t in docs]
+    rows = sorted({(d, t) for d, t in docs if d is not None})
+    fp = {t: simhash(t, k, once=True) for _, t in rows}
+    near = classes(set(fp.values()), lambda a, b: (a ^ b).bit_count() <= budget)
+    sets = {t: set(shingles_of(t, words)) for _, t in rows}
+
+    def similar(a, b):
+        if near[fp[a[1]]] != near[fp[b[1]]]:
+            return False
+        x, y = sets[a[1]], sets[b[1]]
+        return len(x & y) >= least * len(x | y)
+
+    root = classes(rows, similar)
+    return [r for r in rows if root[r] == r] + [(d, t) for d, t in docs if d is None]
+
+
 def contamination(docs, items, n=10):
     pattern = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 

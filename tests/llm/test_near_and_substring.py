@@ -1,8 +1,10 @@
+import random
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from plain import near_duplicates, sha, simhash, substring_dedup
+from plain import deduplicated, near_duplicates, sha, simhash, substring_dedup
 
 from pyspark.sql import functions as F
 from slotwise.llm import common, simhash as near, substring_dedup as sub
@@ -83,9 +85,31 @@ def test_long_text_fingerprint_in_pieces():
 def test_one_document_of_each_class_stays(odd, odd_pairs):
     out = near.deduplicated(odd)
     assert out.columns == odd.columns
-    roots = {d: c for d, _, c in near_duplicates(odd_pairs)}
-    assert some(r["doc_id"] for r in out.collect() if r["doc_id"] is not None) == some({d for d, c in roots.items() if d is not None and d == c})
-    assert out.where("doc_id is null").count() == 2
+    assert some((r["doc_id"], r["text"] or "") for r in out.collect()) == some(deduplicated(odd_pairs))
+
+
+@pytest.mark.parametrize("chunk", [512, 3])
+def test_near_copies_and_large_classes(spark, monkeypatch, chunk):
+    monkeypatch.setattr(near, "CLASS_CHUNK", chunk)
+    rng = random.Random(11)
+    base = [f"{rng.choice('abcdefgh')}{rng.randint(0, 400)}" for _ in range(150)]
+    pairs = [(i, " ".join("zz" if j in (i % 37, 3 * i % 149) else w for j, w in enumerate(base))) for i in range(60)]
+    pairs += [(1000 + i, " ".join(rng.sample(base, 150))) for i in range(10)] + [(2000, pairs[5][1])]
+    out = near.deduplicated(spark.createDataFrame(pairs, "doc_id long, text string"))
+    assert some(map(tuple, out.collect())) == some(deduplicated(pairs))
+    assert out.count() == 11
+
+
+def test_nothing_to_deduplicate(none):
+    assert near.deduplicated(none).collect() == []
+
+
+def test_similar_pairs_are_exact():
+    rng = random.Random(12)
+    sets = [sorted(rng.sample(range(40), rng.randint(0, 12))) for _ in range(60)] + [[], [], [1, 2, 3, 4], [1, 2, 3, 4, 5]]
+    i, j = near.similar_pairs([np.array(x, np.uint64) for x in sets], 0.8)
+    want = {(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets)) if len({*sets[a]} & {*sets[b]}) >= 0.8 * len({*sets[a]} | {*sets[b]})}
+    assert set(zip(i.tolist(), j.tolist(), strict=True)) == want
 
 
 def test_numpy_hash_is_sparks(spark):

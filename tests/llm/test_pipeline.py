@@ -1,7 +1,7 @@
 import hashlib
 
 import pytest
-from plain import base_spans, contamination, library, near_duplicates
+from plain import base_spans, contamination, deduplicated, library
 
 import corpus_pipeline as pipeline
 from slotwise.llm import common, kneser_ney, pii, queries
@@ -32,7 +32,7 @@ def test_each_stage_on_its_input(spark, steps):
     keep = {r["doc_id"] for r in kneser_ney.classify(docs, spark.read.parquet(f"{SF}/labels.parquet")).collect() if r["keep"]}
     assert set(rows(steps[0])) == keep
     before = [(d, r["text"]) for d, r in rows(steps[0]).items()]
-    assert set(rows(steps[1])) == {d for d, _, c in near_duplicates(before) if c == d}
+    assert set(rows(steps[1])) == {d for d, _ in deduplicated(before)}
     before = [(d, r["text"]) for d, r in rows(steps[1]).items()]
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
     assert set(rows(steps[2])) == {x[0] for x in contamination(before, items) if not x[-1]}
