@@ -177,3 +177,11 @@ def last_or_first_year(d: Dialect, title: str, date: str) -> str:
     """the title's last year, else the date's first."""
     a, b = _years(d, title, r"\b(20[0-9]{2})\b"), _years(d, date, r"(20[0-9]{2})")
     return f"coalesce({d.call('last', a)}, {d.call('first', b)})"
+
+
+def two_stages(d: Dialect, body: str, title: str) -> tuple[str, str]:
+    """the year that the document names (confidence 1), else its title's last year (0.7)."""
+    years = _years(d, title, r"\b(20[0-9]{2})\b")
+    own = form_17a(d, body)[0]
+    last = d.call("last", years)
+    return f"coalesce({own}, {last})", f"cast(CASE WHEN {own} IS NOT NULL THEN 1.0 WHEN {last} IS NOT NULL THEN 0.7 ELSE 0.0 END AS double)"

@@ -246,3 +246,25 @@ def magic(content: Column) -> Column:
     """pdf, html, zip or other by the first bytes."""
     head = F.lower(F.hex(F.substring(content, 1, 5)))
     return F.when(head.startswith("255044462d"), "pdf").when(head.startswith("504b0304"), "zip").when(head.startswith("3c"), "html").otherwise("other")
+
+
+PATH_FIELDS = ("filePath", "path", "file", "url", "link", "downloadUrl", "attachment", "fileName", "pdfPath")
+
+
+def first_pdf(row: Column) -> Column:
+    """The first field of a record (a map) that looks like a document's path: the usual names, then any."""
+    named = [F.when(F.contains(F.lower(v), F.lit(".pdf")) | F.contains(v, F.lit("/")), F.trim(v)) for v in (F.try_element_at(row, F.lit(k)) for k in PATH_FIELDS)]
+    other = F.filter(F.map_values(row), lambda v: F.contains(F.lower(v), F.lit(".pdf")) | F.contains(F.lower(v), F.lit("upload_")))
+    return F.coalesce(*named, F.trim(F.try_element_at(other, F.lit(1))), F.lit(""))
+
+
+def pages_and_size(c: Column) -> tuple[Column, Column]:
+    """The "12 pages 3.2MB" at a text's end."""
+    return F.regexp_extract(c, r"(?i)([0-9]+)\s+pages?\b", 1).try_cast("int"), size_bytes(F.regexp_extract(c, r"(?i)([0-9.]+\s*(?:KB|MB|GB|B))\s*$", 1))
+
+
+def slugs(land: Column, ticker: Column) -> Column:
+    """The names that a site may have for a listing, best first."""
+    dashed = F.translate(F.lower(ticker), "._", "--")
+    plain = F.regexp_replace(F.lower(ticker), "[._-]", "")
+    return F.array_distinct(F.transform(F.array(dashed, plain, F.substring(plain, 1, 6), F.substring(plain, 1, 5), F.substring(plain, 1, 4)), lambda x: F.concat_ws("-", land, x)))

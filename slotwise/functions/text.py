@@ -52,6 +52,11 @@ PH_FULL = ("17-a", "annual report", "annual_report", "annual-report")
 PH_COMPONENT = ("financial statement", "audited financial", "supplementary schedule", "auditor", "afs")
 HK_PENALISED = ("supplement", "notification", "request form")
 HK_CJK = ("年報", "年度報告", "年度报告")
+SG_REJECT_TERMS = ("clarification", "corrigendum", "analysis", "shareholding", "notice", "proxy", "letter", "requestform", "request form", "market research", "addendum", "errata", "press release", "highlights", "presentation", "factsheet", "circular", "agm", "appendix", "statement", "summary")
+UK_TITLE_EXCLUDED = ("half", "interim", "quarter", "proxy", "notice", "agm", "result of", "award", "statement", "availability", "convening")
+UK_TITLE_WANTED = ("annual", "accounts", "financial report", "report and accounts")
+SITEMAP_REPORT = r"(?:annual|integrated|sustainability|esg|csr|climate|tcfd|databook).*(?:201[7-9]|202[0-5]).*\.pdf"
+SITEMAP_SR = ("sustain", "esg", "csr", "climate", "tcfd", "databook")
 
 
 def squeezed(d: Dialect, t: str) -> str:
@@ -217,3 +222,35 @@ def source_format(d: Dialect, url: str) -> str:
     """Format by the address's ending."""
     u = f"lower({url})"
     return case([(f"{u} LIKE '%.pdf'", "'pdf'"), (f"({u} LIKE '%.htm' OR {u} LIKE '%.html')", "'html'"), (f"{u} LIKE '%.zip'", "'zip'")], "'other'")
+
+
+def singapore_pick(d: Dialect, name: str, size: str, kind: str) -> str:
+    """Score for choosing among attachments: language, rejected terms (each counts), title, resolution, size."""
+    t = f"lower({name})"
+    whole = "bigint"
+    chinese = f"({found(d, t, r'[-_ ]c(?:hi|hinese|[.]pdf|_|' + chr(92) + 'b)')} OR {t} LIKE 'c_%' AND substring({t}, 2, 1) = '_' OR {has(t, ['cisdn', 'mandarin', 'chinese'])})"
+    english = f"({found(d, t, r'[-_ ]e(?:ng|nglish|[.]pdf|_|' + chr(92) + 'b)')} OR {t} LIKE 'e_%' AND substring({t}, 2, 1) = '_' OR {has(t, ['eisdn', 'english'])})"
+    ar, sr = f"({kind} = 'AR')", f"({kind} = 'SR')"
+    title = has(t, ["annual report", "annual_report", "annualreport"])
+    weights = [(chinese, -2000), (english, 300), *[(has(t, [x]), -500) for x in SG_REJECT_TERMS], (f"({ar} AND {title})", 250), (f"({ar} AND NOT {title} AND {has(t, ['ar20', 'ar 20'])})", 180), (f"({sr} AND {has(t, ['sustainability', 'sustainable'])})", 250), (f"({sr} AND {has(t, ['esg', 'csr'])})", 180), (has(t, ["low res", "lowres"]), -50), (has(t, ["high res", "hires", "hi-res"]), 50)]
+    return f"({total(weights)} + cast(least(150, floor(coalesce({size}, 0) / 102400)) AS {whole}))"
+
+
+def annual_title(d: Dialect, title: str) -> str:
+    """Whether a title is an annual report's."""
+    t = f"lower({title})"
+    return f"(NOT {has(t, UK_TITLE_EXCLUDED)} AND {has(t, UK_TITLE_WANTED)})"
+
+
+def sitemap_report(d: Dialect, url: str) -> tuple[str, str]:
+    """C17: year and type of an address that looks like a report's, else NULL."""
+    t = f"lower({url})"
+    ok = found(d, t, SITEMAP_REPORT)
+    year = f"cast(nullif(regexp_extract({t}, {d.re('(201[7-9]|202[0-5])')}, 1), '') AS int)"
+    return f"CASE WHEN {ok} THEN {year} END", f"CASE WHEN {ok} THEN {case([(has(t, ['integrated']), chr(39) + 'IR' + chr(39)), (has(t, SITEMAP_SR), chr(39) + 'SR' + chr(39))], chr(39) + 'AR' + chr(39))} END"
+
+
+def part_mark(d: Dialect, name: str) -> str:
+    """C20: the part that a file name says it is (part 2, _p2, volume 2), else NULL."""
+    marks = [f"nullif(regexp_extract(lower({name}), {d.re('(' + p + ')')}, 1), '')" for p in (r"part\s*[1-9]", r"_p[1-9]\b", r"vol(?:ume)?\s*[1-9]")]
+    return f"coalesce({', '.join(marks)})"

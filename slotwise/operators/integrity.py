@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -54,3 +54,27 @@ def size_check(expected: DataFrame, actual: DataFrame, key: str) -> DataFrame:
     got = actual.select(key, F.col("length").alias("_length"))
     state = F.when(F.col("_length").isNull(), "missing").when(F.col("_length") == 0, "zero").when(F.col("_length") != F.col("bytes"), "mismatch").otherwise("valid")
     return expected.join(got, key, "left").withColumn("state", state).drop("_length")
+
+
+def adaptive_limit(events: DataFrame, by: Sequence[str], ts: str, status: str, order: str, start: int = 4, most: int = 16, quiet: int = 60) -> DataFrame:
+    """The limit after a group's last response: halved by 429 and 503, one more by a 200 that comes `quiet` seconds
+    or more after the last change. A replay in order, so a group's events are one ordered array."""
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    ordered = events.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(micros.alias("t"), F.col(order).alias("o"), F.col(status).alias("s")))).alias("_e"))
+    begin = F.struct(F.lit(start).alias("limit"), F.element_at("_e", 1)["t"].alias("t"))
+
+    def step(a: Column, e: Column) -> Column:
+        up = (e["s"] == 200) & (e["t"] - a["t"] >= quiet * 1_000_000)
+        limit = F.when(e["s"].isin(429, 503), F.greatest(F.lit(1), F.floor(a["limit"] / 2).cast("int"))).when(up, F.least(F.lit(most), a["limit"] + 1)).otherwise(a["limit"])
+        return F.struct(limit.alias("limit"), F.when(e["s"].isin(429, 503) | up, e["t"]).otherwise(a["t"]).alias("t"))
+
+    return ordered.select(*by, F.aggregate("_e", begin, step)["limit"].alias("limit"))
+
+
+def nearby(champion: tuple[int, int] | None, cap: int = 2) -> list[tuple[int, int]]:
+    """Configurations (workers, per host) next to the best so far."""
+    if champion is None:
+        return [(16, 2), (32, 2)]
+    w, h = champion
+    around = [(w, h), (max(1, w // 2), h), (min(128, 2 * w), h), (w, max(1, h - 1)), (w, min(cap, h + 1))]
+    return [c for c in dict.fromkeys(around) if c[1] <= c[0]]

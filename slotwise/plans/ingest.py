@@ -94,3 +94,45 @@ def directives(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("c_custkey")
     text = F.concat(F.lit("next "), (k % 90 + 5).cast("string"), F.lit(" Indian issuers for "), (2015 + k % 4).cast("string"), F.lit(" to "), (2020 + k % 4).cast("string"))
     return read(spark, sf, "customer").select("c_custkey", *readers.directive(text))
+
+
+@family("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '/docs/' || event_id WHEN event_id % 3 = 1 THEN 'A' || event_id || '.PDF' ELSE '' END AS path FROM events")
+def first_pdf_field(spark: SparkSession, sf: str) -> DataFrame:
+    """The field of a record that is a document's path."""
+    k, s = F.col("event_id") % 3, F.col("event_id").cast("string")
+    row = F.when(k == 0, F.create_map(F.lit("note"), F.lit("x"), F.lit("link"), F.concat(F.lit("/docs/"), s))).when(k == 1, F.create_map(F.lit("zz"), F.concat(F.lit("A"), s, F.lit(".PDF")), F.lit("link"), F.lit("none"))).otherwise(F.create_map(F.lit("link"), F.lit("none")))
+    return read(spark, sf, "events").select("event_id", S.first_pdf(row).alias("path"))
+
+
+@family("SELECT p_partkey, CAST(p_size AS INT) AS pages, CAST(floor((p_size + 0.25) * 1048576) AS BIGINT) AS bytes FROM part")
+def pages_and_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """The page count and size that a table row ends with."""
+    n = F.col("p_size").cast("string")
+    pages, size = S.pages_and_size(F.concat(F.col("p_name"), F.lit(" "), n, F.lit(" pages "), n, F.lit(".25MB")))
+    return read(spark, sf, "part").select("p_partkey", pages.alias("pages"), size.alias("bytes"))
+
+
+@family("""
+WITH l AS (SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 'zz' || s_suppkey || '.x' ELSE 'none' || s_suppkey END AS ticker, 'name' || s_suppkey AS word FROM supplier),
+p AS (SELECT 'ken-zz' || s_suppkey || 'x' AS slug FROM supplier WHERE s_suppkey % 2 = 0 UNION SELECT 'ken-name' || s_suppkey || 'plc' FROM supplier WHERE s_suppkey % 5 = 0),
+d AS (SELECT s_suppkey, 'ken-' || replace(ticker, '.', '') AS slug FROM l WHERE 'ken-' || replace(ticker, '.', '') IN (SELECT slug FROM p))
+SELECT * FROM d UNION ALL SELECT s_suppkey, min(slug) FROM l JOIN p ON starts_with(substr(slug, 5), word) OR starts_with(word, substr(slug, 5)) WHERE s_suppkey NOT IN (SELECT s_suppkey FROM d) GROUP BY s_suppkey""")
+def slug_matches(spark: SparkSession, sf: str) -> DataFrame:
+    """A site's page for a listing, by guessed names, then by the words of its name."""
+    from slotwise.operators import resolve
+
+    s, k = read(spark, sf, "supplier"), F.col("s_suppkey").cast("string")
+    listings = s.select("s_suppkey", F.lit("ken").alias("land"), F.when(F.col("s_suppkey") % 3 == 0, F.concat(F.lit("zz"), k, F.lit(".x"))).otherwise(F.concat(F.lit("none"), k)).alias("ticker"), F.array(F.concat(F.lit("name"), k)).alias("words"))
+    pages = s.where("s_suppkey % 2 = 0").select(F.concat(F.lit("ken-zz"), k, F.lit("x")).alias("slug")).union(s.where("s_suppkey % 5 = 0").select(F.concat(F.lit("ken-name"), k, F.lit("plc"))))
+    return resolve.by_slug(listings, pages, "s_suppkey", "land", F.slice(S.slugs(F.col("land"), F.col("ticker")), 1, 2), F.col("words"))
+
+
+def adaptive_limits(spark: SparkSession, sf: str) -> DataFrame:
+    """A limit that halves and grows with the responses, replayed for each user."""
+    from slotwise.operators import integrity
+
+    e = read(spark, sf, "events").withColumn("status", F.when(F.col("event_id") % 9 == 0, 429).otherwise(200))
+    return integrity.adaptive_limit(e, ["user_id"], "ts", "status", "event_id")
+
+
+family.add("adaptive_limits", adaptive_limits)

@@ -99,3 +99,8 @@ add("fy_cascade_new_zealand", lambda d: _year(fiscal.new_zealand(d, "title", "ca
 add("fy_form_17a", lambda d: _year(fiscal.form_17a(d, "title")))
 add("fy_unique_year", lambda d: {"fiscal_year": fiscal.unique_year(d, "title")})
 add("fy_last_or_first", lambda d: {"fiscal_year": fiscal.last_or_first_year(d, "title", "period")})
+add("score_singapore_pick", lambda d: {"score": text.singapore_pick(d, "title", "(pages * 40000)", "kind")})
+add("annual_title", lambda d: {"annual": text.annual_title(d, "title")})
+add("sitemap_reports", lambda d: _named("fiscal_year report_type", text.sitemap_report(d, "concat('https://x.example/', replace(title, ' ', '-'), '.pdf')")))
+add("part_marks", lambda d: {"part": text.part_mark(d, "concat(title, ' part ', substring(kind, 1, 1), '_p3 vol 2')")})
+add("fy_two_stages", lambda d: _named("fiscal_year confidence", fiscal.two_stages(d, "title", "title")))

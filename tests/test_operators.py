@@ -114,3 +114,14 @@ def test_verification(spark):
     files = spark.createDataFrame([("a", 1, "x"), ("b", 9, "n"), ("d", 4, "w")], "path string, length long, digest string")
     assert rows(integrity.verify(ledger, files, "path")) == [("b", "hash_mismatch"), ("b", "size_mismatch"), ("c", "missing"), ("d", "orphan")]
     assert rows(integrity.verify(ledger, files, "path", deep=False)) == [("b", "size_mismatch"), ("c", "missing"), ("d", "orphan")]
+
+
+def test_adaptive_limit(spark):
+    seen = [(0, 200), (61, 200), (100, 200), (122, 200), (130, 503), (131, 429), (200, 200)]
+    df = spark.createDataFrame([(1, i, t, s) for i, (t, s) in enumerate(seen)], "k int, i int, t int, s int").withColumn("ts", F.timestamp_seconds("t"))
+    assert [r["limit"] for r in integrity.adaptive_limit(df, ["k"], "ts", "s", "i").collect()] == [2]  # 4, 5, 5, 6, 3, 1, 2
+
+
+def test_nearby_configurations():
+    assert integrity.nearby(None) == [(16, 2), (32, 2)]
+    assert integrity.nearby((16, 2)) == [(16, 2), (8, 2), (32, 2), (16, 1)]
