@@ -188,7 +188,7 @@ class Words:
     Splitting at white space first changes nothing, as it is never part of a word.
     """
 
-    PIECES, WORDS = 500_000, 250_000
+    PIECES, WORDS = 700_000, 300_000
 
     def __init__(self, added: dict[str, int], encode_words, whole, again: bool):
         """encode_words: a list of normalized words -> the bytes of their ids; whole: a text that can't be split
@@ -196,6 +196,11 @@ class Words:
         self.encode_words, self.whole, self.again, self.added = encode_words, whole, again, list(added)
         self.pieces, self.words = Recent(self.PIECES), Recent(self.WORDS)
 
+    def forget(self) -> None:
+        """Empties the memos, at a task's end: an idle worker keeps no more than the tables."""
+        for memo in (self.pieces, self.words):
+            memo.new, memo.old = {}, {}
+
     @staticmethod
     def normal(text: str) -> str:
         if not text.isascii():
@@ -333,11 +338,14 @@ class Decoder:
 
 def encoded(batches: Iterable[pa.RecordBatch], codec: Codec) -> Iterator[pa.RecordBatch]:
     """Batches of doc_id, text -> batches of doc_id, ids."""
+    codec.words.forget()
     for part in C.chunks(batches, limit=1 << 20):
         ids = codec.encode([x or "" for x in part.column(1).to_pylist()])
         offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
         flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
         yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(offsets, pa.array(flat.view(np.int32)))], ["doc_id", "ids"])
+    codec.words.forget()
+    codec.transducer.beside.clear()
 
 
 #: Ids that the decoder is fed at once.

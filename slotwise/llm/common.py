@@ -8,7 +8,9 @@ rows depends on chunks and shards, never on the number of items or on how often
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import struct
 import tempfile
 import uuid
@@ -35,7 +37,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; where it is unset (tests), a temporary one of this machine."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
-        at = "file://" + tempfile.mkdtemp(prefix="slotwise-")
+        own = tempfile.mkdtemp(prefix="slotwise-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        at = f"file://{own}"
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
 

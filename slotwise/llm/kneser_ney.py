@@ -8,11 +8,13 @@ is an exact integer. Counting and scoring are sharded count joins by packed shuf
    shard of the n-gram's two bytes before the last, sorted and compressed.
    Blocks of even and odd number have a model each, of the other blocks' trusted documents, so no
    document is scored by a model that has seen it, and trusted documents are like any others.
-2. A shard adds up the counts. All n-grams of orders 3 to ORDER that end in the same context of
+2. A shard adds up the counts, FAN blobs at a time by partitions of its own and then those, so
+   no task gets every block's. All n-grams of orders 3 to ORDER that end in the same context of
    two bytes are in one shard, so continuation counts are exact there; those of orders 1 and 2
    are at most 65,536 numbers, added up over the shards, as are the counts of counts.
-3. A shard answers each block's list with log-probabilities, and the block adds them up for each
-   document: its perplexity per byte.
+3. A shard's counts go to replicas, among which the blocks are spread, so a very common context is
+   not one task's. A replica answers each block's list with log-probabilities, and the block adds
+   them up for each document: its perplexity per byte.
 
 What is gathered grows with the corpus; nothing is sampled. Thresholds are quantiles of the
 trusted documents' perplexities in each language, moved outwards by a share of their distance to
@@ -27,6 +29,7 @@ for one document that disagree don't make it trusted; an empty table gives no ro
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +44,8 @@ ORDER, BLOCK_BYTES, PACK_BYTES = 5, 2 << 20, 32 << 20
 LOW, HIGH, MARGIN = 0.005, 0.995, 0.5
 #: Log-probabilities travel as multiples of 1 / STEP bits; none is below -100 bits.
 STEP = 256
+#: Shards of the model at most, and partial sums that a task of the last step merges.
+SHARDS, FAN = 64, 32
 #: Kinds of rows: counts for model 0 and 1, a block's list of n-grams, the stats.
 _COUNTS, _LIST, _STATS = (0, 1), 2, -1
 
@@ -231,6 +236,28 @@ def _summed(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return add_up(np.concatenate([np.cumsum(p[0], dtype=U64) for p in parts]), np.concatenate([p[1] for p in parts]))
 
 
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts rows -> one for each shard and model of the partition, its block any of theirs."""
+    held: dict[tuple[int, int], list] = {}
+    for batch in batches:
+        for shard, kind, block, blob in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            own = held.setdefault((shard, kind), [block, None, []])
+            own[0] = min(own[0], block)
+            own[2].append(blob)
+            if len(own[2]) >= FAN:
+                own[1], own[2] = _sum_of(own[1], own[2]), []
+    rows = []
+    for (shard, kind), (block, done, blobs) in held.items():
+        keys, counts = _sum_of(done, blobs)
+        rows.append((shard, kind, block, C.pack([np.diff(keys, prepend=U64(0)), counts])))
+    yield pa.RecordBatch.from_arrays(_told(rows), schema=_TOLD)
+
+
+def _sum_of(done: tuple[np.ndarray, np.ndarray] | None, blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    keys, counts = _summed(blobs)
+    return (keys, counts) if done is None else add_up(np.concatenate([done[0], keys]), np.concatenate([done[1], counts]))
+
+
 def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """key, value: for model m, order 2's continuation counts by n-gram + 65,536 m, and for each higher order k, at
     -(1000 m + 10 k + r), how many n-grams have count r."""
@@ -301,34 +328,46 @@ def scored(docs: DataFrame, trusted: DataFrame, names: tuple[str, str] = ("n_byt
     model of the texts whose doc_id is in trusted."""
     spark = docs.sparkSession
     n = C.n_shards(spark)
+    shards = min(SHARDS, math.ceil(math.sqrt(n)))
+    replicas = -(-n // shards)
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     blocks = 2 * max(-(-n // 2), -(-total // (2 * BLOCK_BYTES)))
 
     def block(*of):
         return F.pmod(F.xxhash64(*of), F.lit(blocks)).alias("_block")
 
+    def dealt_to(rows: DataFrame, spread: int) -> DataFrame:
+        """Rows by shard, and within it by block among `spread` partitions."""
+        return rows.repartitionById(shards * spread, (F.col("shard") * spread + F.pmod("block", F.lit(spread))).cast("int"))
+
     packed = docs.select(block(F.col("doc_id").cast("long"), F.when(F.col("doc_id").isNull(), F.col("text"))), *docs.columns).mapInArrow(_deal, "block long, payload binary")
     dealt = packed.repartition(n, "block")
     ids = trusted.select(F.col("doc_id").cast("long")).where("doc_id is not null").distinct()
     ids = ids.select("doc_id", block("doc_id")).withColumnRenamed("_block", "block")
-    counted = dealt.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(_count(n), TOLD).repartitionById(n, F.col("shard"))
-    stats = counted.mapInArrow(_stats, "key long, value long").groupBy("key").agg(F.sum("value").alias("value"))
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    model, spread = dealt.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(_count(shards), TOLD), replicas
+    while True:
+        model = dealt_to(model, spread).mapInArrow(_merged, TOLD)
+        if spread == 1:
+            break
+        spread = -(-spread // FAN)
+    stats = model.mapInArrow(_stats, "key long, value long").groupBy("key").agg(F.sum("value").alias("value"))
+
+    def to_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in batch.column(0).to_pylist():
                 blob = C.pack([np.array([r["key"] for r in rows], np.int64), np.array([r["value"] for r in rows], np.int64)])
-                yield pa.RecordBatch.from_arrays(_told([(s, _STATS, None, blob) for s in range(n)]), schema=_TOLD)
+                yield pa.RecordBatch.from_arrays(_told([(s, _STATS, r, blob) for s in range(shards) for r in range(replicas)]), schema=_TOLD)
 
-    # at most 2 * (65,536 + 4 * ORDER) rows, gathered to one and sent to every shard
-    gathered = stats.agg(F.collect_list(F.struct("key", "value")).alias("rows")).mapInArrow(spread, TOLD)
-    lists = dealt.groupBy("block").applyInArrow(_list(n), TOLD)
-    answers = counted.union(lists).union(gathered).repartitionById(n, F.col("shard")).sortWithinPartitions("shard", "kind").mapInArrow(_answer, TOLD)
+    # at most 2 * (65,536 + 4 * ORDER) rows, gathered to one and sent to every replica
+    gathered = stats.agg(F.collect_list(F.struct("key", "value")).alias("rows")).mapInArrow(to_all, TOLD)
+    copies = model.select("shard", "kind", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(replicas - 1).cast("long"))).alias("block"), "payload")
+    lists = dealt.groupBy("block").applyInArrow(_list(shards), TOLD)
+    answers = dealt_to(copies.union(lists).union(gathered), replicas).sortWithinPartitions("shard", "kind").mapInArrow(_answer, TOLD)
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
     schema = StructType([*docs.schema.fields, StructField(names[0], LongType()), StructField(names[1], DoubleType())])
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(n, to_arrow_schema(schema, prefers_large_types=False)), schema)
+    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(shards, to_arrow_schema(schema, prefers_large_types=False)), schema)
 
 
 def thresholds(known: DataFrame, low: float = LOW, high: float = HIGH, margin: float = MARGIN) -> DataFrame:

@@ -273,6 +273,9 @@ def similar_pairs(sets: list[np.ndarray], least: float) -> tuple[np.ndarray, np.
     _, which = np.unique(np.concatenate(sets), return_inverse=True)
     row = np.repeat(np.arange(len(sets)), size)
     shared = np.zeros((len(sets), len(sets)), np.float32)
+    often = np.bincount(which) > 1  # the others are in one set only
+    keep = often[which]
+    which, row = (np.cumsum(often) - 1)[which[keep]], row[keep]
     order = np.argsort(which, kind="stable")
     which, row = which[order], row[order]
     for start in range(0, int(which[-1]) + 1 if len(which) else 0, COLUMNS):

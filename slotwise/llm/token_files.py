@@ -74,7 +74,7 @@ def read_code(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
 
 
 def to_file(doc_ids: list[int | None], ids: list[np.ndarray], before: int) -> bytes:
-    flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+    flat = np.concatenate(ids).astype(np.uint32) if ids else np.zeros(0, np.uint32)
     if len(flat) and int(flat.max()) < 1 << 22:
         count = np.bincount(flat)
         used = np.flatnonzero(count)
@@ -125,7 +125,8 @@ class Library:
         self.lib.no_padding()
         added = {x.content: i for i, x in self.lib.get_added_tokens_decoder().items()}
         self.model, self.alphabet = self.lib.model, bpe.byte_alphabet()
-        self.encode = bpe.Words(added, self._words, self._whole, again=False).ids
+        self.words = bpe.Words(added, self._words, self._whole, again=False)
+        self.encode = self.words.ids
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.lib.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
@@ -150,12 +151,14 @@ def write(docs: DataFrame, folder: str, end_id: int = 1, path: str | None = None
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lib = C.kept("library", path, Library)
+        lib.words.forget()
         end = np.uint32(end_id).tobytes()
         for part in C.chunks(batches, limit=1 << 20):
             ids = [_small(x + end) for x in lib.encode([x or "" for x in part.column(1).to_pylist()])]
             doc = part.column(0)
             shard = np.searchsorted(bounds, pa.compute.fill_null(doc, -(1 << 63)).to_numpy(zero_copy_only=False).astype(np.float64)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(shard), doc, pa.array(ids, pa.binary())], ["shard", "doc_id", "ids"])
+        lib.words.forget()
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, doc_ids, ids, held, before, seq = None, [], [], 0, 0, 0
@@ -192,13 +195,13 @@ def write(docs: DataFrame, folder: str, end_id: int = 1, path: str | None = None
 
 
 def _small(ids: bytes) -> bytes:
-    """32-bit ids as the shuffle carries them: two bytes each where they fit, compressed."""
+    """32-bit ids as the shuffle carries them: their width in bytes, then two bytes each where they fit."""
     wide = np.frombuffer(ids, np.uint32)
-    return C.pack([wide.astype(np.uint16) if int(wide.max()) < 1 << 16 else wide])
+    return b"\2" + wide.astype(np.uint16).tobytes() if int(wide.max()) < 1 << 16 else b"\4" + ids
 
 
 def _large(blob: bytes) -> np.ndarray:
-    return C.unpack(blob)[0].astype(np.uint32)
+    return np.frombuffer(blob, np.uint16 if blob[0] == 2 else np.uint32, offset=1)
 
 
 def _at(name: str) -> tuple[pyarrow.fs.FileSystem, str]:
