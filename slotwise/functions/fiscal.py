@@ -1,6 +1,7 @@
 """Fiscal-year inference: ordered cascades, each giving (year, method, confidence) as SQL expressions.
 
 A cascade is a list of steps (condition, year, method, confidence); the first that holds decides.
+The patterns, methods and confidences in the cascades are fixed values, in the order in which they are tried.
 """
 
 from __future__ import annotations

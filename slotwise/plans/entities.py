@@ -90,19 +90,19 @@ def first_alias_with_hits(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @family("""
-WITH a AS (SELECT p_partkey, p_brand, list_distinct(string_split(upper(p_name), ' ')) AS t FROM part WHERE p_size <= 5), b AS (SELECT p_partkey AS other, p_brand, list_distinct(string_split(upper(p_name), ' ')) AS t FROM part WHERE p_size > 48)
-SELECT p_partkey, other, round(len(list_intersect(a.t, b.t)) / greatest(1, least(len(a.t), len(b.t))), 3) AS overlap FROM a JOIN b USING (p_brand)""")
+WITH a AS (SELECT p_partkey, p_brand, p_type, list_distinct(string_split(upper(p_name), ' ')) AS t FROM part)
+SELECT a.p_partkey, b.p_partkey AS other, round(len(list_intersect(a.t, b.t)) / greatest(1, least(len(a.t), len(b.t))), 3) AS overlap FROM a JOIN a b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.p_partkey < b.p_partkey""")
 def token_overlap_match(spark: SparkSession, sf: str) -> DataFrame:
     p = read(spark, sf, "part").withColumn("t", S.tokens(F.upper("p_name")))
-    a, b = p.where("p_size <= 5").select("p_partkey", "p_brand", "t"), p.where("p_size > 48").select(F.col("p_partkey").alias("other"), "p_brand", F.col("t").alias("u"))
-    return a.join(b, "p_brand").select("p_partkey", "other", S.token_overlap(F.col("t"), F.col("u")).alias("overlap"))
+    a, b = p.select("p_partkey", "p_brand", "p_type", "t"), p.select(F.col("p_partkey").alias("other"), "p_brand", "p_type", F.col("t").alias("u"))
+    return a.join(b, ["p_brand", "p_type"]).where("p_partkey < other").select("p_partkey", "other", S.token_overlap(F.col("t"), F.col("u")).alias("overlap"))
 
 
 def fuzzy_name_topk(spark: SparkSession, sf: str) -> DataFrame:
     """The four most similar part names of the same brand and type."""
     p = read(spark, sf, "part").withColumn("block", F.concat_ws("|", "p_brand", "p_type"))
-    a = p.where("p_size <= 10").select("p_partkey", "block", F.lower("p_name").alias("a"))
-    b = p.where("p_size > 40").select(F.col("p_partkey").alias("other"), "block", F.lower("p_name").alias("b"))
+    a = p.select("p_partkey", "block", F.lower("p_name").alias("a"))
+    b = p.select(F.col("p_partkey").alias("other"), "block", F.lower("p_name").alias("b"))
     return resolve.fuzzy(a, b, "block", "a", "b", "p_partkey", "other").select("p_partkey", "other", "rank", "similarity")
 
 
