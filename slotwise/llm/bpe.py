@@ -188,7 +188,7 @@ class Words:
     Splitting at white space first changes nothing, as it is never part of a word.
     """
 
-    PIECES, WORDS = 700_000, 300_000
+    PIECES, WORDS = 250_000, 150_000
 
     def __init__(self, added: dict[str, int], encode_words, whole, again: bool):
         """encode_words: a list of normalized words -> the bytes of their ids; whole: a text that can't be split

@@ -69,8 +69,28 @@ def n_shards(spark: SparkSession) -> int:
 # ---------------------------------------------------------------- chunks of rows
 
 
+def lean() -> None:
+    """Makes this worker process give memory back: large arrays are mapped one by one, and Arrow keeps no pool."""
+    import ctypes
+    import sys
+    import types
+
+    store = sys.modules.setdefault("_slotwise_kept", types.ModuleType("_slotwise_kept")).__dict__
+    if store.get("lean"):
+        return
+    store["lean"] = True
+    pa.set_memory_pool(pa.system_memory_pool())
+    try:
+        libc = ctypes.CDLL(None)
+        libc.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD, which else grows with what is freed
+        libc.mallopt(-1, 4 << 20)  # M_TRIM_THRESHOLD
+    except (OSError, AttributeError):
+        pass  # another C library: a hint less
+
+
 def chunks(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches whose texts come to at most limit bytes, one row at least."""
+    lean()
     for batch in batches:
         if not batch.num_rows:
             continue

@@ -223,6 +223,7 @@ def _count(n: int):
 
 def _list(n: int):
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        C.lean()
         keys, _ = distinct(ngrams(_block_texts(_documents(rows.column("payload").to_pylist()))))
         return pa.Table.from_arrays(_told([(s, _LIST, key[0].as_py(), C.pack([np.diff(keys[at], prepend=U64(0))])) for s, at in _lists(keys, n)]), schema=_TOLD)
 
@@ -301,6 +302,7 @@ def _score(n: int, schema: pa.Schema):
     def run(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return schema.empty_table()
+        C.lean()
         docs = _documents(left.column("payload").to_pylist())
         raw = _block_texts(docs)
         size = np.array([len(x) for x in raw], np.int64)

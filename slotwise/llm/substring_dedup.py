@@ -117,6 +117,7 @@ def dedup(docs: DataFrame, min_words: int = 13, k: int = 5) -> DataFrame:
                 yield C.packed_rows(seeds(part.column(0).to_numpy(), np.array([C.crc(x) for x in raw], np.uint32), [x.split() for x in raw], hashes, min_words, k, n))
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        C.lean()
         got: list[list[np.ndarray]] = []
         for batch in batches:
             for shard, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):

@@ -116,6 +116,8 @@ def from_file(raw: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray, int
 class Library:
     """The tokenizers library, asked once for words that come again soon."""
 
+    PIECES, WORDS = 700_000, 300_000
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -126,6 +128,7 @@ class Library:
         added = {x.content: i for i, x in self.lib.get_added_tokens_decoder().items()}
         self.model, self.alphabet = self.lib.model, bpe.byte_alphabet()
         self.words = bpe.Words(added, self._words, self._whole, again=False)
+        self.words.pieces.limit, self.words.words.limit = self.PIECES, self.WORDS
         self.encode = self.words.ids
 
     def _whole(self, text: str) -> bytes:
