@@ -333,9 +333,9 @@ def deduplicated(docs: DataFrame, words: int = 5, least: float = 0.8, k: int = 2
     several = found.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").select("component_id")
     members = found.join(several, "component_id").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text"), F.col("component_id").alias("_class")).distinct()
     # one plan at every size: the members grow with the documents, so they are never broadcast
-    tagged = C.written(docs.select(F.struct(*names).alias("_row"), "text", *key).join(members.hint("merge"), ["_id", "_text"], "left"), "tagged")
+    tagged = C.written(docs.select(F.struct(*names).alias("_row"), *key).join(members.hint("merge"), ["_id", "_text"], "left"), "tagged")
     some = tagged.where("_class IS NOT NULL")
-    firsts = C.written(some.groupBy("_class", F.coalesce("text", F.lit("")).alias("text")).agg(F.min("_id").alias("doc_id")).select(F.col("_class").alias("class"), "doc_id", "text"), "firsts")
+    firsts = C.written(some.groupBy("_class", F.coalesce("_row.text", F.lit("")).alias("text")).agg(F.min("_id").alias("doc_id")).select(F.col("_class").alias("class"), "doc_id", "text"), "firsts")
     gone = components(similar_edges(firsts, words, least)).select(F.col("v").alias("doc_id"))
     stay = firsts.join(gone, "doc_id", "left_anti").select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_text"))
     rows = some.join(stay, ["_id", "_text"], "left_semi").groupBy("_id", "_text").agg(F.min_by("_row", F.xxhash64("_row")).alias("_row"))
