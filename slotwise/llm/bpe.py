@@ -107,7 +107,7 @@ class Transducer:
             if a not in self.parts:
                 break
             used_a, a = self.made[a], self.parts[a][1]
-        if len(self.beside) >= 400_000:
+        if len(self.beside) >= 200_000:
             self.beside.clear()
         self.beside[left, right] = ok
         return ok
@@ -188,7 +188,7 @@ class Words:
     Splitting at white space first changes nothing, as it is never part of a word.
     """
 
-    PIECES, WORDS = 250_000, 150_000
+    PIECES, WORDS = 450_000, 250_000
 
     def __init__(self, added: dict[str, int], encode_words, whole, again: bool):
         """encode_words: a list of normalized words -> the bytes of their ids; whole: a text that can't be split
@@ -345,7 +345,6 @@ def encoded(batches: Iterable[pa.RecordBatch], codec: Codec) -> Iterator[pa.Reco
         flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
         yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(offsets, pa.array(flat.view(np.int32)))], ["doc_id", "ids"])
     codec.words.forget()
-    codec.transducer.beside.clear()
 
 
 #: Ids that the decoder is fed at once.
