@@ -107,8 +107,9 @@ def australia(d: Dialect, t: str, published: str) -> tuple[str, str, str]:
 
 def hong_kong(d: Dialect, t: str, published: str) -> tuple[str, str, str]:
     """greatest plausible year, else greatest, else publication (January to June: the year before)."""
-    # adjacent years share a separator, which only look-around leaves in place; the other dialect has none
+    # adjacent years share a separator, which look-around leaves in place; a dialect without it gets two for each
     pattern = r"(?<![0-9])(20[0-9]{2})(?![0-9])" if d.raw else r"(?:^|[^0-9])(20[0-9]{2})(?:$|[^0-9])"
+    t = t if d.raw else f"regexp_replace({t}, '[^0-9]', '  ', 'g')"
     near, years = _window(d, t, published, pattern), _years(d, t, pattern)
     return cascade([
         (f"{d.call('size', near)} > 0", d.call("max", near), "title", 1.0),
