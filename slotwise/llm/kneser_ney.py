@@ -16,15 +16,21 @@ is an exact integer. Counting and scoring are sharded count joins by packed shuf
    not one task's. A replica answers each block's list with log-probabilities, and the block adds
    them up for each document: its perplexity per byte.
 
+Toxic wording is a few words among many, which an average over the document doesn't show. The text
+labelled toxic has two models of its own, made by the same joins, and the answers tell as well how
+many times likelier they find each n-gram, as a logarithm. These add up over each word (between
+blanks, cut every WORD_BYTES), and a document's toxicity is the sum of its WORDS highest words'.
+
 What is gathered grows with the corpus; nothing is sampled. Thresholds are quantiles of the
-trusted documents' perplexities in each language, moved outwards by a share of their distance to
-the median; a document is rejected above the upper one (text unlike the trusted) or below the
-lower one (the same few words again and again). Languages without trusted documents use the
-quantiles of all trusted documents; without any trusted document nothing is rejected.
+trusted documents' perplexities and toxicities in each language; a document is rejected above the
+upper perplexity (text unlike the trusted), below the lower one (the same few words again and
+again) or above the toxicity. Languages without trusted documents use the quantiles of all trusted
+documents; without any trusted document nothing is rejected, and without any toxic one toxicity is 0.
 
 Defined results: null or empty text has no bytes, null perplexity, and is rejected; null lang is
 a language of its own; null doc_ids are never trusted; repeated rows are each returned; labels
-for one document that disagree don't make it trusted; an empty table gives no rows.
+for one document that disagree don't make it trusted, one that says toxic makes it toxic; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -41,13 +47,16 @@ from slotwise.llm import common as C
 
 U64 = np.uint64
 ORDER, BLOCK_BYTES, PACK_BYTES = 5, 2 << 20, 32 << 20
-LOW, HIGH, MARGIN = 0.005, 0.995, 0.5
+LOW, HIGH = 0.005, 0.995
+WORDS, WORD_BYTES = 3, 64
 #: Log-probabilities travel as multiples of 1 / STEP bits; none is below -100 bits.
 STEP = 256
+#: Logarithms of how many times likelier travel as multiples of 1 / TIMES bits, within 127 of them.
+TIMES = 4
 #: Shards of the model at most, and partial sums that a task of the last step merges.
 SHARDS, FAN = 64, 32
-#: Kinds of rows: counts for model 0 and 1, a block's list of n-grams, the stats.
-_COUNTS, _LIST, _STATS = (0, 1), 2, -1
+#: Kinds of rows: counts for model 0 and 1 and toxic model 2 and 3, a block's list of n-grams, the stats.
+_COUNTS, _LIST, _STATS = (0, 1, 2, 3), 4, -1
 
 
 def ngrams(raw: list[bytes], order: int = ORDER) -> np.ndarray:
@@ -210,12 +219,13 @@ def _lists(keys: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
 def _count(n: int):
     def run(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
         rows, block = [], key[0].as_py()
-        trusted = set(right.column("doc_id").to_pylist())
-        if left.num_rows and trusted:
+        toxic = dict(zip(right.column("doc_id").to_pylist(), right.column("toxic").to_pylist(), strict=True))
+        if left.num_rows and toxic:
             docs = _documents(left.column("payload").to_pylist())
-            told = [x for x, doc in zip(_block_texts(docs), docs.column("doc_id").to_pylist(), strict=True) if doc is not None and doc in trusted]
-            keys, counts = distinct(ngrams(told))
-            rows = [(s, _COUNTS[1 - block % 2], block, C.pack([np.diff(keys[at], prepend=U64(0)), counts[at]])) for s, at in _lists(keys, n)]
+            texts, ids = _block_texts(docs), docs.column("doc_id").to_pylist()
+            for bad in (False, True):
+                keys, counts = distinct(ngrams([x for x, doc in zip(texts, ids, strict=True) if doc is not None and toxic.get(doc) is bad]))
+                rows += [(s, _COUNTS[2 * bad + 1 - block % 2], block, C.pack([np.diff(keys[at], prepend=U64(0)), counts[at]])) for s, at in _lists(keys, n)]
         return pa.Table.from_arrays(_told(rows), schema=_TOLD)
 
     return run
@@ -288,16 +298,41 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if kind in _COUNTS:
                 blobs[kind].append(blob)
                 continue
-            m = block % 2
-            if m not in models:
-                found = levels(*_summed(blobs.pop(m)), ORDER)
-                tables = {k: Level(*found[k], discounts(np.array([stats.get(-(1000 * m + 10 * k + r), 0) for r in (1, 2, 3, 4)]))) for k in range(3, ORDER + 1)}
-                models[m] = tables, base({k - 65536 * m: v for k, v in stats.items() if 65536 * m <= k < 65536 * (m + 1)})[0]
+            own = block % 2, 2 + block % 2
+            for m in own:
+                if m not in models:
+                    found = levels(*_summed(blobs.pop(m)), ORDER)
+                    tables = {k: Level(*found[k], discounts(np.array([stats.get(-(1000 * m + 10 * k + r), 0) for r in (1, 2, 3, 4)]))) for k in range(3, ORDER + 1)}
+                    pairs = {k - 65536 * m: v for k, v in stats.items() if 65536 * m <= k < 65536 * (m + 1)}
+                    models[m] = (tables, base(pairs)[0]) if pairs or m < 2 else None
             keys = np.cumsum(C.unpack(blob)[0], dtype=U64)
-            rows.append((shard, _LIST, block, C.pack([np.round(score(keys, *models[m], ORDER) * STEP).astype(np.int16)])))
+            log = score(keys, *models[own[0]], ORDER)
+            times = score(keys, *models[own[1]], ORDER) - log if models[own[1]] else np.zeros(len(keys), np.float32)
+            rows.append((shard, _LIST, block, C.pack([np.round(log * STEP).astype(np.int16), np.clip(np.round(times * TIMES), -127, 127).astype(np.int8)])))
         yield pa.RecordBatch.from_arrays(_told(rows), schema=_TOLD)
 
 
+def toxicities(raw: list[bytes], times: np.ndarray) -> np.ndarray:
+    """For each text the sum over its WORDS highest words, of the bytes' values that are given one text after the other."""
+    size = np.array([len(x) for x in raw], np.int64)
+    out = np.zeros(len(raw))
+    flat = np.frombuffer(b"".join(raw), np.uint8)
+    if not len(flat):
+        return out
+    owner = np.repeat(np.arange(len(raw)), size)
+    lead = np.concatenate([[True], (flat[:-1] <= 32) | (np.diff(owner) != 0)])
+    at = np.flatnonzero(lead)
+    lead[(np.arange(len(flat)) - np.repeat(at, np.diff(np.append(at, len(flat))))) % WORD_BYTES == 0] = True
+    at = np.flatnonzero(lead)
+    words, owner = np.add.reduceat(times, at), owner[at]
+    order = np.lexsort((-words, owner))
+    words, owner = words[order], owner[order]
+    first = np.concatenate([[0], np.flatnonzero(np.diff(owner)) + 1])
+    highest = np.arange(len(owner)) - np.repeat(first, np.diff(np.append(first, len(owner)))) < WORDS
+    np.add.at(out, owner[highest], words[highest])
+    return out
+
+
 def _score(n: int, schema: pa.Schema):
     def run(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
@@ -310,24 +345,27 @@ def _score(n: int, schema: pa.Schema):
         g = ngrams(raw)
         order = np.argsort(g)
         lead = np.concatenate([[True], np.diff(g[order]) != 0]) if len(g) else np.zeros(0, bool)
-        keys, log = g[order][lead], np.zeros(int(lead.sum()), np.float32)
+        keys = g[order][lead]
+        log, times = np.zeros(len(keys), np.float32), np.zeros(len(keys), np.float32)
         for s, at in _lists(keys, n):
-            log[at] = C.unpack(told[s])[0] / STEP
-        each = np.empty(len(g), np.float64)
-        each[order] = log[np.cumsum(lead) - 1]
+            got = C.unpack(told[s])
+            log[at], times[at] = got[0] / STEP, got[1] / TIMES
+        which = np.cumsum(lead) - 1
+        each, more = np.empty(len(g), np.float64), np.empty(len(g), np.float32)
+        each[order], more[order] = log[which], times[which]
         bits = np.zeros(len(raw))
         some = np.flatnonzero(size)
         if len(some):
             bits[some] = -np.add.reduceat(each, (np.cumsum(size) - size)[some])
         perplexity = np.exp2(bits / np.maximum(size, 1))
-        return pa.Table.from_arrays([*docs.columns, pa.array(size), pa.array(perplexity, mask=size == 0)], schema=schema)
+        return pa.Table.from_arrays([*docs.columns, pa.array(size), pa.array(perplexity, mask=size == 0), pa.array(toxicities(raw, more), mask=size == 0)], schema=schema)
 
     return run
 
 
-def scored(docs: DataFrame, trusted: DataFrame, names: tuple[str, str] = ("n_bytes", "perplexity")) -> DataFrame:
-    """All columns of docs (doc_id and text among them) and two more: the text's bytes and its perplexity under the
-    model of the texts whose doc_id is in trusted."""
+def scored(docs: DataFrame, trusted: DataFrame, names: tuple[str, str, str] = ("n_bytes", "perplexity", "toxicity"), toxic: DataFrame | None = None) -> DataFrame:
+    """All columns of docs (doc_id and text among them) and three more: the text's bytes, its perplexity under the
+    model of the texts whose doc_id is in trusted, and its toxicity by that of those in toxic, which are others."""
     spark = docs.sparkSession
     n = C.n_shards(spark)
     shards = min(SHARDS, math.ceil(math.sqrt(n)))
@@ -344,8 +382,9 @@ def scored(docs: DataFrame, trusted: DataFrame, names: tuple[str, str] = ("n_byt
 
     packed = docs.select(block(F.col("doc_id").cast("long"), F.when(F.col("doc_id").isNull(), F.col("text"))), *docs.columns).mapInArrow(_deal, "block long, payload binary")
     dealt = packed.repartition(n, "block")
-    ids = trusted.select(F.col("doc_id").cast("long")).where("doc_id is not null").distinct()
-    ids = ids.select("doc_id", block("doc_id")).withColumnRenamed("_block", "block")
+    ids = trusted.select(F.col("doc_id").cast("long"), F.lit(False).alias("toxic"))
+    ids = ids.union(toxic.select(F.col("doc_id").cast("long"), F.lit(True))) if toxic is not None else ids
+    ids = ids.where("doc_id is not null").distinct().select("doc_id", "toxic", block("doc_id")).withColumnRenamed("_block", "block")
     model, spread = dealt.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(_count(shards), TOLD), replicas
     while True:
         model = dealt_to(model, spread).mapInArrow(_merged, TOLD)
@@ -360,7 +399,7 @@ def scored(docs: DataFrame, trusted: DataFrame, names: tuple[str, str] = ("n_byt
                 blob = C.pack([np.array([r["key"] for r in rows], np.int64), np.array([r["value"] for r in rows], np.int64)])
                 yield pa.RecordBatch.from_arrays(_told([(s, _STATS, r, blob) for s in range(shards) for r in range(replicas)]), schema=_TOLD)
 
-    # at most 2 * (65,536 + 4 * ORDER) rows, gathered to one and sent to every replica
+    # at most 4 * (65,536 + 4 * ORDER) rows, gathered to one and sent to every replica
     gathered = stats.agg(F.collect_list(F.struct("key", "value")).alias("rows")).mapInArrow(to_all, TOLD)
     copies = model.select("shard", "kind", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(replicas - 1).cast("long"))).alias("block"), "payload")
     lists = dealt.groupBy("block").applyInArrow(_list(shards), TOLD)
@@ -368,17 +407,16 @@ def scored(docs: DataFrame, trusted: DataFrame, names: tuple[str, str] = ("n_byt
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-    schema = StructType([*docs.schema.fields, StructField(names[0], LongType()), StructField(names[1], DoubleType())])
+    schema = StructType([*docs.schema.fields, StructField(names[0], LongType()), StructField(names[1], DoubleType()), StructField(names[2], DoubleType())])
     return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(shards, to_arrow_schema(schema, prefers_large_types=False)), schema)
 
 
-def thresholds(known: DataFrame, low: float = LOW, high: float = HIGH, margin: float = MARGIN) -> DataFrame:
-    """lang, lower, upper from the lang and perplexity of trusted documents; a row with `every` true for all of them."""
-    q = F.percentile_approx("perplexity", [low, 0.5, high], 10_000)
-    each = known.groupBy("lang").agg(q.alias("q")).select("lang", F.lit(False).alias("every"), "q")
-    every = known.agg(q.alias("q")).select(F.lit(None).cast("string").alias("lang"), F.lit(True).alias("every"), "q")
-    both = each.union(every).where("q is not null")
-    return both.select("lang", "every", (F.col("q")[0] - margin * (F.col("q")[1] - F.col("q")[0])).alias("lower"), (F.col("q")[2] + margin * (F.col("q")[2] - F.col("q")[1])).alias("upper"))
+def thresholds(known: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
+    """lang, lower, upper, most from the lang, perplexity and toxicity of trusted documents; a row with `every` true for all of them."""
+    q = F.percentile_approx("perplexity", [low, high], 10_000).alias("q"), F.percentile_approx("toxicity", high, 10_000).alias("most")
+    each = known.groupBy("lang").agg(*q).select("lang", F.lit(False).alias("every"), "q", "most")
+    every = known.agg(*q).select(F.lit(None).cast("string").alias("lang"), F.lit(True).alias("every"), "q", "most")
+    return each.union(every).where("q is not null").select("lang", "every", F.col("q")[0].alias("lower"), F.col("q")[1].alias("upper"), "most")
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -387,31 +425,37 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return labels.groupBy("doc_id").agg(F.min(good).alias("good")).where("good").select("doc_id")
 
 
+def toxic_ids(labels: DataFrame) -> DataFrame:
+    """The doc_ids with a label that says toxic."""
+    return labels.where("toxic = 1").select("doc_id").distinct()
+
+
 def judged(scores: DataFrame, trusted: DataFrame) -> DataFrame:
-    """scores (doc_id, lang, perplexity; read more than once) with lower, upper and keep."""
-    known = scores.join(trusted.select(F.col("doc_id").cast("long")), "doc_id", "left_semi").where("perplexity is not null").select("lang", "perplexity")
+    """scores (doc_id, lang, perplexity, toxicity; read more than once) with lower, upper, most and keep."""
+    known = scores.join(trusted.select(F.col("doc_id").cast("long")), "doc_id", "left_semi").where("perplexity is not null").select("lang", "perplexity", "toxicity")
     limits = C.written(thresholds(known), "thresholds")
-    own = limits.where("not every").select(F.col("lang").alias("_lang"), F.col("lower").alias("_lower"), F.col("upper").alias("_upper"))
-    every = limits.where("every").first()
-    lower, upper = (every["lower"], every["upper"]) if every else (0.0, float("inf"))
+    names = ["lower", "upper", "most"]
+    own = limits.where("not every").select(F.col("lang").alias("_lang"), *[F.col(x).alias(f"_{x}") for x in names])
+    every = limits.where("every").first() or {"lower": 0.0, "upper": float("inf"), "most": float("inf")}
     out = scores.join(own, F.col("lang").eqNullSafe(F.col("_lang")), "left").drop("_lang")
-    out = out.withColumn("lower", F.coalesce("_lower", F.lit(lower))).withColumn("upper", F.coalesce("_upper", F.lit(upper))).drop("_lower", "_upper")
-    return out.withColumn("keep", F.coalesce(F.col("perplexity").between(F.col("lower"), F.col("upper")), F.lit(False)))
+    out = out.withColumns({x: F.coalesce(f"_{x}", F.lit(every[x])) for x in names}).drop(*[f"_{x}" for x in names])
+    return out.withColumn("keep", F.coalesce(F.col("perplexity").between(F.col("lower"), F.col("upper")) & (F.col("toxicity") <= F.col("most")), F.lit(False)))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, lang, n_bytes, perplexity, lower, upper, keep of every row of docs."""
-    trusted = C.written(trusted_ids(labels), "trusted")
-    scores = C.written(scored(docs.select(F.col("doc_id").cast("long"), "lang", "text"), trusted).drop("text"), "scores")
+    """doc_id, lang, n_bytes, perplexity, toxicity, lower, upper, most, keep of every row of docs."""
+    trusted, toxic = C.written(trusted_ids(labels), "trusted"), C.written(toxic_ids(labels), "toxic")
+    scores = C.written(scored(docs.select(F.col("doc_id").cast("long"), "lang", "text"), trusted, toxic=toxic).drop("text"), "scores")
     return judged(scores, trusted)
 
 
 def trustworthy(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs, all columns, that classify() would keep."""
-    names = ["n_bytes", "perplexity"]
+    names = ["n_bytes", "perplexity", "toxicity"]
     while set(names) & set(docs.columns):
         names = [f"_{x}" for x in names]
-    trusted = C.written(trusted_ids(labels), "trusted")
-    scores = scored(docs, trusted, (names[0], names[1]))
-    rows = C.written(scores.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "lang", F.col(names[1]).alias("perplexity")), "scores")
+    trusted, toxic = C.written(trusted_ids(labels), "trusted"), C.written(toxic_ids(labels), "toxic")
+    scores = scored(docs, trusted, tuple(names), toxic)
+    columns = [F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "lang", F.col(names[1]).alias("perplexity"), F.col(names[2]).alias("toxicity")]
+    rows = C.written(scores.select(*columns), "scores")
     return judged(rows, trusted).where("keep").select("row.*")

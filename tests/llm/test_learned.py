@@ -87,6 +87,21 @@ def test_quality_separates_labels(spark):
     assert out.count() == 1000 and good > 0.97 and bad < 0.3
 
 
+def test_toxic_documents_are_rejected(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    out = queries.op1_quality(spark, sf).join(labels, "doc_id").cache()
+    by = out.where("quality = 1").groupBy("toxic", (F.col("lang") == "en").alias("en")).agg(F.avg(F.col("keep").cast("int")).alias("kept"))
+    kept = {(r["toxic"], r["en"]): r["kept"] for r in by.collect()}
+    assert kept[1, True] < 0.02 and kept[1, False] < 0.75 and min(kept[0, True], kept[0, False]) > 0.97
+
+
+def test_toxicity_is_of_the_highest_words():
+    raw = [b"ab cd  ef gh", b"", b"x" * 200, b"one"]
+    times = np.concatenate([np.array([5, 5, 0, 1, 1, 0, 0, 2, 2, 0, -9, 3]), np.ones(200), [1, 1, -4]]).astype(np.float32)
+    assert kn.toxicities(raw, times).tolist() == [10 + 2 + 4, 0, 192, -2]
+
+
 def labels_for(spark):
     return spark.createDataFrame([(i, 1, 0, "x") for i in range(100, 140)] + [(5, 1, 0, None), (5, 0, 0, None), (6, None, 0, None), (None, 1, 0, None)], "doc_id long, quality int, toxic int, shard string")
 
