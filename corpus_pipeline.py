@@ -32,7 +32,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: one document of each class of near duplicates, similar in 0.8 of their shingles of five words."""
-    return simhash.deduplicated(docs, words=5, least=0.8)
+    return simhash.deduplicated(docs, words=5, least=0.8, banded=True)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from plain import deduplicated, near_duplicates, sha, simhash, substring_dedup
 
+import corpus_pipeline
 from pyspark.sql import functions as F
 from slotwise.llm import common, simhash as near, substring_dedup as sub
 
@@ -100,6 +101,30 @@ def test_near_copies_and_large_classes(spark, monkeypatch, chunk):
     assert out.count() == 11
 
 
+def test_no_similar_pair_stays():
+    """Of scattered edits near the threshold, which exceed 8 bits of SimHash; no class is given to the plain version."""
+    rng = random.Random(13)
+    pairs = []
+    for i in range(400):
+        base = [f"{rng.choice('abcdefgh')}{rng.randint(0, 4000)}" for _ in range(120)]
+        pairs += [(2 * i, base), (2 * i + 1, ["zz" if j in (15, 70) else w for j, w in enumerate(base)])]
+    sets = [near.shingle_set(" ".join(w).encode(), 5) for _, w in pairs]
+    assert all(len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b)) for a, b in zip(sets[::2], sets[1::2], strict=True))
+    keys = near.bands(sets)
+    fp = near.fingerprint_chunk([" ".join(w).encode() for _, w in pairs], 2, 42, once=True)
+    assert (near.popcount(fp[::2] ^ fp[1::2]) > 8).any() and (keys[::2] == keys[1::2]).any(1).all()
+
+
+def test_scattered_edits_are_found(spark):
+    rng = random.Random(13)
+    pairs = []
+    for i in range(400):
+        base = [f"{rng.choice('abcdefgh')}{rng.randint(0, 4000)}" for _ in range(120)]
+        pairs += [(2 * i, " ".join(base)), (2 * i + 1, " ".join("zz" if j in (15, 70) else w for j, w in enumerate(base)))]
+    out = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(pairs, "doc_id long, text string"), "")
+    assert sorted(r["doc_id"] for r in out.collect()) == list(range(0, 800, 2))
+
+
 def test_nothing_to_deduplicate(none):
     assert near.deduplicated(none).collect() == []
 
