@@ -24,7 +24,9 @@ blanks, cut every WORD_BYTES), and a document's toxicity is the sum of its WORDS
 What is gathered grows with the corpus; nothing is sampled. Thresholds are quantiles of the
 trusted documents' perplexities and toxicities in each language; a document is rejected above the
 upper perplexity (text unlike the trusted), below the lower one (the same few words again and
-again) or above the toxicity. Languages without trusted documents use the quantiles of all trusted
+again) or above the toxicity. Few documents tell little of their
+language's quantiles, so those of n documents count n / (n + FEW); the rest is the widest of them, of
+all trusted documents' and of these moved to the language's median. Languages without trusted documents use the quantiles of all trusted
 documents; without any trusted document nothing is rejected, and without any toxic one toxicity is 0.
 
 Defined results: null or empty text has no bytes, null perplexity, and is rejected; null lang is
@@ -47,7 +49,7 @@ from slotwise.llm import common as C
 
 U64 = np.uint64
 ORDER, BLOCK_BYTES, PACK_BYTES = 5, 2 << 20, 32 << 20
-LOW, HIGH = 0.005, 0.995
+LOW, HIGH, FEW = 0.005, 0.995, 20
 WORDS, WORD_BYTES = 3, 64
 #: Log-probabilities travel as multiples of 1 / STEP bits; none is below -100 bits.
 STEP = 256
@@ -413,10 +415,19 @@ def scored(docs: DataFrame, trusted: DataFrame, names: tuple[str, str, str] = ("
 
 def thresholds(known: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
     """lang, lower, upper, most from the lang, perplexity and toxicity of trusted documents; a row with `every` true for all of them."""
-    q = F.percentile_approx("perplexity", [low, high], 10_000).alias("q"), F.percentile_approx("toxicity", high, 10_000).alias("most")
-    each = known.groupBy("lang").agg(*q).select("lang", F.lit(False).alias("every"), "q", "most")
-    every = known.agg(*q).select(F.lit(None).cast("string").alias("lang"), F.lit(True).alias("every"), "q", "most")
-    return each.union(every).where("q is not null").select("lang", "every", F.col("q")[0].alias("lower"), F.col("q")[1].alias("upper"), "most")
+    q = [F.percentile_approx("perplexity", [low, 0.5, high], 10_000).alias("q"), F.percentile_approx("toxicity", [0.5, high], 10_000).alias("t"), F.count("*").alias("n")]
+    own, every = known.groupBy("lang").agg(*q), known.agg(F.lit(None).cast("string").alias("lang"), *q).where("q is not null")
+    whole = F.broadcast(every.select(F.col("q").alias("eq"), F.col("t").alias("et")))
+    # as wide as all trusted documents', and as theirs moved to the language's median
+    wide = own.join(whole).select(
+        "lang", "q", "t", (F.col("n") / (F.col("n") + FEW)).alias("w"),
+        F.least(F.col("q")[0], F.col("eq")[0], F.col("q")[1] * F.col("eq")[0] / F.col("eq")[1]).alias("l"),
+        F.greatest(F.col("q")[2], F.col("eq")[2], F.col("q")[1] * F.col("eq")[2] / F.col("eq")[1]).alias("u"),
+        F.greatest(F.col("t")[1], F.col("et")[1], F.col("t")[0] + F.col("et")[1] - F.col("et")[0]).alias("m"),
+    )
+    mixed = [(F.col("w") * x + (1 - F.col("w")) * F.col(y)).alias(z) for x, y, z in ((F.col("q")[0], "l", "lower"), (F.col("q")[2], "u", "upper"), (F.col("t")[1], "m", "most"))]
+    each = wide.select("lang", F.lit(False).alias("every"), *mixed)
+    return each.union(every.select("lang", F.lit(True), F.col("q")[0], F.col("q")[2], F.col("t")[1]))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:

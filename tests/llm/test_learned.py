@@ -102,6 +102,22 @@ def test_toxicity_is_of_the_highest_words():
     assert kn.toxicities(raw, times).tolist() == [10 + 2 + 4, 0, 192, -2]
 
 
+def test_languages_with_few_trusted_documents(spark):
+    rng = random.Random(6)
+    rows = [(i, "en", 5 * math.exp(rng.gauss(0, 0.1)), rng.gauss(9, 4)) for i in range(600)]
+    trusted = list(range(400))
+    for n in range(1, 6):
+        for at, lang in ((1000 * n, f"like{n}"), (1000 * n + 500, f"rare{n}")):
+            rows += [(at + i, lang, (15 if at % 1000 else 5) * math.exp(rng.gauss(0, 0.1)), rng.gauss(20 if at % 1000 else 9, 4)) for i in range(200)]
+            trusted += range(at, at + n)
+            rows += [(at + 400, lang, 100.0, 9.0), (at + 401, lang, 1.0, 9.0), (at + 402, lang, 15.0, 150.0)]
+    scores = spark.createDataFrame(rows, "doc_id long, lang string, perplexity double, toxicity double")
+    out = kn.judged(scores, spark.createDataFrame([(i,) for i in trusted], "doc_id long"))
+    kept = {tuple(r)[:2]: r["kept"] for r in out.groupBy("lang", (F.col("doc_id") % 500 >= 400).alias("bad")).agg(F.avg(F.col("keep").cast("int")).alias("kept")).collect()}
+    assert all(kept[f"{x}{n}", False] > 0.9 and kept[f"{x}{n}", True] == 0 for x in ("like", "rare") for n in range(1, 6))
+    assert kept["en", False] > 0.97
+
+
 def labels_for(spark):
     return spark.createDataFrame([(i, 1, 0, "x") for i in range(100, 140)] + [(5, 1, 0, None), (5, 0, 0, None), (6, None, 0, None), (None, 1, 0, None)], "doc_id long, quality int, toxic int, shard string")
 
