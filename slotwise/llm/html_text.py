@@ -59,8 +59,10 @@ _BOUND_END = {"table": _set(""), **dict.fromkeys(("tr", "td", "th", "tbody", "th
 _CELL_BOUND = _set("td th table caption")
 
 _NAME = re.compile(r"[A-Za-z][^\s/>]*+")
-_REST = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>""")
-_ATTRIBUTE = re.compile(r"""([^\s"'=/>]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++))?+""")
+#: A quote opens a value only right after its sign, as in browsers; elsewhere it is a part of the name or value.
+_VALUE = r"""[ \t\n\r\f]*+=[ \t\n\r\f]*+(?:"[^"]*+"|'[^']*+'|[^ \t\n\r\f>"'][^ \t\n\r\f>]*+|(?=>))"""
+_REST = re.compile(rf"(?:[ \t\n\r\f/]++|[^ \t\n\r\f/>][^ \t\n\r\f/>=]*+(?:{_VALUE}|(?![ \t\n\r\f]*+=)))*+>")
+_ATTRIBUTE = re.compile(rf"([^ \t\n\r\f/>][^ \t\n\r\f/>=]*+)({_VALUE})?+")
 _TOLD = re.compile(r"hidden|style|class|id|span|start|open|type|value", re.I)
 _NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 _RULE = re.compile(r"([^{}]++)\{([^{}]*+)\}")
@@ -80,6 +82,7 @@ def attributes(raw: str) -> dict[str, str] | None:
         return None
     out: dict[str, str] = {}
     for name, value in _ATTRIBUTE.findall(raw):
+        value = value.partition("=")[2].lstrip(" \t\n\r\f")
         out.setdefault(name.lower(), unescape(value[1:-1] if value[:1] in "\"'" and value else value))
     return out
 
@@ -129,10 +132,10 @@ def tree(page: str) -> tuple[Node, list[str]]:
         after = page[lt + 1 : lt + 2]
         if after == "/" and (m := _NAME.match(page, lt + 2)):
             text(page[at:lt])
-            gt = page.find(">", m.end())
-            if gt < 0:
-                break
-            at, tag = gt + 1, m[0].lower()
+            rest = _REST.match(page, m.end())
+            if not rest:
+                break  # the page ends within a tag
+            at, tag = rest.end(), m[0].lower()
             if counts.get(tag) and tag not in ("html", "body"):
                 bound = _BOUND_END.get(tag, _CELL_BOUND)
                 for i in range(len(open_) - 1, 0, -1):
@@ -165,7 +168,7 @@ def tree(page: str) -> tuple[Node, list[str]]:
         if not rest:
             break  # the page ends within a tag
         at, tag = rest.end(), m[0].lower()
-        attrs = attributes(rest[0][:-1])
+        attrs = attributes(rest[0])
         if tag in ("html", "body"):
             root.attrs = {**(attrs or {}), **(root.attrs or {})} if attrs else root.attrs
             if tag == "body":

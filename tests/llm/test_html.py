@@ -31,6 +31,21 @@ def test_layout(page, text):
     assert html_text.extract(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<div id=a">Hello</div><p>World</p>', "Hello\n\nWorld"),
+        ("<p title='it's'>one</p><p>two</p>", "one\n\ntwo"),
+        ("<p a\"b c'>one<p \"x>two", "one\n\ntwo"),
+        ("<p title = 'a>b' class=x/>one</p x='>'>two", "one\n\ntwo"),
+        ("<p hidden=>no</p><p id=a'b style=display:none>no<p x=>yes", "yes"),
+        ('one<p title="two>three', "one"),
+    ],
+)
+def test_quotes_open_values_only(page, text):
+    assert html_text.extract(page) == text
+
+
 class Words(HTMLParser):
     def __init__(self):
         super().__init__()
