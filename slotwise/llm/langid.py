@@ -13,9 +13,12 @@ which are parsed side by side for all languages, one table lookup per character
 phrase doesn't cross a block's end.
 
 Learning takes a bounded sample: for each language the SAMPLE_DOCS documents with the least hash
-of doc_id, of each at most DOC_CHARS characters, TRAIN_CHARS in all; at most LANGUAGES languages,
-those with the most documents. Each automaton has at most 2 * TRAIN_CHARS states, and its table
-one column for each of at most 63 letters, so the broadcast is bounded by the parameters.
+of doc_id, of each at most DOC_CHARS characters, TRAIN_CHARS in all. Each language has its own
+alphabet: an automaton has at most 2 * TRAIN_CHARS states and 3 * TRAIN_CHARS transitions, and its
+table one column for each of its LETTERS most frequent letters; the transitions of its other
+letters, as of scripts with thousands, are a sorted list. All languages with text are learned, in
+models of at most LANGUAGES languages each, so a model is bounded by the parameters; a task holds
+one of them at a time.
 
 Defined results: `und` with score 0 if text is null or has no letter, or if no language was
 learned; null langs aren't learned; ties go to the language first in alphabetical order; null
@@ -24,7 +27,8 @@ doc_ids are held out never and learned never; repeated rows are each returned.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +39,7 @@ from pyspark.sql import functions as F
 
 from slotwise.llm import common as C
 
-SAMPLE_DOCS, DOC_CHARS, TRAIN_CHARS, LANGUAGES = 200, 2000, 40_000, 200
+SAMPLE_DOCS, DOC_CHARS, TRAIN_CHARS, LANGUAGES = 200, 2000, 40_000, 16
 BLOCK, LETTERS = 512, 62
 _NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
 SCHEMA = "doc_id long, lang_pred string, score double"
@@ -76,34 +80,53 @@ def automaton(text: str) -> tuple[list[dict[str, int]], list[int]]:
 
 
 class Model:
-    """All languages' automata in one table: step[state * width + letter] is the next state, 0 where a phrase ends."""
+    """Some languages' automata in one table: a state is where its row begins, and step[state + letter] is the next state,
+    0 where a phrase ends; a letter that has no column is looked up in `rare`."""
 
     def __init__(self, samples: dict[str, str]):
         self.langs = sorted(samples)
-        count: dict[str, int] = {}
-        for text in samples.values():
-            for c in text:
-                count[c] = count.get(c, 0) + 1
-        common = sorted(count, key=lambda c: (-count[c], c))[:LETTERS]
-        self.width = len(common) + 1  # the last column stands for any other letter and has no transitions
-        self.letter = {ord(c): i for i, c in enumerate(common)}
-        tables, self.roots, self.bits, base = [np.zeros((1, self.width), np.int32)], [], [], 1
-        for lang in self.langs:
-            step, _ = automaton(samples[lang])
-            table = np.zeros((len(step), self.width), np.int32)
+        self.letter = {c: i for i, c in enumerate(sorted(set("".join(samples.values()))))}
+        # each language's column of each letter; the last column stands for letters without one and has no transitions
+        self.column = np.zeros((len(self.langs), len(self.letter) + 1), np.int32)
+        tables, self.roots, self.bits, base = [np.zeros(1, np.int32)], [], [], 1
+        keys, values = [], []
+        for j, lang in enumerate(self.langs):
+            text = samples[lang]
+            common = sorted(set(text), key=lambda c, n=Counter(text): (-n[c], c))[:LETTERS]
+            own, width = {c: i for i, c in enumerate(common)}, len(common) + 1
+            self.column[j] = width - 1
+            for c, i in own.items():
+                self.column[j, self.letter[c]] = i
+            step, _ = automaton(text)
+            table = np.zeros((len(step), width), np.int32)
             for s, moves in enumerate(step):
                 for c, to in moves.items():
-                    if ord(c) in self.letter:
-                        table[s, self.letter[ord(c)]] = base + to
-            tables.append(table)
+                    if c in own:
+                        table[s, own[c]] = base + to * width
+                    else:
+                        keys.append((base + s * width << 21) + self.letter[c])
+                        values.append(base + to * width)
+            tables.append(table.ravel())
             self.roots.append(base)
-            self.bits.append(float(np.log2(max(2, len(samples[lang])))))
-            base += len(step)
-        self.step = np.concatenate(tables).ravel()
-        codes = np.full(0x110000, self.width - 1, np.uint8)
+            self.bits.append(float(np.log2(max(2, len(text)))))
+            base += table.size
+        self.step = np.concatenate(tables)
+        order = np.argsort(np.array(keys, np.int64))
+        self.rare = np.array(keys, np.int64)[order], np.array(values, np.int32)[order]
+        self.codes = np.full(0x110000, len(self.letter), np.int32)
         for c, i in self.letter.items():
-            codes[c] = i
-        self.codes = codes
+            self.codes[ord(c)] = i
+
+    def next(self, state: np.ndarray, c: np.ndarray, column: np.ndarray) -> np.ndarray:
+        """The states after these (languages x texts) by a letter of each text, whose columns are given."""
+        now = self.step.take(state + column)
+        keys, values = self.rare
+        if len(keys):
+            lang, text = np.nonzero((now == 0) & (c < len(self.letter)))
+            own = (state[lang, text if state.shape[1] > 1 else 0].astype(np.int64) << 21) + c[text]
+            at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+            now[lang, text] = np.where(keys[at] == own, values[at], 0)
+        return now
 
     def phrases(self, texts: list[str]) -> np.ndarray:
         """Texts x languages: the number of phrases of each text's blocks."""
@@ -116,18 +139,19 @@ class Model:
         length = np.minimum(BLOCK, size[owner] - nth * BLOCK)
         order = np.argsort(-length, kind="stable")
         start, length, owner = start[order], length[order], owner[order]
-        roots, width, step = np.array(self.roots, np.int32)[:, None], self.width, self.step
+        roots = np.array(self.roots, np.int32)[:, None]
         state = np.broadcast_to(roots, (len(roots), len(start))).copy()
         count = np.ones((len(roots), len(start)), np.int32)
         live = np.searchsorted(-length, -np.arange(BLOCK), "left")  # blocks longer than each offset
         for t in range(int(length[0]) if len(length) else 0):
             m = live[t]
             c = flat[start[:m] + t]
-            now = step.take(state[:, :m] * width + c)
+            column = self.column.take(c, axis=1)
+            now = self.next(state[:, :m], c, column)
             ended = now == 0
             if ended.any():
                 # the phrase ended before this letter, which begins the next one (a letter never seen is a phrase)
-                fresh = step.take(roots * width + c)
+                fresh = self.next(roots, c, column)
                 now = np.where(ended, np.where(fresh == 0, roots, fresh), now)
                 count[:, :m] += ended
             state[:, :m] = now
@@ -135,54 +159,69 @@ class Model:
         np.add.at(out, owner, count.T)
         return out
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        plain = [letters(x) if x else "" for x in texts]
-        some = [i for i, x in enumerate(plain) if x and any(map(str.isalpha, x))]
-        langs, scores = ["und"] * len(texts), [0.0] * len(texts)
-        if some and self.langs:
-            entropy = self.phrases([plain[i] for i in some]) * np.array(self.bits)
+    def entropies(self, texts: list[str]) -> np.ndarray:
+        """Texts x languages: the normalised phrases."""
+        return self.phrases(texts) * np.array(self.bits)
+
+
+def predict(models: Iterable[Model], texts: list[str | None]) -> tuple[list[str], list[float]]:
+    """The language of each text, of those of all models, and its score."""
+    plain = [letters(x) if x else "" for x in texts]
+    some = [i for i, x in enumerate(plain) if x and any(map(str.isalpha, x))]
+    langs, scores = ["und"] * len(texts), [0.0] * len(texts)
+    if some:
+        names, parts = [], []
+        for model in models:
+            names += model.langs
+            parts.append(model.entropies([plain[i] for i in some]))
+        if names:
+            order = np.argsort(np.array(names, object), kind="stable")
+            names, entropy = [names[i] for i in order], np.concatenate(parts, axis=1)[:, order]
             best = entropy.argmin(1)
             least = entropy[np.arange(len(some)), best]
-            rest = entropy.copy()
-            rest[np.arange(len(some)), best] = np.inf
-            second = rest.min(1)
+            entropy[np.arange(len(some)), best] = np.inf
+            second = entropy.min(1)
             for j, i in enumerate(some):
-                langs[i] = self.langs[best[j]]
+                langs[i] = names[best[j]]
                 scores[i] = 1.0 if np.isinf(second[j]) else float(1 - least[j] / second[j])
-        return langs, scores
+    return langs, scores
 
 
 def held_out(doc_id):
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2
 
 
-def learn(docs: DataFrame) -> Model:
+def learn(docs: DataFrame) -> list[Model]:
     """The automata of the languages of labelled documents that aren't held out."""
     rows = docs.select(F.col("doc_id").cast("long"), "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     rows = rows.where(~held_out(F.col("doc_id")))
-    sizes = [tuple(r) for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    if not sizes:
-        return Model({})
     # of each language about four times the documents wanted, by a bound on the hash, and of those the least
-    bound = F.create_map(*[F.lit(x) for lang, n in sizes for x in (lang, min(1 << 40, (SAMPLE_DOCS << 42) // n + 1))])
-    keyed = rows.withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))).where(F.col("h") < F.try_element_at(bound, F.col("lang")))
+    bounds = rows.groupBy("lang").agg(F.least(F.lit(1 << 40), F.expr(f"{SAMPLE_DOCS << 42}L div count(*) + 1")).alias("bound"))
+    keyed = rows.withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))).join(F.broadcast(bounds), "lang").where("h < bound")
     keyed = keyed.select("lang", "doc_id", "h", F.substring("text", 1, DOC_CHARS).alias("text"))
     some = keyed.withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy("h", "doc_id", "text"))).where(F.col("n") <= SAMPLE_DOCS)
     samples: dict[str, str] = {}
-    for lang, text in some.orderBy("lang", "n").select("lang", "text").collect():
+    for lang, text in some.orderBy("lang", "n").select("lang", "text").toLocalIterator():
         own = samples.get(lang, "")
         if len(own) < TRAIN_CHARS and (plain := letters(text)):
             samples[lang] = (own + " " + plain)[:TRAIN_CHARS] if own else plain[:TRAIN_CHARS]
-    return Model(samples)
+    langs = sorted(samples)
+    return [Model({x: samples[x] for x in langs[i : i + LANGUAGES]}) for i in range(0, len(langs), LANGUAGES)]
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
+def identify(docs: DataFrame, models: list[Model]) -> DataFrame:
     """doc_id, lang_pred, score of every row; only the text is looked at."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = [docs.sparkSession.sparkContext.broadcast(x) for x in models]
+
+    def loaded() -> Iterator[Model]:
+        for x in shared:
+            yield x.value
+            if len(shared) > 1:
+                del x._value  # read again for the next chunk
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in C.chunks(batches, limit=2 << 20):
-            langs, scores = shared.value.predict(part.column(1).to_pylist())
+        for part in C.chunks(batches, limit=(2 if len(shared) < 2 else 16) << 20):
+            langs, scores = predict(loaded(), part.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SCHEMA)

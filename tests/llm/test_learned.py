@@ -171,6 +171,28 @@ def test_phrases_are_longest_matches():
     assert int(model.phrases(known)[0, 0]) == plain_phrases(known[0], samples["a"])
 
 
+def test_every_script_and_language_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LANGUAGES", 3)
+    rng = random.Random(8)
+    alphabets = {"ar": (0x621, 28), "de": (0x61, 26), "el": (0x3B1, 24), "hi": (0x905, 50), "ja": (0x3041, 80), "ka": (0x10D0, 33), "ru": (0x430, 32), "uk": (0x430, 32), "zh": (0x4E00, 2000)}
+    rows = []
+    for lang, (first, n) in alphabets.items():
+        words = ["".join(chr(first + rng.randrange(n)) for _ in range(rng.randint(2, 6))) for _ in range(150)]
+        rows += [(len(rows) + i, " ".join(rng.choice(words) for _ in range(60)), lang) for i in range(40 if lang == "de" else 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    models = langid.learn(docs)
+    assert [len(m.langs) for m in models] == [3, 3, 3]
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs, models).collect()}
+    assert all(got[d] == lang for d, _, lang in rows)
+
+
+def test_rare_letters_are_parsed_like_others():
+    rng = random.Random(9)
+    sample = "".join(chr(0x4E00 + rng.randrange(300)) for _ in range(3000))
+    text = sample[500:540] + sample[40:90] + sample[2000:2003]
+    assert int(langid.Model({"zh": sample}).phrases([text])[0, 0]) == plain_phrases(text, sample)
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
     out = queries.op3_language_id(spark, SF).join(docs, "doc_id").where("held_out")
