@@ -10,7 +10,9 @@ the path that those have in common is stable, is emitted and is forgotten. Memor
 merge list, not on the input.
 
 Words that the splitter yields are separate inputs; the results of recent words are kept in a
-store of bounded size, which is a memo of the transducer and changes no result.
+memo of a bounded number of words of bounded length, which changes no result. Texts with added
+tokens, or with code points that this Python's Unicode tables and the library's may see otherwise,
+are normalized and split by the library.
 
 Decoding. decode() feeds ids to a state machine that knows what came before: vocabularies
 without a decoder give their tokens joined by spaces, byte-level ones give bytes, whose
@@ -41,6 +43,8 @@ VOCABULARY = "word_bpe_49k.json"
 #: Unicode's White_Space, as the splitter sees it.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 SPLIT = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
+#: Bytes of text of which a word is encoded once.
+CHUNK = 8 << 20
 SCHEMA = "doc_id long, ids array<int>"
 
 
@@ -53,16 +57,40 @@ def byte_alphabet() -> list[str]:
     return [out[b] for b in range(256)]
 
 
-class Recent:
-    """A map that keeps the entries of the last `limit` to 2 `limit` puts, give or take a batch."""
+class Recent(dict):
+    """A memo of a word's ids that holds at most 2 `limit` words, of which none is longer than LONG bytes, so its size
+    is bounded in bytes; the words of the last `limit` puts stay."""
+
+    LONG = 64
 
     def __init__(self, limit: int):
-        self.limit, self.new, self.old = limit, {}, {}
+        super().__init__()
+        self.limit, self.old = limit, {}
 
-    def turn(self) -> None:
-        """To be called between batches."""
-        if len(self.new) >= self.limit:
-            self.old, self.new = self.new, {}
+    def of(self, words: list[str], encode_words) -> list[bytes]:
+        """The ids of different words; encode_words is asked for those that aren't known."""
+        out = list(map(self.get, words))
+        missing = [i for i, x in enumerate(out) if x is None] if None in out else []
+        if missing:
+            if self.old:
+                old, ask = self.old.get, []
+                for i in missing:
+                    word = words[i]
+                    ids = old(word)
+                    if ids is None:
+                        ask.append(i)
+                    else:
+                        out[i] = self[word] = ids
+            else:
+                ask = missing
+            for i, ids in zip(ask, encode_words([words[i] for i in ask]), strict=True):
+                out[i], word = ids, words[i]
+                if len(word) <= self.LONG and len(ids) <= 4 * self.LONG:
+                    self[word] = ids
+            if len(self) >= self.limit:
+                self.old = dict(self)
+                self.clear()
+        return out
 
 
 class Transducer:
@@ -178,28 +206,36 @@ class Transducer:
 
 #: What is cut off a word's end at once; the splitter keeps a run of these as one word.
 MARKS = string.punctuation
-#: White space to Python that the splitter takes for marks.
-_CONTROLS = regex.compile("[\x1c-\x1f]")
+_BLANKS = regex.compile(rf"[{SPACE}--[\x00-\x7f]]", regex.V1)
+
+
+def strange() -> np.ndarray:
+    """Of each code point whether the library, whose Unicode tables are of another version, may see it otherwise: those
+    that this Python's tables don't know or that are newer than the library's."""
+    out = np.zeros(0x110000, bool)
+    out[[i for i in range(0x110000) if unicodedata.category(chr(i)) in ("Cn", "Cs")]] = True
+    out[NEWER[0] : NEWER[1]] = True
+    return out
+
+
+#: CJK Extension I, of Unicode 15.1.
+NEWER = 0x2EBF0, 0x2EE5E
 
 
 class Words:
-    """Texts -> ids through two bounded memos: of pieces between white space, and of the splitter's words.
+    """Texts -> ids: normalized, split and made distinct with Arrow, so that a word costs once for each chunk of texts,
+    and looked up in a memo of bounded size.
 
     Splitting at white space first changes nothing, as it is never part of a word.
     """
 
-    PIECES, WORDS = 450_000, 250_000
-
-    def __init__(self, added: dict[str, int], encode_words, whole, again: bool):
-        """encode_words: a list of normalized words -> the bytes of their ids; whole: a text that can't be split
-        like that (with an added token, or the like) -> its ids; again: encode_words normalizes once more."""
-        self.encode_words, self.whole, self.again, self.added = encode_words, whole, again, list(added)
-        self.pieces, self.words = Recent(self.PIECES), Recent(self.WORDS)
+    WORDS = 500_000
 
-    def forget(self) -> None:
-        """Empties the memos, at a task's end: an idle worker keeps no more than the tables."""
-        for memo in (self.pieces, self.words):
-            memo.new, memo.old = {}, {}
+    def __init__(self, added: dict[str, int], encode_words, whole, kind: str = "<u4"):
+        """encode_words: a list of normalized words -> the bytes of their ids, numbers of this kind; whole: a text that
+        can't be split like that (with an added token, or with strange code points) -> its ids."""
+        self.encode_words, self.whole, self.added, self.kind = encode_words, whole, list(added), np.dtype(kind)
+        self.words, self.strange = Recent(self.WORDS), None
 
     @staticmethod
     def normal(text: str) -> str:
@@ -209,63 +245,59 @@ class Words:
                 text = text.replace("Σ", "σ")  # lower-cased by itself, wherever it stands
         return text.lower()
 
-    def _learn(self, missing: set[str]) -> None:
-        """Puts the normalized pieces into the memo."""
-        pieces, old, words, old_words = self.pieces.new, self.pieces.old, self.words.new, self.words.old
-        parts, fresh = [], {}
-        for piece in missing:
-            ids = old.get(piece)
-            if ids is not None:
-                pieces[piece] = ids
-                continue
-            word = piece.rstrip(MARKS)
-            if word.isalpha():
-                own = (word,) if len(word) == len(piece) else (word, piece[len(word) :])
-            else:
-                own = SPLIT.findall(piece)
-            for word in own:
-                if word not in words:
-                    ids = old_words.get(word)
-                    if ids is None:
-                        fresh[word] = None
-                    else:
-                        words[word] = ids
-            parts.append((piece, own))
-        if fresh:
-            new = list(fresh)
-            words.update(zip(new, self.encode_words(new), strict=True))
-        for piece, own in parts:
-            pieces[piece] = words[own[0]] if len(own) == 1 else b"".join([words[w] for w in own])
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        self.pieces.turn()
-        self.words.turn()
-        get, split, missing = self.pieces.new.get, [], set()
-        for text in texts:
-            plain = self.normal(text)
-            odd = "<" in text and any(x in text for x in self.added) or _CONTROLS.search(text)
-            if odd or self.again and not plain.isascii() and not unicodedata.is_normalized("NFC", plain):
-                split.append(text)
-                continue
-            words = plain.split()
-            found = list(map(get, words))
-            gaps = [i for i, x in enumerate(found) if x is None] if None in found else ()
-            new = [words[i] for i in gaps]
-            missing.update(new)
-            split.append((found, gaps, new))
-        if missing:
-            self._learn(missing)
-        out = []
-        for x in split:
-            if isinstance(x, str):
-                out.append(self.whole(x))
-                continue
-            found, gaps, new = x
-            for i, w in zip(gaps, new, strict=True):
-                found[i] = get(w)
-            out.append(b"".join(found))
+    def odd(self, texts: list[str]) -> set[int]:
+        """The texts that can't be split here."""
+        out = {i for i, x in enumerate(texts) if "<" in x and any(a in x for a in self.added)}
+        beyond = [i for i, x in enumerate(texts) if not x.isascii()]
+        if beyond:
+            if self.strange is None:
+                self.strange = strange()
+            flat = np.frombuffer("".join([texts[i] for i in beyond]).encode("utf-32-le"), np.uint32)
+            if len(at := np.flatnonzero(self.strange[flat])):
+                ends = np.cumsum([len(texts[i]) for i in beyond])
+                out.update(beyond[j] for j in np.searchsorted(ends, at, "right").tolist())
         return out
 
+    def missing(self, pieces: list[str]) -> list[bytes]:
+        """The ids of different normalized pieces that the memo doesn't have."""
+        parts = {i: SPLIT.findall(x) for i, x in enumerate(pieces) if not x.isalpha()}
+        more = {w for own in parts.values() if len(own) > 1 for w in own}
+        ask = [x for i, x in enumerate(pieces) if len(parts.get(i, "-")) == 1]
+        more = list(more.difference(ask))
+        of = dict(zip(ask + more, self.encode_words(ask + more), strict=True))
+        return [of[x] if (x in of) else b"".join([of[w] for w in parts[i]]) for i, x in enumerate(pieces)]
+
+    def ids(self, texts: list[str]) -> pa.Array:
+        """The ids of each text, as binary values."""
+        odd, plain = self.odd(texts), []
+        for i, text in enumerate(texts):
+            if i in odd:
+                plain.append("")
+                continue
+            text = self.normal(text)
+            if not text.isascii():
+                text = _BLANKS.sub(" ", text)
+            plain.append(text)
+        split = pa.compute.ascii_split_whitespace(pa.array(plain, pa.large_string()))
+        found = pa.compute.list_flatten(split).dictionary_encode()
+        # letters and the marks behind them are two words: the same bytes, cut once more
+        pieces, which = found.dictionary, found.indices.to_numpy()
+        body = pa.compute.ascii_rtrim(pieces, characters=MARKS)
+        size = pa.compute.binary_length(body).to_numpy()
+        two = pa.compute.utf8_is_alpha(body).to_numpy(zero_copy_only=False) | (size == 0)
+        offsets = np.frombuffer(pieces.buffers()[1], np.int64)[: len(pieces) + 1] if len(pieces) else np.zeros(1, np.int64)
+        cuts = np.empty(2 * len(pieces) + 1, np.int64)
+        cuts[::2], cuts[1::2] = offsets, np.where(two, offsets[:-1] + size, offsets[1:])
+        words = pa.LargeStringArray.from_buffers(2 * len(pieces), pa.py_buffer(cuts), pieces.buffers()[2] or pa.py_buffer(b"")).dictionary_encode()
+        ids = pa.array(self.words.of(words.dictionary.to_pylist(), self.missing), pa.large_binary())
+        flat = ids.take(pa.array(words.indices.to_numpy().reshape(-1, 2)[which].ravel()))
+        ends = np.frombuffer(flat.buffers()[1], np.int64)[: len(flat) + 1] if len(flat) else np.zeros(1, np.int64)
+        at = ends[2 * np.concatenate([[0], np.cumsum(pa.compute.list_value_length(split).to_numpy())])]
+        out = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(np.ascontiguousarray(at)), flat.buffers()[2] or pa.py_buffer(b"")])
+        if not odd:
+            return out
+        return pa.array([self.whole(texts[i]) if i in odd else x for i, x in enumerate(out.to_pylist())], pa.large_binary())
+
 
 class Codec:
     """A byte-level BPE vocabulary with word ends and added tokens: text -> ids -> text."""
@@ -285,7 +317,8 @@ class Codec:
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.alphabet = byte_alphabet()
         self.byte_level = (spec.get("decoder") or {}).get("type") == "ByteLevel"
-        self.words = Words(self.added, lambda words: list(map(self.word, words)), self.mixed, again=False)
+        self.path, self.lib = path, None
+        self.words = Words(self.added, lambda words: list(map(self.word, words)), self.mixed)
 
     def word(self, word: str) -> bytes:
         """The ids of a word of the splitter, as little-endian 32-bit numbers."""
@@ -295,17 +328,22 @@ class Codec:
         return array("I", self.transducer.stream(symbols)).tobytes()
 
     def mixed(self, text: str) -> bytes:
-        """The ids of a text with added tokens, or with controls."""
+        """The ids of a text with added tokens or strange code points, which the library normalizes and splits."""
+        if self.lib is None:
+            from tokenizers import Tokenizer
+
+            self.lib = Tokenizer.from_file(self.path)
         out = []
         for part in self.special.split(text) if self.special else [text]:
             if part in self.added:
-                out.append(np.array([self.added[part]], np.uint32).tobytes())
-            else:
-                out += map(self.word, SPLIT.findall(self.words.normal(part)))
-        return b"".join(out)
+                out.append(self.added[part])
+            elif part:
+                for word, _ in self.lib.pre_tokenizer.pre_tokenize_str(self.lib.normalizer.normalize_str(part)):
+                    out += self.transducer.stream(word)
+        return np.array(out, np.uint32).tobytes()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.frombuffer(x, np.uint32) for x in self.words.ids(texts)]
+        return [np.frombuffer(x, np.uint32) for x in self.words.ids(texts).to_pylist()]
 
     def decoder(self) -> "Decoder":
         return Decoder(self)
@@ -338,13 +376,11 @@ class Decoder:
 
 def encoded(batches: Iterable[pa.RecordBatch], codec: Codec) -> Iterator[pa.RecordBatch]:
     """Batches of doc_id, text -> batches of doc_id, ids."""
-    codec.words.forget()
-    for part in C.chunks(batches, limit=1 << 20):
-        ids = codec.encode([x or "" for x in part.column(1).to_pylist()])
-        offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-        flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
-        yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(offsets, pa.array(flat.view(np.int32)))], ["doc_id", "ids"])
-    codec.words.forget()
+    for part in C.chunks(batches, limit=CHUNK):
+        ids = codec.words.ids([x or "" for x in part.column(1).to_pylist()])
+        size = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset : ids.offset + len(ids) + 1] // 4
+        flat = pa.Array.from_buffers(pa.int32(), int(size[-1]), [None, ids.buffers()[2] or pa.py_buffer(b"")])
+        yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(size.astype(np.int32), flat)], ["doc_id", "ids"])
 
 
 #: Ids that the decoder is fed at once.

@@ -116,52 +116,57 @@ def from_file(raw: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray, int
 class Library:
     """The tokenizers library, asked once for words that come again soon."""
 
-    PIECES, WORDS = 700_000, 300_000
-
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.lib = Tokenizer.from_file(path)
-        self.lib.no_truncation()
-        self.lib.no_padding()
+        self.lib = _tokenizer(path)
         added = {x.content: i for i, x in self.lib.get_added_tokens_decoder().items()}
-        self.model, self.alphabet = self.lib.model, bpe.byte_alphabet()
-        self.words = bpe.Words(added, self._words, self._whole, again=False)
-        self.words.pieces.limit, self.words.words.limit = self.PIECES, self.WORDS
+        self.model, self.alphabet, self.kind = self.lib.model, bpe.byte_alphabet(), _kind(self.lib)
+        self.words = bpe.Words(added, self._words, self._whole, self.kind)
         self.encode = self.words.ids
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.lib.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+        return np.array(self.lib.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def _words(self, words: list[str]) -> list[bytes]:
         """The library's model gets normalized and split words, in the byte-level alphabet."""
-        tokenize, table, out = self.model.tokenize, self.alphabet, []
+        tokenize, table, out, kind = self.model.tokenize, self.alphabet, [], self.kind[1:].replace("u2", "H").replace("u4", "I")[-1]
         for word in words:
             if not word.isascii() or not word.isprintable():
                 word = "".join([table[b] for b in word.encode()])
-            out.append(array("I", [t.id for t in tokenize(word)]).tobytes())
+            out.append(array(kind, [t.id for t in tokenize(word)]).tobytes())
         return out
 
 
+def _tokenizer(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    lib = Tokenizer.from_file(path)
+    lib.no_truncation()
+    lib.no_padding()
+    return lib
+
+
+def _kind(lib) -> str:
+    """The numbers that hold the vocabulary's ids on their way to the files."""
+    return "<u2" if max([lib.get_vocab_size(), *lib.get_added_tokens_decoder()]) < 1 << 16 else "<u4"
+
+
 def write(docs: DataFrame, folder: str, end_id: int = 1, path: str | None = None, file_ids: int = FILE_IDS) -> DataFrame:
     """Writes the files; returns file, shard, n_ids, first (ids before the file, over all), a row for each file."""
     spark = docs.sparkSession
     path = path or C.vocab_path(bpe.VOCABULARY)
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     n = C.n_shards(spark)
+    kind = _kind(_tokenizer(path))
     bounds = np.array(sorted(set(rows.select("doc_id").stat.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.2 / n))), np.float64) if n > 1 else np.zeros(0)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lib = C.kept("library", path, Library)
-        lib.words.forget()
-        end = np.uint32(end_id).tobytes()
-        for part in C.chunks(batches, limit=1 << 20):
-            ids = [_small(x + end) for x in lib.encode([x or "" for x in part.column(1).to_pylist()])]
+        for part in C.chunks(batches, limit=bpe.CHUNK):
+            ids = lib.encode([x or "" for x in part.column(1).to_pylist()])
             doc = part.column(0)
             shard = np.searchsorted(bounds, pa.compute.fill_null(doc, -(1 << 63)).to_numpy(zero_copy_only=False).astype(np.float64)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(shard), doc, pa.array(ids, pa.binary())], ["shard", "doc_id", "ids"])
-        lib.words.forget()
+            yield pa.RecordBatch.from_arrays([pa.array(shard), doc, ids.cast(pa.binary())], ["shard", "doc_id", "ids"])
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, doc_ids, ids, held, before, seq = None, [], [], 0, 0, 0
@@ -176,7 +181,7 @@ def write(docs: DataFrame, folder: str, end_id: int = 1, path: str | None = None
 
         for batch in batches:
             for s, doc, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                own = _large(blob)
+                own = np.append(np.frombuffer(blob, kind).astype(np.uint32), np.uint32(end_id))
                 if ids and (s != shard or held + len(own) > file_ids):
                     yield flush()
                 if s != shard:
@@ -197,16 +202,6 @@ def write(docs: DataFrame, folder: str, end_id: int = 1, path: str | None = None
     return files.withColumn("first", first + F.coalesce(inside, F.lit(0)))
 
 
-def _small(ids: bytes) -> bytes:
-    """32-bit ids as the shuffle carries them: their width in bytes, then two bytes each where they fit."""
-    wide = np.frombuffer(ids, np.uint32)
-    return b"\2" + wide.astype(np.uint16).tobytes() if int(wide.max()) < 1 << 16 else b"\4" + ids
-
-
-def _large(blob: bytes) -> np.ndarray:
-    return np.frombuffer(blob, np.uint16 if blob[0] == 2 else np.uint32, offset=1)
-
-
 def _at(name: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(name.replace("s3a://", "s3://", 1))
 

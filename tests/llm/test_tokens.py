@@ -26,13 +26,12 @@ def codec():
 
 def test_encoding_equals_the_library(codec, lib):
     rng, ours = random.Random(1), token_files.Library(VOCAB)
-    ours.encode.__self__.pieces.limit = codec.words.pieces.limit = 40  # the memos turn over all the time
-    ours.encode.__self__.words.limit = codec.words.words.limit = 30
+    ours.words.words.limit = codec.words.words.limit = 30  # the memos turn over all the time
     for _ in range(400):
         texts = ["".join(rng.choice(POOL) for _ in range(rng.randint(0, 12))) for _ in range(10)]
         want = [lib.encode(t, add_special_tokens=False).ids for t in texts]
         assert [x.tolist() for x in codec.encode(texts)] == want
-        assert [np.frombuffer(x, np.uint32).tolist() for x in ours.encode(texts)] == want
+        assert [np.frombuffer(x, ours.kind).tolist() for x in ours.encode(texts).to_pylist()] == want
 
 
 @pytest.mark.parametrize("text", ["a" * 5000, "".join(random.Random(2).choice("abcdeinthor") for _ in range(20_000)), "😀" * 500, "!" * 3000])
@@ -132,3 +131,21 @@ def test_file_query_on_documents(spark, small):
 
 def test_files_of_nothing(spark, none):
     assert token_files.read(token_files.write(none, common.fresh_dir(spark, "t"))).collect() == []
+
+
+def test_all_code_points(codec, lib):
+    """Alone, inside words and beside marks: assigned, unassigned and newer than the library's tables or than Python's."""
+    ours = token_files.Library(VOCAB)
+    points = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000 and not 0xF0000 <= i]
+    texts = ["".join(f"a{c}b {c}1{c}{c} x{c}. " for c in points[i : i + 64]) for i in range(0, len(points), 64)]
+    want = [x.ids for x in lib.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, ours.kind).tolist() for x in ours.encode(texts).to_pylist()] == want
+    assert [x.tolist() for x in codec.encode(texts[:3000])] == want[:3000]
+    assert [x.tolist() for x in codec.encode(texts[3000::40])] == want[3000::40]
+
+
+def test_memo_is_bounded():
+    memo = bpe.Recent(10)
+    for i in range(100):
+        assert memo.of([f"w{i}", "same", "x" * 100], lambda words: [w.encode()[:9] for w in words]) == [f"w{i}".encode(), b"same", b"x" * 9]
+    assert len(memo) + len(memo.old) <= 22 and not any(len(w) > memo.LONG for w in [*memo, *memo.old])
