@@ -12,7 +12,9 @@ import atexit
 import os
 import shutil
 import struct
+import sys
 import tempfile
+import types
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
@@ -21,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 import xxhash
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +65,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Shipped:
+    """An object of bounded size that all tasks share. It is broadcast as bytes, its class among them, so executors need
+    no copy of the package; a worker process keeps the one that it used last."""
+
+    def __init__(self, spark: SparkSession, what):
+        self.key, self.sent = uuid.uuid4().hex, spark.sparkContext.broadcast(cloudpickle.dumps(what))
+
+    def get(self):
+        store = sys.modules.setdefault("_slotwise_kept", types.ModuleType("_slotwise_kept")).__dict__
+        if store.get("shipped", ("",))[0] != self.key:
+            store["shipped"] = None  # before the next is loaded
+            store["shipped"] = (self.key, cloudpickle.loads(self.sent.value))
+            self.sent.__dict__.pop("_value", None)  # the bytes are on disk as well
+        return store["shipped"][1]
+
+
 def n_shards(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -72,8 +91,6 @@ def n_shards(spark: SparkSession) -> int:
 def lean() -> None:
     """Makes this worker process give memory back: large arrays are mapped one by one, and Arrow keeps no pool."""
     import ctypes
-    import sys
-    import types
 
     store = sys.modules.setdefault("_slotwise_kept", types.ModuleType("_slotwise_kept")).__dict__
     if store.get("lean"):
@@ -243,9 +260,6 @@ def vocab_path(name: str, folder: str | None = None) -> str:
 
 def kept(kind: str, path: str, make):
     """make(path), made once in a worker process and used again by its later tasks."""
-    import sys
-    import types
-
     store = sys.modules.setdefault("_slotwise_kept", types.ModuleType("_slotwise_kept")).__dict__
     if (kind, path) not in store:
         store[kind, path] = make(path)

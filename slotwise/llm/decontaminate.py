@@ -134,12 +134,12 @@ def contamination(docs: DataFrame, bench: DataFrame, n: int = 10, k: int = 5, bl
         if not first:
             rows = C.written(rows, "contamination")  # or every block's index would be in memory at once
         first = False
-        shared = spark.sparkContext.broadcast(Index(items, n, k))
+        shared = C.Shipped(spark, Index(items, n, k))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             hashes = C.WordHashes()
             for part in C.chunks(batches):
-                found = _scan(part, shared.value, hashes)
+                found = _scan(part, shared.get(), hashes)
                 hits = [merged([(x["start"], x["end"]) for x in old or ()] + new) for old, (_, new, _) in zip(part.column(3).to_pylist(), found, strict=True)]
                 names = [sorted({*(old or ()), *new}) for old, (_, _, new) in zip(part.column(4).to_pylist(), found, strict=True)]
                 yield pa.RecordBatch.from_arrays(
@@ -154,12 +154,12 @@ def contamination(docs: DataFrame, bench: DataFrame, n: int = 10, k: int = 5, bl
 def clean(docs: DataFrame, bench: DataFrame, n: int = 10, k: int = 5, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The rows of docs, all columns, in which no window of an item occurs."""
     for items in blocks(bench, block_words):
-        shared = docs.sparkSession.sparkContext.broadcast(Index(items, n, k))
+        shared = C.Shipped(docs.sparkSession, Index(items, n, k))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             hashes = C.WordHashes()
             for part in C.chunks(batches):
-                yield part.filter(pa.array([not x[1] for x in _scan(part, shared.value, hashes)], pa.bool_()))
+                yield part.filter(pa.array([not x[1] for x in _scan(part, shared.get(), hashes)], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs

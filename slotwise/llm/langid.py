@@ -211,13 +211,11 @@ def learn(docs: DataFrame) -> list[Model]:
 
 def identify(docs: DataFrame, models: list[Model]) -> DataFrame:
     """doc_id, lang_pred, score of every row; only the text is looked at."""
-    shared = [docs.sparkSession.sparkContext.broadcast(x) for x in models]
+    shared = [C.Shipped(docs.sparkSession, x) for x in models]
 
     def loaded() -> Iterator[Model]:
         for x in shared:
-            yield x.value
-            if len(shared) > 1:
-                del x._value  # read again for the next chunk
+            yield x.get()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in C.chunks(batches, limit=(2 if len(shared) < 2 else 16) << 20):

@@ -240,6 +240,38 @@ def test_factor_one_is_exact(spark):
     assert some(map(tuple, got.collect())) == some(plain_nearest(rows, 20))
 
 
+@pytest.mark.parametrize("kind", ["binary", "constant", "clusters", "integers"])
+@pytest.mark.parametrize("factor", [1.0, 1.5])
+def test_ties_go_to_the_smaller_id(spark, kind, factor):
+    """Hundreds of vectors tie with the k-th; in clusters most shards are out of reach."""
+    rng = np.random.default_rng(6)
+    vectors = {
+        "binary": rng.integers(0, 2, (1200, 10)) + np.eye(1200, 10, -7),
+        "constant": np.concatenate([np.ones((300, 4)), 2 * np.ones((300, 4)), np.eye(300, 4) + 1]),
+        "clusters": np.repeat(rng.standard_normal((12, 8)) * 20, 100, 0) + rng.standard_normal((1200, 8)),
+        "integers": rng.integers(-3, 4, (1200, 3)),
+    }[kind].astype(np.float32)
+    rows = [(int(i), v.tolist()) for i, v in zip(rng.permutation(len(vectors)), vectors, strict=True) if v.any()]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = some(map(tuple, vptree.search(df, df.where("vec_id % 20 = 0"), 20, factor, shard_rows=100, query_block=16).collect()))
+    want = some(plain_nearest(rows, 20))
+    if factor == 1.0:
+        assert got == want
+    else:  # another choice, but true scores in the right order
+        score = {(q, i): s for q, x in rows if q % 20 == 0 for i, y in rows if (s := float(np.add.accumulate(np.float64(x) * np.float64(y))[-1])) is not None}
+        assert all(score[q, i] == s for q, _, i, s in got) and [(q, r) for q, r, *_ in got] == [(q, r) for q, r, *_ in want]
+
+
+def test_clusters_out_of_reach_are_not_visited():
+    rng = np.random.default_rng(7)
+    at = np.repeat(rng.standard_normal((32, 8)) * 50, 100, 0) + rng.standard_normal((3200, 8))
+    at *= 100 / np.sqrt((at**2).sum(1))[:, None]
+    top = vptree.Top(np.arange(3200), at, 10_000.0, 32)
+    floor = top.floor(np.arange(3200), at, 20)
+    reached = top.reached(at, floor, 1.0)
+    assert reached.mean() < 0.25 and reached[np.arange(3200), top.leaf(at)].all()
+
+
 def test_recall_with_the_production_factor(spark):
     rows = [(r[0], list(r[1])) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").collect()]
     want = {}
