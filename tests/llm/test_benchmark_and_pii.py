@@ -47,6 +47,18 @@ def test_contamination_of_nothing(spark, none, odd):
     assert all(r["hits"] == [] and r["items"] == [] for r in decontaminate.contamination(odd, empty).collect())
 
 
+def test_many_shards_and_a_window_of_very_many_items(spark):
+    """20,000 items have one window in common; their 30 shards and more are of 40,000 words each."""
+    common = " ".join(f"c{i}" for i in range(10))
+    bench = [(i, f"{common} x{i} y{i} z{i}") for i in range(20_000)] + [(30_000 + i, " ".join(f"q{i}w{j}" for j in range(12))) for i in range(50)]
+    docs = [(1, f"a {common} b"), (2, f"{common} x7 y7 z7"), (3, "c0 c1 c2 c3 c4 c5 c6 c7 c8"), (4, " ".join(f"q3w{j}" for j in range(1, 11)) + " end"), (5, None)] + [(10 + i, f"w{i} {common}") for i in range(30)]
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    want = some(contamination(docs, bench))
+    assert told(decontaminate.contamination(rows, items, block_words=8_000)) == want
+    assert sorted(r["doc_id"] for r in decontaminate.clean(rows, items, block_words=8_000).collect()) == [d for d, *_, bad in sorted(want) if not bad]
+
+
 def test_query_on_documents(spark, small):
     items = [(r[0], r[1]) for r in spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").select("item_id", "text").collect()]
     assert some(map(tuple, queries.op10_decontaminate(spark, "/root/testdata/sf0.001").collect())) == some(contamination(small[1], items))
