@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from slotwise.llm import common as C
@@ -294,25 +295,37 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, k: int = 4, budget: int = 4, seed: int = 42, once: bool = False, words: int = 0) -> DataFrame:
-    """doc_id, fp, text_hash, component_id of every row: the least doc_id reachable over links of at most budget
-    differing bits and, if words is given, over a band of the minima of shingles of so many words."""
+    """doc_id, fp, text_hash, component_id, several of every row: the least doc_id reachable over links of at most budget
+    differing bits and, if words is given, over a band of the minima of shingles of so many words; several: whether the
+    component has more than one row."""
+    spark = docs.sparkSession
     fps = C.written(fingerprints(docs, k, seed, once, words), "fingerprints")
-    nodes = C.written(fps.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")), "nodes")
-    edges = near_edges(nodes, budget)
+    nodes = C.written(fps.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "nodes")
+    known = nodes.where("rep is not null")
+    edges = near_edges(known, budget)
     if words:
         edges = edges.union(band_edges(fps.where("doc_id is not null")))
     roots = components(edges)
     members = C.written(roots.union(roots.select(F.col("root").alias("v"), "root").distinct()), "members")
-    least = members.join(nodes, members.v == nodes.fp).groupBy("root").agg(F.min("rep").alias("component_id"))
+    least = members.join(known, members.v == known.fp).groupBy("root").agg(F.min("rep").alias("component_id"))
     linked = members.join(least, "root").select(F.col("v").alias("fp"), "component_id")
-    named = nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "rep").alias("component_id"))
-    return fps.join(named, "fp", "left").select("doc_id", "fp", "text_hash", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    named = C.written(nodes.join(linked, "fp", "left").select("fp", "n", F.coalesce("component_id", "rep").alias("component_id"), (F.col("component_id").isNotNull() | (F.col("n") > 1)).alias("several")), "named")
+    # a fingerprint of more than a shard's share of the rows, of which there are fewer than shards, is looked up by broadcast
+    total = nodes.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(named.where(F.col("n") * C.n_shards(spark) > total).select("fp", F.col("component_id").alias("_c"), F.col("several").alias("_s")))
+    rows = fps.join(hot, "fp", "left").select("doc_id", "fp", "text_hash", "_c", "_s")
+    own = F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
+    names = ["doc_id", "fp", "text_hash", own, "several"]
+    rest = rows.where("_s is null").join(named, "fp", "left").select(*names)
+    return rest.union(rows.where("_s is not null").withColumnsRenamed({"_c": "component_id", "_s": "several"}).select(*names))
 
 
 # ---------------------------------------------------------------- keeping one of each class
 
 #: Documents of a class that a task compares with as many others.
 CLASS_CHUNK = 512
+#: Documents of a class that all its chunks are compared with.
+PIVOTS = 16
 COLUMNS = 4096
 
 
@@ -343,14 +356,37 @@ def similar_pairs(sets: list[np.ndarray], least: float) -> tuple[np.ndarray, np.
     return np.nonzero(np.triu(shared >= least * either - 1e-4, 1))
 
 
-def similar_edges(members: DataFrame, words: int, least: float) -> DataFrame:
-    """u, v: a forest, for each pair of chunks of a class, of its documents (class, doc_id, text) that are similar.
-    Every two documents of a class meet in a task, but no task gets more than two chunks, and none emits its pairs."""
-    n = C.n_shards(members.sparkSession)
+def _told_chunks(members: DataFrame) -> DataFrame:
+    """members (class, doc_id, text) with the number of their class's chunks and their own."""
     sizes = members.groupBy("class").agg(F.ceil(F.count("*") / CLASS_CHUNK).cast("int").alias("chunks"))
-    rows = members.join(sizes, "class").withColumn("c", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int"))
-    rows = rows.withColumn("d", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    rows = rows.select("class", F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b"), "doc_id", "text").repartition(n, "class", "a", "b").sortWithinPartitions("class", "a", "b", "doc_id")
+    return members.join(sizes, "class").withColumn("c", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int"))
+
+
+def similar_edges(members: DataFrame, words: int, least: float) -> DataFrame:
+    """u, v: links between similar documents of a class (class, doc_id, text), enough to connect all that are connected.
+
+    Each chunk of a class is compared with itself and with the class's PIVOTS documents of the least hashes. Classes
+    that are one component then, as many copies of one text are, are done; of the others every two chunks meet in a
+    task, but no task gets more than two chunks, and none emits its pairs.
+    """
+    rows = C.written(_told_chunks(members), "class-chunks")
+    large = rows.where("chunks > 1")
+    order = F.row_number().over(W.partitionBy("class").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    pivots = large.withColumn("nth", order).where(F.col("nth") <= PIVOTS).select("class", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("d"), "c", "doc_id", "text")
+    own = rows.select("class", F.col("c").alias("a"), F.col("c").alias("b"), "doc_id", "text")
+    near = C.written(_compared_edges(own.union(pivots.where("c <> d").select("class", "d", "d", "doc_id", "text")), words, least), "edges")
+    roots = C.written(components(near), "roots")
+    # documents of large classes and the components that they are in so far
+    placed = large.select("class", "doc_id").join(roots.select(F.col("v").alias("doc_id"), "root"), "doc_id", "left").select("class", F.coalesce("root", "doc_id").alias("root"))
+    parted = placed.groupBy("class").agg((F.min("root") < F.max("root")).alias("parted")).where("parted").select("class")
+    more = large.join(parted, "class", "left_semi").withColumn("d", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).where("c <> d")
+    pairs = more.select("class", F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b"), "doc_id", "text")
+    return near.union(_compared_edges(pairs, words, least))
+
+
+def _compared_edges(rows: DataFrame, words: int, least: float) -> DataFrame:
+    """u, v: a forest of the similar documents of each group (class, a, b) of doc_id, text."""
+    rows = rows.repartition(C.n_shards(rows.sparkSession), "class", "a", "b").sortWithinPartitions("class", "a", "b", "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, ids, sets = None, [], []
@@ -386,9 +422,8 @@ def deduplicated(docs: DataFrame, words: int = 5, least: float = 0.8, k: int = 2
     """
     names = docs.columns
     key = [F.col("doc_id").cast("long").alias("_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text")]
-    found = C.written(near_duplicates(docs, k, budget, seed, once=True, words=words if banded else 0).where("doc_id is not null"), "classes")
-    several = found.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").select("component_id")
-    members = found.join(several, "component_id").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text"), F.col("component_id").alias("_class")).distinct()
+    found = near_duplicates(docs, k, budget, seed, once=True, words=words if banded else 0).where("doc_id is not null and several")
+    members = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text"), F.col("component_id").alias("_class")).distinct()
     # one plan at every size: the members grow with the documents, so they are never broadcast
     tagged = C.written(docs.select(F.struct(*names).alias("_row"), *key).join(members.hint("merge"), ["_id", "_text"], "left"), "tagged")
     some = tagged.where("_class IS NOT NULL")
