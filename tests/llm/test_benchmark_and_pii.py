@@ -1,10 +1,17 @@
+import itertools
+import os
 import random
+import subprocess
+import sys
 
+import numpy as np
 import pytest
 from plain import base_spans, contamination, sha
 
 from slotwise.llm import decontaminate, pii, queries
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 
 def some(x):
     return sorted(x, key=repr)
@@ -117,6 +124,57 @@ def test_skip_edges_carry_labels(field):
     assert alone.shape == (2, 5) and unary.shape[0] == 2
 
 
+def test_the_field_finds_what_the_patterns_lose(field):
+    """Digits that follow a phone number or a card make the patterns drop it; a part of one known elsewhere is one too."""
+    texts = ["call +1 (415) 555-2671 190.137.223.20 now", "order 12 item 2034 code ab3cd in 2024 or so 77"]
+    base = [pii.base_spans(t) for t in texts]
+    assert [pii.shown(x) for x in base] == ["ip:23:37", ""]
+    assert [pii.shown(x) for x in field.added(texts, base)] == ["phone:5:22", ""]
+
+
+def test_marginals_equal_enumeration():
+    """Without loops message passing is exact; a skip edge closes none here."""
+    rng = np.random.default_rng(1)
+    for n, edges in ((4, [(0, 1), (1, 2), (1, 3)]), (3, [(0, 2)]), (5, [(0, 1), (2, 3), (1, 4)])):
+        unary, tie, skip = rng.normal(size=(n, 3)), rng.normal(size=(3, 3)), rng.normal(size=(3, 3))
+        groups = [(np.array(edges[:-1]).reshape(-1, 2), tie), (np.array(edges[-1:]), skip)]
+        want = np.zeros((n, 3))
+        for labels in itertools.product(range(3), repeat=n):
+            score = sum(unary[i, y] for i, y in enumerate(labels)) + sum(t[labels[a], labels[b]] for x, t in groups for a, b in x.tolist())
+            for i, y in enumerate(labels):
+                want[i, y] += np.exp(score)
+        got = pii.beliefs(unary, groups, 200)
+        assert np.allclose(got, want / want.sum(1, keepdims=True), atol=0.02)
+
+
+def test_long_documents_are_taken_in_pieces(field, monkeypatch):
+    """A part of a number is known from a piece far away, before or behind."""
+    clear, part = "call +1 (415) 555-2671 today", "ask 4155552671 or so"
+    filler = " and 12 of 34 on 5" * 30
+    for text in (clear + filler + " " + clear, part + filler + " " + clear + filler + " " + part):
+        monkeypatch.setattr(pii, "RUN", 50_000)
+        whole = field.added([text], [pii.base_spans(text)])
+        monkeypatch.setattr(pii, "RUN", 20)
+        assert field.added([text], [pii.base_spans(text)]) == whole
+
+
+def test_digit_heavy_text_stays_in_bounds(field):
+    """20 MB of numbers: memory follows RUN, not the text."""
+    code = f"""
+import resource, sys, time
+sys.path.insert(0, {ROOT!r})
+from pyspark import cloudpickle
+from slotwise.llm import pii
+field = pii.Field(["call +1 (415) 555-2671 today, write a.b@mail.example.com, from 10.0.0.1 12"] * 3)
+text = "17 " * 5_000_000 + "345 " * 500_000
+before, began = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.process_time()
+field.added([text], [[]])
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=900)
+    assert out.returncode == 0 and int(out.stdout) < 500, out.stdout + out.stderr
+
+
 def test_added_spans_never_meet_base_spans(field):
     texts = ["a b@c.de f +1 (415) 555-2671 g 4111 1111 1111 1111 h user@host i 1.2.3"]
     base = [pii.base_spans(t) for t in texts]
