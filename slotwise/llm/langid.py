@@ -8,17 +8,19 @@ A walk through the automaton from its root is a match as long as there is a tran
 phrase ends where there is none.
 
 Text is lower-cased; runs of anything but letters are one blank, since punctuation and digits say
-nothing of the language. The parse is vectorised: the whole text is cut into blocks of BLOCK characters,
-which are parsed side by side for all languages, one table lookup per character and language; a
-phrase doesn't cross a block's end.
-
-Learning takes a bounded sample: for each language the SAMPLE_DOCS documents with the least hash
-of doc_id, of each at most DOC_CHARS characters, TRAIN_CHARS in all. Each language has its own
-alphabet: an automaton has at most 2 * TRAIN_CHARS states and 3 * TRAIN_CHARS transitions, and its
-table one column for each of its LETTERS most frequent letters; the transitions of its other
-letters, as of scripts with thousands, are a sorted list. All languages with text are learned, in
-models of at most LANGUAGES languages each, so a model is bounded by the parameters; a task holds
-one of them at a time.
+nothing of the language. The parse is vectorised and exact: a text is cut into blocks of BLOCK
+characters, which are parsed side by side for all languages, one table lookup per character and
+language, as if a phrase began with each. Then each block's last phrase is parsed on into the next
+block until a phrase begins where that block's own parse has one begin, too; from there on they are
+the same, and the text's phrases are counted along the parts that are.
+
+Learning takes a bounded sample: for each language the SAMPLE_DOCS documents with the least hash of
+doc_id, those of at most DOC_CHARS characters first, of whose texts as many are learned as come to
+TRAIN_CHARS characters; the last one is cut there. Each language has its own alphabet: an automaton
+has at most 2 * TRAIN_CHARS states and 3 * TRAIN_CHARS transitions, and its table one column for
+each of its LETTERS most frequent letters; the transitions of its other letters, as of scripts with
+thousands, are a sorted list. All languages with text are learned, in models of at most LANGUAGES
+languages each, so a model is bounded by the parameters; a task holds one of them at a time.
 
 Defined results: `und` with score 0 if text is null or has no letter, or if no language was
 learned; null langs aren't learned; ties go to the language first in alphabetical order; null
@@ -39,7 +41,7 @@ from pyspark.sql import functions as F
 
 from slotwise.llm import common as C
 
-SAMPLE_DOCS, DOC_CHARS, TRAIN_CHARS, LANGUAGES = 200, 2000, 40_000, 16
+SAMPLE_DOCS, DOC_CHARS, TRAIN_CHARS, LANGUAGES = 200, 4000, 40_000, 16
 BLOCK, LETTERS = 512, 62
 _NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
 SCHEMA = "doc_id long, lang_pred string, score double"
@@ -81,14 +83,14 @@ def automaton(text: str) -> tuple[list[dict[str, int]], list[int]]:
 
 class Model:
     """Some languages' automata in one table: a state is where its row begins, and step[state + letter] is the next state,
-    0 where a phrase ends; a letter that has no column is looked up in `rare`."""
+    0 where a phrase ends, from where no letter leads on; a letter that has no column is looked up in `rare`."""
 
     def __init__(self, samples: dict[str, str]):
         self.langs = sorted(samples)
         self.letter = {c: i for i, c in enumerate(sorted(set("".join(samples.values()))))}
         # each language's column of each letter; the last column stands for letters without one and has no transitions
         self.column = np.zeros((len(self.langs), len(self.letter) + 1), np.int32)
-        tables, self.roots, self.bits, base = [np.zeros(1, np.int32)], [], [], 1
+        tables, self.roots, self.bits, base = [np.zeros(LETTERS + 1, np.int32)], [], [], LETTERS + 1
         keys, values = [], []
         for j, lang in enumerate(self.langs):
             text = samples[lang]
@@ -118,18 +120,18 @@ class Model:
             self.codes[ord(c)] = i
 
     def next(self, state: np.ndarray, c: np.ndarray, column: np.ndarray) -> np.ndarray:
-        """The states after these (languages x texts) by a letter of each text, whose columns are given."""
+        """The states after these by the letters given, whose columns are given, too."""
         now = self.step.take(state + column)
         keys, values = self.rare
         if len(keys):
-            lang, text = np.nonzero((now == 0) & (c < len(self.letter)))
-            own = (state[lang, text if state.shape[1] > 1 else 0].astype(np.int64) << 21) + c[text]
-            at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-            now[lang, text] = np.where(keys[at] == own, values[at], 0)
+            at = np.nonzero((now == 0) & (state > 0) & (c < len(self.letter)))
+            own = (state[at].astype(np.int64) << 21) + np.broadcast_to(c, now.shape)[at]
+            found = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+            now[at] = np.where(keys[found] == own, values[found], 0)
         return now
 
     def phrases(self, texts: list[str]) -> np.ndarray:
-        """Texts x languages: the number of phrases of each text's blocks."""
+        """Texts x languages: the number of phrases of each text."""
         size = np.array([len(x) for x in texts], np.int64)
         flat = self.codes[np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)]
         blocks = -(-size // BLOCK)
@@ -137,26 +139,61 @@ class Model:
         nth = np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
         start = np.repeat(np.cumsum(size) - size, blocks) + nth * BLOCK
         length = np.minimum(BLOCK, size[owner] - nth * BLOCK)
-        order = np.argsort(-length, kind="stable")
-        start, length, owner = start[order], length[order], owner[order]
         roots = np.array(self.roots, np.int32)[:, None]
-        state = np.broadcast_to(roots, (len(roots), len(start))).copy()
-        count = np.ones((len(roots), len(start)), np.int32)
-        live = np.searchsorted(-length, -np.arange(BLOCK), "left")  # blocks longer than each offset
-        for t in range(int(length[0]) if len(length) else 0):
+        # begins: where a phrase begins in the blocks' own parses; last: the state that each ends in
+        begins, last = np.zeros((len(roots), len(flat)), bool), np.zeros((len(roots), len(start)), np.int32)
+        order = np.argsort(-length, kind="stable")
+        first, sizes = start[order], length[order]
+        state = np.zeros((len(roots), len(start)), np.int32)  # no phrase has begun, so one begins with the first letter
+        live = np.searchsorted(-sizes, -np.arange(BLOCK), "left")  # blocks longer than each offset
+        for t in range(int(sizes[0]) if len(sizes) else 0):
             m = live[t]
-            c = flat[start[:m] + t]
+            c = flat[first[:m] + t]
             column = self.column.take(c, axis=1)
             now = self.next(state[:, :m], c, column)
             ended = now == 0
             if ended.any():
                 # the phrase ended before this letter, which begins the next one (a letter never seen is a phrase)
-                fresh = self.next(roots, c, column)
-                now = np.where(ended, np.where(fresh == 0, roots, fresh), now)
-                count[:, :m] += ended
+                now = np.where(ended, self.next(np.broadcast_to(roots, now.shape), c, column), now)
+                begins[:, first[:m] + t] = ended
             state[:, :m] = now
+        last[:, order] = state
         out = np.zeros((len(texts), len(roots)), np.int64)
-        np.add.at(out, owner, count.T)
+        if len(start):
+            for j in range(len(roots)):
+                out[:, j] = self._along(j, flat, begins[j], last[j], owner, start, start + length, blocks)
+        return out
+
+    def _along(self, j: int, flat: np.ndarray, begins: np.ndarray, last: np.ndarray, owner: np.ndarray, start: np.ndarray, end: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+        """For one language each text's number of phrases, from those of its blocks' own parses."""
+        close = np.zeros(len(blocks), np.int64)
+        close[owner] = end  # where each text ends
+        more, meets = np.zeros(len(start), np.int64), end.copy()  # phrases that begin after a block in its last one's wake; where its wake ends
+        live, state = np.flatnonzero(end < close[owner]), last[end < close[owner]]
+        root = np.full(len(state), self.roots[j], np.int32)
+        while len(live):
+            at = meets[live]
+            c = flat[at]
+            column = self.column[j].take(c)
+            now = self.next(state, c, column)
+            ended = now == 0
+            met = ended & begins[at]
+            if ended.any():
+                now = np.where(ended, self.next(root[: len(now)], c, column), now)
+                more[live[ended & ~met]] += 1
+            meets[live[~met]] += 1
+            on = ~met & (meets[live] < close[owner[live]])
+            live, state = live[on], now[on]
+        count = np.concatenate([[0], np.cumsum(begins)])
+        out, lead = np.zeros(len(blocks), np.int64), np.cumsum(blocks) - blocks
+        text = np.flatnonzero(blocks)
+        at = start[lead[text]]
+        while len(text):  # a block's own phrases from where it was met, and those in its wake
+            block = lead[text] + (at - start[lead[text]]) // BLOCK
+            out[text] += count[end[block]] - count[at] + more[block]
+            at = meets[block]
+            on = at < close[text]
+            text, at = text[on], at[on]
         return out
 
     def entropies(self, texts: list[str]) -> np.ndarray:
@@ -198,8 +235,8 @@ def learn(docs: DataFrame) -> list[Model]:
     # of each language about four times the documents wanted, by a bound on the hash, and of those the least
     bounds = rows.groupBy("lang").agg(F.least(F.lit(1 << 40), F.expr(f"{SAMPLE_DOCS << 42}L div count(*) + 1")).alias("bound"))
     keyed = rows.withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))).join(F.broadcast(bounds), "lang").where("h < bound")
-    keyed = keyed.select("lang", "doc_id", "h", F.substring("text", 1, DOC_CHARS).alias("text"))
-    some = keyed.withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy("h", "doc_id", "text"))).where(F.col("n") <= SAMPLE_DOCS)
+    keyed = keyed.select("lang", "doc_id", "h", (F.length("text") > DOC_CHARS).alias("long"), F.substring("text", 1, 2 * TRAIN_CHARS).alias("text"))
+    some = keyed.withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy("long", "h", "doc_id", "text"))).where(F.col("n") <= SAMPLE_DOCS)
     samples: dict[str, str] = {}
     for lang, text in some.orderBy("lang", "n").select("lang", "text").toLocalIterator():
         own = samples.get(lang, "")
@@ -218,7 +255,7 @@ def identify(docs: DataFrame, models: list[Model]) -> DataFrame:
             yield x.get()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in C.chunks(batches, limit=(2 if len(shared) < 2 else 16) << 20):
+        for part in C.chunks(batches, limit=(2 if len(shared) < 2 else 8) << 20):
             langs, scores = predict(loaded(), part.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
