@@ -4,7 +4,7 @@ Words are runs of anything but ASCII white space. Seeds: the k-grams of words th
 picks, the least hash of every min_words - k + 1 in a row; every span of min_words words holds
 exactly one seed that is picked for it, at an offset that its words alone decide, so equal spans
 meet at equal seeds. Documents are joined on seeds by a packed shuffle: a seed carries its
-document, its position and one 32-bit fingerprint for each span of min_words words that it is
+document, its position and one 48-bit fingerprint for each span of min_words words that it is
 picked for, that is, for each way to extend it to the left and right. At a seed, occurrences
 whose extensions agree form a group, and all but those of its smallest document are repeats;
 occurrences are never paired. Spans that follow each other in a document merge into maximal
@@ -12,7 +12,9 @@ repeats, which go to the document's partition, where its words are cut.
 
 Spans repeated within one chunk of a map task are settled there, and only those of the chunk's
 smallest document are sent: a passage in a third of all rows is one message per chunk. A span
-is known by 96 bits of hash, of which 64 are compared in a shard.
+is known by 108 bits of hash, its seed's 60 and 48 of all its words', which are all compared: among
+10^14 spans two that differ are taken for equal with a probability of about 10^-5. (Words beside each
+seed in place of fingerprints would multiply what is shuffled by more than two.)
 
 Defined results: null or empty text has no words; a row with null doc_id keeps its words and
 justifies no removal; rows with equal doc_id justify no removal in each other and are each
@@ -44,12 +46,16 @@ def runs(start: np.ndarray, owner: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero((np.diff(start) != 1) | (np.diff(owner) != 0)) + 1])
 
 
-def _repeats(key: np.ndarray, doc_id: np.ndarray) -> np.ndarray:
-    """For each position: does an equal key occur with a smaller doc_id?"""
+def _repeats(key: np.ndarray, more: np.ndarray, doc_id: np.ndarray) -> np.ndarray:
+    """For each position: do an equal key and an equal `more` occur with a smaller doc_id?"""
     if not len(key):
         return np.zeros(0, bool)
     order = np.argsort(key)
     cuts = np.concatenate([[0], np.flatnonzero(np.diff(key[order])) + 1])
+    rest = more[order]
+    if (np.repeat(rest[cuts], np.diff(np.append(cuts, len(key)))) != rest).any():  # equal keys of different spans
+        order = np.lexsort((more, key))
+        cuts = np.concatenate([[0], np.flatnonzero((np.diff(key[order]) != 0) | (np.diff(more[order]) != 0)) + 1])
     sizes = np.diff(np.append(cuts, len(key)))
     least = np.repeat(np.minimum.reduceat(doc_id[order], cuts), sizes)
     out = np.empty(len(key), bool)
@@ -69,7 +75,7 @@ def seeds(ids: np.ndarray, sums: np.ndarray, words: list[list[bytes]], hashes: C
     least = C.window_minima(C.grams(h, k), min_words - k + 1)
     at = np.flatnonzero(doc[: len(w)] == doc[min_words - 1 :])
     w, least, doc = w[at], least[at], doc[at]
-    away = _repeats(w, ids[doc])
+    away = _repeats(w, least >> U64(4), ids[doc])
     out = ranges(ids, sums, doc[away], (at - first[doc])[away], n)
     if away.any():
         w, least, doc, at = w[~away], least[~away], doc[~away], at[~away]
@@ -79,15 +85,20 @@ def seeds(ids: np.ndarray, sums: np.ndarray, words: list[list[bytes]], hashes: C
     seat = at + (least & U64(15)).astype(np.int64)
     lead = np.concatenate([[0], np.flatnonzero((np.diff(at) != 1) | (np.diff(seat) != 0) | (np.diff(doc) != 0)) + 1])
     count = np.diff(np.append(lead, len(at)))
-    seed, prints = (least >> U64(4))[lead], (w & U64(0xFFFFFFFF)).astype(np.uint32)
+    seed, prints, tops = (least >> U64(4))[lead], (w & U64(0xFFFFFFFF)).astype(np.uint32), (w >> U64(48)).astype(np.uint16)
     for s, part in C.split_by((C.mix(seed) % U64(n)).astype(np.int32)):
         docs, local = np.unique(doc[lead[part]], return_inverse=True)
         total = count[part]
         which = np.repeat(lead[part] - np.cumsum(total) + total, total) + np.arange(total.sum())
-        out.append((s, C.pack([np.diff(ids[docs], prepend=0), sums[docs], np.diff(local, prepend=0).astype(np.uint32), (at - first[doc])[lead[part]].astype(np.uint32), total.astype(np.uint8), seed[part], prints[which]])))
+        out.append((s, C.pack([np.diff(ids[docs], prepend=0), sums[docs], np.diff(local, prepend=0).astype(np.uint32), (at - first[doc])[lead[part]].astype(np.uint32), total.astype(np.uint8), seed[part], prints[which], tops[which]])))
     return out
 
 
+def _home(ids: np.ndarray, sums: np.ndarray, n: int) -> np.ndarray:
+    """The partition of a document, by doc_id and text."""
+    return C.home(ids.astype(np.int64) ^ (sums.astype(np.int64) << 20), n)
+
+
 def ranges(ids: np.ndarray, sums: np.ndarray, doc: np.ndarray, start: np.ndarray, n: int) -> list[tuple[int, bytes]]:
     """Packed rows (n + home, blob) of the spans that start there, following ones merged; ordered by doc, start."""
     if not len(doc):
@@ -95,7 +106,7 @@ def ranges(ids: np.ndarray, sums: np.ndarray, doc: np.ndarray, start: np.ndarray
     lead = runs(start, doc)
     count = np.diff(np.append(lead, len(start)))
     out = []
-    for s, part in C.split_by(C.home(ids[doc[lead]], n)):
+    for s, part in C.split_by(_home(ids[doc[lead]], sums[doc[lead]], n)):
         own = doc[lead[part]]
         out.append((n + s, C.pack([ids[own], sums[own], start[lead[part]].astype(np.uint32), count[part].astype(np.uint32)])))
     return out
@@ -124,12 +135,12 @@ def dedup(docs: DataFrame, min_words: int = 13, k: int = 5) -> DataFrame:
                 if shard >= n:
                     yield C.packed_rows([(shard, blob)])
                     continue
-                ids, sums, doc, start, count, seed, prints = C.unpack(blob)
+                ids, sums, doc, start, count, seed, prints, tops = C.unpack(blob)
                 ids, doc = np.cumsum(ids), np.cumsum(doc.view(np.int32))
-                got.append([ids[doc], sums[doc], start, count, seed, prints])
+                got.append([ids[doc], sums[doc], start, count, seed, prints, tops])
         if not got:
             return
-        ids, sums, start, count, seed, prints = (np.concatenate(x) for x in zip(*got, strict=True))
+        ids, sums, start, count, seed, prints, tops = (np.concatenate(x) for x in zip(*got, strict=True))
         got.clear()
         first = np.cumsum(count, dtype=np.int64) - count
         groups = -(-len(prints) // GROUP)
@@ -138,7 +149,9 @@ def dedup(docs: DataFrame, min_words: int = 13, k: int = 5) -> DataFrame:
             size = count[at].astype(np.int64)
             own = np.repeat(at, size)
             nth = np.arange(len(own)) - np.repeat(np.cumsum(size) - size, size)
-            away = np.flatnonzero(_repeats(C.mix(seed[own] * C.MULT + prints[first[own] + nth]), ids[own]))
+            span = first[own] + nth
+            more = tops[span].astype(U64) << U64(32) | prints[span]
+            away = np.flatnonzero(_repeats(C.mix(seed[own] * C.MULT + more), more, ids[own]))
             if len(away):
                 yield C.packed_rows(ranges(ids, sums, own[away], (start[own] + nth)[away], n))
 
@@ -146,7 +159,10 @@ def dedup(docs: DataFrame, min_words: int = 13, k: int = 5) -> DataFrame:
     planted = rows.mapInArrow(plant, C.PACKED)
     shards = planted.repartitionById(n, F.col("shard") % n)
     repeats = shards.mapInArrow(extend, C.PACKED).select((F.col("shard") - n).alias("home"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"), "payload")
-    own = rows.select(F.coalesce(C.home_column("doc_id", n), F.lit(0)).alias("home"), F.lit(1).alias("kind"), "doc_id", "text", F.lit(None).cast("binary").alias("payload"))
+    # rows without doc_id are told nothing and go anywhere
+    text_sum = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    key = F.coalesce(F.col("doc_id"), F.xxhash64("text")).bitwiseXOR(F.shiftleft(text_sum, 20))
+    own = rows.select(C.home_column(key, n).alias("home"), F.lit(1).alias("kind"), "doc_id", "text", F.lit(None).cast("binary").alias("payload"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got, table = [], None

@@ -146,3 +146,11 @@ def test_numpy_hash_is_sparks(spark):
 def test_packed_arrays_come_back():
     arrays = [np.arange(5, dtype=np.uint64), np.zeros(0, np.int32), np.array([1.5, -2], np.float32), np.array([255], np.uint8)]
     assert [x.tolist() for x in common.unpack(common.pack(arrays))] == [x.tolist() for x in arrays]
+
+
+def test_spans_with_equal_keys_are_told_apart():
+    """What a sort by one hash puts together is parted by the other."""
+    key, more = np.array([7, 7, 7, 8, 7], np.uint64), np.array([1, 2, 1, 1, 2], np.uint64)
+    assert sub._repeats(key, more, np.array([5, 1, 6, 9, 1])).tolist() == [False, False, True, False, False]
+    assert sub._repeats(key, np.zeros(5, np.uint64), np.array([5, 1, 6, 9, 1])).tolist() == [True, False, True, False, False]
+    assert sub._repeats(key[:0], more[:0], key[:0]).tolist() == []
