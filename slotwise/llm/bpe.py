@@ -44,7 +44,7 @@ VOCABULARY = "word_bpe_49k.json"
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 SPLIT = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
 #: Bytes of text of which a word is encoded once.
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 SCHEMA = "doc_id long, ids array<int>"
 
 
@@ -402,7 +402,8 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or C.vocab_path(VOCABULARY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from encoded(batches, C.kept("bpe", path, Codec))
+        yield from encoded(batches, Codec(path))
+        C.give_back()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SCHEMA)
 
@@ -412,7 +413,7 @@ def decode(tokens: DataFrame, path: str | None = None) -> DataFrame:
     path = path or C.vocab_path(VOCABULARY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from decoded(batches, C.kept("bpe", path, Codec))
+        yield from decoded(batches, Codec(path))
 
     return tokens.select("doc_id", F.col("ids").cast("array<int>")).mapInArrow(run, SCHEMA + ", decoded string")
 
@@ -422,7 +423,9 @@ def round_trip(docs: DataFrame, finish, schema: str, path: str | None = None) ->
     path = path or C.vocab_path(VOCABULARY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = C.kept("bpe", path, Codec)
+        codec = Codec(path)  # a task's own, so that an idle worker keeps nothing
         yield from map(finish, decoded(encoded(batches, codec), codec))
+        del codec
+        C.give_back()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)

@@ -105,6 +105,18 @@ def lean() -> None:
         pass  # another C library: a hint less
 
 
+def give_back() -> None:
+    """Returns what this worker process has freed to the system, at a task's end."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library: a hint less
+
+
 def chunks(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches whose texts come to at most limit bytes, one row at least."""
     lean()
@@ -257,10 +269,3 @@ def vocab_path(name: str, folder: str | None = None) -> str:
 
     return public_tokenizers.path(name)
 
-
-def kept(kind: str, path: str, make):
-    """make(path), made once in a worker process and used again by its later tasks."""
-    store = sys.modules.setdefault("_slotwise_kept", types.ModuleType("_slotwise_kept")).__dict__
-    if (kind, path) not in store:
-        store[kind, path] = make(path)
-    return store[kind, path]
