@@ -25,10 +25,12 @@ def _some(x: str) -> str:
     return f"nullif({x}, '')"
 
 
-def _range(d: Dialect, t: str, pattern: str, method: str, confidence: float, signs: str = "") -> Step:
-    """Two years, the second with 2 or 4 digits, that are the same or follow each other: the second."""
+def _range(d: Dialect, t: str, pattern: str, method: str, confidence: float, carry: bool = False) -> Step:
+    """Two years, the second with 2 or 4 digits, that are the same or follow each other: the second. carry: two digits
+    that are less than the first year's are of the next century."""
     a, b = f"cast({_some(group(d, t, pattern, 1))} AS int)", _some(group(d, t, pattern, 2))
-    end = f"(CASE WHEN length({b}) = 4 THEN cast({b} AS int) ELSE {a} - {a} % 100 + cast({b} AS int) END)"
+    over = f" + CASE WHEN cast({b} AS int) < {a} % 100 THEN 100 ELSE 0 END" if carry else ""
+    end = f"(CASE WHEN length({b}) = 4 THEN cast({b} AS int) ELSE {a} - {a} % 100 + cast({b} AS int){over} END)"
     return f"({found(d, t, pattern)} AND {end} BETWEEN {a} AND {a} + 1)", end, method, confidence
 
 
@@ -135,7 +137,7 @@ def india(d: Dialect, t: str) -> tuple[str, str, str]:
     fy = r"\bFY\s*['-]?(20[0-9]{2}|[0-9]{2})\b"
     number = f"cast({_some(group(d, t, fy))} AS int)"
     return cascade([
-        _range(d, t, r"\b(20[0-9]{2})\s*[-/–]\s*([0-9]{2}|[0-9]{4})\b", "range", 1.0),
+        _range(d, t, r"\b(20[0-9]{2})\s*[-/–]\s*([0-9]{2}|[0-9]{4})\b", "range", 1.0, carry=True),
         (found(d, t, fy), f"CASE WHEN {number} >= 2000 THEN {number} ELSE 2000 + {number} END", "fy", 1.0),
         _step(d, t, r"\byear\s+ended.{0,45}?(20[0-9]{2})\b", "year_ended", 1.0),
     ])

@@ -22,6 +22,13 @@ FORMULA_MARKS = ("=", "+", "-", "@", "\t", "\r")
 LEI, ISIN, ISIN_CHECKED, MIC = r"^[A-Z0-9]{20}$", r"^[A-Z]{2}[A-Z0-9]{10}$", r"^[A-Z]{2}[A-Z0-9]{9}[0-9]$", r"^[A-Z0-9]{4}$"
 FISCAL_YEAR, TICKER = r"^FY(?:19|20|21)[0-9]{2}$", r"^[A-Z0-9.-]{1,16}$"
 REPORT_TYPES = ("AR", "SR", "ESG", "IR", "CLIMATE", "TCFD", "CDP", "STR", "BRR", "ASSUR", "GHG", "10K", "20F", "ASR", "MODS", "GGR", "OTHER")
+PATH_FIELDS = ("filePath", "path", "file", "url", "link", "downloadUrl", "attachment", "fileName", "pdfPath")
+#: What a name, a security type or an industry says of listings that are no companies.
+NOT_COMPANIES = (r"\bETF\b", r"EXCHANGE[- ]TRADED", r"\bETP\b", r"\bCDR\b", r"CANADIAN DEPOSITARY RECEIPT", r"CLOSED[- ]END FUND", r"INVESTMENT FUND", r"MUTUAL FUND", r"\bSPAC\b", r"CAPITAL POOL COMPANY")
+MAIN_BOARD, VENTURE, NEXT = "XTSE", "XTSX", "XTNX"
+FORMS = {"10-K": "10K", "20-F": "20F"}
+PERMANENT_ERRORS, PERMANENT_MARK = ("encrypted PDF requires a password", "response is not a PDF"), "exceeds max_mib"
+MISSING_BOTH, MISSING_ISIN, MISSING_LEI = "Missing both LEI and ISIN", "Missing valid ISIN", "Missing valid LEI"
 CRN = r"^(?:[0-9]{8}|(?:SC|NI|OC|SO|NC|RO|RC|IC|SI|NP|NO|LP|SL|NL|CE|CS|PC|RS|SR|IP|SP|ES)[0-9]{6})$"
 
 
@@ -102,8 +109,8 @@ def tokens(c: Column) -> Column:
 
 
 def token_overlap(a: Column, b: Column) -> Column:
-    """Shared tokens over the smaller number of tokens, to three places."""
-    return F.round(F.size(F.array_intersect(a, b)) / F.greatest(F.lit(1), F.least(F.size(a), F.size(b))), 3)
+    """Shared tokens over the smaller number of tokens, to three places, halves to the even digit."""
+    return F.bround(F.size(F.array_intersect(a, b)) / F.greatest(F.lit(1), F.least(F.size(a), F.size(b))), 3)
 
 
 # ---------------------------------------------------------------- identifiers
@@ -171,9 +178,10 @@ def month_ends(day: Column, n: int = 3) -> Column:
 
 
 def retry_after(c: Column, now: Column) -> Column:
-    """Seconds to wait from a header that holds seconds or a date, within 0 to 300."""
+    """Seconds to wait from a header that holds seconds or a date, within 0 to 300; 0 for anything else."""
     date = F.try_to_timestamp(F.regexp_replace(c, r"^[A-Za-z]{3}, | GMT$", ""), F.lit("dd MMM yyyy HH:mm:ss"))
-    return F.greatest(F.lit(0.0), F.least(F.lit(300.0), F.coalesce(c.try_cast("double"), F.unix_timestamp(date) - F.unix_timestamp(now))))
+    seconds = F.coalesce(c.try_cast("double"), (F.unix_timestamp(date) - F.unix_timestamp(now)).cast("double"), F.lit(0.0))
+    return F.greatest(F.lit(0.0), F.least(F.lit(300.0), seconds))
 
 
 # ---------------------------------------------------------------- paths and addresses
@@ -224,11 +232,34 @@ def stem_title(url: Column) -> Column:
     return F.initcap(F.translate(F.regexp_replace(last_segment(url), r"\.[A-Za-z0-9]+$", ""), "-_", "  "))
 
 
+def _without_dots(path: Column) -> Column:
+    """A path that begins with a slash without its . and .. segments."""
+    parts = F.split(path, "/")
+
+    def step(done: Column, part: Column) -> Column:
+        up = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1)))
+        return F.when(part == "..", up).when(part == ".", done).otherwise(F.concat(done, F.array(part)))
+
+    kept = F.aggregate(F.slice(parts, F.lit(2), F.size(parts)), F.array(F.lit("")), step)
+    folder = F.element_at(parts, -1).isin(".", "..") | (F.size(kept) == 1)
+    return F.concat(F.array_join(kept, "/"), F.when(folder, "/").otherwise(""))
+
+
 def absolute(base: Column, href: Column) -> Column:
-    """href against base: whole, host-relative or path-relative."""
-    root = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+)", 1)
-    folder = F.regexp_replace(F.regexp_replace(base, r"[?#].*$", ""), r"(?<![/:])/[^/]*$", "")
-    return F.when(href.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), href).when(href.startswith("//"), F.concat(F.regexp_extract(base, "^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1), href)).when(href.startswith("/"), F.concat(root, href)).otherwise(F.concat_ws("/", folder, href))
+    """href against base: whole, host-relative, path-relative with its dots resolved, or only a query or a fragment."""
+    root = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
+    page = F.regexp_replace(base, r"[?#].*$", "")
+    path = F.substring(page, F.length(root) + 1, F.length(page))
+    folder = F.when(path == "", "/").otherwise(F.regexp_replace(path, r"[^/]*$", ""))
+    own, rest = F.regexp_replace(href, r"[?#].*$", ""), F.regexp_extract(href, r"([?#].*)$", 1)
+    return (
+        F.when(href.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), href)
+        .when(href.startswith("//"), F.concat(F.regexp_extract(base, "^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1), href))
+        .when(href == "", F.regexp_replace(base, "#.*$", ""))
+        .when(href.startswith("#"), F.concat(F.regexp_replace(base, "#.*$", ""), href))
+        .when(href.startswith("?"), F.concat(page, href))
+        .otherwise(F.concat(root, _without_dots(F.when(href.startswith("/"), own).otherwise(F.concat(folder, own))), rest))
+    )
 
 
 def escaped_cell(c: Column) -> Column:
@@ -242,15 +273,20 @@ def visible_text(page: Column) -> Column:
     return collapsed(F.regexp_replace(x, r"(?s)<[^>]*>", " "))
 
 
+def well_formed(content: Column) -> Column:
+    """Whether a file's ends are those of its kind: a PDF's end mark, a ZIP's directory, a page's root tag; NULL for other kinds."""
+    kind = magic(content)
+    tail = F.hex(F.substring(content, F.greatest(F.lit(1), F.octet_length(content) - 1023), F.lit(1024)))
+    head = F.lower(F.substring(content, 1, 1024).cast("string"))
+    return F.when(kind == "pdf", tail.contains("2525454F46")).when(kind == "zip", tail.contains("504B0506")).when(kind == "html", head.rlike("<(!doctype|html|head|body)"))
+
+
 def magic(content: Column) -> Column:
     """pdf, html, zip or other by the first bytes."""
     head = F.lower(F.hex(F.substring(content, 1, 5)))
     return F.when(head.startswith("255044462d"), "pdf").when(head.startswith("504b0304"), "zip").when(head.startswith("3c"), "html").otherwise("other")
 
 
-PATH_FIELDS = ("filePath", "path", "file", "url", "link", "downloadUrl", "attachment", "fileName", "pdfPath")
-
-
 def first_pdf(row: Column) -> Column:
     """The first field of a record (a map) that looks like a document's path: the usual names, then any."""
     named = [F.when(F.contains(F.lower(v), F.lit(".pdf")) | F.contains(v, F.lit("/")), F.trim(v)) for v in (F.try_element_at(row, F.lit(k)) for k in PATH_FIELDS)]
@@ -268,3 +304,40 @@ def slugs(land: Column, ticker: Column) -> Column:
     dashed = F.translate(F.lower(ticker), "._", "--")
     plain = F.regexp_replace(F.lower(ticker), "[._-]", "")
     return F.array_distinct(F.transform(F.array(dashed, plain, F.substring(plain, 1, 6), F.substring(plain, 1, 5), F.substring(plain, 1, 4)), lambda x: F.concat_ws("-", land, x)))
+
+
+# ---------------------------------------------------------------- listings and failures
+
+
+def exchange_mic(exchange: Column, symbol: Column) -> Column:
+    """The market of an exchange's name and a symbol: NEX by name or .H, venture by name, main board by name, else by .V."""
+    x, own = F.replace(F.upper(F.coalesce(exchange, F.lit(""))), F.lit(" "), F.lit("")), F.upper(F.coalesce(symbol, F.lit("")))
+    venture, main = x.contains("VENTURE") | x.isin("TSXV", "XTSX", "V"), x.isin("TSX", "XTSE", "T") | x.contains("TORONTO")
+    return F.when(own.endswith(".H") | x.contains("NEX"), NEXT).when(venture, VENTURE).when(main, MAIN_BOARD).when(own.contains(".V"), VENTURE).otherwise(MAIN_BOARD)
+
+
+def eligible_issuer(mic: Column, *texts: Column, with_next: bool = False) -> Column:
+    """Whether a listing is a company's: no fund, receipt or shell by what its texts say, and on no NEX board."""
+    said = F.concat_ws(" ", *texts).rlike("(?i)" + "|".join(NOT_COMPANIES))
+    return ~said & (F.lit(with_next) | F.coalesce(mic != NEXT, F.lit(True)))
+
+
+def form_type(form: Column) -> Column:
+    """The report type of a filing's form; any other form is an annual report."""
+    return F.coalesce(*[F.when(form == k, v) for k, v in FORMS.items()], F.lit("AR"))
+
+
+def retryable(error: Column) -> Column:
+    """Whether a failure isn't permanent."""
+    return ~F.coalesce(error.isin(*PERMANENT_ERRORS) | error.contains(PERMANENT_MARK), F.lit(False))
+
+
+def identity_missing(isin: Column, lei: Column) -> Column:
+    """Which identifiers lack their length, NULL if none does."""
+    no_isin, no_lei = F.coalesce(F.length(isin) != 12, F.lit(True)), F.coalesce(F.length(lei) != 20, F.lit(True))
+    return F.when(no_isin & no_lei, MISSING_BOTH).when(no_isin, MISSING_ISIN).when(no_lei, MISSING_LEI)
+
+
+def half_even(c: Column, places: int) -> Column:
+    """Rounded, halves to the even digit."""
+    return F.bround(c, places)

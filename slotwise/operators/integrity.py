@@ -71,10 +71,24 @@ def adaptive_limit(events: DataFrame, by: Sequence[str], ts: str, status: str, o
     return ordered.select(*by, F.aggregate("_e", begin, step)["limit"].alias("limit"))
 
 
-def nearby(champion: tuple[int, int] | None, cap: int = 2) -> list[tuple[int, int]]:
-    """Configurations (workers, per host) next to the best so far."""
-    if champion is None:
-        return [(16, 2), (32, 2)]
-    w, h = champion
-    around = [(w, h), (max(1, w // 2), h), (min(128, 2 * w), h), (w, max(1, h - 1)), (w, min(cap, h + 1))]
-    return [c for c in dict.fromkeys(around) if c[1] <= c[0]]
+def ranked_configurations(trials: DataFrame, by: Sequence[str], config: Sequence[str], seconds: str, ok: str) -> DataFrame:
+    """by, config, `median` and `place` of the configurations whose trials are all ok, the fastest of each group first."""
+    each = trials.groupBy(*by, *config).agg(F.median(seconds).alias("median"), F.bool_and(F.coalesce(F.col(ok), F.lit(False))).alias("_ok")).where("_ok").drop("_ok")
+    return each.withColumn("place", F.row_number().over(W.partitionBy(*by).orderBy("median", *config)))
+
+
+def promotions(trials: DataFrame, previous: DataFrame, by: Sequence[str], config: Sequence[str], seconds: str, ok: str, gain: float = 0.95) -> DataFrame:
+    """by, config, `median`, `promoted` of each group's fastest valid configuration: promoted where the group has no
+    `champion` median in `previous`, or one that this is at most `gain` of."""
+    winner = ranked_configurations(trials, by, config, seconds, ok).where("place = 1").drop("place")
+    better = F.col("champion").isNull() | (F.col("median") <= gain * F.col("champion"))
+    return winner.join(previous, list(by), "left").select(*by, *config, "median", better.alias("promoted"))
+
+
+def next_configurations(trials: DataFrame, by: Sequence[str], workers: str, lanes: str, seconds: str, ok: str, most: int = 128, most_lanes: int = 2) -> DataFrame:
+    """by, workers, lanes of what is worth measuring next to each group's fastest valid configuration: itself, half and
+    twice its workers, one lane more and one less, as far as there are no more lanes than workers."""
+    w, n = F.col(workers), F.col(lanes)
+    moves = F.array(*[F.struct(a.cast("long").alias(workers), b.cast("long").alias(lanes)) for a, b in ((w, n), (F.floor(w / 2), n), (2 * w, n), (w, n + 1), (w, n - 1))])
+    around = ranked_configurations(trials, by, [workers, lanes], seconds, ok).where("place = 1").select(*by, F.explode(moves).alias("_c")).select(*by, "_c.*")
+    return around.where(w.between(1, most) & n.between(1, most_lanes) & (n <= w))

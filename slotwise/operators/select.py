@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -69,8 +70,13 @@ def evenly_spaced(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
 
 
 def _ranked(df: DataFrame, order: Sequence[Column]) -> tuple[DataFrame, int]:
-    """Rows with their position in the order, from 0, and how many there are."""
-    parts = df.orderBy(*order).withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id())
+    """Rows with their position in the order, from 0, and how many there are. The sorted rows are written once, in the
+    checkpoint folder: the bounds of a sort are sampled, so another run of it may part the rows otherwise."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        at = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(at or f"file://{tempfile.mkdtemp(prefix='slotwise-')}")  # unset only on one machine, as in tests
+    parts = df.orderBy(*order).checkpoint(eager=True).withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id())
     sizes = dict(tuple(r) for r in parts.groupBy("_p").count().collect())  # a number for each partition
     before, starts = 0, {}
     for p in sorted(sizes):
@@ -80,8 +86,8 @@ def _ranked(df: DataFrame, order: Sequence[Column]) -> tuple[DataFrame, int]:
 
 
 def cohort(df: DataFrame, key: Column, offset: int, n: int) -> DataFrame:
-    """n rows from the offset on, ordered by the key; n = 0 means all."""
-    out = df.orderBy(key).offset(offset)
+    """n rows from the offset on, ordered by the key and, where that is equal, by all columns; n = 0 means all."""
+    out = df.orderBy(key, *df.columns).offset(offset)
     return out.limit(n) if n else out
 
 

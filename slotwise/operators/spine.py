@@ -25,7 +25,7 @@ def missing(slots: DataFrame, facts: DataFrame, on: Sequence[str]) -> DataFrame:
 
 def rate(part: Column, whole: Column) -> Column:
     """Per cent to two places, 0 of nothing."""
-    return F.when(whole > 0, F.round(100.0 * part / whole, 2)).otherwise(F.lit(0.0))
+    return F.when(whole > 0, F.bround(100.0 * part / whole, 2)).otherwise(F.lit(0.0))
 
 
 def cascade_sources(slots: DataFrame, sources: Sequence[DataFrame], on: Sequence[str]) -> DataFrame:

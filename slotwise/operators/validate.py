@@ -29,6 +29,12 @@ def safe_url(url: Column, http: bool = False) -> Column:
     return F.coalesce(ok if http else ok & ~private, F.lit(False))
 
 
+def host_allowed(url: Column, hosts: Sequence[str]) -> Column:
+    """Whether an address is at one of the hosts or below one."""
+    host = F.lower(F.try_parse_url(url, F.lit("HOST")))
+    return F.coalesce(F.exists(F.array(*map(F.lit, hosts)), lambda h: (host == h) | host.endswith(F.concat(F.lit("."), h))), F.lit(False))
+
+
 def report_rules(countries: Sequence[str] = ("USA", "GBR")) -> list[tuple[Column, str]]:
     """The manifest's rules in their order."""
 

@@ -6,6 +6,8 @@ their filings (status, score and priority included), line items the attachments,
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,5 +38,11 @@ class Family:
             self.oracles[name] = sql
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's name in the shared folder of spark.checkpoint.dir; where it is unset (one machine), a temporary one."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{at or 'file://' + tempfile.gettempdir() + '/slotwise-scratch'}/{name}-{uuid.uuid4().hex}"
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

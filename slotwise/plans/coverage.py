@@ -25,7 +25,7 @@ def filings(spark: SparkSession, sf: str) -> DataFrame:
 @family(f"""
 WITH picked AS (SELECT o_custkey, yr, o_orderstatus FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, yr ORDER BY o_orderdate, o_orderkey) AS rn FROM {FILINGS}) WHERE rn = 1)
 SELECT n_name, y.year, count(*) AS expected, count(p.o_custkey) AS discovered, count(*) FILTER (WHERE p.o_orderstatus = 'F') AS verified,
-       count(*) - count(p.o_custkey) AS missing, round(100.0 * count(*) FILTER (WHERE p.o_orderstatus = 'F') / count(*), 2) AS coverage_pct
+       count(*) - count(p.o_custkey) AS missing, round_even(100.0 * count(*) FILTER (WHERE p.o_orderstatus = 'F') / count(*), 2) AS coverage_pct
 FROM customer JOIN nation ON c_nationkey = n_nationkey CROSS JOIN {YEARS} y LEFT JOIN picked p ON p.o_custkey = c_custkey AND p.yr = y.year
 GROUP BY n_name, y.year""")
 def slot_coverage(spark: SparkSession, sf: str) -> DataFrame:

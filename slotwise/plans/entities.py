@@ -58,21 +58,24 @@ def alias_index_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @family("""
-WITH u AS (SELECT c_nationkey, c_mktsegment, min(c_custkey) AS c FROM customer WHERE c_acctbal > 9800 GROUP BY ALL HAVING count(*) = 1)
-SELECT s_suppkey, c AS c_custkey, c_mktsegment FROM supplier JOIN u ON s_nationkey = c_nationkey""")
+WITH u AS (SELECT c_nationkey AS nation, floor(c_acctbal / 25)::BIGINT AS band, min(c_custkey) AS c_custkey FROM customer GROUP BY ALL HAVING count(*) = 1)
+SELECT o_orderkey, c_custkey FROM orders JOIN u ON o_orderkey % 25 = nation AND o_orderkey // 25 % 440 - 40 = band""")
 def unique_match_join(spark: SparkSession, sf: str) -> DataFrame:
     """Only keys that belong to exactly one entity match."""
-    u = read(spark, sf, "customer").where("c_acctbal > 9800").groupBy("c_nationkey", "c_mktsegment").agg(F.min("c_custkey").alias("c_custkey"), F.count("*").alias("n")).where("n = 1")
-    return read(spark, sf, "supplier").join(u, F.col("s_nationkey") == F.col("c_nationkey")).select("s_suppkey", "c_custkey", "c_mktsegment")
+    key = [F.col("c_nationkey").alias("nation"), F.floor(F.col("c_acctbal") / 25).alias("band")]
+    u = read(spark, sf, "customer").groupBy(*key).agg(F.min("c_custkey").alias("c_custkey"), F.count("*").alias("n")).where("n = 1")
+    k = F.col("o_orderkey")
+    asked = read(spark, sf, "orders").select(k, (k % 25).alias("nation"), (F.floor(k / 25) % 440 - 40).alias("band"))
+    return asked.join(u, ["nation", "band"]).select("o_orderkey", "c_custkey")
 
 
 @family("""
-WITH q AS (SELECT s_suppkey, lower(substr(p_name, 1, 8)) AS wanted FROM supplier JOIN part ON p_partkey = s_suppkey), c AS (SELECT p_partkey, lower(p_name) AS name FROM part)
-SELECT s_suppkey, p_partkey FROM q JOIN c ON contains(name, wanted) WHERE length(wanted) >= 3""")
+WITH q AS (SELECT s_suppkey, lower(substr(p_name, 1, CAST(1 + s_suppkey % 8 AS INT))) AS wanted FROM supplier JOIN part ON p_partkey = s_suppkey), c AS (SELECT p_partkey, lower(p_name) AS name FROM part)
+SELECT s_suppkey, p_partkey FROM q JOIN c ON contains(name, wanted)""")
 def substring_theta_join(spark: SparkSession, sf: str) -> DataFrame:
     """Names that contain a query's, met by its rarest gram instead of a nested loop."""
     p = read(spark, sf, "part")
-    q = read(spark, sf, "supplier").join(p, F.col("p_partkey") == F.col("s_suppkey")).select("s_suppkey", F.lower(F.substring("p_name", 1, 8)).alias("wanted"))
+    q = read(spark, sf, "supplier").join(p, F.col("p_partkey") == F.col("s_suppkey")).select("s_suppkey", F.lower(F.expr("substring(p_name, 1, 1 + s_suppkey % 8)")).alias("wanted"))
     return resolve.contains_join(q, p.select("p_partkey", F.lower("p_name").alias("name")), "wanted", "name").select("s_suppkey", "p_partkey")
 
 
@@ -91,7 +94,7 @@ def first_alias_with_hits(spark: SparkSession, sf: str) -> DataFrame:
 
 @family("""
 WITH a AS (SELECT p_partkey, p_brand, p_type, list_distinct(string_split(upper(p_name), ' ')) AS t FROM part)
-SELECT a.p_partkey, b.p_partkey AS other, round(len(list_intersect(a.t, b.t)) / greatest(1, least(len(a.t), len(b.t))), 3) AS overlap FROM a JOIN a b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.p_partkey < b.p_partkey""")
+SELECT a.p_partkey, b.p_partkey AS other, round_even(len(list_intersect(a.t, b.t)) / greatest(1, least(len(a.t), len(b.t))), 3) AS overlap FROM a JOIN a b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.p_partkey < b.p_partkey""")
 def token_overlap_match(spark: SparkSession, sf: str) -> DataFrame:
     p = read(spark, sf, "part").withColumn("t", S.tokens(F.upper("p_name")))
     a, b = p.select("p_partkey", "p_brand", "p_type", "t"), p.select(F.col("p_partkey").alias("other"), "p_brand", "p_type", F.col("t").alias("u"))

@@ -127,12 +127,12 @@ def slug_matches(spark: SparkSession, sf: str) -> DataFrame:
     return resolve.by_slug(listings, pages, "s_suppkey", "land", F.slice(S.slugs(F.col("land"), F.col("ticker")), 1, 2), F.col("words"))
 
 
+@family("""
+WITH e AS (SELECT user_id, list({t: epoch_us(ts), s: CASE WHEN event_id % 9 = 0 THEN 429 ELSE 200 END::BIGINT, l: 0::BIGINT} ORDER BY epoch_us(ts), event_id) AS es FROM events GROUP BY user_id)
+SELECT user_id, CAST(list_reduce(list_prepend({t: es[1].t, s: 0::BIGINT, l: 4::BIGINT}, es), lambda a, e: CASE WHEN e.s = 429 THEN {t: e.t, s: 0::BIGINT, l: greatest(1, a.l // 2)} WHEN e.t - a.t >= 60000000 THEN {t: e.t, s: 0::BIGINT, l: least(16, a.l + 1)} ELSE a END).l AS INT) AS "limit" FROM e""")
 def adaptive_limits(spark: SparkSession, sf: str) -> DataFrame:
     """A limit that halves and grows with the responses, replayed for each user."""
     from slotwise.operators import integrity
 
     e = read(spark, sf, "events").withColumn("status", F.when(F.col("event_id") % 9 == 0, 429).otherwise(200))
     return integrity.adaptive_limit(e, ["user_id"], "ts", "status", "event_id")
-
-
-family.add("adaptive_limits", adaptive_limits)

@@ -45,19 +45,24 @@ add("missing_tokens", "customer", "c_custkey", lambda: {"missing": S.is_missing(
     "c_custkey % 5 < 3 AS missing")
 add("country_alias", "nation", "n_nationkey", lambda: {"country": S.country(F.when(F.col("n_nationkey") % 4 == 0, "united kingdom").when(F.col("n_nationkey") % 4 == 1, " us ").otherwise(F.col("n_name")))},
     "CASE n_nationkey % 4 WHEN 0 THEN 'GBR' WHEN 1 THEN 'USA' ELSE upper(trim(n_name)) END AS country")
-add("exchange_rules", "nation", "n_nationkey", lambda: {"mic": F.when(F.col("n_regionkey") == 0, "XJSE").when(F.col("n_regionkey").isin(1, 2), "XNYS").otherwise("XLON")},
-    "CASE WHEN n_regionkey = 0 THEN 'XJSE' WHEN n_regionkey IN (1, 2) THEN 'XNYS' ELSE 'XLON' END AS mic")
+add("exchange_rules", "nation", "n_nationkey", lambda: {"mic": S.exchange_mic(F.element_at(F.array(*map(F.lit, ("TSX Venture", "toronto stock exchange", "NEX board", "v", "T", "other", "other"))), (F.col("n_nationkey") % 7 + 1).cast("int")), F.concat(F.lit("A"), F.when(F.col("n_nationkey") % 5 == 0, ".h").when(F.col("n_nationkey") % 5 == 1, ".V").otherwise("")))},
+    "CASE WHEN n_nationkey % 5 = 0 OR n_nationkey % 7 = 2 THEN 'XTNX' WHEN n_nationkey % 7 IN (0, 3) THEN 'XTSX' WHEN n_nationkey % 7 IN (1, 4) THEN 'XTSE' WHEN n_nationkey % 5 = 1 THEN 'XTSX' ELSE 'XTSE' END AS mic")
 add("ilike_search", "part", "p_partkey", lambda: {"p_name": F.col("p_name")}, "p_name", where="p_name ILIKE '%A%' AND p_type ILIKE '%st%'")
 add("null_safe_inequality", "orders", "o_orderkey", lambda: {"o_custkey": F.col("o_custkey")}, "o_custkey", where="coalesce(nullif(o_orderstatus, 'P'), 'PENDING') <> 'F'")
 add("year_and_set_predicates", "orders", "o_orderkey", lambda: {"o_custkey": F.col("o_custkey")}, "o_custkey", where="year(o_orderdate) BETWEEN 1996 AND 1998 AND o_orderpriority IN ('1-URGENT', '2-HIGH')")
-add("eligible_issuers", "part", "p_partkey", lambda: {"p_type": F.col("p_type")}, "p_type", where="NOT (contains(upper(p_type), 'BRASS') OR contains(upper(p_type), 'TIN')) AND p_size > 3")
-add("retryable_failures", "events", "event_id", lambda: {"event_type": F.col("event_type")}, "event_type", where="event_type NOT IN ('purchase', 'error') AND NOT contains(event_type, 'log')")
-add("url_parts", "pages", "page_id", lambda: {"host": F.try_parse_url("url", F.lit("HOST")), "segment": S.last_segment(F.col("url")), "title": S.stem_title(F.lit("https://x.example/a/annual-report_2024.pdf"))},
-    "regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host, string_split(regexp_replace(url, '[?#].*$', ''), '/')[-1] AS segment, 'Annual Report 2024' AS title")
-add("url_absolute", "pages", "page_id", lambda: {"absolute": S.absolute(F.col("url"), F.lit("/files/a.pdf")), "kept": S.absolute(F.col("url"), F.lit("https://o.example/x"))},
-    "regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || '/files/a.pdf' AS absolute, 'https://o.example/x' AS kept")
+add("eligible_issuers", "part", "p_partkey", lambda: {"eligible": S.eligible_issuer(F.when(F.col("p_partkey") % 5 == 0, "XTNX").otherwise("XTSE"), F.col("p_name"), F.element_at(F.array(*map(F.lit, ("Global etf", "exchange traded note", "Closed-End Fund", "capital pool company", "Netfix shares", "common shares", "units"))), (F.col("p_partkey") % 7 + 1).cast("int")), F.col("p_type"))},
+    "p_partkey % 5 <> 0 AND p_partkey % 7 > 3 AS eligible")
+add("retryable_failures", "events", "event_id", lambda: {"retryable": S.retryable(F.element_at(F.array(F.lit("encrypted PDF requires a password"), F.lit("response is not a PDF"), F.lit("file exceeds max_mib=40"), F.lit("timeout"), F.lit(None).cast("string")), (F.col("event_id") % 5 + 1).cast("int")))},
+    "event_id % 5 > 2 AS retryable")
+add("url_parts", "pages", "page_id", lambda: {"host": F.try_parse_url("url", F.lit("HOST")), "segment": S.last_segment(F.col("url")), "title": S.stem_title(F.concat(F.lit("https://x.example/a/annual-report_"), F.regexp_extract("url", "//([a-z]+)", 1), F.lit("-"), F.col("page_id").cast("string"), F.lit(".pdf?a=1")))},
+    "regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host, string_split(regexp_replace(url, '[?#].*$', ''), '/')[-1] AS segment, 'Annual Report ' || upper(regexp_extract(url, '//([a-z])', 1)) || substr(regexp_extract(url, '//([a-z]+)', 1), 2) || ' ' || page_id AS title")
+add("url_absolute", "pages", "page_id", lambda: {"absolute": S.absolute(F.col("url"), F.lit("/files/a.pdf")), "kept": S.absolute(F.col("url"), F.lit("https://o.example/x")), "up": S.absolute(F.col("url"), F.lit("../x/./d.pdf?q=../z")), "asked": S.absolute(F.col("url"), F.lit("?y=1")), "host": S.absolute(F.col("url"), F.lit("//h.example/../p"))},
+    """regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || '/files/a.pdf' AS absolute, 'https://o.example/x' AS kept,
+    regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || array_to_string(string_split(regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1), '/')[1:greatest(1, len(string_split(regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1), '/')) - 2)], '/') || '/x/d.pdf?q=../z' AS up,
+    regexp_replace(url, '[?#].*$', '') || '?y=1' AS asked, regexp_extract(url, '^([a-z]+:)', 1) || '//h.example/../p' AS host""")
 add("url_safety", "pages", "page_id", lambda: {"safe": validate.safe_url(F.col("url")), "safe_http": validate.safe_url(F.col("url"), http=True)}, "starts_with(url, 'https://') AS safe, regexp_matches(url, '^https?://') AS safe_http")
-add("host_allowlist", "pages", "page_id", lambda: {"url": F.col("url")}, "url", where="regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) LIKE '%.example.com'")
+add("host_allowlist", "pages", "page_id", lambda: {"allowed": validate.host_allowed(F.col("url"), ("example.com", "ththin.example.net"))},
+    "regexp_matches(regexp_extract(url, '^[a-z]+://([^/?#]+)', 1), '^(.*\\.)?(example\\.com|ththin\\.example\\.net)$') AS allowed")
 add("path_traversal", "part", "p_partkey", lambda: {"climbs": S.climbs(F.concat(F.when(F.col("p_partkey") % 3 == 0, "a/../").when(F.col("p_partkey") % 3 == 1, "/").otherwise("a/..b/"), F.col("p_name")))}, "p_partkey % 3 < 2 AS climbs")
 add("format_predicates", "customer", "c_custkey", lambda: {"lei": F.lpad(_s("c_custkey"), 20, "0").rlike(S.LEI), "isin": F.concat(F.lit("GB"), F.lpad(_s("c_custkey"), 10, "A")).rlike(S.ISIN_CHECKED), "mic": F.substring("c_mktsegment", 1, 4).rlike(S.MIC), "fy": F.concat(F.lit("FY"), F.lit("2024")).rlike(S.FISCAL_YEAR)},
     "true AS lei, true AS isin, regexp_matches(substr(c_mktsegment, 1, 4), '^[A-Z0-9]{4}$') AS mic, true AS fy")
@@ -67,18 +72,20 @@ add("datetime_formats", "orders", "o_orderkey", lambda: {"at": S.any_datetime(F.
 add("epoch_millis", "events", "event_id", lambda: {"at": S.from_millis(F.unix_millis(F.col("ts").cast("timestamp")))}, "date_trunc('milliseconds', ts) AS at")
 add("closed_month_ends", "orders", "o_orderkey", lambda: {"ends": F.array_join(F.transform(S.month_ends(F.to_date("o_orderdate")), lambda d: d.cast("string")), ",")},
     "strftime(last_day(CAST(o_orderdate - INTERVAL 1 MONTH AS DATE)), '%Y-%m-%d') || ',' || strftime(last_day(CAST(o_orderdate - INTERVAL 2 MONTH AS DATE)), '%Y-%m-%d') || ',' || strftime(last_day(CAST(o_orderdate - INTERVAL 3 MONTH AS DATE)), '%Y-%m-%d') AS ends")
-add("retry_after", "events", "event_id", lambda: {"wait": S.retry_after(F.when(F.col("event_id") % 2 == 0, (F.col("event_id") % 1000).cast("string")).otherwise("soon"), F.col("ts"))}, None)
+add("retry_after", "events", "event_id", lambda: {"wait": S.retry_after(F.element_at(F.array((F.col("event_id") % 1000).cast("string"), F.lit("soon"), F.lit(""), F.lit(None).cast("string"), F.concat(F.date_format(F.timestamp_seconds(F.unix_timestamp(F.col("ts").cast("timestamp")) + F.col("event_id") % 700 - 100), "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT"))), (F.col("event_id") % 5 + 1).cast("int")), F.col("ts").cast("timestamp"))},
+    "CASE event_id % 5 WHEN 0 THEN least(300.0, event_id % 1000) WHEN 4 THEN greatest(0.0, least(300.0, event_id % 700 - 100)) ELSE 0.0 END::DOUBLE AS wait")
 add("json_properties", "events", "event_id", lambda: {"k": F.get_json_object("props", "$.k").cast("int"), "again": F.to_json(F.from_json("props", "k int"))}, "CAST(props->>'$.k' AS INT) AS k, '{\"k\":' || (props->>'$.k') || '}' AS again")
 add("formula_escape", "part", "p_partkey", lambda: {"cell": S.escaped_cell(F.concat(F.when(F.col("p_partkey") % 3 == 0, "=").when(F.col("p_partkey") % 3 == 1, "@").otherwise(""), F.col("p_name")))},
     "CASE p_partkey % 3 WHEN 0 THEN '''=' || p_name WHEN 1 THEN '''@' || p_name ELSE p_name END AS cell")
 add("archive_urls", "orders", "o_orderkey", lambda: {"url": S.archive_url(F.lpad(_s("o_custkey"), 10, "0"), F.concat(F.lpad(_s("o_custkey"), 10, "0"), F.lit("-24-"), F.lpad(_s("o_orderkey"), 6, "0")), F.lit("a.htm"))},
     "CASE WHEN length(o_orderkey::VARCHAR) <= 6 THEN 'https://www.sec.gov/Archives/edgar/data/' || o_custkey || '/' || lpad(o_custkey::VARCHAR, 10, '0') || '24' || lpad(o_orderkey::VARCHAR, 6, '0') || '/a.htm' ELSE 'https://www.sec.gov/Archives/edgar/data/' || o_custkey || '/' || lpad(o_custkey::VARCHAR, 10, '0') || '24' || substr(o_orderkey::VARCHAR, 1, 6) || '/a.htm' END AS url")
-add("form_report_types", "orders", "o_orderkey", lambda: {"report_type": F.when(F.col("o_orderpriority") == "1-URGENT", "10K").when(F.col("o_orderpriority") == "2-HIGH", "20F").otherwise("AR")}, "CASE o_orderpriority WHEN '1-URGENT' THEN '10K' WHEN '2-HIGH' THEN '20F' ELSE 'AR' END AS report_type")
-add("identity_missing_reason", "customer", "c_custkey", lambda: {"reason": F.when((F.col("c_custkey") % 2 == 0) & (F.col("c_custkey") % 3 == 0), "ISIN and LEI missing").when(F.col("c_custkey") % 2 == 0, "ISIN missing").when(F.col("c_custkey") % 3 == 0, "LEI missing")},
-    "CASE WHEN c_custkey % 6 = 0 THEN 'ISIN and LEI missing' WHEN c_custkey % 2 = 0 THEN 'ISIN missing' WHEN c_custkey % 3 = 0 THEN 'LEI missing' END AS reason")
+add("form_report_types", "orders", "o_orderkey", lambda: {"report_type": S.form_type(F.element_at(F.array(*map(F.lit, ("10-K", "20-F", "10-K/A", "40-F"))), (F.col("o_orderkey") % 4 + 1).cast("int")))}, "CASE o_orderkey % 4 WHEN 0 THEN '10K' WHEN 1 THEN '20F' ELSE 'AR' END AS report_type")
+add("identity_missing_reason", "customer", "c_custkey", lambda: {"reason": S.identity_missing(F.when(F.col("c_custkey") % 2 == 0, F.lpad(_s("c_custkey"), 12, "G")).when(F.col("c_custkey") % 5 == 0, "short"), F.when(F.col("c_custkey") % 3 == 0, F.lpad(_s("c_custkey"), 20, "L")).when(F.col("c_custkey") % 7 == 0, "x"))},
+    "CASE WHEN c_custkey % 2 > 0 AND c_custkey % 3 > 0 THEN 'Missing both LEI and ISIN' WHEN c_custkey % 2 > 0 THEN 'Missing valid ISIN' WHEN c_custkey % 3 > 0 THEN 'Missing valid LEI' END AS reason")
 add("ticker_containment", "customer", "c_custkey", lambda: {"same": F.contains(F.upper("c_name"), F.upper(_s("c_custkey"))) | F.contains(F.upper(_s("c_custkey")), F.upper("c_name"))}, "contains(upper(c_name), c_custkey::VARCHAR) OR contains(c_custkey::VARCHAR, upper(c_name)) AS same")
-add("half_even_rounding", "lineitem", "l_orderkey", lambda: {"l_linenumber": F.col("l_linenumber"), "tax": F.round(F.col("l_extendedprice").cast("decimal(18,2)") * F.col("l_tax").cast("decimal(6,2)"), 2).cast("double")},
-    "l_linenumber, CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(6,2)), 2) AS DOUBLE) AS tax")
+add("half_even_rounding", "lineitem", "l_orderkey", lambda: {"l_linenumber": F.col("l_linenumber"), "tax": S.half_even(F.col("l_extendedprice").cast("decimal(18,2)") * F.col("l_tax").cast("decimal(6,2)"), 2).cast("double")},
+    "l_linenumber, CAST((n // 100 + CASE WHEN n % 100 > 50 OR n % 100 = 50 AND n // 100 % 2 = 1 THEN 1 ELSE 0 END) AS DOUBLE) / 100 AS tax")
+family.oracles["half_even_rounding"] = family.oracles["half_even_rounding"].replace("FROM lineitem", "FROM (SELECT *, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(6,2)) * 10000 AS BIGINT) AS n FROM lineitem)")
 
 
 @family("""
@@ -90,8 +97,7 @@ def canonical_path_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     k = _s("c_custkey")
     c = read(spark, sf, "customer").select("c_custkey", F.lpad(k, 20, "0").alias("lei"), F.concat(F.lit("GB"), F.lpad(k, 10, "0")).alias("isin"), F.when(F.col("c_custkey") % 9 == 0, "bad").otherwise("XLON").alias("mic"), F.concat(F.lit("T"), k).alias("own"))
     c = c.withColumn("path", S.canonical_path(F.col("lei"), F.lit("GBR"), F.col("mic"), F.col("own"), F.col("isin"), F.lit(2024), F.lit("AR"), F.lit("EN")))
-    parts = {p._jc.toString().split(" AS ")[-1]: p for p in S.path_parts(F.col("path"))}
-    return c.select("c_custkey", "path", parts["ticker"], parts["fiscal_year"])
+    return c.select("c_custkey", "path", *S.path_parts(F.col("path"))).select("c_custkey", "path", "ticker", "fiscal_year")
 
 
 @family("""
@@ -102,20 +108,3 @@ def validate_first_reason(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("c_custkey")
     row = read(spark, sf, "customer").select("c_custkey", F.when(k % 7 == 0, "UK").otherwise("GBR").alias("country"), F.lit("XLON").alias("exchange"), F.when(k % 5 == 0, "short").otherwise(F.lpad(k.cast("string"), 20, "0")).alias("lei"), F.lit("GB0000000001").alias("isin"), F.lit("T1").alias("ticker"), F.when(k % 3 == 0, "2024").otherwise("FY2024").alias("fiscal_year"), F.lit("AR").alias("report_type"), F.lit("EN").alias("language"), F.when(k % 2 == 0, "http://x.example/a.pdf").otherwise("https://x.example/a.pdf").alias("pdf_url"), F.lit("").alias("source_page"), F.lit("true").alias("verified"))
     return row.select("c_custkey", validate.reason(validate.report_rules()).alias("reason"))
-
-
-@family("SELECT doc_id, contains(text, 'annual') OR n_chars > 3000 AS ok, CASE WHEN n_chars < 500 THEN 'WARN: short' ELSE 'PASS' END AS verdict, (CASE WHEN contains(text, 'the') THEN 1 ELSE 0 END + CASE WHEN contains(text, 'and') THEN 1 ELSE 0 END + CASE WHEN contains(text, 'que') THEN 1 ELSE 0 END) >= 2 AS names_found FROM documents WHERE text IS NOT NULL")
-def content_audit(spark: SparkSession, sf: str) -> DataFrame:
-    """Whether a text names what it should: a term, size, and at least two of the long name tokens."""
-    d = read(spark, sf, "documents").where("text IS NOT NULL")
-    named = F.size(F.filter(F.array(F.lit("the"), F.lit("and"), F.lit("que")), lambda t: F.contains(F.col("text"), t))) >= 2
-    return d.select("doc_id", (F.contains("text", F.lit("annual")) | (F.col("n_chars") > 3000)).alias("ok"), F.when(F.col("n_chars") < 500, "WARN: short").otherwise("PASS").alias("verdict"), named.alias("names_found"))
-
-
-@family("SELECT c_custkey, regexp_extract(name, '^(T[0-9]+)_FY(20[0-9]{2})_(AR|SR)', 1) AS ticker, CAST(nullif(regexp_extract(name, '_FY(20[0-9]{2})_', 1), '') AS INT) AS fiscal_year, nullif(regexp_extract(name, '_(AR|SR)\\.pdf$', 1), '') AS kind FROM (SELECT c_custkey, 'T' || c_custkey || '_FY20' || (10 + c_custkey % 15) || '_' || CASE WHEN c_custkey % 2 = 0 THEN 'AR' ELSE 'SR' END || '.pdf' AS name FROM customer)")
-def staged_sweep(spark: SparkSession, sf: str) -> DataFrame:
-    """Ticker, year and type from staged file names."""
-    k = F.col("c_custkey")
-    name = F.concat(F.lit("T"), k.cast("string"), F.lit("_FY20"), (10 + k % 15).cast("string"), F.lit("_"), F.when(k % 2 == 0, "AR").otherwise("SR"), F.lit(".pdf"))
-    c = read(spark, sf, "customer").select("c_custkey", name.alias("name"))
-    return c.select("c_custkey", F.regexp_extract("name", r"^(T[0-9]+)_FY(20[0-9]{2})_(AR|SR)", 1).alias("ticker"), F.nullif(F.regexp_extract("name", r"_FY(20[0-9]{2})_", 1), F.lit("")).cast("int").alias("fiscal_year"), F.nullif(F.regexp_extract("name", r"_(AR|SR)\.pdf$", 1), F.lit("")).alias("kind"))

@@ -141,7 +141,7 @@ def gap_list_after_first_seen(spark: SparkSession, sf: str) -> DataFrame:
     return f.select("c_custkey", "first_year", F.size(F.array_except(F.sequence(F.col("first_year"), F.lit(2001)), "years")).cast("long").alias("gaps"))
 
 
-@family("SELECT c_custkey, c_name FROM customer WHERE c_acctbal > 0 ORDER BY upper(trim(c_name)) OFFSET 20 LIMIT 50")
+@family("SELECT c_custkey, c_name FROM customer WHERE c_acctbal > 0 ORDER BY upper(trim(c_name)), c_custkey OFFSET 20 LIMIT 50")
 def exact_n_cohort(spark: SparkSession, sf: str) -> DataFrame:
     return select.cohort(read(spark, sf, "customer").where("c_acctbal > 0"), F.upper(F.trim("c_name")), 20, 50).select("c_custkey", "c_name")
 
@@ -151,13 +151,13 @@ def top_four_by_score(spark: SparkSession, sf: str) -> DataFrame:
     return select.best(filings(spark, sf), ["c_custkey"], [F.desc("o_totalprice"), F.asc("o_orderkey")], n=4, rank="rank").select("c_custkey", "o_orderkey", "rank")
 
 
+@family("""
+SELECT c_custkey, CAST(xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c_name, ''), lambda x: ascii(x)::BIGINT)),
+ lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1))))) % 4 AS INT) AS shard FROM customer""")
 def shard_crc32(spark: SparkSession, sf: str) -> DataFrame:
     return read(spark, sf, "customer").select("c_custkey", select.shard_crc32(F.col("c_name"), 4).alias("shard"))
 
 
-family.add("shard_crc32", shard_crc32)
-
-
 @family("SELECT c_custkey, CAST(('0x' || substr(sha256(c_name), 1, 16))::UBIGINT % 7 AS INT) AS shard FROM customer")
 def shard_sha256(spark: SparkSession, sf: str) -> DataFrame:
     return read(spark, sf, "customer").select("c_custkey", select.shard_sha256(F.col("c_name"), 7).alias("shard"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotwise.functions.scalars import escaped_cell
@@ -31,6 +31,39 @@ def audits(views: Mapping[str, DataFrame], folder: str) -> dict[str, str]:
     return out
 
 
+def append_csv(rows: DataFrame, path: str) -> None:
+    """Rows appended to a CSV folder whose first write, and no later one, has the header."""
+    there = any(not f.getPath().getName().startswith(("_", ".")) for f in _files(rows.sparkSession, path))
+    rows.coalesce(1).write.mode("append").option("header", not there).csv(path)
+
+
+def _files(spark: SparkSession, folder: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.listFiles(at, True) if fs.exists(at) else None
+    while found is not None and found.hasNext():
+        yield found.next()
+
+
+def remove_orphans(spark: SparkSession, folder: str, suffix: str = ".part", older_ms: int = 0) -> list[str]:
+    """Deletes what interrupted writers left: files with the suffix, at any depth, not changed for so long; their names."""
+    import time
+
+    gone, until = [], time.time() * 1000 - older_ms
+    for f in _files(spark, folder):
+        if f.getPath().getName().endswith(suffix) and f.getModificationTime() <= until:
+            f.getPath().getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(f.getPath(), False)
+            gone.append(f.getPath().getName())
+    return sorted(gone)
+
+
+def run_summary(results: DataFrame, status: str, error: str, done: str = "DONE") -> tuple[DataFrame, DataFrame]:
+    """(one row with total, done and failed, rows that failed) of a run's results."""
+    failed = F.coalesce(F.col(status) != done, F.lit(True))
+    summary = results.agg(F.count("*").alias("total"), F.count_if(~failed).alias("done"), F.count_if(failed).alias("failed"), F.count_distinct(F.when(failed, F.col(error))).alias("reasons"))
+    return summary, results.where(failed)
+
+
 def append_metrics(row: DataFrame, path: str) -> None:
     row.write.mode("append").parquet(path)
 

@@ -46,6 +46,6 @@ def test_safe_urls(spark, url, ok):
     assert one(spark, url, validate.safe_url) is ok
 
 
-@pytest.mark.parametrize("base, href, want", [("https://a.b/c/d.html", "e.pdf", "https://a.b/c/e.pdf"), ("https://a.b/c/", "/x", "https://a.b/x"), ("https://a.b/c", "https://o.p/q", "https://o.p/q"), ("https://a.b/c?d=1#e", "//z.y/x", "https://z.y/x")])
+@pytest.mark.parametrize("base, href, want", [("https://a.b/c/d.html", "e.pdf", "https://a.b/c/e.pdf"), ("https://a.b/c/", "/x", "https://a.b/x"), ("https://a.b/c", "https://o.p/q", "https://o.p/q"), ("https://a.b/c?d=1#e", "//z.y/x", "https://z.y/x"), ("https://a.b/a/b/c.html", "../d.pdf", "https://a.b/a/d.pdf"), ("https://a.b/a/b/c.html?x=1", "?y=1", "https://a.b/a/b/c.html?y=1"), ("https://a.b/c?d=1#e", "#f", "https://a.b/c?d=1#f"), ("https://a.b", "x/../../y/./z/..", "https://a.b/y/"), ("https://a.b/c/", "/p/../../q?r=../s", "https://a.b/q?r=../s"), ("https://a.b/c/d", "", "https://a.b/c/d")])
 def test_absolute(spark, base, href, want):
     assert one(spark, href, lambda c: S.absolute(F.lit(base), c)) == want
