@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -64,5 +64,57 @@ def total(rules: Sequence[tuple[str, float]], start: float = 0) -> str:
     return f"({start}" + "".join(f" + CASE WHEN {c} THEN {w} ELSE 0 END" for c, w in rules) + ")"
 
 
+def _calls(sql: str, name: str) -> list[str]:
+    """The calls of a function in a SQL text, whole, outer ones only."""
+    out, at = [], sql.find(f"{name}(")
+    while at >= 0:
+        depth, quoted, end = 0, False, at + len(name)
+        while end < len(sql):
+            c = sql[end]
+            quoted ^= c == "'"
+            depth += (not quoted) * ((c == "(") - (c == ")"))
+            end += 1
+            if not depth:
+                break
+        out.append(sql[at:end])
+        at = sql.find(f"{name}(", end)
+    return out
+
+
+def shared(columns: dict[str, str]) -> tuple[dict[str, str], dict[str, str], dict[str, str]]:
+    """(texts, matches, columns): what a pack's columns match with regular expressions, taken out of them, so that each
+    text is made once and each expression is matched once for a row, in selects of their own below the columns."""
+    texts: dict[str, str] = {}
+    matches: dict[str, str] = {}
+    out = dict(columns)
+    for name in ("regexp_extract_all", "regexp_extract"):
+        found = [x for sql in out.values() for x in _calls(sql, name)]
+        for call in dict.fromkeys(x for x in found if found.count(x) > 1):
+            if "->" in call or "regexp_extract" in call[len(name) :]:
+                continue
+            matches[call] = f"_m{len(matches)}"
+            out = {k: v.replace(call, matches[call]) for k, v in out.items()}
+    inner = {}
+    for call, m in matches.items():
+        for t in dict.fromkeys(_calls(call, "lower")):
+            texts.setdefault(t, f"_t{len(texts)}")
+        for t, own in texts.items():
+            call = call.replace(t, own)
+        inner[m] = call
+    for t, own in texts.items():
+        out = {k: v.replace(t, own) for k, v in out.items()}
+    return {v: k for k, v in texts.items()}, inner, out
+
+
+def apply(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
+    """key and a pack's columns."""
+    texts, matches, outer = shared(columns)
+    if texts:
+        df = df.selectExpr("*", *[f"{sql} AS {c}" for c, sql in texts.items()])
+    if matches:
+        df = df.selectExpr("*", *[f"{sql} AS {c}" for c, sql in matches.items()])
+    return df.selectExpr(key, *[f"{sql} AS {c}" for c, sql in outer.items()])
+
+
 def column(sql: str) -> Column:
     return F.expr(sql)

@@ -202,6 +202,12 @@ def canonical_path(lei: Column, land: Column, mic: Column, ticker: Column, isin:
     return F.when(whole, F.concat_ws("/", land, mic, F.concat_ws("_", lei, isin, ticker), fy, name))
 
 
+def staging_path(root: Column, land: Column, ticker: Column, year: Column, name: Column) -> Column:
+    """root/unresolved_identity/country/ticker_FYyear/name of a document whose identity isn't complete."""
+    folder = F.concat(F.coalesce(nonempty(F.upper(ticker)), F.lit("UNKNOWN")), F.lit("_FY"), F.coalesce(year.cast("string"), F.lit("0000")))
+    return F.concat_ws("/", root, F.lit("unresolved_identity"), land, folder, safe_name(name))
+
+
 def path_parts(path: Column) -> list[Column]:
     """country, mic, lei, isin, ticker, fiscal_year of a canonical path."""
     parts = F.split(path, "/")

@@ -37,7 +37,6 @@ ME_GOVERNANCE = (r"\bcorporate\s+governance\s+report\b", r"\bgovernance\s+report
 ME_ESG = (r"\bsustainability\s+report\b", r"\besg\s+report\b", r"\bcsr\s+report\b", r"\bclimate\s+report\b")
 ME_FULL = (r"\bannual\s+report\s+and\s+(?:audited\s+)?financial\s+statements\b", r"\bintegrated\s+(?:annual\s+)?report\b", r"\bannual\s+report\b", r"\bannual\s+integrated\s+report\b", r"\bar\s+en\b", r"\bannual\s+financial\s+report\b")
 ME_STATEMENTS = (r"\baudited\s+financial\s+statements\b", r"\bannual\s+financial\s+statements\b", r"\bfinancial\s+statements\s+for\s+the\s+year\s+ended\b", r"\bindependent\s+auditor'?s\s+report\s+and\s+financial\s+statements\b", r"\bfinancial\s+statements\b", r"\bfinancial\s+report\b")
-ME_ENGLISH = ("annual", "report", "financial", "statements", "company", "board", "auditor")
 CA_EXCLUDED = (r"annual return", r"annual information form", r"management information circular", r"proxy", r"notice of meeting", r"agm", r"sustainab", r"esg", r"climate", r"quarter", r"interim", r"financial statements only", r"md&a", r"management discussion", r"presentation", r"news release")
 IN_EXCLUDED = ("annual return", "secretarial compliance", "secretarial audit", "business responsibility", "brsr", "sustainability report", "esg report", "corporate governance report", "newspaper", "scrutinizer", "voting result", "postal ballot", "notice of agm", "agm notice", "investor presentation", "transcript", "earnings call", "shareholding pattern", "financial results")
 BD_EXCLUDED = ("interim", "half year", "half-year", "quarter", "q1", "q2", "q3", "quarterly", "annual meeting", "agm", "egm", "notice of meeting", "proxy", "presentation", "sustainability report", "esg report", "brsr", "corporate governance", "annual return", "director report", "dividend", "price sensitive", "audit committee report")

@@ -75,7 +75,9 @@ def _ranked(df: DataFrame, order: Sequence[Column]) -> tuple[DataFrame, int]:
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         at = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(at or f"file://{tempfile.mkdtemp(prefix='slotwise-')}")  # unset only on one machine, as in tests
+        if not at and not context.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+        context.setCheckpointDir(at or f"file://{tempfile.mkdtemp(prefix='slotwise-')}")
     parts = df.orderBy(*order).checkpoint(eager=True).withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id())
     sizes = dict(tuple(r) for r in parts.groupBy("_p").count().collect())  # a number for each partition
     before, starts = 0, {}

@@ -41,6 +41,8 @@ class Family:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder's name in the shared folder of spark.checkpoint.dir; where it is unset (one machine), a temporary one."""
     at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
     return f"{at or 'file://' + tempfile.gettempdir() + '/slotwise-scratch'}/{name}-{uuid.uuid4().hex}"
 
 

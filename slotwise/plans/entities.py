@@ -216,12 +216,30 @@ def three_source_assembly(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @family("""
-WITH x AS (SELECT c_custkey, upper(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(upper(c_name || ' Holdings (UK) PLC /NEW/'), '/NEW/?$', ''), '\\(.*?\\)', ' ', 'g'), '\\b(PUBLIC LIMITED COMPANY|P\\.?L\\.?C\\.?|LIMITED|LTD\\.?|GROUP|HOLDINGS?|THE|AND|&|UK|U\\.K\\.)\\b', ' ', 'g'), '[^A-Z0-9]+', ' ', 'g'))) AS a FROM customer)
-SELECT c_custkey, a AS normalized, CASE WHEN c_custkey % 3 = 0 THEN 'VERIFIED' ELSE 'REVIEW' END AS status FROM x""")
+SELECT c_custkey, CASE c_custkey % 9 WHEN 0 THEN 'UNAVAILABLE' WHEN 1 THEN 'UNAVAILABLE' WHEN 4 THEN 'VERIFIED' WHEN 5 THEN 'VERIFIED' WHEN 6 THEN 'VERIFIED' WHEN 7 THEN 'VERIFIED' ELSE 'REVIEW' END AS status,
+ CASE c_custkey % 9 WHEN 0 THEN 'non_uk_isin_jurisdiction' WHEN 1 THEN 'non_uk_registration_number' WHEN 2 THEN 'no_companies_house_profile_found' WHEN 3 THEN 'listed_plc_matched_to_private_ltd_subsidiary' WHEN 4 THEN 'confirmed_by_gleif_crn_and_name'
+ WHEN 5 THEN 'confirmed_by_authoritative_gleif_lei_crn' WHEN 6 THEN 'confirmed_by_exact_legal_name_and_plc_type' WHEN 7 THEN 'confirmed_by_exact_legal_name_and_plc_type' ELSE 'ambiguous_company_match_requires_review' END AS reason FROM customer""")
 def company_match(spark: SparkSession, sf: str) -> DataFrame:
-    """Listed companies against register profiles: number and name, name only with a private type."""
-    c = read(spark, sf, "customer")
+    """Listed companies against register profiles, one customer in nine for each of the rules and for none."""
     k = F.col("c_custkey")
-    listed = c.select("c_custkey", F.concat(F.col("c_name"), F.lit(" Holdings (UK) PLC /NEW/")).alias("company_name"), F.lit("").alias("legal_name"), F.array().cast("array<string>").alias("aliases"), F.lit("GB0000000000").alias("isin"), F.when(k % 3 == 0, k.cast("string")).otherwise("").alias("register_no"))
-    listed = listed.withColumns({"profile_no": F.lpad(k.cast("string"), 8, "0"), "profile_name": F.concat(F.split("company_name", " ")[0], F.lit(" LIMITED")), "profile_type": F.lit("private-limited"), "previous_names": F.array().cast("array<string>")})
-    return resolve.company_match(listed).select("c_custkey", S.uk_name(F.col("company_name")).alias("normalized"), "status")
+    s, way = k.cast("string"), k % 9
+    none = F.array().cast("array<string>")
+    listed = read(spark, sf, "customer").select(
+        "c_custkey", F.concat(F.lit("Acme Widget"), s, F.when(way == 3, " PLC").otherwise(" Holdings (UK) /NEW/")).alias("company_name"), F.lit("").alias("legal_name"), none.alias("aliases"),
+        F.when(way == 0, "US0000000000").otherwise("GB0000000000").alias("isin"), F.when(way == 1, "HRB 77").when(way.isin(4, 5), s).otherwise("").alias("register_no"),
+        F.when(way != 2, F.lpad(s, 8, "0")).alias("profile_no"), F.when(way.isin(5, 8), F.concat(F.lit("Other Thing"), s)).when(way == 7, F.concat(F.lit("New Name"), s)).otherwise(F.concat(F.lit("ACME WIDGET"), s)).alias("profile_name"),
+        F.when(way == 3, "private-limited").otherwise("plc").alias("profile_type"), F.when(way == 7, F.array(F.concat(F.lit("Acme Widget"), s, F.lit(" plc")))).otherwise(none).alias("previous_names"),
+    )
+    return resolve.company_match(listed).select("c_custkey", "status", "reason")
+
+
+def acceptable_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """Each listing's first acceptable page among the four with the most similar names."""
+    p = read(spark, sf, "part")
+    ticker, block = F.concat(F.lit("T"), (F.col("p_partkey") % 3).cast("string")), F.concat_ws("|", "p_brand", "p_type").alias("block")
+    a = p.select("p_partkey", block, F.lower("p_name").alias("a"), ticker.alias("ticker"))
+    b = p.select(F.col("p_partkey").alias("other"), block, F.lower("p_name").alias("b"), ticker.alias("found"))
+    return resolve.first_acceptable(a, b, "block", "a", "b", "p_partkey", "other", "ticker", "found").select("p_partkey", "other", "rank")
+
+
+family.add("acceptable_listing", acceptable_listing)

@@ -88,12 +88,16 @@ def seed_if_empty(spark: SparkSession, sf: str) -> DataFrame:
     return readers.or_seed(s.where("s_suppkey < 0").select("s_suppkey", F.lit("live").alias("origin")), s.where("s_suppkey <= 10").select("s_suppkey", F.lit("seed").alias("origin")))
 
 
-@family("SELECT c_custkey, 'India' AS market, CAST(c_custkey % 90 + 5 AS INT) AS count, CAST(2015 + c_custkey % 4 AS INT) AS first_year, CAST(2020 + c_custkey % 4 AS INT) AS last_year FROM customer")
+@family("""
+SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'India' WHEN 1 THEN 'Africa' WHEN 2 THEN 'MiddleEast' END AS market, CAST(c_custkey % 90 + 5 AS INT) AS count, CAST(2015 + c_custkey % 4 AS INT) AS first_year, CAST(2020 + c_custkey % 4 AS INT) AS last_year,
+       CASE WHEN c_custkey % 2 = 0 THEN -1 ELSE 0 END AS "offset", CASE c_custkey % 3 WHEN 0 THEN 'AR' WHEN 1 THEN 'SR' ELSE 'AR,SR' END AS report_types FROM customer""")
 def directives(spark: SparkSession, sf: str) -> DataFrame:
     """Requests in plain English as columns."""
     k = F.col("c_custkey")
-    text = F.concat(F.lit("next "), (k % 90 + 5).cast("string"), F.lit(" Indian issuers for "), (2015 + k % 4).cast("string"), F.lit(" to "), (2020 + k % 4).cast("string"))
-    return read(spark, sf, "customer").select("c_custkey", *readers.directive(text))
+    market = F.when(k % 4 == 0, " Indian").when(k % 4 == 1, " Kenya").when(k % 4 == 2, " Dubai").otherwise(" Israel")
+    kinds = F.when(k % 3 == 0, " issuers for ").when(k % 3 == 1, " ESG issuers for ").otherwise(" annual and climate issuers for ")
+    text = F.concat(F.when(k % 2 == 0, "Next ").otherwise("First "), (k % 90 + 5).cast("string"), market, kinds, (2015 + k % 4).cast("string"), F.lit(" to "), (2020 + k % 4).cast("string"))
+    return read(spark, sf, "customer").select("c_custkey", *readers.directive(text), *readers.directive_scope(text))
 
 
 @family("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '/docs/' || event_id WHEN event_id % 3 = 1 THEN 'A' || event_id || '.PDF' ELSE '' END AS path FROM events")

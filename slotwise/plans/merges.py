@@ -141,6 +141,17 @@ def ledger_verify(spark: SparkSession, sf: str) -> DataFrame:
     return integrity.verify(ledger, files, "k").groupBy("reason").agg(F.count("*").alias("n"))
 
 
+@family("""
+WITH l AS (SELECT o_orderkey AS k, CAST(o_totalprice AS BIGINT) AS bytes, o_orderpriority AS sha FROM orders WHERE o_orderkey % 7 <> 0), f AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE CAST(o_totalprice AS BIGINT) END AS length, CASE WHEN o_orderkey % 3 = 0 THEN 'x' ELSE o_orderpriority END AS digest FROM orders WHERE o_orderkey % 11 <> 0)
+SELECT reason, count(*) AS n FROM (SELECT unnest(list_filter([CASE WHEN f.k IS NULL THEN 'missing' END, CASE WHEN l.k IS NULL THEN 'orphan' END, CASE WHEN bytes <> length THEN 'size_mismatch' END], lambda x: x IS NOT NULL)) AS reason FROM l FULL JOIN f ON l.k = f.k) GROUP BY reason""")
+def ledger_verify_shallow(spark: SparkSession, sf: str) -> DataFrame:
+    """Without a look at contents."""
+    o = read(spark, sf, "orders")
+    ledger = o.where("o_orderkey % 7 <> 0").selectExpr("o_orderkey AS k", "CAST(round(o_totalprice) AS BIGINT) AS bytes", "o_orderpriority AS sha256")
+    files = o.where("o_orderkey % 11 <> 0").selectExpr("o_orderkey AS k", "CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE CAST(round(o_totalprice) AS BIGINT) END AS length", "CASE WHEN o_orderkey % 3 = 0 THEN 'x' ELSE o_orderpriority END AS digest")
+    return integrity.verify(ledger, files, "k", deep=False).groupBy("reason").agg(F.count("*").alias("n"))
+
+
 @family("SELECT doc_id, min_id AS original FROM documents d JOIN (SELECT source, sha256(text) AS h, min(doc_id) AS min_id FROM documents WHERE text IS NOT NULL GROUP BY ALL HAVING count(*) > 1) g ON g.source = d.source AND g.h = sha256(d.text) WHERE doc_id <> min_id")
 def content_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     """Copies within one parent, with the original."""

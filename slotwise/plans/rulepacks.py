@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from slotwise.functions import fiscal, text
-from slotwise.functions.rules import DUCKDB, SPARK, Dialect
+from slotwise.functions.rules import DUCKDB, SPARK, Dialect, apply
 from slotwise.plans.base import Family, read
 
 family = Family()
@@ -42,7 +42,7 @@ def titles_sql(d: Dialect) -> str:
 def add(name: str, pack: Callable[[Dialect], dict[str, str]]) -> None:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         titles = read(spark, sf, "orders").selectExpr(*_split(titles_sql(SPARK)))
-        return titles.selectExpr("id", *[f"{sql} AS {c}" for c, sql in pack(SPARK).items()])
+        return apply(titles, "id", pack(SPARK))
 
     run.__name__ = name
     columns = ", ".join(f"{sql} AS {c}" for c, sql in pack(DUCKDB).items())

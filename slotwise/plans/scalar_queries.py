@@ -32,6 +32,8 @@ add("normalize_name_clean", "part", "p_partkey", lambda: {"clean": S.without_wor
 add("normalize_name_squeezed", "customer", "c_custkey", lambda: {"squeezed": S.squeezed(F.concat_ws(" ", "c_name", F.lit("Group Holdings Ltd.")))}, "regexp_replace(lower(c_name || ' Group Holdings Ltd.'), '[^a-z0-9]+', '', 'g') AS squeezed")
 add("normalize_name_uk", "customer", "c_custkey", lambda: {"name": S.uk_name(F.concat(F.lit("The "), F.col("c_mktsegment"), F.lit(" (UK) Group P.L.C. /NEW/")))},
     "trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(upper('The ' || c_mktsegment || ' (UK) Group P.L.C. /NEW/'), '/NEW/?$', ''), '\\(.*?\\)', ' ', 'g'), '\\b(PUBLIC LIMITED COMPANY|P\\.?L\\.?C\\.?|LIMITED|LTD\\.?|GROUP|HOLDINGS?|THE|AND|&|UK|U\\.K\\.)\\b', ' ', 'g'), '[^A-Z0-9]+', ' ', 'g')) AS name")
+add("normalize_name_folded", "customer", "c_custkey", lambda: {"folded": S.nfkd_ascii(F.concat(F.lit("Société Générale Ñandú "), F.col("c_name"))), "compatible": S.nfkc(F.concat(F.lit("Ｆｕｌｌ ﬁ "), _s("c_custkey"))), "plain": S.html_unescape(F.concat(F.lit("A &amp; B &#39;"), _s("c_custkey"), F.lit("&quot; &eacute;")))},
+    "'Societe Generale Nandu ' || c_name AS folded, 'Full fi ' || c_custkey AS compatible, 'A & B ' || chr(39) || c_custkey || '\" é' AS plain")
 add("crn_pad", "customer", "c_custkey", lambda: {"crn": S.crn(F.concat(F.lit(" "), _s("c_custkey"), F.lit(" "))), "lettered": S.crn(F.concat(F.lit("sc"), _s("c_custkey")))},
     "lpad(c_custkey::VARCHAR, 8, '0') AS crn, upper('sc' || c_custkey) AS lettered")
 add("stock_code_lists", "orders", "o_orderkey", lambda: {"codes": F.array_join(S.stock_codes(F.concat(_s("o_custkey"), F.lit("<br/>8"), _s("o_custkey"), F.lit("<br>"), _s("o_custkey"))), ",")},
@@ -77,6 +79,8 @@ add("retry_after", "events", "event_id", lambda: {"wait": S.retry_after(F.elemen
 add("json_properties", "events", "event_id", lambda: {"k": F.get_json_object("props", "$.k").cast("int"), "again": F.to_json(F.from_json("props", "k int"))}, "CAST(props->>'$.k' AS INT) AS k, '{\"k\":' || (props->>'$.k') || '}' AS again")
 add("formula_escape", "part", "p_partkey", lambda: {"cell": S.escaped_cell(F.concat(F.when(F.col("p_partkey") % 3 == 0, "=").when(F.col("p_partkey") % 3 == 1, "@").otherwise(""), F.col("p_name")))},
     "CASE p_partkey % 3 WHEN 0 THEN '''=' || p_name WHEN 1 THEN '''@' || p_name ELSE p_name END AS cell")
+add("staging_paths", "customer", "c_custkey", lambda: {"path": S.staging_path(F.lit("out"), F.lit("AUS"), F.when(F.col("c_custkey") % 3 > 0, F.concat(F.lit("t"), _s("c_custkey"))), F.when(F.col("c_custkey") % 5 > 0, 2000 + F.col("c_custkey") % 20), F.concat(F.lit("a: "), _s("c_custkey"), F.lit(".pdf")))},
+    "'out/unresolved_identity/AUS/' || CASE WHEN c_custkey % 3 > 0 THEN 'T' || c_custkey ELSE 'UNKNOWN' END || '_FY' || CASE WHEN c_custkey % 5 > 0 THEN (2000 + c_custkey % 20)::VARCHAR ELSE '0000' END || '/a__' || c_custkey || '.pdf' AS path")
 add("archive_urls", "orders", "o_orderkey", lambda: {"url": S.archive_url(F.lpad(_s("o_custkey"), 10, "0"), F.concat(F.lpad(_s("o_custkey"), 10, "0"), F.lit("-24-"), F.lpad(_s("o_orderkey"), 6, "0")), F.lit("a.htm"))},
     "CASE WHEN length(o_orderkey::VARCHAR) <= 6 THEN 'https://www.sec.gov/Archives/edgar/data/' || o_custkey || '/' || lpad(o_custkey::VARCHAR, 10, '0') || '24' || lpad(o_orderkey::VARCHAR, 6, '0') || '/a.htm' ELSE 'https://www.sec.gov/Archives/edgar/data/' || o_custkey || '/' || lpad(o_custkey::VARCHAR, 10, '0') || '24' || substr(o_orderkey::VARCHAR, 1, 6) || '/a.htm' END AS url")
 add("form_report_types", "orders", "o_orderkey", lambda: {"report_type": S.form_type(F.element_at(F.array(*map(F.lit, ("10-K", "20-F", "10-K/A", "40-F"))), (F.col("o_orderkey") % 4 + 1).cast("int")))}, "CASE o_orderkey % 4 WHEN 0 THEN '10K' WHEN 1 THEN '20F' ELSE 'AR' END AS report_type")

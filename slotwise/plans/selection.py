@@ -24,6 +24,15 @@ def first_per_slot(spark: SparkSession, sf: str) -> DataFrame:
     return select.best(filings(spark, sf), SLOT, [F.asc("o_orderdate"), F.asc("o_orderkey")]).select(*SLOT, "o_orderkey")
 
 
+@family(f"SELECT count(*) FILTER (WHERE o_orderstatus <> 'F') AS non_pdf, count(*) FILTER (WHERE o_orderstatus = 'F') - count(DISTINCT CASE WHEN o_orderstatus = 'F' THEN (o_custkey, yr) END) AS extras, count(DISTINCT CASE WHEN o_orderstatus = 'F' THEN (o_custkey, yr) END) AS slots FROM {FILINGS}")
+def first_per_slot_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """What the choice of one filing a slot leaves out: other formats, counted before, and further filings."""
+    f = filings(spark, sf)
+    pdf = f.where("o_orderstatus = 'F'").groupBy(*SLOT).agg(F.count("*").alias("n"))
+    other = f.agg(F.count_if(F.col("o_orderstatus") != "F").alias("non_pdf"))
+    return pdf.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("extras"), F.count("*").alias("slots")).crossJoin(F.broadcast(other)).select("non_pdf", "extras", "slots")  # one row each
+
+
 @family(ranked_sql("o_orderdate DESC, o_orderkey"))
 def latest_per_slot(spark: SparkSession, sf: str) -> DataFrame:
     return select.best(filings(spark, sf), SLOT, [F.desc("o_orderdate"), F.asc("o_orderkey")]).select(*SLOT, "o_orderkey")
@@ -122,6 +131,14 @@ def host_interleave(spark: SparkSession, sf: str) -> DataFrame:
     return select.interleaved(pages, "host", [F.asc("page_id")])
 
 
+@family("""
+SELECT event_id, n AS in_window, CASE WHEN n >= 3 THEN (epoch_us(oldest) + 3000000000000 - epoch_us(ts)) / 1e6 ELSE 0.0 END AS wait FROM (SELECT event_id, ts, count(*) OVER w AS n, min(ts) OVER w AS oldest
+ FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 3000000 SECONDS PRECEDING AND CURRENT ROW))""")
+def rolling_budget_wait(spark: SparkSession, sf: str) -> DataFrame:
+    """How many requests are in the window, and how long to wait until one leaves."""
+    return integrity.rolling(read(spark, sf, "events"), ["user_id"], "ts", 3_000_000, 3, "event_id").select("event_id", "in_window", "wait")
+
+
 @family("SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 300 SECONDS PRECEDING AND CURRENT ROW) AS in_window FROM events")
 def rolling_budget_300s(spark: SparkSession, sf: str) -> DataFrame:
     return integrity.rolling(read(spark, sf, "events"), ["user_id"], "ts", 300, 3, "event_id").select("event_id", "in_window")

@@ -247,6 +247,7 @@ def company_count(text: Column) -> Column:
 
 # ---------------------------------------------------------------- directives
 
+# fixed values: markets in the order in which their words are looked for, markets that are refused, and report types' words
 MARKETS = {
     "Australia": ("australia", "asx", "aussie"),
     "Bangladesh": ("bangladesh", "dhaka", "dse"),
@@ -256,8 +257,13 @@ MARKETS = {
     "NewZealand": ("new zealand", "newzealand", "nzx", "kiwi"),
     "Singapore": ("singapore", "sgx"),
     "SriLanka": ("sri lanka", "srilanka", "cse", "colombo"),
+    "Africa": ("africa", "african", "jse", "south africa", "ngx", "nigeria", "kenya", "nse kenya", "ghana", "gse", "botswana", "bse", "zambia", "luse", "tanzania", "dse tanzania", "zimbabwe", "mauritius", "namibia", "uganda", "malawi", "rwanda", "eswatini", "seychelles", "sierra leone"),
+    "MiddleEast": ("middle east", "middleeast", "oman", "msx", "jordan", "ase", "uae", "dubai", "dfm", "abu dhabi", "abudhabi", "adx", "saudi", "tadawul", "qatar", "qse", "bahrain", "kuwait", "boursa kuwait"),
     "Philippines": ("philippines", "philippine", "pse", "xphs", "manila", "filipino", "edge"),
 }
+REFUSED = ("palestine", "israel", "pex", "xpsx", "tase")
+SUSTAINABLE_WORDS = r"\b(?:sustainab\w*|esg|csr|climate|environmental|integrated|sr|ir|brsr|databook)\b"
+ANNUAL_WORDS = r"\b(?:annual|10-k|20-f|statutory|financial\w*|ar)\b"
 
 
 def years(argument: str) -> range:
@@ -269,10 +275,19 @@ def years(argument: str) -> range:
 
 
 def directive(column: Column) -> list[Column]:
-    """market, count, first and last year of plain-English requests; a column of them is parsed in place."""
+    """market, count, first and last year of plain-English requests; a column of them is parsed in place. The market is
+    NULL where none is named or a refused one is."""
     low = F.lower(column)
-    market = F.coalesce(*[F.when(low.rlike("|".join(words)), name) for name, words in MARKETS.items()])
+    market = F.when(~low.rlike("|".join(REFUSED)), F.coalesce(*[F.when(low.rlike("|".join(words)), name) for name, words in MARKETS.items()]))
     everything = low.contains("all") & low.rlike("compan|listed|issuer")
     count = F.when(everything, 999_999).otherwise(F.coalesce(F.regexp_extract(low, r"\b([0-9]{1,3}|[3-9][0-9]{3}|1[0-8][0-9]{2})\b(?!\s*[-:])", 1).try_cast("int"), F.lit(100)))
     found = F.transform(F.regexp_extract_all(low, F.lit(r"\b((?:19|20)[0-9]{2})\b"), F.lit(1)), lambda x: x.cast("int"))
     return [market.alias("market"), count.alias("count"), F.array_min(found).alias("first_year"), F.array_max(found).alias("last_year")]
+
+
+def directive_scope(column: Column) -> list[Column]:
+    """offset (-1: after what is done already) and report_types (annual unless only sustainability is asked for)."""
+    low = F.lower(column)
+    sustainable, annual = low.rlike(SUSTAINABLE_WORDS), low.rlike(ANNUAL_WORDS)
+    kinds = F.array_compact(F.array(F.when(annual | ~sustainable, "AR"), F.when(sustainable, "SR")))
+    return [F.when(low.contains("next"), -1).otherwise(0).alias("offset"), F.array_join(kinds, ",").alias("report_types")]

@@ -134,3 +134,23 @@ def test_other_years(spark):
     assert [titled(spark, t, lambda _: fiscal.sri_lanka(SPARK, "title"))[0] for t in ("2024", "2024/2025", "2023-24", "none")] == [2024, 2025, 2024, None]
     assert titled(spark, "For the fiscal year ended Dec 31, 2017", lambda _: fiscal.form_17a(SPARK, "title"))[0] == 2017
     assert [titled(spark, t, lambda _: fiscal.unique_year(SPARK, "title"))[0] for t in ("a 2020 b 2020", "2020 2021")] == [2020, None]
+
+
+def test_ranges_carry_the_century_in_india(spark):
+    from slotwise.functions import fiscal, rules
+
+    year, _, _ = fiscal.india(rules.SPARK, "t")
+    df = spark.createDataFrame([("Annual Report 2099-00",), ("2023-24",), ("2023-25",), ("2023-2023",)], "t string")
+    assert [r[0] for r in df.selectExpr(year).collect()] == [2100, 2024, None, 2023]
+
+
+def test_shared_matches_change_nothing(spark):
+    """A pack gives the same with its matches taken out of its columns."""
+    from slotwise.functions import rules, text
+
+    df = spark.createDataFrame([(i, t, "https://x.example/a.pdf", i % 60) for i, t in enumerate(["Annual Report 2024", "ESG Report", None, "Integrated annual report", "Notice of AGM (it's) 2023"])], "id int, title string, url string, pages int")
+    label, score = text.africa(rules.SPARK, "title", "url", "pages")
+    got = rules.apply(df, "id", {"label": label, "score": score}).orderBy("id").collect()
+    assert got == df.selectExpr("id", f"{label} AS label", f"{score} AS score").orderBy("id").collect()
+    texts, matches, outer = rules.shared({"label": label, "score": score})
+    assert matches and all(sum(m in x for x in outer.values()) for m in matches)
