@@ -37,9 +37,11 @@ M1, M2, MULT = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB), U64(0x9E3779B97
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where it is unset (tests), a temporary one of this machine."""
+    """The folder in spark.checkpoint.dir; where it is unset and all runs on one machine (tests), a temporary one of it."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         own = tempfile.mkdtemp(prefix="slotwise-")
         atexit.register(shutil.rmtree, own, ignore_errors=True)
         at = f"file://{own}"
@@ -58,9 +60,9 @@ def drop_dir(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write df as a Parquet table in the shared folder and read it back."""
-    spark, path = df.sparkSession, fresh_dir(df.sparkSession, name)
+def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Cut the lineage: write df as a Parquet table in the shared folder (at path, if given) and read it back."""
+    spark, path = df.sparkSession, path or fresh_dir(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

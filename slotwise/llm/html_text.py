@@ -9,7 +9,7 @@ renderer emits all other text: white space collapsed outside pre, one new line a
 blank line around paragraphs, headings, lists and tables, list items with their marks and indent,
 and table cells padded to common columns, column spans included.
 
-Both passes use an explicit stack and are linear in the page, tables nested deeper than NESTED
+Column spans are at most 1000, as in the HTML standard. Both passes use an explicit stack and are linear in the page, tables nested deeper than NESTED
 are rendered without alignment, so deep or broken pages are no harder than others.
 
 Defined results: null html is an empty text; an empty page is an empty text; null page_ids and

@@ -275,7 +275,8 @@ def components(edges: DataFrame) -> DataFrame:
     shuffle and joined back, so a vertex with very many neighbours is never one task's group.
     """
     spark = edges.sparkSession
-    path, now = None, C.written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    path = C.fresh_dir(spark, "edges")
+    now = C.written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges", path)
     while True:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -285,8 +286,7 @@ def components(edges: DataFrame) -> DataFrame:
         new = C.fresh_dir(spark, "components")
         small.write.parquet(new)
         now = spark.read.schema("u long, v long").parquet(new)
-        if path:
-            C.drop_dir(spark, path)
+        C.drop_dir(spark, path)
         path = new
         # done when all are stars: nobody has two roots, and no root has a root
         ends = now.select(F.col("u").alias("x"), F.lit(1).alias("below"), F.lit(0).alias("above")).union(now.select("v", F.lit(0), F.lit(1)))
@@ -300,22 +300,25 @@ def near_duplicates(docs: DataFrame, k: int = 4, budget: int = 4, seed: int = 42
     component has more than one row."""
     spark = docs.sparkSession
     fps = C.written(fingerprints(docs, k, seed, once, words), "fingerprints")
-    nodes = C.written(fps.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "nodes")
+    own = {x: C.fresh_dir(spark, x) for x in ("nodes", "members")}
+    nodes = C.written(fps.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "nodes", own["nodes"])
     known = nodes.where("rep is not null")
     edges = near_edges(known, budget)
     if words:
         edges = edges.union(band_edges(fps.where("doc_id is not null")))
     roots = components(edges)
-    members = C.written(roots.union(roots.select(F.col("root").alias("v"), "root").distinct()), "members")
+    members = C.written(roots.union(roots.select(F.col("root").alias("v"), "root").distinct()), "members", own["members"])
     least = members.join(known, members.v == known.fp).groupBy("root").agg(F.min("rep").alias("component_id"))
     linked = members.join(least, "root").select(F.col("v").alias("fp"), "component_id")
     named = C.written(nodes.join(linked, "fp", "left").select("fp", "n", F.coalesce("component_id", "rep").alias("component_id"), (F.col("component_id").isNotNull() | (F.col("n") > 1)).alias("several")), "named")
     # a fingerprint of more than a shard's share of the rows, of which there are fewer than shards, is looked up by broadcast
     total = nodes.agg(F.sum("n")).first()[0] or 0
+    for path in own.values():
+        C.drop_dir(spark, path)
     hot = F.broadcast(named.where(F.col("n") * C.n_shards(spark) > total).select("fp", F.col("component_id").alias("_c"), F.col("several").alias("_s")))
     rows = fps.join(hot, "fp", "left").select("doc_id", "fp", "text_hash", "_c", "_s")
-    own = F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
-    names = ["doc_id", "fp", "text_hash", own, "several"]
+    known = F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
+    names = ["doc_id", "fp", "text_hash", known, "several"]
     rest = rows.where("_s is null").join(named, "fp", "left").select(*names)
     return rest.union(rows.where("_s is not null").withColumnsRenamed({"_c": "component_id", "_s": "several"}).select(*names))
 

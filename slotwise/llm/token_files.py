@@ -196,6 +196,7 @@ def write(docs: DataFrame, folder: str, end_id: int = 1, path: str | None = None
 
     sent = rows.mapInArrow(encode, "shard int, doc_id long, ids binary").repartitionById(n, F.col("shard"))
     files = C.written(sent.sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "ids").mapInArrow(store, "file string, shard int, n_ids long"), "token-files")
+    _tidy(folder)
     total, starts = 0, {}
     for s, size in sorted(tuple(r) for r in files.groupBy("shard").agg(F.sum("n_ids")).collect()):  # a row for each shard
         starts[s], total = total, total + size
@@ -217,6 +218,14 @@ def put(name: str, raw: bytes) -> None:
     fs.move(part, path)
 
 
+def _tidy(folder: str) -> None:
+    """Removes what tasks that were killed left beside the files."""
+    fs, path = _at(folder)
+    for x in fs.get_file_info(pyarrow.fs.FileSelector(path, allow_not_found=True)):
+        if not x.base_name.endswith(".bin"):
+            fs.delete_file(x.path)
+
+
 def get(name: str) -> bytes:
     fs, path = _at(name)
     with fs.open_input_stream(path) as f:

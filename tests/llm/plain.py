@@ -6,9 +6,10 @@ import re
 import zlib
 
 import numpy as np
+import public_tokenizers
 import xxhash
 
-VOCAB = "/opt/tokenizers/word_bpe_49k.json"
+VOCAB = public_tokenizers.path("word_bpe_49k.json")
 
 
 def sha(s):

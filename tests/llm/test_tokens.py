@@ -149,3 +149,11 @@ def test_memo_is_bounded():
     for i in range(100):
         assert memo.of([f"w{i}", "same", "x" * 100], lambda words: [w.encode()[:9] for w in words]) == [f"w{i}".encode(), b"same", b"x" * 9]
     assert len(memo) + len(memo.old) <= 22 and not any(len(w) > memo.LONG for w in [*memo, *memo.old])
+
+
+def test_what_killed_tasks_left_is_removed(spark, none, tmp_path):
+    folder = f"file://{tmp_path}/ids"
+    token_files.put(f"{folder}/ids-000000-000000.bin.{'0' * 32}", b"x")
+    token_files.put(f"{folder}/ids-000009-000000.bin", b"x")
+    token_files.write(none, folder)
+    assert [p.name for p in (tmp_path / "ids").iterdir()] == ["ids-000009-000000.bin"]
