@@ -271,3 +271,10 @@ def vocab_path(name: str, folder: str | None = None) -> str:
 
     return public_tokenizers.path(name)
 
+
+def kept(kind: str, path: str, make):
+    """make(path), made once in a worker process and used again by its later tasks; for what is bounded in bytes."""
+    store = sys.modules.setdefault("_slotwise_kept", types.ModuleType("_slotwise_kept")).__dict__
+    if (kind, path) not in store:
+        store[kind, path] = make(path)
+    return store[kind, path]

@@ -161,13 +161,12 @@ def write(docs: DataFrame, folder: str, end_id: int = 1, path: str | None = None
     bounds = np.array(sorted(set(rows.select("doc_id").stat.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.2 / n))), np.float64) if n > 1 else np.zeros(0)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lib = Library(path)  # a task's own, so that an idle worker keeps nothing
+        lib = C.kept("library", path, Library)  # with its memo, of a bounded number of words of bounded length
         for part in C.chunks(batches, limit=bpe.CHUNK):
             ids = lib.encode([x or "" for x in part.column(1).to_pylist()])
             doc = part.column(0)
             shard = np.searchsorted(bounds, pa.compute.fill_null(doc, -(1 << 63)).to_numpy(zero_copy_only=False).astype(np.float64)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(shard), doc, ids.cast(pa.binary())], ["shard", "doc_id", "ids"])
-        del lib
         C.give_back()
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
