@@ -39,6 +39,8 @@ from slotwise.llm import bpe
 from slotwise.llm import common as C
 
 FILE_IDS = 2_000_000
+#: Bytes of text of which a word is encoded once.
+CHUNK = 8 << 20
 MAGIC, HEAD = b"SLW1", "<4s5q"
 #: For each control byte the lengths of its four ranks.
 LENGTHS = np.array([[1 + (c >> 2 * j & 3) for j in range(4)] for c in range(256)], np.uint8)
@@ -162,7 +164,7 @@ def write(docs: DataFrame, folder: str, end_id: int = 1, path: str | None = None
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lib = C.kept("library", path, Library)  # with its memo, of a bounded number of words of bounded length
-        for part in C.chunks(batches, limit=bpe.CHUNK):
+        for part in C.chunks(batches, limit=CHUNK):
             ids = lib.encode([x or "" for x in part.column(1).to_pylist()])
             doc = part.column(0)
             shard = np.searchsorted(bounds, pa.compute.fill_null(doc, -(1 << 63)).to_numpy(zero_copy_only=False).astype(np.float64)).astype(np.int32)
