@@ -9,12 +9,12 @@ kept whole. From there:
   others a node is only listed below its rarest: two sketches that share `need` values share one of those that are left
   of each when its `need - 1` most frequent are taken away. So what very many documents have in common makes no lists,
   and documents that are mostly their own words are in none.
-- Candidates. Lists of up to SMALL nodes give all their pairs, longer ones the pairs with PIVOTS of their nodes.
-- The sketch of the union of each pair estimates its similarity; pairs below what a similar pair shows are gone.
-- Full sets verify the rest, shingle by shingle: first the likeliest partner of each node, then the pairs that aren't
-  connected by then.
-- Long lists whose nodes aren't all connected yet are compared by chunks in tasks that estimate all their pairs of
-  different components and send the likely ones only, to be verified like the others. So no pair is lost to a bound.
+- Candidates. Lists of up to SMALL nodes give all their pairs, longer ones the pairs with PIVOTS of their nodes. The
+  sketch of a pair's union estimates its similarity; pairs below what a similar pair shows are gone. The others make
+  candidate classes. Nodes of a longer list that are in different classes by then are compared by chunks in tasks that
+  estimate their pairs and send a forest of what passes, never the pairs: so no pair is lost to a bound.
+- Full sets verify: within each class documents are linked by the similarity of their full sets (all 64 bits of all
+  shingles' hashes), by chunks in tasks that send forests (`simhash.similar_edges`).
 
 Links then go through star contraction. Defined results: null text and text without words have an empty set, no links
 and themselves as component; rows without doc_id link nothing and have a null component and kept; rows with one doc_id
@@ -40,19 +40,10 @@ from slotwise.llm import simhash
 U64 = np.uint64
 #: Values of a sketch; the longest list that gives all its pairs; nodes that a longer one is compared with at first;
 #: nodes of a chunk of a list whose nodes aren't connected by these.
-KEPT, SMALL, PIVOTS, CHUNK = 128, 8, 4, 1024
-#: Shingles that a verifying task keeps of texts that it may see again.
-REMEMBERED = 400_000
+KEPT, SMALL, PIVOTS, CHUNK = 128, 8, 1, 1024
 COLUMNS = 4096
 
 
-def shingles(text: bytes, words: int) -> set[bytes]:
-    """The different shingles of a text, A-Z lower-cased; all its words as one, if it has fewer."""
-    own = text.lower().split()
-    size = min(words, len(own))
-    return {b" ".join(own[i : i + size]) for i in range(len(own) - size + 1)} if own else set()
-
-
 @functools.cache
 def binomial_bound(k: int, percent: int, odds: float = 1e-15) -> int:
     """The least count that k draws, each a success with the given probability, fall below once in 1 / odds at most."""
@@ -197,39 +188,43 @@ def _numbers(raw: bytes) -> np.ndarray:
 
 
 def likely(pairs: DataFrame, nodes: DataFrame, percent: int, kept: int) -> DataFrame:
-    """u, v, estimate of those pairs whose sketches may be of similar sets."""
+    """Those pairs u, v whose sketches may be of similar sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            told = [estimate(_numbers(a), na, _numbers(b), nb, percent, kept) for na, a, nb, b in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True)]
-            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(told, pa.float64())], ["u", "v", "estimate"])
-            yield out.filter(out.column(2).is_valid())
+            fit = [estimate(_numbers(a), na, _numbers(b), nb, percent, kept) is not None for na, a, nb, b in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(pa.array(fit, pa.bool_()))
 
     a, b = (nodes.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "uv")
-    return pairs.join(a, "u").join(b, "v").select("u", "v", "nu", "su", "nv", "sv").mapInArrow(run, "u long, v long, estimate double")
+    return pairs.join(a, "u").join(b, "v").select("u", "v", "nu", "su", "nv", "sv").mapInArrow(run, "u long, v long")
+
+
+def likely_forest(ids: np.ndarray, n: np.ndarray, classes: np.ndarray, sets: list[np.ndarray], percent: int, kept: int) -> list[tuple[int, int]]:
+    """Likely pairs of nodes of different classes, enough to connect all that such pairs connect."""
+    need, label, out = required(n, percent, kept), classes.copy(), []
+    fit = overlaps(sets) >= np.maximum(need[:, None], need[None, :])
+    for i in range(len(ids)):
+        for j in np.flatnonzero(fit[i] & (label != label[i])).tolist():
+            if label[j] != label[i] and estimate(sets[i], n[i], sets[j], n[j], percent, kept) is not None:
+                out.append((int(ids[i]), int(ids[j])))
+                label[label == label[j]] = label[i]
+    return out
 
 
 def likely_between(members: DataFrame, percent: int, kept: int, chunk: int) -> DataFrame:
-    """u, v, estimate of the likely pairs of nodes (list, id, n, sketch, component) of a list and different components.
+    """u, v: a forest of the likely pairs of nodes (list, id, n, sketch, class) of a list and different classes.
 
-    Lists are cut into chunks, and every two meet in a task; a task sends likely pairs only.
+    Lists are cut into chunks, and every two meet in a task.
     """
     sizes = members.groupBy("list").agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks"))
     told = members.join(sizes, "list").withColumn("c", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")).withColumn("d", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    rows = told.select("list", F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b"), "id", "n", "component", "c", "sketch")
+    rows = told.select("list", F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b"), "id", "n", "class", "sketch")
     rows = rows.repartition(C.n_shards(members.sparkSession), "list", "a", "b").sortWithinPartitions("list", "a", "b", "id")
 
-    def close(group: list[tuple], apart: bool) -> pa.RecordBatch:
-        ids, n, component, c = (np.array([r[i] for r in group], np.int64) for i in range(4))
-        sets = [_numbers(r[4]) for r in group]
-        shared = overlaps(sets)
-        need = required(n, percent, kept)
-        fit = np.triu(shared >= np.maximum(need[:, None], need[None, :]), 1) & (component[:, None] != component[None, :])
-        if apart:
-            fit &= c[:, None] != c[None, :]
-        found = [(min(ids[i], ids[j]), max(ids[i], ids[j]), e) for i, j in zip(*(x.tolist() for x in np.nonzero(fit)), strict=True) if (e := estimate(sets[i], n[i], sets[j], n[j], percent, kept)) is not None]
-        u, v, e = zip(*found, strict=True) if found else ((), (), ())
-        return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(e, pa.float64())], ["u", "v", "estimate"])
+    def close(group: list[tuple]) -> pa.RecordBatch:
+        ids, n, classes = (np.array([r[i] for r in group], np.int64) for i in range(3))
+        found = likely_forest(ids, n, classes, [_numbers(r[3]) for r in group], percent, kept)
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in range(2)], ["u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, group = None, []
@@ -238,13 +233,13 @@ def likely_between(members: DataFrame, percent: int, kept: int, chunk: int) -> D
             for key, row in zip(zip(*columns[:3], strict=True), zip(*columns[3:], strict=True), strict=True):
                 if key != now:
                     if len(group) > 1:
-                        yield close(group, now[1] != now[2])
+                        yield close(group)
                     now, group = key, []
                 group.append(row)
         if len(group) > 1:
-            yield close(group, now[1] != now[2])
+            yield close(group)
 
-    return rows.mapInArrow(run, "u long, v long, estimate double").groupBy("u", "v").agg(F.max("estimate").alias("estimate"))
+    return rows.mapInArrow(run, "u long, v long").distinct()
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -265,56 +260,12 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return shared.astype(np.int64)
 
 
-# ---------------------------------------------------------------- verification
-
-
-def verified(pairs: DataFrame, bodies: DataFrame, words: int, percent: int) -> DataFrame:
-    """u, v: those pairs whose full sets of shingles have the similarity."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, set[bytes]] = {}
-        total = 0
-
-        def full(node: int, text: bytes) -> set[bytes]:
-            nonlocal total
-            if node not in known:
-                own = shingles(text, words)
-                if total + len(own) > REMEMBERED:
-                    known.clear()
-                    total = 0
-                known[node] = own
-                total += len(own)
-            return known[node]
-
-        for part in C.chunks(batches, "tu"):
-            u, v = part.column(0).to_pylist(), part.column(1).to_pylist()
-            fit = []
-            for i, j, a, b in zip(u, v, C.texts(part, "tu"), C.texts(part, "tv"), strict=True):
-                x, y = full(i, a), full(j, b)
-                both = len(x & y)
-                fit.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], ["u", "v"]).filter(pa.array(fit, pa.bool_()))
-
-    a, b = (bodies.select(F.col("id").alias(x), F.col("text").alias(f"t{x}")) for x in "uv")
-    return pairs.join(a, "u").join(b, "v").select("u", "v", "tu", "tv").mapInArrow(run, "u long, v long")
-
-
-def placed(rows: DataFrame, column: str, roots: DataFrame, name: str) -> DataFrame:
-    """rows with the component of the node in a column, the node itself if it has no links."""
-    return rows.join(roots.select(F.col("v").alias(column), F.col("root").alias("_root")), column, "left").withColumn(name, F.coalesce("_root", column)).drop("_root")
-
-
-def confirmed(pairs: DataFrame, bodies: DataFrame, words: int, percent: int) -> DataFrame:
-    """u, v: links enough to connect all that likely pairs (u, v, estimate) connect."""
-    both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"), "estimate"))
-    best = both.groupBy("u").agg(F.max_by("v", F.struct("estimate", "v")).alias("v")).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    links = C.written(verified(best, bodies, words, percent), "links")
-    roots = simhash.components(links)
-    apart = placed(placed(pairs.join(best, ["u", "v"], "left_anti"), "u", roots, "cu"), "v", roots, "cv").where("cu <> cv").select("u", "v")
-    return links.union(C.written(verified(apart, bodies, words, percent), "links"))
+# ---------------------------------------------------------------- the operator
 
 
-# ---------------------------------------------------------------- the operator
+def placed(rows: DataFrame, roots: DataFrame, name: str) -> DataFrame:
+    """rows (id, ...) with the component of their node, the node itself if it has no links."""
+    return rows.join(roots.select(F.col("v").alias("id"), F.col("root").alias("_root")), "id", "left").withColumn(name, F.coalesce("_root", "id")).drop("_root")
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80, kept: int = KEPT, small: int = SMALL, pivots: int = PIVOTS, chunk: int = CHUNK) -> DataFrame:
@@ -335,21 +286,19 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80, kept: in
     paired = found.where("list is null").select(F.explode(F.array("u", "v")).alias("id")).distinct()
     some = C.written(nodes.join(paired, "id", "left_semi").select("id", "n", "sketch", "rep", "text_hash"), "paired")
     near = C.written(likely(pairs, some, percent, kept), "likely")
-    # texts of the nodes that may have links: one row of each, by its doc_id and text
-    wanted = some.join(listed.select("id").union(near.select(F.explode(F.array("u", "v")))).distinct(), "id", "left_semi").select("id", F.col("rep").alias("doc_id"), "text_hash")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").join(wanted, ["doc_id", "text_hash"])
-    bodies = C.written(texts.groupBy("id").agg(F.first("text").alias("text")), "bodies")
-    links = confirmed(near, bodies, words, percent)
-    roots = simhash.components(links)
-    members = C.written(placed(listed, "id", roots, "component"), "listed")
-    parted = members.groupBy("list").agg((F.min("component") < F.max("component")).alias("parted")).where("parted").select("list")
+    members = C.written(placed(listed, simhash.components(near), "class"), "listed")
+    parted = members.groupBy("list").agg((F.min("class") < F.max("class")).alias("parted")).where("parted").select("list")
     apart = members.join(parted, "list", "left_semi").join(some.select("id", "n", "sketch"), "id")
-    more = C.written(likely_between(apart, percent, kept, chunk).join(near, ["u", "v"], "left_anti"), "likely")
-    if not more.isEmpty():
-        links = links.union(confirmed(more, bodies, words, percent))
-        roots = simhash.components(links)
+    near = near.union(C.written(likely_between(apart, percent, kept, chunk), "likely"))
+    # the nodes of classes of several with their texts: one row of each, by its doc_id and text
+    roots = C.written(simhash.components(near), "classes")
+    inside = roots.select(F.col("v").alias("id"), F.col("root").alias("class")).union(roots.select("root", "root").distinct())
+    wanted = inside.join(some, "id").select("id", "class", F.col("rep").alias("doc_id"), "text_hash")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").join(wanted, ["doc_id", "text_hash"])
+    bodies = texts.groupBy("id").agg(F.first("class").alias("class"), F.first("text").alias("text")).select("class", F.col("id").alias("doc_id"), "text")
+    roots = simhash.components(simhash.similar_edges(bodies, words, percent / 100))
     # every document of a node gets the least doc_id of its component
-    own = placed(nodes.select("id", "key", "rep", "copies"), "id", roots, "root")
+    own = placed(nodes.select("id", "key", "rep", "copies"), roots, "root")
     least = own.groupBy("root").agg(F.min("rep").alias("component_id"), F.sum("copies").alias("all"))
     named = C.written(own.join(least.where("all > 1"), "root").select("key", "copies", "component_id"), "named")
     total = nodes.agg(F.sum("copies")).first()[0] or 0
