@@ -375,18 +375,22 @@ def scored(docs: DataFrame, trusted: DataFrame, names: tuple[str, str, str] = ("
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     blocks = 2 * max(-(-n // 2), -(-total // (2 * BLOCK_BYTES)))
 
+    own_name = "_block"
+    while own_name in (x.lower() for x in docs.columns):
+        own_name = f"_{own_name}"
+
     def block(*of):
-        return F.pmod(F.xxhash64(*of), F.lit(blocks)).alias("_block")
+        return F.pmod(F.xxhash64(*of), F.lit(blocks))
 
     def dealt_to(rows: DataFrame, spread: int) -> DataFrame:
         """Rows by shard, and within it by block among `spread` partitions."""
         return rows.repartitionById(shards * spread, (F.col("shard") * spread + F.pmod("block", F.lit(spread))).cast("int"))
 
-    packed = docs.select(block(F.col("doc_id").cast("long"), F.when(F.col("doc_id").isNull(), F.col("text"))), *docs.columns).mapInArrow(_deal, "block long, payload binary")
+    packed = docs.select(block(F.col("doc_id").cast("long"), F.when(F.col("doc_id").isNull(), F.col("text"))).alias(own_name), *docs.columns).mapInArrow(_deal, "block long, payload binary")
     dealt = packed.repartition(n, "block")
     ids = trusted.select(F.col("doc_id").cast("long"), F.lit(False).alias("toxic"))
     ids = ids.union(toxic.select(F.col("doc_id").cast("long"), F.lit(True))) if toxic is not None else ids
-    ids = ids.where("doc_id is not null").distinct().select("doc_id", "toxic", block("doc_id")).withColumnRenamed("_block", "block")
+    ids = ids.where("doc_id is not null").distinct().select("doc_id", "toxic", block("doc_id").alias("block"))
     model, spread = dealt.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(_count(shards), TOLD), replicas
     while True:
         model = dealt_to(model, spread).mapInArrow(_merged, TOLD)

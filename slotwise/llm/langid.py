@@ -231,10 +231,10 @@ def held_out(doc_id):
 def learn(docs: DataFrame) -> list[Model]:
     """The automata of the languages of labelled documents that aren't held out."""
     rows = docs.select(F.col("doc_id").cast("long"), "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    rows = rows.where(~held_out(F.col("doc_id")))
+    rows = rows.where(~held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}"))  # others teach nothing and take no place
     # of each language about four times the documents wanted, by a bound on the hash, and of those the least
-    bounds = rows.groupBy("lang").agg(F.least(F.lit(1 << 40), F.expr(f"{SAMPLE_DOCS << 42}L div count(*) + 1")).alias("bound"))
-    keyed = rows.withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))).join(F.broadcast(bounds), "lang").where("h < bound")
+    bounds = C.written(rows.groupBy("lang").agg(F.least(F.lit(1 << 40), F.expr(f"{SAMPLE_DOCS << 42}L div count(*) + 1")).alias("bound")), "bounds")  # its size decides how it is joined
+    keyed = rows.withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))).join(bounds, "lang").where("h < bound")
     keyed = keyed.select("lang", "doc_id", "h", (F.length("text") > DOC_CHARS).alias("long"), F.substring("text", 1, 2 * TRAIN_CHARS).alias("text"))
     some = keyed.withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy("long", "h", "doc_id", "text"))).where(F.col("n") <= SAMPLE_DOCS)
     samples: dict[str, str] = {}

@@ -430,8 +430,11 @@ def deduplicated(docs: DataFrame, words: int = 5, least: float = 0.8, k: int = 2
     # one plan at every size: the members grow with the documents, so they are never broadcast
     tagged = C.written(docs.select(F.struct(*names).alias("_row"), *key).join(members.hint("merge"), ["_id", "_text"], "left"), "tagged")
     some = tagged.where("_class IS NOT NULL")
-    firsts = C.written(some.groupBy("_class", F.coalesce("_row.text", F.lit("")).alias("text")).agg(F.min("_id").alias("doc_id")).select(F.col("_class").alias("class"), "doc_id", "text"), "firsts")
-    gone = components(similar_edges(firsts, words, least)).select(F.col("v").alias("doc_id"))
-    stay = firsts.join(gone, "doc_id", "left_anti").select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_text"))
+    # a text is a vertex of its own, as one doc_id may have several
+    alike = some.groupBy("_class", F.coalesce("_row.text", F.lit("")).alias("text")).agg(F.min("_id").alias("_id"))
+    firsts = C.written(alike.select(F.monotonically_increasing_id().alias("doc_id"), F.col("_class").alias("class"), "_id", "text"), "firsts")
+    roots = components(similar_edges(firsts.select("class", "doc_id", "text"), words, least))
+    named = firsts.join(roots.withColumnRenamed("v", "doc_id"), "doc_id", "left").groupBy(F.coalesce("root", "doc_id").alias("root"))
+    stay = named.agg(F.min_by(F.struct("_id", F.xxhash64("text").alias("_text")), F.struct("_id", "text")).alias("first")).select("first.*")
     rows = some.join(stay, ["_id", "_text"], "left_semi").groupBy("_id", "_text").agg(F.min_by("_row", F.xxhash64("_row")).alias("_row"))
     return tagged.where("_class IS NULL").select("_row.*").unionByName(rows.select("_row.*"))

@@ -19,7 +19,9 @@ k best for a query, which are then merged by numpy.
 
 Equal vectors are one point of a tree with the smallest k + 1 of their ids, which loses nothing
 among the k nearest, so any number of copies costs no more than one vector a batch. Scores are sums
-of the products of the original components in double precision, in order, and decide ties.
+of the products of the original components in double precision, in order, and decide ties. Bounds
+are reckoned with vectors divided by a power of two, so that components of any size that a double
+has can be squared.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no part,
 as queries or candidates, and so do rows with a null vec_id; vectors of another length than the
@@ -49,7 +51,8 @@ SCHEMA = "query_id long, rank int, vec_id long, score double"
 
 def dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Inner products of rows, the components added in order."""
-    return np.add.accumulate(a * b, axis=1)[:, -1] if len(a) else np.zeros(0)
+    with np.errstate(over="ignore", invalid="ignore"):
+        return np.add.accumulate(a * b, axis=1)[:, -1] if len(a) else np.zeros(0)
 
 
 def few(ids: np.ndarray, vectors: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -72,8 +75,27 @@ def lifted(vectors: np.ndarray, radius2: float) -> np.ndarray:
     return np.concatenate([vectors, np.sqrt(np.maximum(0, radius2 - (vectors**2).sum(1)))[:, None]], 1)
 
 
-def scaled(queries: np.ndarray) -> np.ndarray:
-    return queries / np.sqrt((queries**2).sum(1))[:, None]
+def scaled(queries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Queries of length 1; the queries are these times a length times 2 to an exponent."""
+    exponent = np.frexp(np.abs(queries).max(1))[1] if len(queries) else np.zeros(0, np.int64)
+    queries = np.ldexp(queries, -exponent[:, None])
+    length = np.sqrt((queries**2).sum(1))
+    return queries / length[:, None], length, exponent
+
+
+def lost(width: int, length: np.ndarray, exponent: np.ndarray) -> np.ndarray:
+    """By how much, with the query of length 1, inner products may differ that are one score, products being too small
+    for doubles."""
+    with np.errstate(over="ignore", under="ignore"):
+        return np.ldexp(2.0 * width / length, -1074 - exponent)
+
+
+def relative(score: np.ndarray, length: np.ndarray, exponent: np.ndarray, width: int) -> np.ndarray:
+    """A bound for inner products with the query of length 1 from one with the query; what exceeds a double is infinite
+    as a score, and larger than all others, whatever it is."""
+    fraction, own = np.frexp(np.clip(score, -np.finfo(float).max, np.finfo(float).max))
+    with np.errstate(over="ignore", under="ignore"):
+        return np.where(np.isneginf(score) | np.isnan(score), -np.inf, np.ldexp(fraction / length, own - exponent) - lost(width, length, exponent))
 
 
 def vantage(points: np.ndarray, rng: np.random.Generator) -> tuple[int, np.ndarray, float]:
@@ -93,7 +115,8 @@ def vantage(points: np.ndarray, rng: np.random.Generator) -> tuple[int, np.ndarr
 class Tree:
     """A vantage-point tree over distinct vectors, which are numbered by their least ids."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, leaf: int = LEAF):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, leaf: int = LEAF, exponent: int | None = None):
+        """exponent: bounds are reckoned with vectors divided by two to this, by default with components up to 1."""
         at, group, nth = few(ids, np.ascontiguousarray(vectors), k + 1)
         first = at[nth == 0]
         rank = np.empty(len(first), np.int64)
@@ -103,10 +126,12 @@ class Tree:
         self.count = np.bincount(rank[group], minlength=len(first))
         self.points = np.empty((len(first), vectors.shape[1]))
         self.points[rank] = vectors[first]
-        self.radius2 = float((self.points**2).sum(1).max()) if len(first) else 0.0
+        self.exponent = int(np.frexp(np.abs(self.points).max(initial=0.0))[1]) if exponent is None else exponent
+        self.small = np.ldexp(self.points, -self.exponent)
+        self.radius2 = float((self.small**2).sum(1).max()) if len(first) else 0.0
         self.k, self.leaf = k, leaf
         self.nodes: list[tuple] = []
-        self.root = self._build(lifted(self.points, self.radius2), np.arange(len(first)), np.random.default_rng(len(first)))
+        self.root = self._build(lifted(self.small, self.radius2), np.arange(len(first)), np.random.default_rng(len(first)))
 
     def _build(self, all_points: np.ndarray, at: np.ndarray, rng: np.random.Generator) -> int:
         own = len(self.nodes)
@@ -120,24 +145,24 @@ class Tree:
 
     def search(self, queries: np.ndarray, factor: float, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of each query the k + 1 nearest points (one may be its own) and their inner products, best first, ties to the
-        least id; -1 and -inf where there are fewer or they are below floor."""
+        least id; -1 and -inf where there are fewer or they are below floor, a bound for the query of length 1."""
         k = self.k + 1
         where, near = np.full((len(queries), k), -1, np.int64), np.full((len(queries), k), -np.inf)
         if not len(self.points):
             return where, near
-        unit, scale, reach = scaled(queries), np.sqrt((queries**2).sum(1)), np.sqrt(self.radius2)
-        slack = 1e-9 * max(1e-300, reach)
+        (unit, length, exponent), reach = scaled(queries), np.sqrt(self.radius2)
+        slack = 1e-9 * max(1e-91, reach)  # of vectors whose squares are hardly doubles nothing is pruned
 
         def least(q: np.ndarray) -> np.ndarray:
             """The inner product with the unit query that a point needs."""
-            return np.maximum(near[q, -1], floor[q]) / scale[q] - slack
+            return np.maximum(relative(near[q, -1], length[q], exponent[q] + self.exponent, self.points.shape[1]), floor[q]) - slack
 
         def far(q: np.ndarray) -> np.ndarray:
             # a query is scaled to the points' length: d^2 = 2 R^2 - 2 R <unit, x>
-            return np.sqrt(np.maximum(0, 2 * self.radius2 - 2 * reach * least(q)))
+            return np.sqrt(np.maximum(0, 2 * self.radius2 - 2 * max(1e-91, reach) * least(q)))
 
         def take(q: np.ndarray, at: np.ndarray) -> None:
-            i, j = np.nonzero(unit[q] @ self.points[at].T >= least(q)[:, None])
+            i, j = np.nonzero(unit[q] @ self.small[at].T >= least(q)[:, None])
             if not len(i):
                 return
             i, j = q[i], at[j]
@@ -165,7 +190,7 @@ class Tree:
                 visit(inner, q)
                 visit(outer, q)
                 return
-            d = np.sqrt(np.maximum(0, 2 * self.radius2 - 2 * reach * (unit[q] @ self.points[point])))
+            d = np.sqrt(np.maximum(0, 2 * self.radius2 - 2 * reach * (unit[q] @ self.small[point])))
             inside = d < border
             visit(inner, q[inside])
             visit(outer, q[~inside])
@@ -192,12 +217,13 @@ class Tree:
 class Top:
     """The upper levels: a complete tree over a sample, whose nodes part all vectors and bound all queries."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, radius2: float, leaves: int):
-        self.ids, self.vectors, self.radius2 = ids, vectors, radius2
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, radius2: float, leaves: int, exponent: int = 0):
+        """radius2: the squared length of the longest of all vectors, divided by two to the exponent."""
+        self.ids, self.original, self.vectors, self.radius2, self.exponent = ids, vectors, np.ldexp(vectors, -exponent), radius2, exponent
         self.width, self.depth = vectors.shape[1], max(0, int(leaves - 1).bit_length())
         nodes = (1 << self.depth) - 1
         self.points, self.border = np.zeros((nodes, self.width + 1)), np.full(nodes, np.nan)
-        own = np.unique(lifted(vectors, radius2), axis=0)
+        own = np.unique(lifted(self.vectors, radius2), axis=0)
         rng, todo = np.random.default_rng(len(own)), [(0, own)]
         while todo:
             node, some = todo.pop()
@@ -209,31 +235,31 @@ class Top:
 
     def leaf(self, vectors: np.ndarray) -> np.ndarray:
         """The leaf of each vector; a node without a border has all outside."""
-        node, own = np.zeros(len(vectors), np.int64), lifted(vectors, self.radius2)
+        node, own = np.zeros(len(vectors), np.int64), lifted(np.ldexp(vectors, -self.exponent), self.radius2)
         for _ in range(self.depth):
             d = np.sqrt(np.maximum(0, 2 * self.radius2 - 2 * (own * self.points[node]).sum(1)))
             node = 2 * node + 2 - (d < self.border[node])
         return node - len(self.border)
 
     def floor(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> np.ndarray:
-        """For each query an inner product that its k-th best vector has at least: that of the sample's."""
+        """For each query, of length 1, an inner product that its k-th best vector has at least: that of the sample's."""
         if len(self.ids) <= k:
             return np.full(len(queries), -np.inf)
-        found = queries @ self.vectors.T
+        unit, length, exponent = scaled(queries)
+        found = unit @ self.vectors.T
         found[self.ids[None, :] == query_ids[:, None]] = -np.inf
-        slack = 1e-9 * np.sqrt(self.radius2 * (queries**2).sum(1))
-        return np.partition(found, len(self.ids) - k, axis=1)[:, len(self.ids) - k] - slack
+        return np.partition(found, len(self.ids) - k, axis=1)[:, len(self.ids) - k] - 1e-9 * np.sqrt(self.radius2) - lost(self.width, length, exponent + self.exponent)
 
     def known(self, query_ids: np.ndarray, queries: np.ndarray, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query's id, vec_id, score) of the sample's vectors that are no less than the floor."""
-        q, j = np.nonzero((queries @ self.vectors.T >= floor[:, None]) & (self.ids[None, :] != query_ids[:, None]))
-        return query_ids[q], self.ids[j], dots(queries[q], self.vectors[j])
+        q, j = np.nonzero((scaled(queries)[0] @ self.vectors.T >= floor[:, None]) & (self.ids[None, :] != query_ids[:, None]))
+        return query_ids[q], self.ids[j], dots(queries[q], self.original[j])
 
     def reached(self, queries: np.ndarray, floor: np.ndarray, factor: float) -> np.ndarray:
         """Queries x leaves: whether the leaf may hold one of the k best."""
-        reach, unit = np.sqrt(self.radius2), scaled(queries)
+        reach, unit = np.sqrt(self.radius2), scaled(queries)[0]
         slack = 1e-9 * reach
-        far = np.sqrt(np.maximum(0, 2 * self.radius2 - 2 * reach * (floor / np.sqrt((queries**2).sum(1)) - slack)))
+        far = np.sqrt(np.maximum(0, 2 * self.radius2 - 2 * reach * (floor - slack)))
         d = np.sqrt(np.maximum(0, 2 * self.radius2 - 2 * reach * (unit @ self.points[:, :-1].T)))
         bound = np.zeros((len(queries), 1))
         for level in range(self.depth):
@@ -294,8 +320,11 @@ def usable(rows: DataFrame) -> DataFrame:
 
 def top_of(rows: DataFrame, shard_rows: int, sample: int = SAMPLE) -> tuple[Top, int]:
     """The upper levels for usable rows, and how many shards a leaf is."""
-    square = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)
-    count, longest = rows.agg(F.count("*"), F.max(square)).first()
+    count, largest = rows.agg(F.count("*"), F.max(F.aggregate("embedding", F.lit(0.0), lambda a, x: F.greatest(a, F.abs(x))))).first()
+    exponent = max(int(np.frexp(largest or 0.0)[1]), -1000)
+    # in two steps, since the divisor may be no double
+    square = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + F.pow(x * 2.0 ** -(exponent // 2) * 2.0 ** -(exponent - exponent // 2), 2))
+    longest = rows.agg(F.max(square)).first()[0]
     some = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
     by: dict[int, list] = {}
     for r in some:
@@ -304,7 +333,7 @@ def top_of(rows: DataFrame, shard_rows: int, sample: int = SAMPLE) -> tuple[Top,
     ids, first = np.unique(np.array([r["vec_id"] for r in own], np.int64), return_index=True)
     vectors = np.array([own[i]["embedding"] for i in first.tolist()], np.float64).reshape(len(ids), -1) if len(ids) else np.zeros((0, 1))
     shards = max(1, -(-count // shard_rows))
-    top = Top(ids, vectors, float(longest or 0.0), min(shards, LEAVES))
+    top = Top(ids, vectors, float(longest or 0.0), min(shards, LEAVES), exponent)
     return top, -(-shards // (1 << top.depth))
 
 
@@ -313,7 +342,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, factor: float = FAC
     spark = rows.sparkSession
     rows, queries = usable(rows), usable(queries)
     top, parts = top_of(rows, shard_rows)
-    leaves, n, upper = 1 << top.depth, C.n_shards(spark), C.Shipped(spark, top)
+    leaves, n, upper, exponent = 1 << top.depth, C.n_shards(spark), C.Shipped(spark, top), top.exponent
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top = upper.get()
@@ -351,7 +380,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, factor: float = FAC
             if width not in trees:
                 if width not in held:
                     return
-                trees[width] = Tree(*(np.concatenate(x) for x in zip(*held.pop(width), strict=True)), k)
+                trees[width] = Tree(*(np.concatenate(x) for x in zip(*held.pop(width), strict=True)), k, exponent=exponent)
             _, lead = np.unique(np.concatenate([ids[:, None], vectors.view(np.int64)], 1), axis=0, return_index=True)
             ids, vectors, floor = ids[lead], vectors[lead], floor[lead]
             q, near, score = trees[width].nearest(ids, vectors, factor, floor)

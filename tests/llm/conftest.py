@@ -2,12 +2,12 @@ import random
 
 import pytest
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard int, payload string, block string, home int, kind string, row string, fp long, perplexity double, hits string, component_id long, ids string, _gone string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard int, payload string, block string, home int, kind string, row string, fp long, perplexity double, hits string, component_id long, ids string, _gone string, _block string, key string, n long, list long, _c long, sketch string, terms string, root long, _id long, _text long"
 
 
 def rows_of(pairs):
     """Documents with every other column null or clashing with names inside the operators."""
-    return [(d, t, lang, "s", None if t is None else len(t), 1, "x", "b", 2, "k", "r", 3, 0.5, "h", 4, "i", "g") for d, t, lang in pairs]
+    return [(d, t, lang, "s", None if t is None else len(t), 1, "x", "b", 2, "k", "r", 3, 0.5, "h", 4, "i", "g", "j", "k", 5, 6, 7, "l", "m", 8, 9, 10) for d, t, lang in pairs]
 
 
 def odd_documents():

@@ -286,3 +286,43 @@ def test_odd_vectors(spark):
     got = some(map(tuple, vptree.search(df, df.where("vec_id % 20 = 0"), 20).collect()))
     assert got == some([(0, 1, -20, 2.0), (0, 2, 1, 0.5), (0, 3, 7, 0.5), (-20, 1, 0, 2.0), (-20, 2, 1, 1.0), (-20, 3, 7, 1.0), (20, 1, 21, 6.0)])
     assert vptree.search(df.limit(0), df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("shard_rows", [10, 10_000])
+def test_components_of_any_magnitude(spark, shard_rows):
+    """Squares of these exceed doubles or vanish; bounds and scores must not."""
+    rng = np.random.default_rng(17)
+    rows = [(i, (rng.standard_normal(4) * 10.0 ** rng.integers(-300, 150)).tolist()) for i in range(200)]
+    rows += [(200, [1e155, 1.0, 0.0, 0.0]), (220, [1e-200, 2e-200, 1e-200, 0.0]), (240, [5e-324, 0.0, 0.0, 5e-324]), (260, [1e150, -1e150, 1e-300, 0.0]), (261, [1e154, 1e10, 1e-300, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = vptree.search(df, df.where("vec_id % 20 = 0"), 20, 1.0, shard_rows=shard_rows, query_block=4)
+    with np.errstate(over="ignore", under="ignore"):
+        assert some(map(tuple, got.collect())) == some(plain_nearest(rows, 20))
+
+
+def test_vectors_that_are_all_tiny_or_huge(spark):
+    rng = np.random.default_rng(18)
+    for scale in (1e-310, 1e-180, 1e150, 1e304):
+        rows = [(i, (rng.standard_normal(3) * scale).tolist()) for i in range(60)] + [(100 + i, (rng.standard_normal(2) * scale / 1e5).tolist()) for i in range(30)]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        want = []
+        with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+            for width in (3, 2):
+                want += plain_nearest([r for r in rows if len(r[1]) == width and any(r[1])], 5)
+        got = vptree.search(df, df.where("vec_id % 20 = 0"), 5, shard_rows=20).collect()
+        if scale < 1e300:  # sums of infinities of both signs are no numbers, and have no order
+            assert some(map(tuple, got)) == some(want)
+
+
+def test_empty_texts_take_no_place_in_a_sample(spark):
+    rows = [(i, "" if i % 2 else " 12, 3! ", "xx") for i in range(6000)]
+    rows += [(10_000 + i, f"kolmo vanha talo seisoi joen rannalla {'ja sen vieressa kasvoi suuri puu ' * (i % 3)}", "xx") for i in range(20)]
+    rows += [(20_000 + i, "quite another kind of words that everyone here knows", "yy") for i in range(50)]
+    models = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert [x for m in models for x in m.langs] == ["xx", "yy"]
+
+
+def test_quality_of_documents_with_clashing_names(spark, odd):
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(100, 130)], "doc_id long, quality int, toxic int")
+    assert "_block" in odd.columns
+    assert kn.trustworthy(odd, labels).columns == odd.columns

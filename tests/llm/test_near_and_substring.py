@@ -89,6 +89,14 @@ def test_one_document_of_each_class_stays(odd, odd_pairs):
     assert some((r["doc_id"], r["text"] or "") for r in out.collect()) == some(deduplicated(odd_pairs))
 
 
+def test_documents_of_one_id_and_other_texts_are_told_apart(spark):
+    rng = random.Random(31)
+    a, b = ([f"{x}{rng.randint(0, 4000)}" for _ in range(100)] for x in "ab")
+    pairs = [(3, " ".join(a)), (7, " ".join([*a[:-1], "end"])), (7, " ".join(b)), (9, " ".join([*b[:-1], "end"]))]
+    out = near.deduplicated(spark.createDataFrame(pairs, "doc_id long, text string"), banded=True)
+    assert some(map(tuple, out.collect())) == some([pairs[0], pairs[2]])
+
+
 @pytest.mark.parametrize("chunk", [512, 3])
 def test_near_copies_and_large_classes(spark, monkeypatch, chunk):
     monkeypatch.setattr(near, "CLASS_CHUNK", chunk)
