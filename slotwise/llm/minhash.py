@@ -11,8 +11,8 @@ kept whole. From there:
   and documents that are mostly their own words are in none.
 - Candidates. Lists of up to SMALL nodes give all their pairs, longer ones the pairs with PIVOTS of their nodes. The
   sketch of a pair's union estimates its similarity; pairs below what a similar pair shows are gone. The others make
-  candidate classes. Nodes of a longer list that are in different classes by then are compared by chunks in tasks that
-  estimate their pairs and send a forest of what passes, never the pairs: so no pair is lost to a bound.
+  candidate classes. Classes that still meet in a longer list make a group, whose nodes are compared by chunks in tasks
+  that estimate their pairs and send a forest of what passes, never the pairs: so no pair is lost to a bound.
 - Full sets verify: within each class documents are linked by the similarity of their full sets (all 64 bits of all
   shingles' hashes), by chunks in tasks that send forests (`simhash.similar_edges`).
 
@@ -212,9 +212,8 @@ def likely_forest(ids: np.ndarray, n: np.ndarray, classes: np.ndarray, sets: lis
 
 
 def likely_between(members: DataFrame, percent: int, kept: int, chunk: int) -> DataFrame:
-    """u, v: a forest of the likely pairs of nodes (list, id, n, sketch, class) of a list and different classes.
-
-    Lists are cut into chunks, and every two meet in a task.
+    """u, v: a forest of the likely pairs of nodes (list, id, n, sketch, class) of a list, or group of lists, and
+    different classes. Lists are cut into chunks, and every two meet in a task.
     """
     sizes = members.groupBy("list").agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks"))
     told = members.join(sizes, "list").withColumn("c", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")).withColumn("d", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
@@ -287,8 +286,12 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80, kept: in
     some = C.written(nodes.join(paired, "id", "left_semi").select("id", "n", "sketch", "rep", "text_hash"), "paired")
     near = C.written(likely(pairs, some, percent, kept), "likely")
     members = C.written(placed(listed, simhash.components(near), "class"), "listed")
-    parted = members.groupBy("list").agg((F.min("class") < F.max("class")).alias("parted")).where("parted").select("list")
-    apart = members.join(parted, "list", "left_semi").join(some.select("id", "n", "sketch"), "id")
+    # lists of the same classes are compared once: classes that meet in a list are a group, and its nodes are the members
+    parted = members.groupBy("list").agg(F.min("class").alias("first"), F.max("class").alias("last")).where("first < last").select("list", "first")
+    met = C.written(members.join(parted, "list").select("id", "class", "first").distinct(), "met")
+    groups = simhash.components(met.select(F.col("class").alias("u"), F.col("first").alias("v")).distinct())
+    grouped = met.select("id", "class").distinct().join(groups.select(F.col("v").alias("class"), "root"), "class", "left")
+    apart = grouped.select(F.coalesce("root", "class").alias("list"), "id", "class").join(some.select("id", "n", "sketch"), "id")
     near = near.union(C.written(likely_between(apart, percent, kept, chunk), "likely"))
     # the nodes of classes of several with their texts: one row of each, by its doc_id and text
     roots = C.written(simhash.components(near), "classes")
