@@ -2,35 +2,57 @@
 
 from __future__ import annotations
 
-import io
-import json
+import uuid
 import zipfile
+from collections.abc import Iterator
 
-import pyarrow.fs
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotwise.operators import select
 from slotwise.plans.base import Family, read, scratch
-from slotwise.sources import readers, writers
+from slotwise.sources import archives, readers, writers
 from slotwise.streaming import streams
 
 family = Family()
 
 
-def _put(name: str, content: bytes) -> None:
-    fs, path = pyarrow.fs.FileSystem.from_uri(name.replace("s3a://", "s3://", 1))
-    fs.create_dir(path.rpartition("/")[0], recursive=True)
-    with fs.open_output_stream(path) as f:
-        f.write(content)
+def _archived(rows: DataFrame, path: str) -> None:
+    """Archives below path, written by tasks from rows (archive, member, seq, data): a member's data in the order of seq.
 
+    An archive is written under a name of its own and then moved, so that a task may run again."""
 
-def _zip(members: dict[str, str]) -> bytes:
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w") as z:
-        for name, text in members.items():
-            z.writestr(name, text)
-    return out.getvalue()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, folder = archives.filesystem(path)
+        now, member, out, z, stream, at = None, None, None, None, None, ""
+
+        def close() -> None:
+            stream.close()
+            z.close()
+            out.close()
+            fs.move(at, f"{folder}/{now}")
+
+        for batch in batches:
+            for archive, name, data in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if archive != now:
+                    if z is not None:
+                        close()
+                    at = f"{folder}/.{archive}-{uuid.uuid4().hex}"
+                    fs.create_dir(f"{folder}/{archive}".rpartition("/")[0], recursive=True)
+                    out = fs.open_output_stream(at)
+                    now, member, stream, z = archive, None, None, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED)
+                if name != member:
+                    if stream is not None:
+                        stream.close()
+                    member, stream = name, z.open(name, "w")
+                stream.write(data)
+        if z is not None:
+            close()
+        yield pa.RecordBatch.from_pydict({"n": pa.array([1], pa.int32())})
+
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows.repartition(n, "archive").sortWithinPartitions("archive", "member", "seq").select("archive", "member", "data").mapInArrow(run, "n int").agg(F.sum("n")).collect()
 
 
 @family("""
@@ -62,35 +84,70 @@ def header_aliases(spark: SparkSession, sf: str) -> DataFrame:
     return readers.by_aliases(c, {"id": ["id", "cust-key"], "name": ["issuer name", "NAME"], "phone": ["tel"]})
 
 
-@family("SELECT s_suppkey, s_name AS name FROM supplier UNION ALL SELECT -1 - n_nationkey, n_name FROM nation")
+@family("SELECT o_orderkey, o_orderpriority AS name FROM orders")
 def mixed_records(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows of CSV files, JSON lines, and both in an archive, by content of each file."""
-    path, n = scratch(spark, "records"), read(spark, sf, "nation").orderBy("n_nationkey").collect()
-    read(spark, sf, "supplier").select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name")).write.option("header", True).csv(f"{path}/csv")
-    lines = [json.dumps({"key": -1 - r["n_nationkey"], "name": r["n_name"]}) for r in n]
-    _put(f"{path}/a.jsonl", "\n".join(lines[:10]).encode())
-    _put(f"{path}/b.zip", _zip({"in/c.json": '{"results": [' + ",".join(lines[10:]) + "]}", "../d.json": "[{}]"}))
-    return readers.records(spark, path).select(F.col("row")["key"].cast("long").alias("s_suppkey"), F.col("row")["name"].alias("name"))
-
-
-@family("SELECT n_nationkey, n_name AS name FROM nation WHERE n_nationkey > 0")
+    """Rows of CSV files, JSON lines, and archives of both and of JSON lists, by each name."""
+    path, o = scratch(spark, "records"), read(spark, sf, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_orderpriority").alias("name"))
+    way = F.col("key") % 4
+    o.where(way == 0).write.option("header", True).csv(f"{path}/csv")
+    o.where(way == 1).select(F.to_json(F.struct("key", "name")).alias("value")).write.text(f"{path}/lines")
+    lines = o.where(way > 1).withColumn("list", way == 2).select((F.col("key") % 5).alias("a"), "list", "key", F.to_json(F.struct("key", "name")).alias("value"))
+    archive = F.concat(F.lit("b"), F.col("a").cast("string"), F.lit(".zip")).alias("archive")
+    member = F.when(F.col("list"), "in/list.json").otherwise("in/lines.jsonl").alias("member")
+    body = lines.select(archive, member, F.col("key").alias("seq"), F.when(F.col("list"), F.concat("value", F.lit(","))).otherwise(F.concat("value", F.lit("\n"))).alias("data"))
+    ends = lines.where("list").select(archive, member).distinct().select("archive", "member", F.explode(F.array(F.struct(F.lit(-(1 << 62)).alias("seq"), F.lit('{"meta": {"n": [1]}, "results": [').alias("data")), F.struct(F.lit(1 << 62).alias("seq"), F.lit("null]}").alias("data")))).alias("e")).select("archive", "member", "e.*")
+    unsafe = lines.select(archive, F.lit("../d.json").alias("member"), F.lit(0).alias("seq"), F.lit("[{}]").alias("data")).distinct()
+    _archived(body.union(ends).union(unsafe).withColumn("data", F.col("data").cast("binary")), f"{path}/zip")
+    # the names of Spark's text files have no suffix of JSON lines
+    rest = spark.read.json(f"{path}/lines", schema="key long, name string").select(F.create_map(F.lit("key"), F.col("key").cast("string"), F.lit("name"), F.col("name")).alias("row"))
+    return readers.records(spark, path).select("row").union(rest).select(F.col("row")["key"].cast("long").alias("o_orderkey"), F.col("row")["name"].alias("name"))
+
+
+@family("SELECT c_custkey, c_name AS name FROM customer WHERE c_custkey % 10 > 0")
 def zip_facts_by_key(spark: SparkSession, sf: str) -> DataFrame:
-    """Members of an archive picked by their names, and their JSON."""
-    path = scratch(spark, "facts")
-    n = read(spark, sf, "nation").collect()
-    _put(f"{path}/facts.zip", _zip({(f"CIK{r['n_nationkey']:010d}.json" if r["n_nationkey"] else "readme.txt"): json.dumps({"entity": {"name": r["n_name"]}}) for r in n}))
+    """Members of archives picked by their names, and their JSON."""
+    path, k = scratch(spark, "facts"), F.col("c_custkey")
+    member = F.when(k % 10 > 0, F.concat(F.lit("CIK"), F.lpad(k.cast("string"), 10, "0"), F.lit(".json"))).otherwise(F.concat(F.lit("readme"), k.cast("string"), F.lit(".txt")))
+    fact = F.to_json(F.struct(F.struct(F.col("c_name").alias("name")).alias("entity")))
+    _archived(read(spark, sf, "customer").select(F.concat(F.lit("facts"), (k % 3).cast("string"), F.lit(".zip")).alias("archive"), member.alias("member"), k.alias("seq"), fact.cast("binary").alias("data")), path)
     found = readers.zip_members(spark, path, r"CIK[0-9]{10}\.json$").withColumn("text", F.col("content").cast("string"))
-    return found.select(F.regexp_extract("member", "CIK([0-9]+)", 1).cast("long").alias("n_nationkey"), F.get_json_object("text", "$.entity.name").alias("name"))
+    return found.select(F.regexp_extract("member", "CIK([0-9]+)", 1).cast("long").alias("c_custkey"), F.get_json_object("text", "$.entity.name").alias("name"))
 
 
-@family("SELECT n_nationkey::VARCHAR AS symbol, n_name AS company FROM nation")
+@family("""
+SELECT l_suppkey % 7 AS archive, l_linenumber::INT AS member, l_orderkey, CASE WHEN l_orderkey % 10 = 0 THEN l_returnflag || chr(65533) || ', "' || chr(10) ELSE l_returnflag END AS mode
+FROM lineitem WHERE l_linenumber % 2 = 1""")
+def archive_csv_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows of the CSV members of archives that are picked by name, in batches while they are decompressed; bytes
+    that are no UTF-8 are replaced."""
+    path, k = scratch(spark, "archives"), F.col("l_orderkey")
+    own = [F.concat(F.lit("fca"), (F.col("l_suppkey") % 7).cast("string"), F.lit(".zip")).alias("archive"), F.concat(F.lit("map/part-"), F.col("l_linenumber").cast("string"), F.lit(".csv")).alias("member")]
+    # a byte that is no UTF-8, and signs that need quotes
+    odd = F.concat(F.lit('"').cast("binary"), F.col("l_returnflag").cast("binary"), F.unhex(F.lit("FF")), F.lit(', ""\n"').cast("binary"))
+    data = F.concat(k.cast("string").cast("binary"), F.lit(",").cast("binary"), F.when(k % 10 == 0, odd).otherwise(F.col("l_returnflag").cast("binary")), F.lit("\r\n").cast("binary"))
+    rows = read(spark, sf, "lineitem").select(*own, F.monotonically_increasing_id().alias("seq"), data.alias("data"))
+    heads = rows.select("archive", "member").distinct().select("archive", "member", F.lit(-1).cast("long").alias("seq"), F.lit("\ufefforder,mode\r\n").cast("binary").alias("data"))
+    _archived(rows.union(heads), path)
+    found = readers.archive_rows(spark, path, r"part-[13579]\.csv$")
+    return found.select(F.regexp_extract("path", "fca([0-9])", 1).cast("long").alias("archive"), F.regexp_extract("member", "part-([0-9])", 1).cast("int").alias("member"), F.col("row")["order"].cast("long").alias("l_orderkey"), F.col("row")["mode"].alias("mode"))
+
+
+@family("SELECT c_custkey::VARCHAR AS symbol, c_name AS company, 'xl/worksheets/sheet' || c_nationkey % 4 || '.xml' AS sheet FROM customer")
 def workbook_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """A sheet's rows below the header that has the wanted words."""
-    rows = [("Listed companies", ""), ("Symbol", "Company Name"), *[(str(r["n_nationkey"]), r["n_name"]) for r in read(spark, sf, "nation").collect()]]
-    cells = "".join(f"<row>{''.join(f'<c r={chr(34)}{c}{i}{chr(34)} t={chr(34)}inlineStr{chr(34)}><is><t>{v}</t></is></c>' for c, v in zip('AB', r, strict=True))}</row>" for i, r in enumerate(rows, 1))
-    path = scratch(spark, "workbook")
-    _put(f"{path}/w.xlsx", _zip({"xl/worksheets/sheet1.xml": f'<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>{cells}</sheetData></worksheet>'}))
-    return readers.workbook(spark, path, ["symbol", "company name"]).select(F.col("row")["Symbol"].alias("symbol"), F.col("row")["Company Name"].alias("company"))
+    """The sheets' rows below the header that has the wanted words, of workbooks that are read as a stream."""
+    path, k = scratch(spark, "workbook"), F.col("c_custkey")
+    own = [F.concat(F.lit("w"), (k % 3).cast("string"), F.lit(".xlsx")).alias("archive"), F.concat(F.lit("xl/worksheets/sheet"), (F.col("c_nationkey") % 4).cast("string"), F.lit(".xml")).alias("member")]
+
+    def line(*values) -> Column:
+        cells = [F.concat(F.lit(f'<c r="{"ABCD"[i]}1" t="inlineStr"><is><t>'), v, F.lit("</t></is></c>")) for i, v in enumerate(values)]
+        return F.concat(F.lit("<row>"), *cells, F.lit("</row>"))
+
+    rows = read(spark, sf, "customer").select(*own, k.alias("seq"), line(k.cast("string"), F.lit(""), F.col("c_name")).alias("data"))
+    head = F.concat(F.lit('<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>'), line(F.lit("Listed companies")), line(F.lit("Symbol"), F.lit("Note"), F.lit("Company Name")))
+    ends = rows.select("archive", "member").distinct().select("archive", "member", F.explode(F.array(F.struct(F.lit(-1).cast("long").alias("seq"), head.alias("data")), F.struct(F.lit(1 << 62).alias("seq"), F.lit("</sheetData></worksheet>").alias("data")))).alias("e"))
+    _archived(rows.union(ends.select("archive", "member", "e.*")).withColumn("data", F.col("data").cast("binary")), path)
+    found = readers.workbook(spark, path, ["symbol", "company name"])
+    return found.select(F.col("row")["Symbol"].alias("symbol"), F.col("row")["Company Name"].alias("company"), "sheet")
 
 
 @family("SELECT r_regionkey::INT AS k, length(r_name) + 1 AS length FROM region")
@@ -169,27 +226,38 @@ def frozen_cohort(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema("c_custkey long, c_name string").json(f"{path}/json")
 
 
-@family("SELECT 'a.pdf' AS file, 2 AS removed UNION ALL SELECT 'b.pdf', 2")
+@family("SELECT c_custkey || '.pdf' AS file, (SELECT count(*) FROM customer WHERE c_custkey % 3 = 0) AS removed FROM customer WHERE c_custkey % 3 > 0")
 def orphans_removed(spark: SparkSession, sf: str) -> DataFrame:
-    """What interrupted writers left is gone, the rest is there."""
+    """Of a file for each customer, what interrupted writers left is gone, the rest is there."""
     path = scratch(spark, "orphans")
-    for name in ("a.pdf", "in/b.pdf", "c.pdf.part", "in/d.pdf.part"):
-        _put(f"{path}/{name}", b"%PDF-")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, folder = archives.filesystem(path)
+        for batch in batches:
+            for key in batch.column(0).to_pylist():
+                fs.create_dir(f"{folder}/{key % 5}", recursive=True)
+                with fs.open_output_stream(f"{folder}/{key % 5}/{key}.pdf{'' if key % 3 else '.part'}") as f:
+                    f.write(b"%PDF-")
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    read(spark, sf, "customer").select("c_custkey").mapInArrow(run, "n long").agg(F.sum("n")).collect()
     gone = writers.remove_orphans(spark, path)
-    return readers.listing(spark, path).select(F.element_at(F.split("path", "/"), -1).alias("file"), F.lit(len(gone)).alias("removed"))
+    return readers.listing(spark, path).select(F.element_at(F.split("path", "/"), -1).alias("file"), F.lit(len(gone)).cast("long").alias("removed"))
 
 
-def _streamed(spark: SparkSession, sf: str, path: str) -> DataFrame:
-    read(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type").repartition(2).write.parquet(path)
-    return spark.readStream.schema("event_id long, ts timestamp, user_id long, event_type string").parquet(path)
+def _streamed(spark: SparkSession, sf: str, path: str, files: int = 1) -> DataFrame:
+    """Events as a stream of so many files, one for each micro-batch."""
+    events = read(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
+    events.repartitionById(files, F.pmod("event_id", F.lit(files)).cast("int")).write.parquet(path)
+    return spark.readStream.option("maxFilesPerTrigger", 1).schema("event_id long, ts timestamp, user_id long, event_type string").parquet(path)
 
 
 @family("SELECT user_id, arg_max(event_type, event_id) AS event_type, max(event_id) AS event_id FROM events GROUP BY user_id")
 def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """A stream upserted into a table: each user's last event."""
+    """A stream of three micro-batches upserted into a table: each user's last event."""
     path = scratch(spark, "stream")
-    streams.upserting(_streamed(spark, sf, f"{path}/in"), f"{path}/out", ["user_id"], "event_id", f"{path}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{path}/out/v=0").select("user_id", "event_type", "event_id")
+    streams.upserting_buckets(_streamed(spark, sf, f"{path}/in", 3), f"{path}/out", ["user_id"], "event_id", f"{path}/checkpoint").awaitTermination()
+    return streams.upserted(spark, f"{path}/out").select("user_id", "event_type", "event_id")
 
 
 @family("SELECT DISTINCT user_id FROM events")

@@ -2,21 +2,16 @@
 
 from __future__ import annotations
 
-import csv
-import io
-import json
 import re
-import zipfile
-from collections.abc import Iterator, Mapping, Sequence
-from xml.etree import ElementTree
+from collections.abc import Mapping, Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from slotwise.functions import scalars as S
 from slotwise.operators import validate
+from slotwise.sources import archives
 
 MANIFEST_FIELDS = ("country", "exchange", "lei", "isin", "ticker", "fiscal_year", "report_type", "language", "pdf_url", "source_page", "verified")
 UNIVERSE_FIELDS = ("country", "company_name", "exchange", "lei", "isin", "ticker", "cik", "aliases")
@@ -73,88 +68,25 @@ def by_aliases(df: DataFrame, aliases: Mapping[str, Sequence[str]]) -> DataFrame
 
 
 def records(spark: SparkSession, path: str, roots: Sequence[str] = ("data", "results", "documents")) -> DataFrame:
-    """Rows (a map of strings) of CSV, JSON, JSON lines or a ZIP of those, by content of each file."""
-
-    def rows(name: str, raw: bytes) -> Iterator[dict]:
-        if name.lower().endswith(".zip"):
-            with zipfile.ZipFile(io.BytesIO(raw)) as z:
-                for member in z.namelist():
-                    if not re.search(r"(^[/\\])|(^|[/\\])\.\.([/\\]|$)", member):
-                        yield from rows(member, z.read(member))
-        elif name.lower().endswith(".csv"):
-            yield from csv.DictReader(io.StringIO(raw.decode("utf-8-sig", "replace")))
-        elif name.lower().endswith((".jsonl", ".ndjson")):
-            yield from (json.loads(x) for x in raw.decode("utf-8-sig", "replace").splitlines() if x.strip())
-        elif name.lower().endswith(".json"):
-            data = json.loads(raw.decode("utf-8-sig"))
-            if isinstance(data, dict):
-                data = next((data[r] for r in roots if isinstance(data.get(r), list)), [data])
-            yield from (x for x in data if isinstance(x, dict))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.map_(pa.string(), pa.string())
-        for batch in batches:
-            for name, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found = [[(str(k), None if v is None else v if isinstance(v, str) else json.dumps(v, ensure_ascii=False)) for k, v in r.items() if k is not None] for r in rows(name, raw)]
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(found), pa.string()), pa.array(found, kind)], ["path", "row"])
-
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select("path", "content").mapInArrow(run, "path string, row map<string,string>")
+    """path and row (a map of strings) of CSV, JSON, JSON lines or ZIPs of those, streamed by file and member."""
+    return archives.members(spark, path, roots=list(roots)).select("path", "row")
 
 
-def zip_members(spark: SparkSession, path: str, pattern: str) -> DataFrame:
-    """path, member, content of the archive members whose names match, unsafe names left out."""
+def archive_rows(spark: SparkSession, path: str, pattern: str, batch: int = archives.BATCH) -> DataFrame:
+    """path, member, pos, row of the CSV and JSON members of archives whose names match, streamed in batches."""
+    return archives.members(spark, path, pattern=pattern, batch=batch)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = re.compile(pattern)
-        for batch in batches:
-            for name, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                with zipfile.ZipFile(io.BytesIO(raw)) as z:
-                    for m in z.infolist():
-                        if wanted.search(m.filename) and not re.search(r"(^[/\\])|(^|[/\\])\.\.([/\\]|$)", m.filename):
-                            yield pa.RecordBatch.from_pydict({"path": [name], "member": [m.filename], "content": pa.array([z.read(m)], pa.binary())})
 
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content").mapInArrow(run, "path string, member string, content binary")
+def zip_members(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """path, member, content of the archive members whose names match, unsafe names left out; for small members."""
+    return archives.members(spark, path, kind="content", pattern=pattern)
 
 
 def workbook(spark: SparkSession, path: str, header_words: Sequence[str], within: int = 30) -> DataFrame:
-    """Rows (a map of strings) of all sheets of XLSX files; a sheet's header is the first of its first rows that
-    has all the words."""
-    ns = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
-
-    def sheets(raw: bytes) -> Iterator[tuple[str, list[list[str]]]]:
-        with zipfile.ZipFile(io.BytesIO(raw)) as z:
-            shared = []
-            if "xl/sharedStrings.xml" in z.namelist():
-                shared = ["".join(t.text or "" for t in si.iter(f"{{{ns['m']}}}t")) for si in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).findall("m:si", ns)]
-            for member in sorted(n for n in z.namelist() if re.fullmatch(r"xl/worksheets/[^/]+\.xml", n)):
-                rows = []
-                for row in ElementTree.fromstring(z.read(member)).iter(f"{{{ns['m']}}}row"):
-                    cells: dict[int, str] = {}
-                    for c in row.findall("m:c", ns):
-                        letters = re.match("[A-Z]+", c.get("r", "A"))[0]
-                        at = 0
-                        for x in letters:
-                            at = at * 26 + ord(x) - 64
-                        value = c.find("m:v", ns)
-                        text = "".join(t.text or "" for t in c.iter(f"{{{ns['m']}}}t")) if c.get("t") == "inlineStr" else (value.text or "" if value is not None else "")
-                        cells[at - 1] = shared[int(text)] if c.get("t") == "s" and text else text
-                    rows.append([cells.get(i, "") for i in range(max(cells, default=-1) + 1)])
-                yield member, rows
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.map_(pa.string(), pa.string())
-        words = {w.lower() for w in header_words}
-        for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                for name, rows in sheets(raw):
-                    head = next((i for i, r in enumerate(rows[:within]) if words <= {c.strip().lower() for c in r}), None)
-                    if head is not None:
-                        names = [c.strip() for c in rows[head]]
-                        found = [[(k, r[i] if i < len(r) else "") for i, k in enumerate(names) if k] for r in rows[head + 1 :] if any(x.strip() for x in r)]
-                        yield pa.RecordBatch.from_arrays([pa.array([name] * len(found), pa.string()), pa.array(found, kind)], ["sheet", "row"])
-
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "sheet string, row map<string,string>")
+    """sheet and row (a map of strings) of all sheets of XLSX files, each streamed; a sheet's header is the first of
+    its first rows that has all the words."""
+    found = archives.members(spark, path, kind="sheets", pattern=archives.SHEET, words=list(header_words), within=within)
+    return found.select(F.col("member").alias("sheet"), "row")
 
 
 def listing(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -23,7 +24,7 @@ def unseen(events: DataFrame, ts: str, key: Sequence[str], late: str = "10 minut
 
 def upserting(events: DataFrame, folder: str, key: Sequence[str], seq: str, checkpoint: str) -> StreamingQuery:
     """Micro-batches upserted into versions of a table: folder/v=<batch>. A batch that runs again writes the same
-    version from the same predecessor."""
+    version from the same predecessor. For small tables; `upserting_buckets` writes what a batch touches only."""
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
@@ -33,3 +34,37 @@ def upserting(events: DataFrame, folder: str, key: Sequence[str], seq: str, chec
         new.write.mode("overwrite").parquet(f"{folder}/v={number}")
 
     return events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def upserting_buckets(events: DataFrame, folder: str, key: Sequence[str], seq: str, checkpoint: str, buckets: int = 64) -> StreamingQuery:
+    """Micro-batches upserted into a table of buckets of the key; of a key the row with the greatest seq stays."""
+    write = partial(upsert_batch, folder=folder, key=key, seq=seq, buckets=buckets)
+    return events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def upsert_batch(batch: DataFrame, number: int, *, folder: str, key: Sequence[str], seq: str, buckets: int) -> None:
+    """One micro-batch: the buckets that it touches are merged aside and then replaced, the others aren't read or written.
+
+    A batch that runs again gives the same table, since the greatest seq of a key wins, whichever way it came."""
+    spark, aside = batch.sparkSession, f"{folder}-aside"
+    new = batch.withColumn("bucket", F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int"))
+    new.write.mode("overwrite").parquet(f"{aside}/new")
+    new = spark.read.schema(new.schema).parquet(f"{aside}/new")
+    both = new
+    if exists(spark, folder):
+        touched = [r[0] for r in new.select("bucket").distinct().collect()]  # as many as there are buckets at most
+        both = upserted(spark, folder).where(F.col("bucket").isin(touched)).unionByName(new)
+    merged = merge.last_of_batch(both, [*key, "bucket"], seq)
+    merged.repartition("bucket").write.mode("overwrite").parquet(f"{aside}/merged")
+    rows = spark.read.schema(merged.schema).parquet(f"{aside}/merged")
+    rows.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(folder)
+
+
+def exists(spark: SparkSession, folder: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def upserted(spark: SparkSession, folder: str) -> DataFrame:
+    """The table as it is, with its bucket column."""
+    return spark.read.parquet(folder)

@@ -37,3 +37,30 @@ def test_upserting_batches(spark, tmp_path):
     put(spark, folder, [(4, "2024-01-02", 2, "c", 4.0, "")])
     streams.upserting(source(spark).parquet(folder), out, ["user_id"], "event_id", str(tmp_path / "c")).awaitTermination()
     assert sorted((r["user_id"], r["event_type"]) for r in spark.read.parquet(f"{out}/v=1").collect()) == [(1, "b"), (2, "c")]
+
+
+def test_upserts_write_what_they_touch(spark, tmp_path):
+    folder, out, c = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "c")
+
+    def files():
+        return {(p.parent.name, p.name) for p in (tmp_path / "out").rglob("*.parquet")}
+
+    def run():
+        streams.upserting_buckets(source(spark).parquet(folder), out, ["user_id"], "event_id", c, buckets=8).awaitTermination()
+        return sorted((r["user_id"], r["event_id"], r["event_type"]) for r in streams.upserted(spark, out).collect())
+
+    put(spark, folder, [(i, "2024-01-01", i % 50, "a", 1.0, "") for i in range(200)])
+    assert run() == [(u, 150 + u, "a") for u in range(50)]
+    before = files()
+    put(spark, folder, [(1000, "2024-01-02", 3, "c", 4.0, ""), (7, "2024-01-02", 7, "late", 4.0, ""), (1001, "2024-01-02", 3, "d", 4.0, "")])
+    want = [(u, 1001 if u == 3 else 150 + u, "d" if u == 3 else "a") for u in range(50)]
+    assert run() == want
+    assert len(before - files()) <= 2 and len(before & files()) >= 6  # buckets of 3 and 7
+    put(spark, folder, [(2000, "2024-01-03", 77, "e", 4.0, "")])
+    assert run() == [*want, (77, 2000, "e")]
+    # a batch that runs again, and an older one that comes late
+    again = spark.createDataFrame([(1000, "x", 3), (2000, "e", 77)], "event_id long, event_type string, user_id long")
+    batch = again.selectExpr("event_id", "timestamp'2024-01-02' AS ts", "user_id", "event_type", "4D AS value", "'' AS props")
+    for _ in range(2):
+        streams.upsert_batch(batch, 1, folder=out, key=["user_id"], seq="event_id", buckets=8)
+    assert sorted((r["user_id"], r["event_id"], r["event_type"]) for r in streams.upserted(spark, out).collect()) == [*want, (77, 2000, "e")]
