@@ -67,6 +67,20 @@ def manifest_rows(spark: SparkSession, sf: str) -> DataFrame:
     return valid.select("ticker", F.lit(None).cast("string").alias("reason")).union(rejected.select("ticker", "reason"))
 
 
+@family("""
+SELECT o_orderkey::VARCHAR AS key, CASE o_orderkey % 4 WHEN 0 THEN o_orderpriority || chr(10) || 'a,"b"' || chr(13) || chr(10) WHEN 1 THEN o_orderstatus ELSE o_orderpriority END AS note,
+ row_number() OVER (ORDER BY o_orderkey) + 1 AS line FROM orders""")
+def quoted_csv_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The records of a CSV file with quoted line breaks, read by splits, with the lines that one task would give them."""
+    k, path = F.col("o_orderkey"), scratch(spark, "quoted")
+    note = F.when(k % 4 == 0, F.concat(F.lit('"'), "o_orderpriority", F.lit('\na,""b""\r\n"'))).when(k % 4 == 1, F.concat(F.lit('"'), "o_orderstatus", F.lit('"'))).otherwise(F.col("o_orderpriority"))
+    blank = F.when(k % 7 == 0, "\r\n").otherwise("\r")
+    text = read(spark, sf, "orders").select(k, F.concat(k.cast("string"), F.lit(","), note, blank).alias("value"))
+    head = spark.createDataFrame([(-1, '"key",note\r')], "o_orderkey long, value string")
+    head.union(text).coalesce(1).sortWithinPartitions("o_orderkey").select("value").write.text(path)
+    return readers.strict_csv(spark, path, ["note", "key"]).select("key", "note", F.col("line").cast("long").alias("line"))
+
+
 @family("SELECT 'GBR|XLON|L' || s_suppkey || '|I' || s_suppkey || '|T' || s_suppkey AS company_key, s_name AS company_name FROM supplier")
 def universe_roster(spark: SparkSession, sf: str) -> DataFrame:
     """A roster file with each listing once."""

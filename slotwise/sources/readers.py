@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from slotwise.functions import scalars as S
 from slotwise.operators import validate
-from slotwise.sources import archives
+from slotwise.sources import archives, csv_records
 
 MANIFEST_FIELDS = ("country", "exchange", "lei", "isin", "ticker", "fiscal_year", "report_type", "language", "pdf_url", "source_page", "verified")
 UNIVERSE_FIELDS = ("country", "company_name", "exchange", "lei", "isin", "ticker", "cik", "aliases")
@@ -22,13 +22,14 @@ class SchemaError(ValueError):
 
 
 def strict_csv(spark: SparkSession, path: str, fields: Sequence[str]) -> DataFrame:
-    """A CSV file with exactly these columns, in any order, and each row's line (quoted line breaks count as one)."""
-    df = spark.read.option("header", True).option("multiLine", True).option("encoding", "UTF-8").csv(path)
-    names = [c.lstrip("﻿") for c in df.columns]
+    """CSV files with exactly these columns, in any order, and each row's line (quoted line breaks count as one)."""
+    try:
+        names, df = csv_records.rows(spark, path)
+    except ValueError as wrong:
+        raise SchemaError(str(wrong)) from wrong
     if sorted(names) != sorted(fields):
         raise SchemaError(f"CSV columns must be exactly: {', '.join(fields)}")
-    # a multi-line file is one partition, read in order
-    return df.toDF(*names).select(*fields, (F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) + 2).alias("line"))
+    return df.select(*fields, "line")
 
 
 def manifest(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
