@@ -87,8 +87,11 @@ def promotions(trials: DataFrame, previous: DataFrame, by: Sequence[str], config
 
 def next_configurations(trials: DataFrame, by: Sequence[str], workers: str, lanes: str, seconds: str, ok: str, most: int = 128, most_lanes: int = 2) -> DataFrame:
     """by, workers, lanes of what is worth measuring next to each group's fastest valid configuration: itself, half and
-    twice its workers, one lane more and one less, as far as there are no more lanes than workers."""
-    w, n = F.col(workers), F.col(lanes)
-    moves = F.array(*[F.struct(a.cast("long").alias(workers), b.cast("long").alias(lanes)) for a, b in ((w, n), (F.floor(w / 2), n), (2 * w, n), (w, n + 1), (w, n - 1))])
+    twice its workers, one lane more and one less, each brought between 1 and the most, each once, as far as there are
+    no more lanes than workers."""
+    w, n = F.col(workers).cast("long"), F.col(lanes).cast("long")
+    half, twice = F.greatest(F.lit(1), F.floor(w / 2)), F.least(F.lit(most), 2 * w)
+    fewer, more = F.greatest(F.lit(1), n - 1), F.least(F.lit(most_lanes), n + 1)
+    moves = F.array_distinct(F.array(*[F.struct(a.cast("long").alias(workers), b.cast("long").alias(lanes)) for a, b in ((w, n), (half, n), (twice, n), (w, fewer), (w, more))]))
     around = ranked_configurations(trials, by, [workers, lanes], seconds, ok).where("place = 1").select(*by, F.explode(moves).alias("_c")).select(*by, "_c.*")
-    return around.where(w.between(1, most) & n.between(1, most_lanes) & (n <= w))
+    return around.where(n <= w)

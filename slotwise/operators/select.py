@@ -114,3 +114,11 @@ def chunk_number(order: Sequence[Column], by: Sequence[str], size: int) -> Colum
 
 def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
     return best(df, key, order)
+
+
+def first_nested(flat: DataFrame, key: Sequence[str | Column], order: Sequence[str]) -> DataFrame:
+    """key and the columns of `order` of each key's first exploded item. A minimum, combined before the shuffle: neither
+    a window nor a list of a key's items, so a key may have any number of them."""
+    keys = [F.col(k) if isinstance(k, str) else k for k in key]
+    found = flat.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_first"))
+    return found.select(*[c for c in found.columns if c != "_first"], "_first.*")

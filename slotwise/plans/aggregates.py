@@ -95,13 +95,13 @@ def median_config_gate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @family("""
-WITH t AS (SELECT p_brand, 1 + p_size % 40 AS workers, 1 + p_partkey % 2 AS lanes, p_retailprice AS s, p_retailprice > 905 AS ok FROM part),
+WITH t AS (SELECT p_brand, 1 + p_size * p_partkey % 130 AS workers, 1 + p_partkey % 2 AS lanes, p_retailprice AS s, p_retailprice > 905 AS ok FROM part),
 m AS (SELECT p_brand, workers, lanes, median(s) AS med FROM t GROUP BY ALL HAVING bool_and(ok)), w AS (SELECT p_brand, workers, lanes FROM m QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY med, workers, lanes) = 1),
-n AS (SELECT p_brand, workers, lanes FROM w UNION ALL SELECT p_brand, workers // 2, lanes FROM w UNION ALL SELECT p_brand, workers * 2, lanes FROM w UNION ALL SELECT p_brand, workers, lanes + 1 FROM w UNION ALL SELECT p_brand, workers, lanes - 1 FROM w)
-SELECT p_brand, workers::BIGINT AS workers, lanes::BIGINT AS lanes FROM n WHERE workers BETWEEN 1 AND 128 AND lanes BETWEEN 1 AND 2 AND lanes <= workers""")
+n AS (SELECT p_brand, workers, lanes FROM w UNION SELECT p_brand, greatest(1, workers // 2), lanes FROM w UNION SELECT p_brand, least(128, workers * 2), lanes FROM w UNION SELECT p_brand, workers, least(2, lanes + 1) FROM w UNION SELECT p_brand, workers, greatest(1, lanes - 1) FROM w)
+SELECT p_brand, workers::BIGINT AS workers, lanes::BIGINT AS lanes FROM n WHERE lanes <= workers""")
 def next_configurations(spark: SparkSession, sf: str) -> DataFrame:
     """What to measure next around the fastest valid configuration."""
-    t = read(spark, sf, "part").select("p_brand", (1 + F.col("p_size") % 40).alias("workers"), (1 + F.col("p_partkey") % 2).alias("lanes"), F.col("p_retailprice").alias("s"), (F.col("p_retailprice") > 905).alias("ok"))
+    t = read(spark, sf, "part").select("p_brand", (1 + F.col("p_size") * F.col("p_partkey") % 130).alias("workers"), (1 + F.col("p_partkey") % 2).alias("lanes"), F.col("p_retailprice").alias("s"), (F.col("p_retailprice") > 905).alias("ok"))
     return integrity.next_configurations(t, ["p_brand"], "workers", "lanes", "s", "ok")
 
 

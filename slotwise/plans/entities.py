@@ -101,6 +101,27 @@ def token_overlap_match(spark: SparkSession, sf: str) -> DataFrame:
     return a.join(b, ["p_brand", "p_type"]).where("p_partkey < other").select("p_partkey", "other", S.token_overlap(F.col("t"), F.col("u")).alias("overlap"))
 
 
+@family("""
+WITH a AS (SELECT p_partkey, p_brand, list_distinct(string_split(p_name || ' ' || p_type, ' ')) AS t FROM part),
+p AS (SELECT a.p_brand, a.p_partkey, b.p_partkey AS other, len(list_intersect(a.t, b.t)) AS n, least(len(a.t), len(b.t)) AS m FROM a JOIN a b ON a.p_brand = b.p_brand AND a.p_partkey < b.p_partkey)
+SELECT p_brand, p_partkey, other, round_even(n / m, 3) AS overlap FROM p WHERE 10 * n >= 6 * m""")
+def token_overlap_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of a brand whose names and types share at least 0.6 of the smaller one's words, met at their rarest words."""
+    p = read(spark, sf, "part").select("p_partkey", "p_brand", F.split(F.concat_ws(" ", "p_name", "p_type"), " ").alias("t"))
+    return resolve.overlap_join(p, "p_partkey", "t", ["p_brand"], 0.6)
+
+
+#: The ratio by its definition: the longest common part, the leftmost of equals, and the same left and right of it.
+RATIO = """r AS (SELECT id, other, a, b, 0 AS got FROM pairs UNION ALL
+ SELECT id, other, u.a, u.b, u.got FROM (SELECT id, other, a, b, best[1] AS n, -best[2] AS i, strpos(b, substr(a, -best[2], best[1])) AS j FROM
+  (SELECT id, other, a, b, list_max(flatten(list_transform(range(1, length(a) + 1), lambda i: list_transform(list_filter(range(1, length(a) - i + 2), lambda l: contains(b, substr(a, i, l))), lambda l: [l, -i])))) AS best
+   FROM r WHERE a <> '' AND b <> '') WHERE best IS NOT NULL) AS m, LATERAL (VALUES (substr(a, 1, (i - 1)::BIGINT), substr(b, 1, (j - 1)::BIGINT), n), (substr(a, (i + n)::BIGINT), substr(b, (j + n)::BIGINT), 0)) AS u(a, b, got)),
+near AS (SELECT id, other, 2.0::DOUBLE * sum(r.got) / (length(any_value(pairs.a)) + length(any_value(pairs.b))) AS similarity FROM r JOIN pairs USING (id, other) GROUP BY id, other),
+top AS (SELECT id, other, row_number() OVER (PARTITION BY id ORDER BY similarity DESC, other)::INTEGER AS rank, similarity FROM near QUALIFY rank <= 4)"""
+_NAMES = "WITH RECURSIVE pairs AS (SELECT x.p_partkey AS id, y.p_partkey AS other, lower(x.p_name) AS a, lower(y.p_name) AS b FROM part x JOIN part y ON x.p_brand = y.p_brand AND x.p_type = y.p_type AND x.p_partkey <> y.p_partkey),"
+
+
+@family(f"{_NAMES} {RATIO} SELECT id AS p_partkey, other, rank, similarity FROM top WHERE similarity >= 0.55")
 def fuzzy_name_topk(spark: SparkSession, sf: str) -> DataFrame:
     """The four most similar part names of the same brand and type."""
     p = read(spark, sf, "part").withColumn("block", F.concat_ws("|", "p_brand", "p_type"))
@@ -109,8 +130,6 @@ def fuzzy_name_topk(spark: SparkSession, sf: str) -> DataFrame:
     return resolve.fuzzy(a, b, "block", "a", "b", "p_partkey", "other").select("p_partkey", "other", "rank", "similarity")
 
 
-family.add("fuzzy_name_topk", fuzzy_name_topk)
-
 ROSTER = """
 a AS (SELECT CASE WHEN c_custkey % 3 = 0 THEN '' ELSE 'K' || c_custkey END AS isin, 'NAME ' || c_custkey AS name, 'S' || c_custkey AS symbol, '' AS scrip, 'A' AS flag, 0 AS pos FROM customer WHERE c_custkey % 2 = 0),
 b AS (SELECT CASE WHEN c_custkey % 5 = 0 THEN '' ELSE 'K' || c_custkey END, 'NAME ' || c_custkey || CASE WHEN c_custkey % 5 = 0 OR c_custkey % 3 = 0 THEN '' ELSE ' LIMITED' END, '', 'B' || c_custkey, 'B', 1 FROM customer WHERE c_custkey % 7 < 5)"""
@@ -233,6 +252,7 @@ def company_match(spark: SparkSession, sf: str) -> DataFrame:
     return resolve.company_match(listed).select("c_custkey", "status", "reason")
 
 
+@family(f"""{_NAMES} {RATIO} SELECT id AS p_partkey, other, rank FROM top WHERE similarity >= 0.55 AND id % 3 = other % 3 QUALIFY row_number() OVER (PARTITION BY id ORDER BY rank) = 1""")
 def acceptable_listing(spark: SparkSession, sf: str) -> DataFrame:
     """Each listing's first acceptable page among the four with the most similar names."""
     p = read(spark, sf, "part")
@@ -241,5 +261,3 @@ def acceptable_listing(spark: SparkSession, sf: str) -> DataFrame:
     b = p.select(F.col("p_partkey").alias("other"), block, F.lower("p_name").alias("b"), ticker.alias("found"))
     return resolve.first_acceptable(a, b, "block", "a", "b", "p_partkey", "other", "ticker", "found").select("p_partkey", "other", "rank")
 
-
-family.add("acceptable_listing", acceptable_listing)

@@ -101,12 +101,13 @@ def retention_delete(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @family("""
-WITH s AS (SELECT doc_id, CASE WHEN doc_id % 10 <> 0 THEN 'p' || (doc_id % 400) END AS path, sha256(coalesce(text, '')) AS digest FROM documents), e AS (SELECT 'p' || doc_id AS path, sha256(coalesce(text, '')) AS digest FROM documents WHERE doc_id < 150)
+WITH s AS (SELECT doc_id, CASE WHEN doc_id % 10 <> 0 THEN 'p' || (doc_id - doc_id % 2) END AS path, sha256(coalesce(text, '')) AS digest FROM documents), e AS (SELECT 'p' || doc_id AS path, sha256(coalesce(text, '')) AS digest FROM documents WHERE doc_id % 3 = 1)
 SELECT doc_id, CASE WHEN s.path IS NULL THEN 'STAGED_UNRESOLVED_IDENTITY' WHEN e.path IS NULL THEN 'PROMOTED' WHEN e.digest = s.digest THEN 'IDEMPOTENT_EXISTING' ELSE 'CONFLICT' END AS result FROM s LEFT JOIN e ON e.path = s.path""")
 def promotion_decision(spark: SparkSession, sf: str) -> DataFrame:
+    """What becomes of each staged document, a third of all being there already under their paths."""
     d = read(spark, sf, "documents").select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
-    staged = d.withColumn("path", F.when(F.col("doc_id") % 10 != 0, F.concat(F.lit("p"), (F.col("doc_id") % 400).cast("string"))))
-    existing = d.where("doc_id < 150").withColumn("path", F.concat(F.lit("p"), F.col("doc_id").cast("string")))
+    staged = d.withColumn("path", F.when(F.col("doc_id") % 10 != 0, F.concat(F.lit("p"), (F.col("doc_id") - F.col("doc_id") % 2).cast("string"))))
+    existing = d.where("doc_id % 3 = 1").withColumn("path", F.concat(F.lit("p"), F.col("doc_id").cast("string")))
     return merge.promotion(staged, existing, "path", "digest").select("doc_id", "result")
 
 

@@ -205,12 +205,13 @@ def typed_slot_fallback(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(*SLOT, "kind", F.coalesce("o_orderkey", "_ir").alias("o_orderkey"), F.when(F.col("o_orderkey").isNotNull(), "own").when(F.col("_ir").isNotNull(), "integrated").otherwise("none").alias("by_type"))
 
 
-@family("SELECT conv_id, role, text FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn, text) AS rn FROM conversations) WHERE rn = 1")
+@family("""
+WITH w AS (SELECT conv_id, turn, role, unnest(string_split(text, ' ')) AS word, unnest(range(0, len(string_split(text, ' ')))) AS pos FROM conversations)
+SELECT conv_id, role, length(word)::INTEGER AS kind, turn, pos::INTEGER AS pos, word FROM w WHERE word <> '' QUALIFY row_number() OVER (PARTITION BY conv_id, role, length(word) ORDER BY turn, pos, word) = 1""")
 def first_nested_item(spark: SparkSession, sf: str) -> DataFrame:
-    """The first item of each kind in a nested list, in list order."""
-    nested = read(spark, sf, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text", "role"))).alias("items"))
-    flat = nested.select("conv_id", F.posexplode("items").alias("pos", "item")).select("conv_id", "pos", "item.role", "item.text")
-    return select.best(flat, ["conv_id", "role"], [F.asc("pos")]).select("conv_id", "role", "text")
+    """The first item of each kind in nested lists: by the outer order (turns), then by the list's own (words)."""
+    flat = read(spark, sf, "conversations").select("conv_id", "role", "turn", F.posexplode(F.split("text", " ")).alias("pos", "word")).where("word <> ''")
+    return select.first_nested(flat, ["conv_id", "role", F.length("word").alias("kind")], ["turn", "pos", "word"])
 
 
 @family("SELECT source, max(length(text)) AS longest, arg_max(doc_id, struct_pack(a := length(text), b := -doc_id)) AS doc_id FROM documents WHERE text IS NOT NULL GROUP BY source")

@@ -1,3 +1,6 @@
+import difflib
+import random
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -132,3 +135,69 @@ def test_promotions_need_five_per_cent(spark):
     df = spark.createDataFrame([(h, 1, 95.0, True) for h in "abc"] + [("d", 1, 1.0, False)], "host string, workers long, s double, ok boolean")
     before = spark.createDataFrame([("a", 100.0), ("b", 99.0)], "host string, champion double")
     assert rows(integrity.promotions(df, before, ["host"], ["workers"], "s", "ok")) == [("a", 1, 95.0, True), ("b", 1, 95.0, False), ("c", 1, 95.0, True)]
+
+
+def test_configurations_are_brought_within_bounds(spark):
+    df = spark.createDataFrame([("a", 100, 1, 1.0, True), ("b", 1, 1, 1.0, True), ("c", 3, 2, 1.0, True), ("d", 64, 2, 1.0, True)], "host string, workers int, lanes int, s double, ok boolean")
+    got = {tuple(r) for r in integrity.next_configurations(df, ["host"], "workers", "lanes", "s", "ok").collect()}
+    want = {("a", 100, 1), ("a", 50, 1), ("a", 128, 1), ("a", 100, 2), ("b", 1, 1), ("b", 2, 1), ("c", 3, 2), ("c", 6, 2), ("c", 3, 1), ("d", 64, 2), ("d", 32, 2), ("d", 128, 2), ("d", 64, 1)}
+    assert got == want
+
+
+def test_cascade_levels_and_blanks(spark):
+    facts = spark.createDataFrame([(1, "T", "x", "I"), (2, "", "x", "I"), (3, None, None, " "), (4, "U", "x", "J"), (5, "T", "y", None)], "id int, t string, m string, i string")
+    dim = spark.createDataFrame([(10, "T", "x", "I"), (11, "U", "x", "I"), (12, "U", "x", "J"), (12, "U", "x", "J"), (13, None, "", "")], "e int, t string, m string, i string")
+    keys = [[(F.col("m"), F.col("m")), (F.col("t"), F.col("t"))], [(F.col("i"), F.col("i"))]]
+    got = {tuple(r) for r in resolve.cascade(facts, dim, "id", "e", keys).select("id", "e", "level", "n").collect()}
+    assert got == {(1, 10, 1, 1), (2, None, 2, 2), (3, None, None, 0), (4, None, 1, 2), (5, None, None, 0)}
+
+
+def test_a_key_of_a_third_of_the_rows_is_many_tasks(spark):
+    facts = spark.range(30_000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    dim = spark.createDataFrame([(1, "hot"), (2, "4"), (3, "5"), (4, "5")], "e int, k string")
+    out = resolve.cascade(facts, dim, "id", "e", [[(F.col("k"), F.col("k"))]])
+    assert out.where("e = 1").count() == 10_000 and out.where("n > 0").count() == 10_002
+    asked = resolve._told("id", [F.col("k")], facts, "level").withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(resolve.SALTS)))
+    parts = asked.where("_key = 'hot'").repartition(64, "_key", "_salt").groupBy(F.spark_partition_id()).count()
+    assert parts.agg(F.max("count")).first()[0] < 10_000 / 4
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in text and "Cartesian" not in text
+
+
+def test_alias_reasons(spark):
+    facts = spark.createDataFrame([(1, "a", "b"), (2, "", "b"), (3, "z", None), (4, "c", "a")], "id int, x string, y string")
+    dim = spark.createDataFrame([(10, "a"), (11, "b"), (12, "b"), (13, "")], "e int, n string")
+    got = {tuple(r) for r in resolve.aliases(facts, "id", [F.col("x"), F.col("y")], dim, "e", F.col("n")).collect()}
+    assert got == {(1, 10, None), (2, None, "ambiguous"), (3, None, "unmapped"), (4, 10, None)}
+
+
+def test_overlap_join_equals_all_pairs(spark):
+    rng = random.Random(5)
+    for least in (0.01, 0.5, 0.6, 1.0):
+        sets = [(i, "ab"[i % 2], rng.choices("abcdefghijklmnop", weights=range(1, 17), k=rng.randint(0, 7))) for i in range(120)] + [(200, "a", None), (201, "a", ["q"]), (202, "b", ["q"])]
+        df = spark.createDataFrame(sets, "id int, block string, t array<string>")
+        got = {tuple(r) for r in resolve.overlap_join(df, "id", "t", ["block"], least).collect()}
+        want = set()
+        for i, b, x in sets:
+            for j, c, y in sets:
+                if i < j and b == c and x and y and len({*x} & {*y}) >= least * min(len({*x}), len({*y})) - 1e-9:
+                    want.add((b, i, j, round(len({*x} & {*y}) / min(len({*x}), len({*y})), 3)))
+        assert got == want
+
+
+def test_fuzzy_join_equals_all_pairs(spark):
+    rng = random.Random(6)
+    names = [(i, "xy"[i % 2], "".join(rng.choices("abcdeé漢 ", k=rng.randint(0, 9)))) for i in range(60)]
+    df = spark.createDataFrame(names, "id int, b string, n string")
+    for least in (0.55, 0.9):
+        got = {tuple(r) for r in resolve.fuzzy(df, df.select("b", F.col("id").alias("o"), F.col("n").alias("m")), "b", "n", "m", "id", "o", 3, least).select("id", "o", "rank", "similarity").collect()}
+        want = set()
+        for i, b, x in names:
+            each = sorted((-difflib.SequenceMatcher(None, x, y).ratio(), j) for j, c, y in names if b == c and i != j)
+            want |= {(i, j, r + 1, -s) for r, (s, j) in enumerate(each[:3]) if -s >= least}
+        assert got == want
+
+
+def test_first_nested_items(spark):
+    df = spark.createDataFrame([(1, "a", 2, 0), (1, "a", 1, 5), (1, "b", 9, 9), (2, "a", 1, 1)], "id int, kind string, outer int, inner int")
+    assert rows(select.first_nested(df, ["id", F.upper("kind").alias("kind")], ["outer", "inner"])) == [(1, "A", 1, 5), (1, "B", 9, 9), (2, "A", 1, 1)]
