@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import datetime
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from slotwise.operators.select import best
+
 # ---- fixed values
 NAME_FILLERS = r"\b(the|inc|incorporated|corp|corporation|company|co|plc|ltd|limited)\b"
 ANNUAL_TERMS = r"annual report|report to shareholders|annual financial report"
@@ -81,21 +83,47 @@ def identifiers(dump: DataFrame, item: str, order: str) -> DataFrame:
     return rows.groupBy("ticker").agg(last("lei", 20), last("isin", 12)).where("lei IS NOT NULL OR isin IS NOT NULL")
 
 
-def bisected(days: DataFrame, day: str, n: str, limit: int) -> list[tuple]:
-    """(first, last, n) of ranges of days that together cover all, each halved until it has fewer rows than limit. Takes
-    one number a day to the driver; a day that is full by itself is an error, as its rest would be lost."""
-    counts = {r[0]: r[1] for r in days.where(F.col(day).isNotNull()).select(day, n).collect()}
-    if not counts:
-        return []
-    todo, out = [(min(counts), max(counts))], []
-    while todo:
-        first, last = todo.pop()
-        total = sum(v for k, v in counts.items() if first <= k <= last)
-        if total < limit:
-            out.append((first, last, total))
-            continue
-        if first == last:
-            raise ValueError(f"{first} alone has {total} rows; the limit is {limit}")
-        middle = first + (last - first) // 2
-        todo += [(middle + datetime.timedelta(days=1), last), (first, middle)]
-    return out
+#: Halvings that part any range of days (four thousand years have fewer than 2^21).
+DEPTH = 22
+_HALVES = "{d} <= a.b + int((a.e - a.b) div 2)"
+
+
+def _halved(days: DataFrame) -> DataFrame:
+    """day, n, first, last (days since 1970) of every range that holds a day when all days' range is halved down to days."""
+    ends = F.broadcast(days.agg(F.min("day").alias("_b"), F.max("day").alias("_e")))  # one row
+    step = f"""aggregate(sequence(1, {DEPTH}), named_struct('b', _b, 'e', _e, 'p', array(named_struct('first', _b, 'last', _e))), (a, i) -> CASE WHEN a.b = a.e THEN a
+      WHEN {_HALVES.format(d="day")} THEN named_struct('b', a.b, 'e', a.b + int((a.e - a.b) div 2), 'p', concat(a.p, array(named_struct('first', a.b, 'last', a.b + int((a.e - a.b) div 2)))))
+      ELSE named_struct('b', a.b + int((a.e - a.b) div 2) + 1, 'e', a.e, 'p', concat(a.p, array(named_struct('first', a.b + int((a.e - a.b) div 2) + 1, 'last', a.e)))) END, a -> a.p)"""
+    return days.crossJoin(ends).select("day", "n", F.explode(F.expr(step)).alias("r")).select("day", "n", "r.first", "r.last")
+
+
+def bisected(days: DataFrame, day: str, n: str, limit: int | Column, most: int | Column | None = None) -> DataFrame:
+    """first, last, n, limit of ranges of days that together cover all from the first to the last, each halved until it
+    has fewer rows than the limit. A day that is full by itself is asked again with twice the limit, up to `most` (none:
+    `limit`); one that is full even so is an error when it is read, as its rest would be lost. Null days have no range.
+
+    Every day is in one range of each level of halves, so the ranges' sums are one aggregation of days times levels.
+    """
+    limit, most = limit if isinstance(limit, Column) else F.lit(limit), limit if most is None else most
+    most = most if isinstance(most, Column) else F.lit(most)
+    each = days.where(F.col(day).isNotNull()).groupBy(F.unix_date(F.col(day)).alias("day")).agg(F.sum(n).alias("n"))
+    sums = _halved(each).groupBy("first", "last").agg(F.sum("n").alias("n"))
+    middle = F.col("first") + F.floor((F.col("last") - F.col("first")) / 2).cast("int")
+    halves = F.array(F.struct(F.col("first"), middle.alias("last")), F.struct((middle + 1).alias("first"), F.col("last")))
+    # the range of all days, and the halves of those that are full; a half without rows has no sum
+    root = each.agg(F.min("day").alias("first"), F.max("day").alias("last")).where("first IS NOT NULL")
+    parts = root.union(sums.where((F.col("n") >= limit) & (F.col("first") < F.col("last"))).select(F.explode(halves).alias("h")).select("h.*"))
+    out = parts.join(sums, ["first", "last"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    out = out.where((F.col("n") < limit) | (F.col("first") == F.col("last")))
+    doubled = F.expr("filter(transform(sequence(0, 40), i -> least(_most, _limit * shiftleft(1L, i))), x -> x > n)")
+    asked = out.withColumns({"_limit": limit.cast("long"), "_most": most.cast("long")}).withColumn("limit", F.element_at(F.concat(doubled, F.array(F.lit(None).cast("long"))), 1))
+    told = F.when(F.col("limit").isNull(), F.raise_error(F.concat(F.date_from_unix_date("first").cast("string"), F.lit(" alone has "), F.col("n").cast("string"), F.lit(" rows")))).otherwise(F.col("limit"))
+    return asked.select(F.date_from_unix_date("first").alias("first"), F.date_from_unix_date("last").alias("last"), "n", told.cast("long").alias("limit"))
+
+
+def asked_by_ranges(rows: DataFrame, day: str, key: Sequence[str], order: Sequence[Column], ranges: DataFrame) -> DataFrame:
+    """The rows of all ranges' answers, each key once (the first by `order`), with the `first` day of their range."""
+    days = rows.where(F.col(day).isNotNull()).select(F.unix_date(F.col(day)).alias("day")).distinct().withColumn("n", F.lit(1))
+    wanted = ranges.select(F.unix_date("first").alias("first"), F.unix_date("last").alias("last"))
+    of = _halved(days).join(wanted, ["first", "last"]).select(F.date_from_unix_date("day").alias("_day"), F.date_from_unix_date("first").alias("first"))
+    return best(rows.join(of, F.col(day) == F.col("_day")).drop("_day"), key, order)

@@ -73,16 +73,31 @@ def identifier_dumps(spark: SparkSession, sf: str) -> DataFrame:
     return audit.identifiers(dump, "item", "o_orderkey")
 
 
-@family("""
-WITH RECURSIVE d AS (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY 1), m AS (SELECT max(n) * 20 + 1 AS most FROM d),
+_RANGES = """WITH RECURSIVE d AS (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY 1), m AS (SELECT (max(n) * 3) // 4 AS most FROM d),
 r AS (SELECT min(day) AS a, max(day) AS b FROM d UNION ALL
- SELECT CASE x WHEN 0 THEN a ELSE a + CAST(floor((b - a) / 2) AS INT) + 1 END, CASE x WHEN 0 THEN a + CAST(floor((b - a) / 2) AS INT) ELSE b END FROM r, m, (VALUES (0), (1)) AS v(x) WHERE (SELECT sum(n) FROM d WHERE day BETWEEN a AND b) >= most)
-SELECT a AS first, b AS last, CAST(coalesce((SELECT sum(n) FROM d WHERE day BETWEEN a AND b), 0) AS BIGINT) AS n FROM r, m WHERE coalesce((SELECT sum(n) FROM d WHERE day BETWEEN a AND b), 0) < most""")
-def bisected_ranges(spark: SparkSession, sf: str) -> DataFrame:
-    """Ranges of days with fewer filings than a request may return."""
+ SELECT CASE x WHEN 0 THEN a ELSE a + CAST(floor((b - a) / 2) AS INT) + 1 END, CASE x WHEN 0 THEN a + CAST(floor((b - a) / 2) AS INT) ELSE b END FROM r, m, (VALUES (0), (1)) AS v(x) WHERE a < b AND (SELECT sum(n) FROM d WHERE day BETWEEN a AND b) >= most),
+s AS (SELECT a, b, CAST(coalesce((SELECT sum(n) FROM d WHERE day BETWEEN a AND b), 0) AS BIGINT) AS n FROM r),
+g AS (SELECT a AS first, b AS last, n, CASE WHEN n < most THEN most ELSE 2 * most END::BIGINT AS "limit" FROM s, m WHERE n < most OR a = b)"""
+
+
+def _ranges(spark: SparkSession, sf: str) -> DataFrame:
     days = read(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("n"))
-    most = days.agg(F.max("n")).first()[0] * 20 + 1
-    return spark.createDataFrame(audit.bisected(days, "day", "n", most), "first date, last date, n long")
+    most = days.agg(F.max("n")).first()[0] * 3 // 4
+    return audit.bisected(days, "day", "n", most, 4 * most)
+
+
+@family(f"{_RANGES} SELECT * FROM g")
+def bisected_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Ranges of days with fewer filings than a request may return; full days are asked again with a higher limit."""
+    return _ranges(spark, sf)
+
+
+@family(f"{_RANGES} SELECT o_orderkey, first FROM orders JOIN g ON CAST(o_orderdate AS DATE) BETWEEN first AND last")
+def bisected_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The filings that the ranges' answers have, each once although answers repeat some."""
+    o = read(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
+    answers = o.union(o.where("o_orderkey % 3 = 0"))
+    return audit.asked_by_ranges(answers, "day", ["o_orderkey"], [F.asc("day")], _ranges(spark, sf)).select("o_orderkey", "first")
 
 
 _RESULTS = "SELECT event_id, CASE WHEN event_type = 'error' THEN 'FAILED' WHEN event_id % 11 = 0 THEN NULL ELSE 'DONE' END AS status, CASE WHEN event_type = 'error' THEN 'HTTP ' || (400 + user_id % 5) END AS error FROM events"
