@@ -145,11 +145,24 @@ def middle_east(d: Dialect, title: str, url: str, tag: str) -> tuple[str, str]:
     return case([(c, text(k)) for c, k, _ in rules], "'REJECT'"), f"cast({case([(c, str(w)) for c, _, w in rules], '0.5')} AS double)"
 
 
+# fixed values: marks of English names, words of English reports
+ME_ENGLISH, ME_REPORT_WORDS = ("ar en", "en_", "_en", "english"), ("annual", "report", "financial", "statements", "company", "board", "auditor")
+
+
+def _arabic_share(d: Dialect, t: str) -> str:
+    return f"({d.call('size', every(d, t, '[؀-ۿ]', 0, ''))} / greatest(1, length(trim({t}))))"
+
+
 def middle_east_language(d: Dialect, t: str, name: str) -> str:
     """EN, AR or BILINGUAL by marks in the name and the share of Arabic letters."""
-    all_ = f"lower(concat_ws(' ', {t}, {name}))"
-    share = f"({d.call('size', every(d, t, '[؀-ۿ]', 0, ''))} / greatest(1, length(trim({t}))))"
-    return case([(has(all_, ("ar en", "en_", "_en", "english")), "'EN'"), (f"{share} > 0.4", "'AR'"), (f"{share} > 0.1", "'BILINGUAL'")], "'EN'")
+    share = _arabic_share(d, t)
+    return case([(has(f"lower(concat_ws(' ', {t}, {name}))", ME_ENGLISH), "'EN'"), (f"{share} > 0.4", "'AR'"), (f"{share} > 0.1", "'BILINGUAL'")], "'EN'")
+
+
+def middle_east_confidence(d: Dialect, t: str, name: str) -> str:
+    """How sure the language is: by a mark, by the letters, by two report words at least, or by default."""
+    all_, share = f"lower(concat_ws(' ', {t}, {name}))", _arabic_share(d, t)
+    return f"cast({case([(has(all_, ME_ENGLISH), '0.98'), (f'{share} > 0.4', '0.95'), (f'{share} > 0.1', '0.85'), (total([(has(all_, [w]), 1) for w in ME_REPORT_WORDS]) + ' >= 2', '0.9')], '0.7')} AS double)"
 
 
 def canada_language(d: Dialect, title: str, url: str, declared: str) -> str:

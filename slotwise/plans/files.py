@@ -212,12 +212,12 @@ def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 @family("SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'direct' WHEN 'O' THEN 'bulk' ELSE 'review' END AS part FROM orders")
 def split_by_tag(spark: SparkSession, sf: str) -> DataFrame:
     """Rows in parts by a tag, written apart and read again."""
-    s = F.col("o_orderstatus")
-    parts = writers.split(read(spark, sf, "orders").select("o_orderkey", s), F.when(s == "F", "direct").when(s == "O", "bulk").otherwise("review"))
-    paths = writers.audits({name: df.select("o_orderkey") for name, df in parts.items()}, scratch(spark, "split"))
+    s, names = F.col("o_orderstatus"), ["direct", "bulk", "review", "none"]
+    tag = F.when(s == "F", "direct").when(s == "O", "bulk").otherwise("review")
+    paths, _ = writers.split_once(read(spark, sf, "orders").select("o_orderkey", s), tag, names, scratch(spark, "split"))
     out = None
     for name, path in paths.items():
-        one = spark.read.option("header", True).schema("o_orderkey long").csv(path).withColumn("part", F.lit(name))
+        one = spark.read.option("header", True).schema("o_orderkey long, o_orderstatus string").csv(path).select("o_orderkey", F.lit(name).alias("part"))
         out = one if out is None else out.union(one)
     return out
 

@@ -17,11 +17,71 @@ WITH a AS (SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) AS root
 SELECT page_id, root || href AS url, count(*) AS n FROM a WHERE starts_with(href, '/') GROUP BY ALL""")
 def html_links(spark: SparkSession, sf: str) -> DataFrame:
     """Addresses of a page's anchors, each once; how often each occurs."""
-    p = read(spark, sf, "pages")
-    once = readers.links(p, "page_id", "html", F.col("url")).select("page_id", "url")
-    href = F.regexp_extract_all("html", F.lit(r'(?is)<a [^>]*href="([^"]+)"[^>]*>'), F.lit(1))
-    n = p.select("page_id", "url", F.explode(href).alias("href")).select("page_id", S.absolute(F.col("url"), F.col("href")).alias("url")).groupBy("page_id", "url").agg(F.count("*").alias("n"))
-    return once.join(n, ["page_id", "url"])
+    return readers.links(read(spark, sf, "pages"), "page_id", "html", F.col("url")).select("page_id", "url", "n")
+
+
+@family("""
+WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<a [^>]*href="([^"]+)"[^>]*>', 1)) AS href FROM pages)
+SELECT page_id, 'https://docs.example' || href AS url, count(*) AS n FROM a WHERE starts_with(href, '/th') GROUP BY ALL""")
+def links_of_hosts(spark: SparkSession, sf: str) -> DataFrame:
+    """Addresses of allowed hosts only."""
+    p = read(spark, sf, "pages").withColumn("html", F.replace("html", F.lit('href="/th'), F.lit('HREF = "https://docs.example/th')))
+    return readers.links(p, "page_id", "html", F.col("url"), hosts=["docs.example", "www.docs.example"]).select("page_id", "url", "n")
+
+
+_ITEMS = """a AS (SELECT page_id, unnest(regexp_extract_all(html, '(?s)<li><a href="/([^"]*)">[^<]*</a></li>', 1)) AS word, unnest(range(0, len(regexp_extract_all(html, '(?s)<li><a href="/([^"]*)">[^<]*</a></li>', 0)))) AS pos FROM pages),
+i AS (SELECT page_id, pos, regexp_replace(word, '[^A-Za-z]', '', 'g') AS word FROM a)"""
+
+
+def _pages(spark: SparkSession, sf: str, item: str) -> DataFrame:
+    """Pages whose list items became something else: $1 is an item's text."""
+    p = read(spark, sf, "pages").withColumn("html", F.regexp_replace("html", r'(?s)<li><a href="/([^"]*)">[^<]*</a></li>', "<li>$1</li>"))
+    letters = F.transform(F.split("html", "<li>"), lambda x: F.when(x.contains("</li>"), F.concat(F.regexp_replace(F.substring_index(x, "</li>", 1), "[^A-Za-z]", ""), F.lit("</li>"), F.regexp_replace(x, "(?s)^.*?</li>", ""))).otherwise(x))
+    return p.withColumn("html", F.regexp_replace(F.array_join(letters, "<li>"), "(?s)<li>(.*?)</li>", item))
+
+
+@family(f"""
+WITH {_ITEMS}
+SELECT page_id, 'TX' || word AS transaction_id, min(pos)::INTEGER AS row, CASE WHEN length(word) % 2 = 0 THEN make_date(2021, 3, length(word) % 20 + 1) END AS filing_date, 'AA' AS form_type, trim('Accounts & ' || word) AS description, length(word)::INTEGER AS pages,
+ '/company/1/filing-history/TX' || word || '/document?format=pdf&download=0' AS href FROM i GROUP BY page_id, word""")
+def filing_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """A register's filings from the table rows that list items became, each once a page."""
+    row = '<tr class="r"><td>#$1#</td><td> AA</td><td><b>Accounts</b> &amp;\n$1</td><td><a href="/company/1/filing-history/TX$1/document?format=pdf&amp;download=0">View PDF</a> (#$1# pages)</td></tr>'
+    p = _pages(spark, sf, row)
+    # days and numbers of pages from the lengths of words
+    parts = F.transform(F.sequence(F.lit(0), F.lit(40)), lambda n: n)
+    html = F.aggregate(parts, F.col("html"), lambda h, n: F.regexp_replace(F.regexp_replace(h, F.concat(F.lit("<td>#[A-Za-z]{"), n.cast("string"), F.lit("}#")), F.when(n % 2 == 0, F.concat(F.lit("<td>on "), (n % 20 + 1).cast("string"), F.lit("  Mar 2021"))).otherwise("<td>no day")), F.concat(F.lit(r"\(#[A-Za-z]{"), n.cast("string"), F.lit("}# ")), F.concat(F.lit("("), n.cast("string"), F.lit(" "))))
+    return readers.filing_rows(p.withColumn("html", html), "page_id", "html")
+
+
+@family(f"""
+WITH {_ITEMS}, c AS (SELECT page_id, pos, upper(word) AS code, word AS name FROM i WHERE page_id % 3 > 0 AND length(word) BETWEEN 2 AND 8), n AS (SELECT page_id, pos, upper(word) AS code, 'To ' || word AS name FROM i WHERE word <> '')
+SELECT page_id, code, arg_min(name, pos) AS name FROM c GROUP BY page_id, code UNION ALL SELECT page_id, code, arg_min(name, pos) FROM n WHERE page_id NOT IN (SELECT page_id FROM c) GROUP BY page_id, code""")
+def listed_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """A market's codes and names, from its table or else from the anchors to its companies."""
+    upper = F.transform(F.split("html", "@"), lambda x: F.when(x.rlike("^[A-Za-z]+#"), F.concat(F.upper(F.substring_index(x, "#", 1)), F.regexp_replace(x, "(?s)^[A-Za-z]+#", ""))).otherwise(x))
+    with_rows = _pages(spark, sf, '<tr><th>$1<td><i>$1</i></tr><a class="x" href="/companies/@$1#">To <b>$1</b></a>').where("page_id % 3 > 0")
+    anchors = _pages(spark, sf, '<tr><td>CODE</td><td>$1</td></tr><a href="/companies/@$1#">To <b>$1</b></a>').where("page_id % 3 = 0")
+    return readers.listed_codes(with_rows.union(anchors).withColumn("html", F.array_join(upper, "")), "page_id", "html")
+
+
+@family(f"""
+WITH {_ITEMS}, w AS (SELECT page_id, pos, 2010 + length(word) % 8 AS year, word, length(word) % 3 AS way FROM i WHERE length(word) % 5 > 0),
+u AS (SELECT page_id, pos, year, CASE way WHEN 0 THEN 'https://www.x.example/Click/' || word ELSE 'https://www.x.example/a/' || word || '.PDF?v=1' END AS url, way > 0 AS pdf FROM w)
+SELECT page_id, year::INTEGER AS year, coalesce(arg_max(url, pos) FILTER (WHERE pdf), arg_min(url, pos)) AS url FROM u GROUP BY page_id, year""")
+def report_years(spark: SparkSession, sf: str) -> DataFrame:
+    """The reports of an archive list by year, PDFs before redirects."""
+    item = '<li><span class="heading x">#$1#</span><span class="btn_archived other"><a href="/no.pdf">n</a></span><span class=\'btn_archived download\'><a class="y" href="/none.html">h</a></span><span class="view_annual_report btn_archived"> <a href="%$1%">d</a></span></li>'
+    p = _pages(spark, sf, item)
+
+    def told(h, n):
+        title = F.when(n % 5 == 0, F.lit("Interim statement 2015")).otherwise(F.concat(F.lit("The Annual <b>Report</b> "), (2010 + n % 8).cast("string")))
+        address = F.when(n % 3 == 0, F.lit("/Click/$1")).otherwise("/a/$1.PDF?v=1")
+        return F.regexp_replace(F.regexp_replace(h, F.concat(F.lit("#[A-Za-z]{"), n.cast("string"), F.lit("}#")), title), F.concat(F.lit("%([A-Za-z]{"), n.cast("string"), F.lit("})%")), address)
+
+    html = F.aggregate(F.sequence(F.lit(0), F.lit(40)), F.replace("html", F.lit("<nav>"), F.lit("<nav class='most archived_report_content_block'>")), told)
+    found = readers.report_years(p.withColumn("html", html), "page_id", "html", F.lit("https://www.x.example/Company/x"))
+    return found.select("page_id", F.explode("reports").alias("year", "url"))
 
 
 @family("""
@@ -45,6 +105,17 @@ def html_table_rows(spark: SparkSession, sf: str) -> DataFrame:
     return readers.table_rows(p, "page_id", "html").select("page_id", "row", F.array_join("cells", "|").alias("cells"))
 
 
+@family("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 7 > 0 THEN 2000 + o_orderkey % 25 END::INTEGER AS year, CASE WHEN o_orderkey % 7 > 0 THEN CASE o_orderkey % 3 WHEN 0 THEN 'AR' WHEN 1 THEN 'SR' ELSE 'IR' END END AS code FROM orders""")
+def report_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """Year and type code of reports out of their paths; paths of other shapes have none."""
+    k = F.col("o_orderkey")
+    code = F.element_at(F.array(F.lit("ar"), F.lit("sr"), F.lit("ir")), (k % 3 + 1).cast("int"))
+    path = F.concat(F.lit("https://x.example/ken-abc-"), (2000 + k % 25).cast("string"), F.lit("-"), code, F.when(k % 7 == 0, "-x/").otherwise(F.concat(F.lit("-"), F.lpad((k % 9).cast("string"), 2, "0"), F.when(k % 2 == 0, "/").otherwise(""))))
+    year, kind = readers.year_and_type(path)
+    return read(spark, sf, "orders").select("o_orderkey", year.alias("year"), kind.alias("code"))
+
+
 @family("SELECT page_id, CAST(nullif(regexp_extract(url, '^[a-z]+://[^/]+/([a-z]{2})/([0-9]+)', 2), '') AS BIGINT) AS number, upper(nullif(regexp_extract(url, '^[a-z]+://[^/]+/([a-z]{2})/([0-9]+)', 1), '')) AS code FROM pages")
 def path_codes(spark: SparkSession, sf: str) -> DataFrame:
     """Numbers and codes out of paths."""

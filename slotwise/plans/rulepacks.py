@@ -76,7 +76,7 @@ add("classify_accounts", lambda d: _named("status reason", text.accounts(d, "kin
 add("classify_australia", lambda d: _named("annual_score sr_type sr_score class", text.australia(d, "title", "pages")))
 add("classify_africa", lambda d: _named("label score", text.africa(d, "title", "url", "pages")))
 add("classify_middle_east", lambda d: _named("class confidence", text.middle_east(d, "title", "url", "kind")))
-add("detect_arabic_share", lambda d: {"language": text.middle_east_language(d, "title", "''")})
+add("detect_arabic_share", lambda d: {"language": text.middle_east_language(d, "title", "''"), "confidence": text.middle_east_confidence(d, "title", "''")})
 add("detect_french", lambda d: {"language": text.canada_language(d, "title", "url", "kind")})
 add("classify_canada", lambda d: {"score": text.canada(d, "title", "url")})
 add("classify_india", lambda d: {"score": text.india(d, "title"), "annual": f"(({text.india(d, 'title')}) >= 90)"})
@@ -104,3 +104,20 @@ add("annual_title", lambda d: {"annual": text.annual_title(d, "title")})
 add("sitemap_reports", lambda d: _named("fiscal_year report_type", text.sitemap_report(d, "concat('https://x.example/', replace(title, ' ', '-'), '.pdf')")))
 add("part_marks", lambda d: {"part": text.part_mark(d, "concat(title, ' part ', substring(kind, 1, 1), '_p3 vol 2')")})
 add("fy_two_stages", lambda d: _named("fiscal_year confidence", fiscal.two_stages(d, "title", "title")))
+
+
+#: Titles with some Arabic, and a file name with or without a mark of English.
+_ARABIC = """SELECT o_orderkey AS id, CASE o_orderkey % 4 WHEN 0 THEN repeat('تقرير ', cast(o_orderkey % 7 AS int)) || 'Board' WHEN 1 THEN 'Annual REPORT ' || repeat('س', cast(o_orderkey % 11 AS int)) WHEN 2 THEN '  ' ELSE 'Notice of the board' END AS title,
+ CASE WHEN o_orderkey % 5 = 0 THEN 'x_EN.pdf' WHEN o_orderkey % 5 = 1 THEN 'English.pdf' WHEN o_orderkey % 5 = 2 THEN 'company.pdf' ELSE '' END AS name FROM orders"""
+
+
+def detect_arabic_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Language and confidence of titles and file names; the SQL counts letters in its own way."""
+    titles = spark.sql(_ARABIC.replace("FROM orders", "FROM {orders}"), orders=read(spark, sf, "orders"))
+    return apply(titles, "id", {"language": text.middle_east_language(SPARK, "title", "name"), "confidence": text.middle_east_confidence(SPARK, "title", "name")})
+
+
+family.add("detect_arabic_names", detect_arabic_names, f"""
+WITH t AS ({_ARABIC}), u AS (SELECT id, lower(title || ' ' || name) AS x, len(list_filter(string_split(title, ''), lambda c: unicode(c) BETWEEN 1536 AND 1791)) / greatest(1, length(trim(title))) AS share FROM t),
+v AS (SELECT id, share, x LIKE '%ar en%' OR x LIKE '%en\\_%' ESCAPE '\\' OR x LIKE '%\\_en%' ESCAPE '\\' OR x LIKE '%english%' AS mark, len(list_filter(['annual', 'report', 'financial', 'statements', 'company', 'board', 'auditor'], lambda w: instr(x, w) > 0)) AS words FROM u)
+SELECT id, CASE WHEN mark THEN 'EN' WHEN share > 0.4 THEN 'AR' WHEN share > 0.1 THEN 'BILINGUAL' ELSE 'EN' END AS language, (CASE WHEN mark THEN 0.98 WHEN share > 0.4 THEN 0.95 WHEN share > 0.1 THEN 0.85 WHEN words >= 2 THEN 0.9 ELSE 0.7 END)::DOUBLE AS confidence FROM v""")

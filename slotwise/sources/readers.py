@@ -136,14 +136,88 @@ def wrapped_value(c: Column) -> Column:
 
 
 def links(pages: DataFrame, key: str, html: str, base: Column, hosts: Sequence[str] | None = None) -> DataFrame:
-    """key, pos, url, text of a page's anchors; off-host ones dropped, the first of equal addresses kept."""
+    """key, pos, url, text, n of a page's anchors; off-host ones dropped, the first of equal addresses kept, n of them."""
     anchor = r"(?is)<a\b[^>]*?\bhref\s*=\s*[\"']([^\"']+)[\"'][^>]*>(.*?)</a>"
     found = pages.select(key, base.alias("_base"), F.posexplode(F.arrays_zip(F.regexp_extract_all(html, F.lit(anchor), F.lit(1)).alias("href"), F.regexp_extract_all(html, F.lit(anchor), F.lit(2)).alias("text"))).alias("pos", "a"))
     out = found.select(key, "pos", S.absolute(F.col("_base"), F.col("a.href")).alias("url"), S.visible_text(F.col("a.text")).alias("text"))
     if hosts:
         out = out.where(F.regexp_extract("url", r"^https?://([^/?#:]+)", 1).isin(*hosts))
-    first = out.groupBy(key, "url").agg(F.min(F.struct("pos", "text")).alias("_f"))
-    return first.select(key, "_f.pos", "url", "_f.text")
+    first = out.groupBy(key, "url").agg(F.min(F.struct("pos", "text")).alias("_f"), F.count("*").alias("n"))
+    return first.select(key, "_f.pos", "url", "_f.text", "n")
+
+
+# fixed values: what a register's filing rows, a market's lists and a report archive's pages look like
+FILING = r'(?i)href="(/company/[^/]+/filing-history/([^/"]+)/document\?format=pdf[^"]*)"'
+FILING_ONLY = r"/filing-history/([A-Za-z0-9_-]{15,})"
+FILING_PAGES, FILING_DATE = r"(?i)\(([0-9]+)\s+pages?\)", r"([0-9]{1,2}\s+[A-Za-z]{3}\s+20[0-9]{2})"
+COMPANY_PATH, REPORT_YEAR, REPORT_TITLE = r"/companies/([A-Z0-9]+)$", r"(?<![0-9])(20[0-9]{2})(?![0-9])", r"(?i)annual report|form 10[- ]?k|report and accounts"
+ARCHIVE, HEADING, DOWNLOAD = "archived_report_content_block", "heading", ("download", "view_annual_report")
+
+
+def _all(text: Column, pattern: str, group: int = 1) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+
+
+def _plain(x: Column) -> Column:
+    """The text between tags, white space collapsed."""
+    return F.trim(F.regexp_replace(F.regexp_replace(x, "<[^>]+>", " "), r"\s+", " "))
+
+
+def _unescaped(texts: Column) -> Column:
+    """An array of texts with its character references replaced, in one call for a row."""
+    return F.split(S.html_unescape(F.array_join(texts, "\x01")), "\x01")
+
+
+def filing_rows(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """key, row, transaction_id, filing_date, form_type, description, pages, href of the filings in a register's tables:
+    rows with a document's address or else a filing's; of equal filings of a page the first. No date is NULL, no pages 0."""
+    rows = pages.select(key, F.posexplode(_all(F.col(html), r"(?is)<tr[^>]*>.*?</tr>", 0)).alias("row", "_tr"))
+    tr = F.col("_tr")
+    rows = rows.withColumn("transaction_id", F.coalesce(S.nonempty(F.regexp_extract(tr, FILING, 2)), F.regexp_extract(tr, FILING_ONLY, 1))).where("transaction_id <> ''")
+    rows = rows.groupBy(key, "transaction_id").agg(F.min(F.struct("row", "_tr")).alias("_f")).select(key, "transaction_id", "_f.*")
+    rows = rows.withColumn("_c", _unescaped(F.transform(_all(tr, r"(?s)<td[^>]*>(.*?)</td>"), _plain)))
+    three = F.size("_c") >= 3
+    date = F.try_to_timestamp(F.regexp_replace(F.regexp_extract(F.get("_c", F.lit(0)), FILING_DATE, 1), r"\s+", " "), F.lit("d MMM yyyy")).cast("date")
+    return rows.select(
+        key, "row", "transaction_id", date.alias("filing_date"), F.when(three, F.get("_c", F.lit(1))).otherwise("").alias("form_type"),
+        F.when(three, F.get("_c", F.lit(2))).otherwise(F.array_join("_c", " ")).alias("description"),
+        F.coalesce(F.regexp_extract(tr, FILING_PAGES, 1).try_cast("int"), F.lit(0)).alias("pages"), F.replace(F.regexp_extract(tr, FILING, 1), F.lit("&amp;"), F.lit("&")).alias("href"),
+    )
+
+
+def listed_codes(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """key, code, name from the rows of a market's table whose first cell is a code; of a page without any, from its
+    anchors to companies. The first name of a code counts."""
+    cells = F.transform(_all(F.col("_tr"), r"(?is)<t[dh]\b[^>]*>(.*?)(?=<t[dh]\b|</t[dh]\s*>|$)"), _plain)
+    tables = pages.select(key, F.posexplode(_all(F.col(html), r"(?is)<tr\b[^>]*>(.*?)(?=<tr\b|</tr\s*>|</table\s*>)")).alias("pos", "_tr")).withColumn("_c", cells).where("size(_c) >= 2")
+    coded = tables.select(key, F.lit(0).alias("way"), "pos", F.upper(F.get("_c", F.lit(0))).alias("code"), F.get("_c", F.lit(1)).alias("name")).where(F.col("code").rlike("^[A-Z0-9]{2,8}$") & (F.col("code") != "CODE"))
+    pairs = F.arrays_zip(_all(F.col(html), r"(?is)<a\b[^>]*?\bhref\s*=\s*[\"']([^\"']+)[\"'][^>]*>(.*?)</a>").alias("h"), _all(F.col(html), r"(?is)<a\b[^>]*?\bhref\s*=\s*[\"']([^\"']+)[\"'][^>]*>(.*?)</a>", 2).alias("t"))
+    anchors = pages.select(key, F.posexplode(pairs).alias("pos", "a")).select(key, F.lit(1).alias("way"), "pos", F.regexp_extract("a.h", COMPANY_PATH, 1).alias("code"), _plain(F.col("a.t")).alias("name")).where("code <> '' AND name <> ''")
+    first = coded.union(anchors).groupBy(key, "code").agg(F.min(F.struct("way", "pos", "name")).alias("_f"))
+    # anchors only count where the page's table has no code
+    with_way = first.withColumn("_way", F.min("_f.way").over(W.partitionBy(key)))
+    return with_way.where(F.col("_f.way") == F.col("_way")).select(key, "code", "_f.name")
+
+
+def report_years(pages: DataFrame, key: str, html: str, base: Column) -> DataFrame:
+    """key, reports: {year: url} of the annual reports in a page's archive list. Of each item its first address that is
+    a PDF's or a redirect's counts; of a year's the last PDF's, else the first."""
+
+    def has_class(*names: str) -> str:
+        return "".join(rf"(?=[^\"']*(?<![\w-]){n}(?![\w-]))" for n in names)
+
+    block = F.regexp_extract(html, rf"(?is)class=[\"']{has_class(ARCHIVE)}(.*)", 1)
+    items = pages.select(key, base.alias("_base"), F.posexplode(_all(block, r"(?is)<li\b[^>]*>.*?</li>", 0)).alias("pos", "_li"))
+    title = _plain(F.regexp_extract("_li", rf"(?is)<(\w+)\b[^>]*?\bclass=[\"']{has_class(HEADING)}[^\"']*[\"'][^>]*>(.*?)</\1\s*>", 2))
+    either = "|".join(rf"(?:{has_class('btn_archived', d)})" for d in DOWNLOAD)
+    hrefs = _all(F.col("_li"), rf"(?is)class=[\"'](?:{either})[^\"']*[\"'][^>]*>\s*<a\b[^>]*?\bhref\s*=\s*[\"']([^\"']+)[\"']")
+    href = F.get(F.filter(hrefs, lambda x: F.lower(F.substring_index(x, "?", 1)).endswith(".pdf") | x.contains("/Click/")), F.lit(0))
+    found = items.select(key, "pos", F.regexp_extract(title, REPORT_YEAR, 1).try_cast("int").alias("year"), title.alias("_title"), S.absolute(F.col("_base"), href).alias("url"))
+    found = found.where(F.col("year").isNotNull() & F.col("_title").rlike(REPORT_TITLE) & F.col("url").startswith("https://"))
+    pdf = F.lower(F.regexp_replace("url", "[?#].*$", "")).endswith(".pdf")
+    each = found.groupBy(key, "year").agg(F.max_by(F.when(pdf, F.col("url")), F.when(pdf, F.col("pos"))).alias("_pdf"), F.min_by("url", "pos").alias("_first"))
+    entry = F.struct("year", F.coalesce("_pdf", "_first").alias("url"))
+    return each.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("reports"))  # one entry a year
 
 
 def table_rows(pages: DataFrame, key: str, html: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from slotwise.functions.scalars import escaped_cell
@@ -31,6 +31,24 @@ def audits(views: Mapping[str, DataFrame], folder: str) -> dict[str, str]:
     return out
 
 
+def split_once(df: DataFrame, tag: Column, names: Sequence[str], folder: str) -> tuple[dict[str, str], dict[str, int]]:
+    """(folder, rows) of each named part, all written by one pass over df, a folder for each tag; rows with other tags or
+    none are an error. A part without rows has its columns as well: a header."""
+    seen, name = Observation(), "_part"
+    counts = [F.count_if(tag == n).alias(n) for n in names]
+    tagged = df.withColumn(name, tag).observe(seen, *counts, F.count("*").alias("_all"))
+    kinds = dict(df.dtypes)
+    cells = [escaped_cell(F.col(c)).alias(c) if kinds[c] == "string" else F.col(c) for c in df.columns]
+    tagged.select(*cells, name).write.mode("overwrite").option("header", True).partitionBy(name).csv(folder)
+    rows = {n: seen.get[n] for n in names}
+    if sum(rows.values()) != seen.get["_all"]:
+        raise ValueError("rows whose tag has no part")
+    for n in names:
+        if not rows[n]:
+            df.limit(0).coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder}/{name}={n}")
+    return {n: f"{folder}/{name}={n}" for n in names}, rows
+
+
 def append_csv(rows: DataFrame, path: str) -> None:
     """Rows appended to a CSV folder whose first write, and no later one, has the header."""
     there = any(not f.getPath().getName().startswith(("_", ".")) for f in _files(rows.sparkSession, path))
