@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotwise.functions import scalars as S
+from slotwise.functions.structure import structure
 from slotwise.operators import audit
 from slotwise.plans.base import Family, read
 from slotwise.sources import writers
@@ -118,6 +119,27 @@ def run_failures(spark: SparkSession, sf: str) -> DataFrame:
     return writers.run_summary(_results(spark, sf), "status", "error")[1]
 
 
+@family("""
+SELECT o_orderkey, CASE o_orderkey % 10 WHEN 0 THEN 'ok' WHEN 1 THEN 'truncated' WHEN 2 THEN 'forged' WHEN 3 THEN 'forged' WHEN 4 THEN 'ok' WHEN 5 THEN 'truncated' WHEN 6 THEN 'forged' WHEN 7 THEN 'truncated' WHEN 8 THEN 'ok' END AS state FROM orders""")
+def file_walk(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether what a PDF's cross-references and a ZIP's directory point at is there; ends that are cut or forged."""
+    k, n = F.col("o_orderkey"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")
+    head, thing = "%PDF-1.4\n", F.concat(F.lit("1 0 obj <</N "), n, F.lit(">> endobj\n"))
+    # an object of 35 bytes at 9, so a table at 44; one points elsewhere, one is elsewhere
+    table = F.concat(F.lit("xref\n0 2\n0000000000 65535 f \n"), F.when(k % 10 == 3, "0000000011").otherwise("0000000009"), F.lit(" 00000 n \ntrailer <</Size 2>>\nstartxref\n"), F.when(k % 10 == 2, "40").otherwise("44"), F.lit("\n%%EOF\n"))
+    whole = F.concat(F.lit(head), thing, table)
+    stream = F.concat(F.lit(head), thing, F.lit("2 0 obj <</Type /XRef>> endobj\nstartxref\n44\n%%EOF"))
+    pdf = F.when(k % 10 == 1, F.substring(whole, F.lit(1), F.length(whole) - 8)).when(k % 10 == 4, stream).otherwise(whole).cast("binary")
+    # an archive of one stored member: its record of 42 bytes, the directory's of 58 and the end
+    name, little = F.lit("f").cast("binary"), "00000000000000000000"
+    record = F.concat(F.unhex(F.lit("504B0304" + "0A00" + little[:12] + "0000" + "00000000" + "0B000000" + "0B000000" + "0100" + "0000")), name, F.substring(n, 2, 11).cast("binary"))
+    entry = F.concat(F.unhex(F.concat(F.lit("504B0102" + "0A000A00" + little[:12] + "0000" + "00000000" + "0B000000" + "0B000000" + "0100" + "0000" + "0000" + "0000" + "0000" + "00000000"), F.when(k % 10 == 6, "05000000").otherwise("00000000"))), name)
+    end = F.unhex(F.concat(F.lit("504B0506" + "00000000" + "01000100" + "2F000000" + "2A000000"), F.when(k % 10 == 7, "0900").otherwise("0000")))
+    archive = F.concat(record, entry, F.when(k % 10 == 5, F.substring(end, 1, 15)).otherwise(end))
+    content = F.when(k % 10 < 5, pdf).when(k % 10 < 9, archive).otherwise(F.lit("<html>").cast("binary"))
+    return read(spark, sf, "orders").select("o_orderkey", structure(content).alias("state"))
+
+
 @family("SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'pdf' WHEN 1 THEN 'zip' WHEN 2 THEN 'html' ELSE 'other' END AS kind, CASE page_id % 4 WHEN 0 THEN page_id % 8 = 0 WHEN 1 THEN page_id % 8 = 1 WHEN 2 THEN page_id % 8 = 2 END AS whole FROM pages")
 def file_structure(spark: SparkSession, sf: str) -> DataFrame:
     """A file's kind by its first bytes, and whether its end fits."""
