@@ -276,8 +276,8 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
 
 @family("SELECT DISTINCT user_id FROM events")
 def stream_queue(spark: SparkSession, sf: str) -> DataFrame:
-    """A stream's queue that takes each key once."""
+    """A stream's queue that takes each key once, and forgets keys that stay away."""
     path = scratch(spark, "queue")
-    queue = streams.unseen(_streamed(spark, sf, f"{path}/in"), "ts", ["user_id"], "10000 days").select("user_id")
+    queue = streams.queue(_streamed(spark, sf, f"{path}/in"), "ts", ["user_id"], keep="400 days")
     queue.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema("user_id long").parquet(f"{path}/out")

@@ -64,3 +64,35 @@ def test_upserts_write_what_they_touch(spark, tmp_path):
     for _ in range(2):
         streams.upsert_batch(batch, 1, folder=out, key=["user_id"], seq="event_id", buckets=8)
     assert sorted((r["user_id"], r["event_id"], r["event_type"]) for r in streams.upserted(spark, out).collect()) == [*want, (77, 2000, "e")]
+
+
+def test_queue_forgets_restarts_and_drops_late_rows(spark, tmp_path):
+    folder, c = str(tmp_path / "in"), str(tmp_path / "c")
+
+    def run():
+        out = streams.queue(source(spark).parquet(folder), "ts", ["user_id", "event_type"], keep="2 hours", late="10 minutes")
+        q = out.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", c).trigger(availableNow=True).start()
+        q.awaitTermination()
+        rows = spark.read.schema("user_id long, event_type string, queued_ms long").parquet(str(tmp_path / "out")).collect()
+        state = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+        return [(r["user_id"], r["event_type"], r["queued_ms"] // 60_000) for r in rows], state[-1]
+
+    def at(minutes):
+        return f"1970-01-01 {minutes // 60:02d}:{minutes % 60:02d}:00"
+
+    put(spark, folder, [(1, at(5), 1, "a", 1.0, ""), (2, at(3), 1, "a", 1.0, ""), (3, at(4), 2, None, 1.0, "")])
+    first, _ = run()
+    assert sorted(first) == [(1, "a", 3), (2, None, 4)]
+    # from the checkpoint: seen keys stay queued, and key 1 is seen again later
+    put(spark, folder, [(4, at(100), 1, "a", 1.0, ""), (5, at(101), 3, "b", 1.0, "")])
+    second, many = run()
+    assert {*second} == {*first, (3, "b", 101)}
+    # two hours after its last sighting key 2 is forgotten, and what comes before the watermark is dropped
+    put(spark, folder, [(6, at(150), 4, "c", 1.0, "")])
+    put(spark, folder, [(7, at(152), 2, None, 1.0, ""), (8, at(20), 9, "late", 1.0, "")])
+    third, _ = run()
+    assert {*third} == {*second, (4, "c", 150), (2, None, 152)}
+    put(spark, folder, [(9, at(900), 5, "d", 1.0, "")])
+    put(spark, folder, [(10, at(901), 5, "d", 1.0, "")])
+    fourth, few = run()
+    assert sorted(fourth) == sorted([*third, (5, "d", 900)]) and few < many
