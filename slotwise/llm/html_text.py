@@ -4,12 +4,14 @@ A tree builder reads any byte soup as browsers do in the cases that matter for t
 tags (paragraphs end at blocks, items at items, cells and rows at cells and rows), implied rows,
 void and raw-text elements, unclosed elements at the end, comments, truncated tags. Visibility
 rules drop what is never rendered, hidden attributes, inline styles and the page's own style
-rules for tags, classes and ids with display:none or visibility:hidden, and closed details. The
+rules with display:none or visibility:hidden for tags, classes and ids, together, below each other
+or as children (selectors with other signs select nothing), and closed details. The
 renderer emits all other text: white space collapsed outside pre, one new line around blocks, a
 blank line around paragraphs, headings, lists and tables, list items with their marks and indent,
-and table cells padded to common columns, column spans included.
+and table cells padded to common columns, column and row spans included.
 
-Column spans are at most 1000, as in the HTML standard. Both passes use an explicit stack and are linear in the page, tables nested deeper than NESTED
+Column spans are at most 1000, as in the HTML standard; row spans end with their section, and columns beyond 1000 have
+none. All passes use an explicit stack and are linear in the page, tables nested deeper than NESTED
 are rendered without alignment, so deep or broken pages are no harder than others.
 
 Defined results: null html is an empty text; an empty page is an empty text; null page_ids and
@@ -66,7 +68,7 @@ _ATTRIBUTE = re.compile(rf"([^ \t\n\r\f/>][^ \t\n\r\f/>=]*+)({_VALUE})?+")
 _TOLD = re.compile(r"hidden|style|class|id|span|start|open|type|value", re.I)
 _NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 _RULE = re.compile(r"([^{}]++)\{([^{}]*+)\}")
-_SELECTOR = re.compile(r"([A-Za-z][\w-]*|\*)?(?:\.([\w-]+)|#([\w-]+))?$")
+_COMPOUND = re.compile(r"([A-Za-z][\w-]*|\*)?((?:[.#][\w-]+)*)")
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -206,23 +208,75 @@ def tree(page: str) -> tuple[Node, list[str]]:
     return root, styles
 
 
+#: A selector's parts from the outside in: whether a part must be the child of the one before, its tag, classes and id.
+Selector = list[tuple[bool, str, frozenset[str], str]]
+
+
+def selector(text: str) -> Selector | None:
+    """A selector of tags, classes and ids; none for others."""
+    out: Selector = []
+    child = False
+    for word in re.sub(r"\s*>\s*", " > ", text).split():
+        if word == ">":
+            if child or not out:
+                return None
+            child = True
+            continue
+        m = _COMPOUND.fullmatch(word)
+        if not m:
+            return None
+        names = re.findall(r"[.#][\w-]+", m[2])
+        ids = {x[1:] for x in names if x[0] == "#"}
+        if len(ids) > 1:
+            return None
+        out.append((child, "" if m[1] in (None, "*") else m[1].lower(), frozenset(x[1:] for x in names if x[0] == "."), next(iter(ids), "")))
+        child = False
+    return out if out and not child else None
+
+
 class Rules:
-    """The simple selectors of style rules that hide what they select."""
+    """What a page's style rules hide."""
 
-    def __init__(self, styles: list[str]):
-        self.tags, self.classes, self.ids = set(), set(), set()
+    def __init__(self, styles: list[str], root: Node):
+        self.tags, self.classes, self.ids, self.marked = set(), set(), set(), set()
+        deep: list[Selector] = []
         for style in styles:
             for selectors, body in _RULE.findall(re.sub(r"/\*.*?\*/", "", style, flags=re.S)):
                 if _NOT_SHOWN.search(body):
-                    for one in selectors.split(","):
-                        if (m := _SELECTOR.match(one.strip())) and one.strip():
-                            tag, klass, name = m[1], m[2], m[3]
-                            tag = "" if tag in (None, "*") else tag.lower()
-                            (self.classes if klass else self.ids if name else self.tags).add((tag, klass or name) if klass or name else tag)
+                    for one in filter(None, map(selector, selectors.split(","))):
+                        _, tag, classes, name = one[0]
+                        if len(one) > 1 or len(classes) + bool(name) > 1:
+                            deep.append(one)
+                        elif classes or name:
+                            (self.classes if classes else self.ids).add((tag, next(iter(classes), name)))
+                        else:
+                            self.tags.add(tag)
+        if deep:
+            self._mark(root, deep)
+
+    def _mark(self, root: Node, deep: list[Selector]) -> None:
+        """Marks what the selectors select, in one walk. For each selector two sets of bits go down with a node: the parts
+        that end at it, and those that end at it or above it."""
+        todo = [(root, (0,) * len(deep), (0,) * len(deep))]
+        while todo:
+            node, at_parent, above = todo.pop()
+            attrs = node.attrs or {}
+            own, name = frozenset(attrs.get("class", "").split()), attrs.get("id")
+            here, so_far = [], []
+            for parts, last, before in zip(deep, at_parent, above, strict=True):
+                bits = 0
+                for j, (child, tag, classes, wanted) in enumerate(parts):
+                    if (not j or (last if child else before) >> (j - 1) & 1) and tag in ("", node.tag) and classes <= own and wanted in ("", name):
+                        bits |= 1 << j
+                if bits >> (len(parts) - 1) & 1:
+                    self.marked.add(id(node))
+                here.append(bits)
+                so_far.append(before | bits)
+            todo += [(x, tuple(here), tuple(so_far)) for x in node.kids if not isinstance(x, str)]
 
     def hide(self, node: Node) -> bool:
         tag, attrs = node.tag, node.attrs
-        if tag in UNSEEN or tag in self.tags:
+        if tag in UNSEEN or tag in self.tags or "" in self.tags or id(node) in self.marked:
             return True
         if not attrs:
             return tag == "dialog"
@@ -365,43 +419,58 @@ def render(kids: list, rules: Rules, depth: int = 0) -> str:
     return page.done()
 
 
+def _span(cell: Node, name: str, most: int) -> int:
+    """A span's size; 0 for one that goes on to the section's end."""
+    value = (cell.attrs or {}).get(name, "1").strip()
+    return min(most, int(value)) if re.fullmatch("[0-9]{1,9}", value) else 1
+
+
 def table(node: Node, rules: Rules, depth: int) -> tuple[str, str]:
     """The text that stands in a table outside its cells, and its cells in padded columns."""
-    rows: list[list[tuple[list[str], int]]] = []
+    rows: list[list[tuple[int, list[str], int]]] = []  # of each row its cells' first columns, lines and numbers of columns
     loose: list = []
-    todo = list(reversed(node.kids))
+    held: dict[int, int] = {}  # columns that cells above span into, and how many rows yet
+    todo: list = [*reversed(node.kids)]
     while todo:
         x = todo.pop()
-        if isinstance(x, str) or x.tag not in ("tr", "tbody", "thead", "tfoot", "caption", "colgroup", "col"):
+        if x is None:
+            held = {}
+        elif isinstance(x, str) or x.tag not in ("tr", "tbody", "thead", "tfoot", "caption", "colgroup", "col"):
             loose.append(x)
         elif x.tag in _SECTIONS and not rules.hide(x):
-            todo += reversed(x.kids)
+            held = {}
+            todo += [None, *reversed(x.kids)]
         elif x.tag == "tr" and not rules.hide(x):
-            row = []
+            row, at, new = [], 0, {}
             for cell in x.kids:
                 if isinstance(cell, str) or cell.tag not in _CELLS:
                     loose.append(cell)
                 elif not rules.hide(cell):
-                    span = (cell.attrs or {}).get("colspan", "1")
-                    row.append((render(cell.kids, rules, depth).split("\n"), min(MOST_COLUMNS, max(1, int(span))) if re.fullmatch("[0-9]{1,9}", span) else 1))
-            if any(any(lines) for lines, _ in row):
+                    while at in held:
+                        at += 1
+                    columns, down = max(1, _span(cell, "colspan", MOST_COLUMNS)), _span(cell, "rowspan", 65_534) or 65_534
+                    row.append((at, render(cell.kids, rules, depth).split("\n"), columns))
+                    if down > 1:
+                        new.update(dict.fromkeys(range(at, min(at + columns, MOST_COLUMNS)), down))
+                    at += columns
+            held = {c: n - 1 for c, n in [*held.items(), *new.items()] if n > 1}
+            if any(any(lines) for _, lines, _ in row):
                 rows.append(row)
     widths: dict[int, int] = {}
     for row in rows:
-        at = 0
-        for lines, span in row:
-            if span == 1:
+        for at, lines, columns in row:
+            if columns == 1:
                 widths[at] = max(widths.get(at, 0), *map(len, lines))
-            at += span
     out = []
     for row in rows:
-        height = max(len(lines) for lines, _ in row)
+        height = max(len(lines) for _, lines, _ in row)
         for i in range(height):
-            line, at = [], 0
-            for lines, span in row:
-                room = sum(widths.get(c, 0) for c in range(at, at + span)) + 2 * (span - 1)
+            line, upto = [], 0
+            for at, lines, columns in row:
+                line += [" " * widths.get(c, 0) for c in range(upto, at)]  # what cells above span
+                room = sum(widths.get(c, 0) for c in range(at, at + columns)) + 2 * (columns - 1)
                 line.append((lines[i] if i < len(lines) else "").ljust(room))
-                at += span
+                upto = at + columns
             out.append("  ".join(line).rstrip())
     return render(loose, rules, depth) if loose else "", "\n".join(out)
 
@@ -411,7 +480,7 @@ def extract(page: str | None) -> str:
     if not page:
         return ""
     root, styles = tree(page)
-    rules = Rules(styles)
+    rules = Rules(styles, root)
     return "" if rules.hide(root) else render(root.kids, rules)
 
 

@@ -1,3 +1,4 @@
+import random
 import time
 from html.parser import HTMLParser
 
@@ -83,3 +84,90 @@ def test_odd_rows(spark):
     df = spark.createDataFrame([(1, None, "x"), (None, "<p>a", None), (2, "<p>b", "u"), (2, "<p>b", "u")], "page_id long, html string, text string")
     assert sorted(map(tuple, html_text.texts(df).collect()), key=repr) == sorted([(1, ""), (None, "a"), (2, "b"), (2, "b")], key=repr)
     assert html_text.texts(df.limit(0)).collect() == []
+
+
+def canvas(rows):
+    """A table's cells (text, columns, rows down) drawn at the places that a naive walk gives them; texts of three letters."""
+    taken, placed = set(), []
+    for r, row in enumerate(rows):
+        c = 0
+        for text, columns, down in row:
+            while (r, c) in taken:
+                c += 1
+            taken |= {(r + i, c + j) for i in range(down) for j in range(columns)}
+            placed.append((r, c, text))
+            c += columns
+    out = []
+    for r in range(len(rows)):
+        line = ""
+        for _, c, text in sorted(x for x in placed if x[0] == r):
+            line = line.ljust(5 * c) + text
+        out.append(line)
+    return "\n".join(x for x in out if x)
+
+
+def test_spans_against_a_canvas():
+    rng = random.Random(3)
+    for trial in range(200):
+        rows = [[(f"{i:03d}", 1, 1) for i in range(12)]]
+        for r in range(rng.randint(1, 6)):
+            # cells side by side keep to the first twelve columns
+            rows.append([(f"{r}{chr(97 + i)}x", rng.choice([1, 1, 2]), rng.choice([1, 1, 2, 3])) for i in range(rng.randint(0, 2))])
+        html = "<table>" + "".join("<tr>" + "".join(f"<td colspan={c} rowspan='{d}'>{t}" for t, c, d in row) + "</tr>" for row in rows) + "</table>"
+        assert html_text.extract(html) == canvas(rows), trial
+
+
+def test_row_spans():
+    assert html_text.extract("<table><tr><td rowspan=2>A<td>b</tr><tr><td>c</tr></table>") == "A  b\n   c"
+    assert html_text.extract("<table><tbody><tr><td rowspan=0>A<td>b<tr><td>c<tr><td>d</tbody><tbody><tr><td>e</table>") == "A  b\n   c\n   d\ne"
+    # a row without text still counts
+    assert html_text.extract("<table><tr><td rowspan=3>A<td>b<tr><td><tr><td>c<tr><td>d</table>") == "A  b\n   c\nd"
+
+
+def test_spans_are_bounded():
+    began = time.time()
+    wide = "<table><tr>" + "<td colspan=1000 rowspan=0>x" * 200 + "<tr><td>y" * 5_000 + "</table>"
+    assert len(html_text.extract(wide)) < 20_000_000 and time.time() - began < 30
+
+
+def chosen(parts, path):
+    """Whether a selector of (combinator, tag, classes, id) selects the last of a path of (tag, classes, id)."""
+
+    def fits(part, node):
+        return part[1] in ("", node[0]) and part[2] <= node[1] and part[3] in ("", node[2])
+
+    def walk(j, at):
+        if not fits(parts[j], path[at]):
+            return False
+        if not j:
+            return True
+        above = [at - 1] if parts[j][0] else range(at)
+        return any(i >= 0 and walk(j - 1, i) for i in above)
+
+    return walk(len(parts) - 1, len(path) - 1)
+
+
+def test_selectors_against_all_paths():
+    rng = random.Random(4)
+    for trial in range(300):
+        words = [rng.choice(["div", "*", "", "b"]) + "".join(rng.sample([".x", ".y", "#i"], rng.randint(0, 2))) for _ in range(rng.randint(1, 4))]
+        words = [w or "div" for w in words]
+        text = words[0] + "".join(rng.choice([" ", " > ", ">", "  "]) + w for w in words[1:])
+        parts = html_text.selector(text)
+        assert parts and len(parts) == len(words)
+        nodes, html, want = [("html", frozenset(), ""), ("body", frozenset(), "")], "", []
+        for d in range(6):
+            tag, classes, name = rng.choice(["div", "b"]), frozenset(rng.sample("xy", rng.randint(0, 2))), rng.choice(["", "i"])
+            nodes.append((tag, classes, name))
+            html += f'<{tag} class="{" ".join(classes)}"' + (f" id={name}" if name else "") + f">w{d} "
+            if any(chosen(parts, nodes[: i + 1]) for i in range(len(nodes))):
+                break
+            want.append(f"w{d}")
+        got = html_text.extract(f"<style>q{{}} {text}, p:hover {{display:none}}</style><body>{html}")
+        assert got.split() == want, (trial, text, html)
+
+
+def test_selectors_with_other_signs_select_nothing():
+    for text in ("a:hover", "a[b]", "a + b", "a ~ b", "> a", "a >", "#a#b", "a > > b", "", "@media x"):
+        assert html_text.selector(text) is None
+    assert html_text.extract("<style>div .a{display:none} p.a.b{visibility:hidden}</style><div><p class=a>no</p><p>yes</p></div><p class='b a'>no</p><p class=a>seen</p>") == "yes\n\nseen"
