@@ -49,8 +49,25 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+#: Folders in the shared folder that this driver has named and not removed.
+_made: list[str] = []
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def leftovers() -> list[str]:
+    """The tables that returned DataFrames may still read."""
+    return list(_made)
+
+
+def clear(spark: SparkSession, keep: Iterable[str] = ()) -> None:
+    """Removes them, but those to keep: for a caller whose results are written elsewhere."""
+    for path in set(_made) - set(keep):
+        drop_dir(spark, path)
 
 
 def drop_dir(spark: SparkSession, path: str) -> None:
@@ -58,6 +75,8 @@ def drop_dir(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    if path in _made:
+        _made.remove(path)
 
 
 def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from plain import deduplicated, near_duplicates, sha, simhash, substring_dedup
+from plain import deduplicated, near_duplicates, sha, shingles_of, simhash, substring_dedup
 
 import corpus_pipeline
 from pyspark.sql import functions as F
@@ -162,3 +162,41 @@ def test_spans_with_equal_keys_are_told_apart():
     assert sub._repeats(key, more, np.array([5, 1, 6, 9, 1])).tolist() == [False, False, True, False, False]
     assert sub._repeats(key, np.zeros(5, np.uint64), np.array([5, 1, 6, 9, 1])).tolist() == [True, False, True, False, False]
     assert sub._repeats(key[:0], more[:0], key[:0]).tolist() == []
+
+
+def test_tables_left_over_can_be_removed(spark):
+    kept = common.leftovers()
+    out = near.near_duplicates(spark.createDataFrame([(1, "a b c d"), (2, "a b c d")], "doc_id long, text string"))
+    assert out.count() == 2 and set(common.leftovers()) > set(kept)
+    left = set(common.leftovers()) - set(kept)
+    common.clear(spark, keep=kept)
+    assert common.leftovers() == kept
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    assert not any(at(x).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at(x)) for x in left)
+
+
+def test_no_similar_documents_stay(spark):
+    """Every pair of documents at 0.8 or more is found by an inverted index; one of each class stays, and nothing else goes."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    stay = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()}
+    sets, where = {}, {}
+    for r in docs.select("doc_id", "text").collect():
+        sets[r["doc_id"]] = set(shingles_of(r["text"], 5))
+        for x in sets[r["doc_id"]]:
+            where.setdefault(x, []).append(r["doc_id"])
+    links = {}
+    for d, own in sets.items():
+        for e in {e for x in own for e in where[x]} - {d}:
+            if len(own & sets[e]) >= 0.8 * len(own | sets[e]):
+                links.setdefault(d, set()).add(e)
+    empty = {d for d, own in sets.items() if not own}
+    links |= {d: empty - {d} for d in empty}
+    root = {}
+    for d in sorted(sets):
+        todo = [d] if d not in root else []
+        while todo:
+            x = todo.pop()
+            if x not in root:
+                root[x] = d
+                todo += links.get(x, ())
+    assert len(links) > 100 and stay == {d for d in sets if root[d] == d}
