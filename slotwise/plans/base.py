@@ -6,6 +6,9 @@ their filings (status, score and priority included), line items the attachments,
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -43,7 +46,15 @@ def scratch(spark: SparkSession, name: str) -> str:
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at and not spark.sparkContext.master.startswith("local["):
         raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
-    return f"{at or 'file://' + tempfile.gettempdir() + '/slotwise-scratch'}/{name}-{uuid.uuid4().hex}"
+    return f"{at or _own()}/{name}-{uuid.uuid4().hex}"
+
+
+@functools.cache
+def _own() -> str:
+    """A temporary folder of this process, removed when it ends."""
+    at = tempfile.mkdtemp(prefix="slotwise-scratch-")
+    atexit.register(shutil.rmtree, at, ignore_errors=True)
+    return f"file://{at}"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
