@@ -251,9 +251,12 @@ def _through(x: np.ndarray, tie: np.ndarray) -> np.ndarray:
     return out - _lse(out, 1)[:, None]
 
 
-def beliefs(unary: np.ndarray, groups: list[tuple[np.ndarray, np.ndarray]], rounds: int) -> np.ndarray:
+def beliefs(unary: np.ndarray, groups: list[tuple[np.ndarray, np.ndarray]], rounds: int, doc: np.ndarray | None = None) -> np.ndarray:
     """Of each token the probabilities of the labels, by damped loopy message passing in logarithms, given its own scores
-    and groups of edges (i, j) with the potentials of their labels; exact where the edges are a forest and rounds enough."""
+    and groups of edges (i, j) with the potentials of their labels; exact where the edges are a forest and rounds enough.
+    doc: each token's document; no edge joins two. A document's messages end when they are still, whatever others do."""
+    doc = np.zeros(len(unary), np.int64) if doc is None else doc
+    live = np.ones(int(doc.max(initial=-1)) + 1, bool)
     groups = [(x[:, 0], x[:, 1], tie) for x, tie in groups if len(x)]
     said = [[np.zeros((len(a), unary.shape[1])), np.zeros((len(a), unary.shape[1]))] for a, _, _ in groups]
 
@@ -265,14 +268,17 @@ def beliefs(unary: np.ndarray, groups: list[tuple[np.ndarray, np.ndarray]], roun
         return out
 
     for _ in range(rounds if groups else 0):
-        belief, moved = total(), 0.0
+        belief, moved = total(), np.zeros(len(live))
         for (a, b, tie), own in zip(groups, said, strict=True):
-            new = _through(belief[a] - own[1], tie), _through(belief[b] - own[0], tie.T)
-            for i in (0, 1):
-                step = (1 - DAMPING) * (new[i] - own[i])
-                moved = max(moved, float(np.abs(step).max()))
-                own[i] = own[i] + step
-        if moved < STILL:
+            on = np.flatnonzero(live[doc[a]])
+            there, back = own[0][on], own[1][on]
+            new = _through(belief[a[on]] - back, tie), _through(belief[b[on]] - there, tie.T)
+            for i, old in enumerate((there, back)):
+                step = (1 - DAMPING) * (new[i] - old)
+                np.maximum.at(moved, doc[a[on]], np.abs(step).max(1, initial=0))
+                own[i][on] = old + step
+        live &= moved >= STILL
+        if not live.any():
             break
     belief = total()
     return np.exp(belief - _lse(belief, 1)[:, None])
@@ -334,7 +340,7 @@ class Field:
             for key in keys:
                 if key in carried and carried[key][0] != piece:
                     unary[i] += _through(np.log(carried[key][1])[None, :], self.skip)[0]
-        return beliefs(unary, [(graph.edges, self.next), (graph.skips, self.skip)], ROUNDS)
+        return beliefs(unary, [(graph.edges, self.next), (graph.skips, self.skip)], ROUNDS, graph.doc)
 
     def added(self, texts: list[str], base: list[list[Span]]) -> list[list[Span]]:
         """The field's own spans for each text, none of which meets a base span."""

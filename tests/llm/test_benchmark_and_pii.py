@@ -206,3 +206,17 @@ def test_query_counts(spark, small):
         spans = base_spans(dict(small[1])[r["doc_id"]])
         assert [r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]] == [sum(k == i for *_, k in spans) for i in range(4)]
         assert r["base_sha256"] == sha(",".join(f"{pii.KINDS[k]}:{s}:{e}" for s, e, k in spans))
+
+
+def test_marginals_are_a_documents_own():
+    """A document's marginals are the same alone and beside others, whose messages take longer."""
+    rng = random.Random(12)
+    number = "+1 415 555 2671"
+    texts = [" ".join(rng.choice(["call", number, "4111 1111 1111 1111", "10.0.0.1", "ref", "a@b.co", f"{rng.randint(10**6, 10**9)}", number]) for _ in range(rng.randint(1, 60))) for _ in range(60)]
+    field = pii.Field(texts)
+    graph = pii.Graph(texts)
+    both = field.marginals(graph)
+    assert len(graph.skips) > 100
+    for d, text in enumerate(texts):
+        alone = pii.Graph([text])
+        assert np.abs(field.marginals(alone) - both[graph.doc == d]).max(initial=0) < 1e-12
