@@ -39,14 +39,16 @@ def titles_sql(d: Dialect) -> str:
       CASE WHEN o_orderkey % 5 = 0 THEN 'AA' WHEN o_orderkey % 50 = 1 THEN 'AA01' WHEN o_orderkey % 50 = 2 THEN 'ANNREP' ELSE 'SR' END AS kind"""
 
 
-def add(name: str, pack: Callable[[Dialect], dict[str, str]]) -> None:
+def add(name: str, pack: Callable[[Dialect], dict[str, str]], sql: str | None = None) -> None:
+    """A query of a pack over the titles; its SQL is the pack's in the other dialect, unless it is given by hand."""
+
     def run(spark: SparkSession, sf: str) -> DataFrame:
         titles = read(spark, sf, "orders").selectExpr(*_split(titles_sql(SPARK)))
         return apply(titles, "id", pack(SPARK))
 
     run.__name__ = name
     columns = ", ".join(f"{sql} AS {c}" for c, sql in pack(DUCKDB).items())
-    family.add(name, run, f"WITH titles AS (SELECT {titles_sql(DUCKDB)} FROM orders) SELECT id, {columns} FROM titles")
+    family.add(name, run, sql or f"WITH titles AS (SELECT {titles_sql(DUCKDB)} FROM orders) SELECT id, {columns} FROM titles")
 
 
 def _split(sql: str) -> list[str]:
@@ -85,8 +87,9 @@ add("classify_new_zealand", lambda d: {"score": text.new_zealand(d, "title", "ki
 add("score_hong_kong", lambda d: {"score": f"round({text.hong_kong(d, 'title', 'title', 'kind', 'kind', '2020', '(pages * 1000)')}, 6)"})
 add("score_singapore", lambda d: {"score": text.singapore(d, "title", "2020", "kind")})
 add("classify_philippines", lambda d: {"class": text.philippines(d, "title")})
-add("report_type_by_name", lambda d: {"report_type": text.report_type(d, "title")})
-add("source_format_by_suffix", lambda d: {"format": text.source_format(d, "url")})
+# written by hand: what each title of TEMPLATES, by its place, and each address is
+add("report_type_by_name", lambda d: {"report_type": text.report_type(d, "title")}, "SELECT o_orderkey AS id, CASE WHEN o_orderkey % 41 = 1 THEN 'IR' WHEN o_orderkey % 41 IN (7, 8, 21, 23, 35) THEN 'SR' ELSE 'AR' END AS report_type FROM orders")
+add("source_format_by_suffix", lambda d: {"format": text.source_format(d, "url")}, "SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN 'pdf' ELSE 'html' END AS format FROM orders")
 add("fy_cascade_africa", lambda d: _year(fiscal.africa(d, "title", "period", "published")))
 add("fy_cascade_middle_east", lambda d: _year(fiscal.middle_east(d, "title", "period", "published")))
 add("fy_cascade_sri_lanka", lambda d: _year(fiscal.sri_lanka(d, "title")))
@@ -97,7 +100,8 @@ add("fy_cascade_india", lambda d: _year(fiscal.india(d, "title")))
 add("fy_cascade_bangladesh", lambda d: _year(fiscal.bangladesh(d, "title", "cast(year(published) AS int)")))
 add("fy_cascade_new_zealand", lambda d: _year(fiscal.new_zealand(d, "title", "cast(year(published) AS int)")))
 add("fy_form_17a", lambda d: _year(fiscal.form_17a(d, "title")))
-add("fy_unique_year", lambda d: {"fiscal_year": fiscal.unique_year(d, "title")})
+add("fy_unique_year", lambda d: {"fiscal_year": fiscal.unique_year(d, "title")}, """
+SELECT o_orderkey AS id, (CASE WHEN o_orderkey % 41 IN (0, 1, 4, 6, 7, 9, 10, 12, 13, 14, 15, 22, 24, 26, 28, 29, 31, 36, 39) THEN 2016 + o_orderkey % 9 WHEN o_orderkey % 41 = 30 THEN 2015 + o_orderkey % 9 END)::INTEGER AS fiscal_year FROM orders""")
 add("fy_last_or_first", lambda d: {"fiscal_year": fiscal.last_or_first_year(d, "title", "period")})
 add("score_singapore_pick", lambda d: {"score": text.singapore_pick(d, "title", "(pages * 40000)", "kind")})
 add("annual_title", lambda d: {"annual": text.annual_title(d, "title")})
