@@ -24,7 +24,6 @@ are ignored.
 
 from __future__ import annotations
 
-import functools
 import math
 from collections.abc import Iterator
 
@@ -42,17 +41,23 @@ U64 = np.uint64
 #: nodes of a chunk of a list whose nodes aren't connected by these.
 KEPT, SMALL, PIVOTS, CHUNK = 128, 8, 1, 1024
 COLUMNS = 4096
+#: How seldom a pair at the threshold may show less than is required.
+ODDS = 1e-15
 
 
-@functools.cache
-def binomial_bound(k: int, percent: int, odds: float = 1e-15) -> int:
-    """The least count that k draws, each a success with the given probability, fall below once in 1 / odds at most."""
-    p, below = percent / 100, 0.0
-    for x in range(k + 1):
-        below += math.comb(k, x) * p**x * (1 - p) ** (k - x)
-        if below > odds:
-            return x
-    return k
+#: Bounds that were reckoned; a plain table, since a cached function would not travel to tasks by value.
+_bounds: dict[tuple[int, int], int] = {}
+
+
+def binomial_bound(k: int, percent: int) -> int:
+    """The least count that k draws, each a success with the given probability, fall below once in 1 / ODDS at most."""
+    if (k, percent) not in _bounds:
+        p, below, x = percent / 100, 0.0, -1
+        while below <= ODDS and x < k:
+            x += 1
+            below += math.comb(k, x) * p**x * (1 - p) ** (k - x)
+        _bounds[k, percent] = x
+    return _bounds[k, percent]
 
 
 def required(n: np.ndarray, percent: int, kept: int) -> np.ndarray:

@@ -35,4 +35,4 @@ def test_all_queries_travel_by_value(tmp_path):
     empty.mkdir()
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", CODE.format(root=ROOT, shared=shared)], cwd=empty, env=env, capture_output=True, text=True, timeout=600)
-    assert out.returncode == 0 and out.stdout.count("ok ") == 11, out.stdout[-500:] + out.stderr[-3000:]
+    assert out.returncode == 0 and out.stdout.count("ok ") == 14, out.stdout[-500:] + out.stderr[-3000:]
