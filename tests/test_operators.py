@@ -1,6 +1,7 @@
 import difflib
 import random
 
+import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -201,3 +202,25 @@ def test_fuzzy_join_equals_all_pairs(spark):
 def test_first_nested_items(spark):
     df = spark.createDataFrame([(1, "a", 2, 0), (1, "a", 1, 5), (1, "b", 9, 9), (2, "a", 1, 1)], "id int, kind string, outer int, inner int")
     assert rows(select.first_nested(df, ["id", F.upper("kind").alias("kind")], ["outer", "inner"])) == [(1, "A", 1, 5), (1, "B", 9, 9), (2, "A", 1, 1)]
+
+
+def test_fuzzy_join_compares_texts_once(spark, monkeypatch):
+    compared = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("double")
+    def counted(a: pd.Series, b: pd.Series) -> pd.Series:
+        compared.add(len(a))
+        return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)])
+
+    monkeypatch.setattr(resolve.S, "similarity", counted)
+    texts = ["acme holding", "acme holdings", "acme folding", None]
+    names = [(i, "x", texts[i % 4]) for i in range(100)] + [(100, "x", "acme holdinx"), (None, "x", "acme holding")]
+    df = spark.createDataFrame(names, "id int, b string, n string")
+    found = resolve.fuzzy(df, df.select("b", F.col("id").alias("o"), F.col("n").alias("m")), "b", "n", "m", "id", "o").select("id", "o", "rank", "similarity")
+    got = {tuple(r) for r in found.collect()}
+    assert 0 < compared.value <= 16
+    want = set()
+    for i, _, x in names:
+        each = sorted((-difflib.SequenceMatcher(None, x, y).ratio(), j) for j, _, y in names if i is not None and j is not None and x and y and i != j)
+        want |= {(i, j, r + 1, -s) for r, (s, j) in enumerate(each[:4]) if -s >= 0.55}
+    assert got == want
