@@ -224,3 +224,24 @@ def test_fuzzy_join_compares_texts_once(spark, monkeypatch):
         each = sorted((-difflib.SequenceMatcher(None, x, y).ratio(), j) for j, _, y in names if i is not None and j is not None and x and y and i != j)
         want |= {(i, j, r + 1, -s) for r, (s, j) in enumerate(each[:4]) if -s >= 0.55}
     assert got == want
+
+
+def test_contains_join_keeps_equal_rows(spark):
+    queries = spark.createDataFrame([(1, "acm"), (2, "acm"), (2, "acm"), (3, "m"), (4, None), (5, "zzz")], "q int, w string")
+    texts = spark.createDataFrame([(i, "acme") for i in range(1100)] + [(2000, None), (2001, "am")], "t int, x string")
+    got = resolve.contains_join(queries, texts, "w", "x").groupBy("q", "w", "x").agg(F.count("*"), F.count_distinct("t"))
+    assert rows(got) == sorted([(1, "acm", "acme", 1100, 1100), (2, "acm", "acme", 2200, 1100), (3, "m", "acme", 1100, 1100), (3, "m", "am", 1, 1)], key=repr)
+
+
+def test_overlaps_of_many_equal_sets(spark):
+    words = [["a", "b", "c"], ["b", "c", "d"], ["x", "y"]]
+    sets = [(i, "s", words[i % 3]) for i in range(1800)] + [(5000, "t", ["a", "b", "c"]), (None, "s", ["a", "b", "c"])]
+    df = spark.createDataFrame(sets, "id int, block string, t array<string>")
+    met, every = resolve.overlap_join(df, "id", "t", ["block"], 0.6), resolve.overlap_pairs(df, "id", "t", ["block"])
+    own, across = 3 * 600 * 599 // 2, 600 * 600
+
+    def summed(pairs):
+        return rows(pairs.where("id < other").groupBy("overlap").agg(F.count("*"), F.count_distinct(F.struct("id", "other"))))
+
+    assert summed(met) == [(0.667, across, across), (1.0, own, own)]
+    assert summed(every) == [(0.0, 2 * across, 2 * across), (0.667, across, across), (1.0, own, own)]
