@@ -76,8 +76,9 @@ def quoted_csv_lines(spark: SparkSession, sf: str) -> DataFrame:
     note = F.when(k % 4 == 0, F.concat(F.lit('"'), "o_orderpriority", F.lit('\na,""b""\r\n"'))).when(k % 4 == 1, F.concat(F.lit('"'), "o_orderstatus", F.lit('"'))).otherwise(F.col("o_orderpriority"))
     blank = F.when(k % 7 == 0, "\r\n").otherwise("\r")
     text = read(spark, sf, "orders").select(k, F.concat(k.cast("string"), F.lit(","), note, blank).alias("value"))
-    head = spark.createDataFrame([(-1, '"key",note\r')], "o_orderkey long, value string")
-    head.union(text).coalesce(1).sortWithinPartitions("o_orderkey").select("value").write.text(path)
+    text.orderBy("o_orderkey").select("value").write.text(f"{path}/parts")
+    writers.one_file(spark, f"{path}/parts", f"{path}/whole/orders.csv", b'"key",note\r\n')
+    path = f"{path}/whole"
     return readers.strict_csv(spark, path, ["note", "key"]).select("key", "note", F.col("line").cast("long").alias("line"))
 
 
@@ -240,6 +241,10 @@ def frozen_cohort(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema("c_custkey long, c_name string").json(f"{path}/json")
 
 
+#: Folders that the files of orphans_removed are dealt to.
+ORPHAN_FOLDERS = 997
+
+
 @family("SELECT c_custkey || '.pdf' AS file, (SELECT count(*) FROM customer WHERE c_custkey % 3 = 0) AS removed FROM customer WHERE c_custkey % 3 > 0")
 def orphans_removed(spark: SparkSession, sf: str) -> DataFrame:
     """Of a file for each customer, what interrupted writers left is gone, the rest is there."""
@@ -247,16 +252,21 @@ def orphans_removed(spark: SparkSession, sf: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, folder = archives.filesystem(path)
+        made: set[int] = set()
         for batch in batches:
             for key in batch.column(0).to_pylist():
-                fs.create_dir(f"{folder}/{key % 5}", recursive=True)
-                with fs.open_output_stream(f"{folder}/{key % 5}/{key}.pdf{'' if key % 3 else '.part'}") as f:
+                at = key % ORPHAN_FOLDERS
+                if at not in made:
+                    fs.create_dir(f"{folder}/{at}", recursive=True)
+                    made.add(at)
+                with fs.open_output_stream(f"{folder}/{at}/{key}.pdf{'' if key % 3 else '.part'}") as f:
                     f.write(b"%PDF-")
             yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
 
-    read(spark, sf, "customer").select("c_custkey").mapInArrow(run, "n long").agg(F.sum("n")).collect()
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    read(spark, sf, "customer").select("c_custkey").repartition(n, F.col("c_custkey") % ORPHAN_FOLDERS).mapInArrow(run, "n long").agg(F.sum("n")).collect()
     gone = writers.remove_orphans(spark, path)
-    return readers.listing(spark, path).select(F.element_at(F.split("path", "/"), -1).alias("file"), F.lit(len(gone)).cast("long").alias("removed"))
+    return writers.listed(spark, path).select(F.element_at(F.split("path", "/"), -1).alias("file"), F.lit(gone).cast("long").alias("removed"))
 
 
 def _streamed(spark: SparkSession, sf: str, path: str, files: int = 1) -> DataFrame:

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import time
+import uuid
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from slotwise.functions.scalars import escaped_cell
+from slotwise.sources.archives import filesystem
 
 
 def fixed_csv(df: DataFrame, path: str, columns: Sequence[str], escape: bool = True) -> None:
@@ -63,16 +68,67 @@ def _files(spark: SparkSession, folder: str):
         yield found.next()
 
 
-def remove_orphans(spark: SparkSession, folder: str, suffix: str = ".part", older_ms: int = 0) -> list[str]:
-    """Deletes what interrupted writers left: files with the suffix, at any depth, not changed for so long; their names."""
-    import time
-
-    gone, until = [], time.time() * 1000 - older_ms
-    for f in _files(spark, folder):
-        if f.getPath().getName().endswith(suffix) and f.getModificationTime() <= until:
-            f.getPath().getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(f.getPath(), False)
-            gone.append(f.getPath().getName())
-    return sorted(gone)
+def listed(spark: SparkSession, folder: str) -> DataFrame:
+    """path, length, changed (ms) of all files at any depth: a task lists whole entries of the folder; the driver has the
+    names of these entries only."""
+    fs, at = filesystem(folder)
+    top = [(f.path,) for f in fs.get_file_info(pafs.FileSelector(at, allow_not_found=True))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, _ = filesystem(folder)
+        for batch in batches:
+            for entry in fs.get_file_info(batch.column(0).to_pylist()):
+                found = fs.get_file_info(pafs.FileSelector(entry.path, recursive=True)) if entry.type == pafs.FileType.Directory else [entry]
+                files = [f for f in found if f.type == pafs.FileType.File]
+                yield pa.RecordBatch.from_pydict({"path": pa.array([f.path for f in files], pa.string()), "length": pa.array([f.size for f in files], pa.int64()), "changed": pa.array([f.mtime_ns // 1_000_000 for f in files], pa.int64())})
+
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return spark.createDataFrame(top, "path string").repartition(n, "path").mapInArrow(run, "path string, length long, changed long")
+
+
+def remove_orphans(spark: SparkSession, folder: str, suffix: str = ".part", older_ms: int = 0) -> int:
+    """Deletes, in tasks, what interrupted writers left: files with the suffix, at any depth, not changed for so long; how
+    many. They are counted before, so that a task may run again."""
+    until = int(time.time() * 1000) - older_ms
+    orphans = listed(spark, folder).where(F.endswith("path", F.lit(suffix)) & (F.col("changed") <= until)).select("path")
+    count = orphans.count()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, _ = filesystem(folder)
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                try:
+                    fs.delete_file(path)
+                except FileNotFoundError:  # an earlier attempt's
+                    pass
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    orphans.mapInArrow(run, "n long").agg(F.sum("n")).collect()
+    return count
+
+
+def one_file(spark: SparkSession, parts: str, path: str, head: bytes = b"") -> None:
+    """Spark's part files, in their order, as one file after `head`: a task streams them, holding a piece at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            pass
+        fs, source = filesystem(parts)
+        _, to = filesystem(path)
+        folder, _, name = to.rpartition("/")
+        fs.create_dir(folder, recursive=True)
+        held = f"{folder}/.{name}-{uuid.uuid4().hex}"
+        found = sorted(f.path for f in fs.get_file_info(pafs.FileSelector(source)) if f.base_name.startswith("part-"))
+        with fs.open_output_stream(held) as out:
+            out.write(head)
+            for one in found:
+                with fs.open_input_stream(one, compression=None) as part:
+                    while piece := part.read(8 << 20):
+                        out.write(piece)
+        fs.move(held, to)
+        yield pa.RecordBatch.from_pydict({"n": pa.array([len(found)], pa.int64())})
+
+    spark.range(0, 1, 1, 1).mapInArrow(run, "n long").collect()
 
 
 def run_summary(results: DataFrame, status: str, error: str, done: str = "DONE") -> tuple[DataFrame, DataFrame]:

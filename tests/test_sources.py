@@ -107,3 +107,17 @@ def test_writers(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "m")).count() == 2
     writers.manifest_files(df, str(tmp_path / "c"))
     assert spark.read.json(str(tmp_path / "c/json")).count() == 2
+
+
+def test_orphans_and_one_file(spark, tmp_path):
+    for i in range(40):
+        (tmp_path / "o" / str(i % 7) / "deep").mkdir(parents=True, exist_ok=True)
+        (tmp_path / "o" / str(i % 7) / "deep" / f"{i}.pdf{'' if i % 3 else '.part'}").write_bytes(b"%PDF-")
+    (tmp_path / "o" / "top.part").write_bytes(b"")
+    assert writers.remove_orphans(spark, f"file://{tmp_path}/o", older_ms=3_600_000) == 0
+    assert writers.remove_orphans(spark, f"file://{tmp_path}/o") == 15
+    left = writers.listed(spark, f"file://{tmp_path}/o").collect()
+    assert sorted(int(r["path"].split("/")[-1][:-4]) for r in left) == [i for i in range(40) if i % 3] and {r["length"] for r in left} == {5}
+    spark.range(5000).repartition(3).orderBy("id").selectExpr("cast(id AS string) AS value").write.text(f"{tmp_path}/p")
+    writers.one_file(spark, f"file://{tmp_path}/p", f"file://{tmp_path}/w/x.csv", b"head\n")
+    assert (tmp_path / "w" / "x.csv").read_text() == "head\n" + "".join(f"{i}\n" for i in range(5000))
