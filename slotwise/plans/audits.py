@@ -18,7 +18,9 @@ PLAIN = r"trim(regexp_replace(trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ',
 
 
 def _pages(text):
-    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), F.trim), lambda x: x != "")
+    """The lines of a text that aren't blank, without spaces of any kind (Zs) at their ends."""
+    lines = F.split(F.coalesce(text, F.lit("")), "\n")
+    return F.filter(F.transform(lines, lambda x: F.regexp_replace(x, r"^\p{Zs}+|\p{Zs}+$", "")), lambda x: x != "")
 
 
 @family(f"""

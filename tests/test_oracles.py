@@ -52,3 +52,14 @@ def test_stock_codes_of_long_keys(spark, tmp_path):
     con.execute(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/orders.parquet/*.parquet'")
     got = registry.QUERIES["stock_code_lists"](spark, str(tmp_path)).select("o_orderkey", "codes")
     assert sorted(map(tuple, got.collect())) == sorted(con.execute(registry.ORACLES["stock_code_lists"]).fetchall())
+
+
+def test_content_audit_of_spaces(spark, tmp_path):
+    """Lines of no-break and other spaces are blank in both."""
+    blank = "\u00a0\n\u3000 \u2003\n" * 4
+    texts = [(i, f"{blank}that tion ment {10 + i}\n{blank}") for i in range(4)] + [(4, None), (5, ""), (6, blank), (7, "\t\nment 17")]
+    spark.createDataFrame(texts, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got = registry.QUERIES["content_audit"](spark, str(tmp_path)).select("doc_id", "reason", "status")
+    assert sorted(map(tuple, got.collect())) == sorted(con.execute(registry.ORACLES["content_audit"]).fetchall())
