@@ -245,3 +245,27 @@ def test_overlaps_of_many_equal_sets(spark):
 
     assert summed(met) == [(0.667, across, across), (1.0, own, own)]
     assert summed(every) == [(0.0, 2 * across, 2 * across), (0.667, across, across), (1.0, own, own)]
+
+
+def expansions(spark, df):
+    """The plan's lines that make rows of arrays, the last one first; those in generated code begin with a star."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line.strip(" :+-|") for line in plan.splitlines() if "Generate explode" in line]
+
+
+def test_contains_join_hands_on_rows_of_chunks(spark, monkeypatch):
+    """Chunks meet whole, whatever their size and columns, and no task keeps all rows of two chunks."""
+    monkeypatch.setattr(resolve, "CHUNK", 7)
+    wanted = [(i, ["ab", "bcd", "e", "abcd"][i % 4], i % 3 or None) for i in range(50)]
+    texts = [(i % 60 or None, ["abcd", "bcde", "xab"][i % 3]) for i in range(90)]
+    queries, catalog = spark.createDataFrame(wanted, "q int, w string, more int"), spark.createDataFrame(texts, "t int, x string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = resolve.contains_join(queries, catalog, "w", "x")
+        assert got.columns == ["q", "w", "more", "t", "x"]
+        assert rows(got) == sorted(((*q, *t) for q in wanted for t in texts if q[1] in t[1]), key=repr)
+        inner, outer = expansions(spark, got)[:2]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert inner.startswith("*(") and "_c" in inner
+    assert outer.startswith("Generate explode(transform(") and "_q" in outer
