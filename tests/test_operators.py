@@ -269,3 +269,21 @@ def test_contains_join_hands_on_rows_of_chunks(spark, monkeypatch):
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert inner.startswith("*(") and "_c" in inner
     assert outer.startswith("Generate explode(transform(") and "_q" in outer
+
+
+def test_overlap_pairs_hand_on_rows_of_chunks(spark, monkeypatch):
+    """All pairs of a block, each once, when classes have several chunks; no task keeps all rows of two chunks."""
+    monkeypatch.setattr(resolve, "CHUNK", 7)
+    words = [["a", "b"], ["b", "c", "d"], ["x"], []]
+    sets = [(i, "st"[i % 5 == 0], words[i % 4]) for i in range(100)]
+    df = spark.createDataFrame(sets, "id int, block string, t array<string>")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = resolve.overlap_pairs(df, "id", "t", ["block"])
+        want = [(b, i, j, round(len({*x} & {*y}) / max(1, min(len(x), len(y))), 3)) for i, b, x in sets for j, c, y in sets if i < j and b == c]
+        assert rows(got) == sorted(want, key=repr)
+        inner, outer = expansions(spark, got)[:2]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert inner.startswith("*(") and "_bh" in inner
+    assert outer.startswith("Generate explode(transform(") and "_ah" in outer
