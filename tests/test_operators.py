@@ -287,3 +287,21 @@ def test_overlap_pairs_hand_on_rows_of_chunks(spark, monkeypatch):
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert inner.startswith("*(") and "_bh" in inner
     assert outer.startswith("Generate explode(transform(") and "_ah" in outer
+
+
+def test_overlap_join_hands_on_rows_of_chunks(spark, monkeypatch):
+    """Pairs of repeated sets, each once, when classes have several chunks; no task keeps all rows of two chunks."""
+    monkeypatch.setattr(resolve, "CHUNK", 7)
+    words = [["a", "b"], ["b", "c", "d"], ["b", "a", "a", "e"], [], None]
+    sets = [(i, "st"[i % 3 == 0], words[i % 5]) for i in range(150)]
+    df = spark.createDataFrame(sets, "id int, block string, t array<string>")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = resolve.overlap_join(df, "id", "t", ["block"], 0.6)
+        pairs = [(b, i, j, len({*x} & {*y}), min(len({*x}), len({*y}))) for i, b, x in sets for j, c, y in sets if i < j and b == c and x and y]
+        assert rows(got) == sorted(((b, i, j, round(n / m, 3)) for b, i, j, n, m in pairs if 10 * n >= 6 * m), key=repr)
+        inner, outer = expansions(spark, got)[:2]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert inner.startswith("*(") and "_bh" in inner
+    assert outer.startswith("Generate explode(transform(") and "_ah" in outer
